@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 from ..functions import dates
 from ..functions.values import pct_change
 from .aggregates import mid_salary
-from .quantiles import percentiles_scalar
+from .quantiles import exact_percentiles
 
 
 def _count() -> Column:
@@ -113,19 +113,19 @@ def skill_overview(postings: DataFrame, skill: str, as_of) -> DataFrame:
     """Demand now and on average over 30 and 90 days, and the salary spread of one skill."""
     day = _as_of(as_of)
     rows = postings.filter(F.array_contains("skills", skill)).withColumn("_salary", mid_salary().cast("double"))
-    quartiles = percentiles_scalar(rows, "_salary", [0.25, 0.5, 0.75])
+    quartiles = exact_percentiles(rows, ["_salary"], [0.25, 0.5, 0.75]).select("percentiles").scalar()
     averages = rows.agg(
         F.count_if(_within(day, 0, 1)).alias("current"),
         (F.count_if(_within(day, 0, 30)) / 30).alias("avg_30d"),
         (F.count_if(_within(day, 0, 90)) / 90).alias("avg_90d"),
         F.avg("_salary").alias("salary_avg"),
     )
-    return averages.select(
+    return averages.withColumn("_q", quartiles).select(
         F.lit(skill).alias("skill"),
         "current", "avg_30d", "avg_90d",
         direction(F.col("avg_30d") - F.col("avg_90d")).alias("trend"),
         "salary_avg",
-        quartiles[0].alias("salary_p25"), quartiles[1].alias("salary_median"), quartiles[2].alias("salary_p75"),
+        *[F.col("_q")[i].alias(n) for i, n in enumerate(("salary_p25", "salary_median", "salary_p75"))],
     )
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from ..functions import dates
 from . import joins
-from .quantiles import percentiles_scalar
+from .quantiles import exact_percentiles
+from .windows import beyond_sigma
 
 KEY, DATE, VALUE = "skill_name", "period_start", "demand_count"
 
@@ -35,16 +36,16 @@ def series_stats(df: DataFrame, key: str = KEY, value: str = VALUE) -> DataFrame
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, std, min, quartiles and max of a column, as one row."""
-    quartiles = percentiles_scalar(df, column, [0.25, 0.5, 0.75])
+    quartiles = exact_percentiles(df, [column], [0.25, 0.5, 0.75]).select("percentiles").scalar()
     return df.agg(
         F.count(column).alias("count"),
         F.avg(column).alias("mean"),
         F.stddev_samp(column).alias("std"),
         F.min(column).cast("double").alias("min"),
         F.max(column).cast("double").alias("max"),
-    ).select(
+    ).withColumn("_q", quartiles).select(
         "count", "mean", "std", "min",
-        *[quartiles[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
+        *[F.col("_q")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
         "max",
     )
 
@@ -61,31 +62,31 @@ def table_overview(df: DataFrame, order: Sequence[str], samples: int = 3, width:
     """Per column: table size, share of NULLs and the values of the first rows in the given order."""
     columns = df.columns
     shape = df.agg(F.count(F.lit(1))).scalar()
+
+    def shown(column: str) -> Column:
+        text = F.coalesce(F.left(F.col(column).cast("string"), F.lit(width)), F.lit("NULL"))
+        return _in_order(F.struct(*order, text.alias("_v")))
+
     heads = (
         df.orderBy(*order)
         .limit(samples)
-        .agg(F.struct(*[
-            F.array_sort(
-                F.collect_list(F.struct(*order, F.left(F.col(c).cast("string"), F.lit(width)).alias("_v")))
-            ).alias(c)
-            for c in columns
-        ]))
+        .agg(F.create_map(*[part for c in columns for part in (F.lit(c), shown(c))]))
         .scalar()
     )
-    shown = F.create_map(*[
-        part
-        for c in columns
-        for part in (F.lit(c), F.transform(heads[c], lambda e: F.coalesce(e["_v"], F.lit("NULL"))))
-    ])
     return null_profile(df).select(
         "column_name",
         shape.alias("row_count"),
         F.lit(len(columns)).alias("column_count"),
         "null_pct",
-        F.element_at(shown, F.col("column_name")).alias("samples"),
+        F.element_at(heads, F.col("column_name")).alias("samples"),
     )
 
 
+def _in_order(entry: Column) -> Column:
+    """Aggregate over a few rows: the ``_v`` field of the entries, sorted by the fields before it."""
+    return F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["_v"])
+
+
 def value_counts(df: DataFrame, column: str, with_null: bool = True) -> DataFrame:
     """Count per value and its percentage of all rows; NULL is a group of its own."""
     total = df.agg(F.count(F.lit(1))).scalar()
@@ -97,7 +98,7 @@ def value_counts(df: DataFrame, column: str, with_null: bool = True) -> DataFram
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill rate, min, max, mean, median and percentiles, one row per column.
 
-    The simple statistics of all columns share one pass.
+    The simple statistics of all columns share one pass, and so do the percentiles.
     """
     stats = [
         F.struct(
@@ -111,13 +112,11 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for c in columns
     ]
     simple = df.agg(F.array(*stats).alias("_stats")).select(F.inline("_stats"))
-    quartiles = F.create_map(*[
-        part
-        for c in columns
-        for part in (F.lit(c), percentiles_scalar(df, c, [0.25, 0.5, 0.75, 0.95]))
-    ])
-    q = F.element_at(quartiles, F.col("column_name"))
-    return simple.select("*", *[q[i].alias(n) for i, n in enumerate(("p25", "median", "p75", "p95"))])
+    quartiles = exact_percentiles(df, columns, [0.25, 0.5, 0.75, 0.95])
+    names = ("p25", "median", "p75", "p95")
+    named = quartiles.select("column_name", *[F.col("percentiles")[i].alias(n) for i, n in enumerate(names)])
+    # one row per profiled column on both sides
+    return simple.join(F.broadcast(named), "column_name", "left")
 
 
 def text_profile(df: DataFrame, column: str, order: Sequence[str], samples: int = 3, width: int = 200) -> DataFrame:
@@ -127,12 +126,12 @@ def text_profile(df: DataFrame, column: str, order: Sequence[str], samples: int
         df.filter(filled)
         .orderBy(*order)
         .limit(samples)
-        .agg(F.array_sort(F.collect_list(F.struct(*order, F.left(column, F.lit(width)).alias("_v")))))
+        .agg(_in_order(F.struct(*order, F.left(column, F.lit(width)).alias("_v"))))
         .scalar()
     )
     return df.agg(
         F.count(F.lit(1)).alias("rows"), F.count(column).alias("non_null"), F.count_if(filled).alias("non_empty")
-    ).select("rows", "non_null", "non_empty", F.transform(heads, lambda e: e["_v"]).alias("samples"))
+    ).select("rows", "non_null", "non_empty", heads.alias("samples"))
 
 
 def parsed_timestamp(df: DataFrame, column: str) -> Column:
@@ -347,11 +346,9 @@ def characterize(df: DataFrame, top: int = 15, key: str = KEY, date_col: str = D
     # the ranking uses the recorded rows, the traits the zero-filled ones
     chosen = series_stats(df, key, value).select(key).limit(top)
     filled = indexed(joins.restrict_to_top(zero_filled(df, key, date_col, value), chosen, key, top), key, date_col)
-    whole = W.partitionBy(key)
-    away = F.abs(F.col(value) - F.avg(value).over(whole)) > 3 * F.stddev_samp(value).over(whole)
     mean, std = F.avg(value), F.stddev_samp(value)
     return (
-        filled.withColumn("_away", F.coalesce(away, F.lit(False)))
+        filled.withColumn("_away", beyond_sigma(value, 3.0, key))
         .groupBy(key)
         .agg(
             mean.alias("mean"),

@@ -8,83 +8,99 @@ the values are spread over tasks, and the ranks are then counted exactly.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from itertools import pairwise
 
-from pyspark.sql import Column, DataFrame, functions as F, Window as W
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, functions as F, Window as W
 
 BUCKETS = 256
-FANOUT = 16  # split points are searched in two steps of 16
+TARGET = "column_name string, bucket double, start bigint, i int, position double, rank bigint"
 
 
-def _bucket_of(value: Column, splits: Column) -> Column:
-    """Number of split points below the value; equal values share a bucket."""
-    coarse = F.size(F.filter(splits["coarse"], lambda s: s < value)) * FANOUT
-    fine = F.filter(F.slice(splits["fine"], coarse + 1, FANOUT), lambda s: s < value)
-    return coarse + F.size(fine)
+def exact_percentiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """Linearly interpolated percentiles as rows (column_name, percentiles).
 
-
-def exact_percentiles(df: DataFrame, value: str, probabilities: Sequence[float]) -> DataFrame:
-    """Linearly interpolated percentiles of a column as one array, in the given order.
-
-    1. approximate split points (a fixed-size sketch);
-    2. rows per bucket, reduced on the map side to at most 256 rows;
-    3. running counts over those rows name the buckets that hold the wanted ranks;
-    4. only the named buckets are counted value by value and ranked, each bucket
+    1. approximate split points of all columns, one pass (a fixed-size sketch);
+    2. rows per bucket between split points, one pass, reduced on the map side;
+    3. the running counts name the buckets that hold the wanted ranks, and only
+       the values in those ranges are read again, counted and ranked, each bucket
        in its own task.
-    The scalar subqueries carry at most 256 numbers; nothing is joined.
+    Steps 1 and 2 run at once and bring at most 256 numbers per column to the
+    driver. A column without values gives no row.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    steps = [i / BUCKETS for i in range(1, BUCKETS)]
-    sketch = rows.agg(F.percentile_approx("v", steps, 40 * BUCKETS).alias("fine"))
-    splits = sketch.select(
-        F.struct(
-            "fine",
-            F.transform(
-                F.sequence(F.lit(FANOUT), F.lit(BUCKETS - FANOUT), F.lit(FANOUT)),
-                lambda i: F.element_at("fine", i),
-            ).alias("coarse"),
-        )
-    ).scalar()
-    placed = rows.select("v", _bucket_of(F.col("v"), splits).alias("bucket"))
-
-    per_bucket = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    upto = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    everything = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    ranges = per_bucket.select(
-        "bucket",
-        (F.sum("n").over(upto) - F.col("n")).alias("start"),
-        F.sum("n").over(upto).alias("stop"),
-        F.sum("n").over(everything).alias("size"),
-    )
-    asked = F.array(*[F.lit(float(p)) for p in probabilities])
-    positions = ranges.select("*", F.posexplode(asked).alias("i", "p")).withColumn(
-        "position", F.col("p") * (F.col("size") - 1)
-    )
-    neighbours = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
-    targets = (
-        positions.select("bucket", "start", "stop", "i", "position", F.explode(neighbours).alias("rank"))
-        .filter((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("stop")))
-        .agg(F.collect_list(F.struct("bucket", "start", "i", "position", "rank")))
-        .scalar()
-    )
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    edges = _edges(rows, columns)
+    known = list(edges)
+    if not known:
+        return df.sparkSession.createDataFrame([], "column_name string, percentiles array<double>")
+    targets = _targets(_long(rows, edges), known, probabilities)
 
-    in_bucket = F.filter(targets, lambda t: t["bucket"] == F.col("bucket"))
-    counted = (
-        placed.withColumn("targets", in_bucket)
-        .filter(F.size("targets") > 0)
-        .groupBy("bucket", "v")
-        .agg(F.count(F.lit(1)).alias("n"), F.any_value("targets").alias("targets"))
+    ranges = {(t[0], t[1]) for t in targets}
+    wanted = [
+        (F.col(c) >= edges[c][int(b)]) & (F.col(c) < edges[c][int(b) + 1]) for c, b in sorted(ranges)
+    ]
+    near = _long(rows.filter(reduce(lambda x, y: x | y, wanted)), edges)
+    # as many rows as percentiles were asked for, twice at most
+    small = F.broadcast(df.sparkSession.createDataFrame(targets, TARGET))
+    in_range = near.join(small.select("column_name", "bucket").distinct(), ["column_name", "bucket"], "left_semi")
+    counted = in_range.groupBy("column_name", "bucket", "v").agg(F.count(F.lit(1)).alias("n"))
+    upto = (
+        W.partitionBy("column_name", "bucket").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    upto_value = W.partitionBy("bucket").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    stop = F.element_at("targets", 1)["start"] + F.sum("n").over(upto_value)
+    ends = counted.withColumn("stop", F.sum("n").over(upto))
+    within = F.col("rank") - F.col("start")
     found = (
-        counted.select("v", "n", stop.alias("stop"), "targets")
-        .select("v", "n", "stop", F.explode("targets").alias("t"))
-        .filter((F.col("t.rank") < F.col("stop")) & (F.col("t.rank") >= F.col("stop") - F.col("n")))
-        .groupBy(F.col("t.i").alias("i"), F.col("t.position").alias("position"))
+        ends.join(small, ["column_name", "bucket"])
+        .filter((within < F.col("stop")) & (within >= F.col("stop") - F.col("n")))
+        .groupBy("column_name", "i", "position")
         .agg(F.min("v").alias("low"), F.max("v").alias("high"))
     )
     weight = F.col("position") - F.floor("position")
     quantile = F.col("low") + (F.col("high") - F.col("low")) * weight
     in_order = F.array_sort(F.collect_list(F.struct("i", quantile.alias("q"))))
-    return found.agg(F.transform(in_order, lambda e: e["q"]).alias("percentiles"))
+    return found.groupBy("column_name").agg(F.transform(in_order, lambda e: e["q"]).alias("percentiles"))
+
+
+def _edges(rows: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
+    """Bucket edges per column that has values; equal values never straddle an edge."""
+    steps = [i / BUCKETS for i in range(1, BUCKETS)]
+    sketch = rows.agg(*[F.percentile_approx(c, steps, 10 * BUCKETS).alias(c) for c in columns]).first()
+    return {c: [-math.inf, *sorted(set(sketch[c])), math.inf] for c in columns if sketch[c]}
+
+
+def _long(rows: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """(column_name, bucket, v) for every value."""
+    names = list(edges)
+    placed = Bucketizer(
+        splitsArray=[edges[c] for c in names], inputCols=names, outputCols=[f"{c}__bucket" for c in names],
+        handleInvalid="keep",
+    ).transform(rows)
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__bucket").alias("bucket"), F.col(c).alias("v"))
+        for c in names
+    ])
+    return placed.select(F.inline(cells)).filter(F.col("v").isNotNull())
+
+
+def _targets(values: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> list[tuple]:
+    """Which ranks are wanted, in which bucket, and how many values lie before that bucket."""
+    sizes: dict[str, dict[float, int]] = {c: {} for c in columns}
+    for row in values.groupBy("column_name", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes[row.column_name][row.bucket] = row.n
+    targets = []
+    for column, buckets in sizes.items():
+        order = sorted(buckets)
+        starts = [0]
+        for b in order:
+            starts.append(starts[-1] + buckets[b])
+        for i, p in enumerate(probabilities):
+            position = p * (starts[-1] - 1)
+            for rank in {math.floor(position), math.ceil(position)}:
+                bucket, start = next(
+                    (b, lo) for b, (lo, hi) in zip(order, pairwise(starts)) if lo <= rank < hi
+                )
+                targets.append((column, bucket, start, i, position, rank))
+    return targets

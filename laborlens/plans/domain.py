@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import dates
+from ..functions.vocab import TOTAL_SERIES
 from ..operators import aggregates
 from ..schemas import MONEY
 
@@ -120,3 +121,24 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON text messages with their event time."""
     events = table(spark, sf_dir, "events")
     return events.select(F.to_json(F.struct("*")).alias("value"), F.col("ts").cast("timestamp").alias("ts"))
+
+
+def stored_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forecast table to serve from: each known month projected seven years ahead.
+
+    Holds every brand and the total series.
+    """
+    closed = closed_skill_demand(spark, sf_dir)
+    total = closed.groupBy("period_start").agg(F.sum("demand_count").alias("demand_count"))
+    rows = closed.unionByName(total.withColumn("skill_name", F.lit(TOTAL_SERIES)))
+    value = F.col("demand_count").cast("double")
+    return rows.select(
+        F.concat_ws("@", "skill_name", "period_start").alias("id"),
+        "skill_name",
+        F.add_months("period_start", 84).alias("forecast_date"),
+        (value * 1.1).alias("predicted_demand"),
+        (value * 0.875).alias("confidence_lower"),
+        (value * 1.3125).alias("confidence_upper"),
+        F.lit("Projection").alias("model_version"),
+        F.lit("Global").alias("region"),
+    )
