@@ -46,14 +46,14 @@ def p17(spark, sf):
 
 
 SEARCH = """found AS (SELECT * FROM postings WHERE list_has_any(string_split(skills, ','), ['red', 'blue']) AND region IN ('ASIA', 'EUROPE')
-  AND industry IN ('BUILDING', 'MACHINERY') AND salary_min >= 1000 AND salary_max <= 80000 AND posted_date > TIMESTAMP '1998-01-01')"""
+  AND industry IN ('BUILDING', 'MACHINERY') AND salary_min >= 950 AND salary_max <= 80000 AND posted_date > TIMESTAMP '1998-01-01')"""
 
 
 def _found(spark, sf):
     p = tagged(spark, sf, "id", "title", "company", "region", "industry", "salary_min", "salary_max", "posted_date")
     return filters.advanced_search(
         p, skills=["red", "blue"], regions=["ASIA", "EUROPE"], industries=["BUILDING", "MACHINERY"],
-        salary_min=1000, salary_max=80000, posted_after="1998-01-01",
+        salary_min=950, salary_max=80000, posted_after="1998-01-01",
     )
 
 
@@ -127,9 +127,9 @@ def j09(spark, sf):
     "j10_related_skills",
     f"""WITH {POSTING_SKILLS}, t AS (SELECT unnest(['red', 'blue']) AS target), n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM postings),
         c AS (SELECT skill, CAST(count(*) AS DOUBLE) AS a FROM posting_skills GROUP BY 1),
-        b AS (SELECT target, skill, CAST(count(*) AS DOUBLE) AS both FROM posting_skills JOIN t ON list_contains(string_split(skills, ','), target) AND skill <> target GROUP BY 1, 2)
-        SELECT b.target, b.skill, CAST(both AS BIGINT) AS co_count, both / ct.a AS co_occurrence,
-               (n * both - c.a * ct.a) / sqrt(c.a * ct.a * (n - c.a) * (n - ct.a)) AS correlation
+        b AS (SELECT target, skill, CAST(count(*) AS DOUBLE) AS joint FROM posting_skills JOIN t ON list_contains(string_split(skills, ','), target) AND skill <> target GROUP BY 1, 2)
+        SELECT b.target, b.skill, CAST(joint AS BIGINT) AS co_count, joint / ct.a AS co_occurrence,
+               (n * joint - c.a * ct.a) / sqrt(c.a * ct.a * (n - c.a) * (n - ct.a)) AS correlation
         FROM b JOIN c ON b.skill = c.skill JOIN c ct ON ct.skill = b.target CROSS JOIN n""",
     doubles=("co_occurrence", "correlation"),
 )
@@ -193,7 +193,7 @@ def u04(spark, sf):
     f"""WITH {POSTINGS}, p AS (SELECT CAST(date_trunc('month', posted_date) AS DATE) AS period, count(*) AS n, {SALARY} AS avg_salary, count(DISTINCT source) AS source_count
           FROM postings WHERE list_contains(string_split(skills, ','), 'red') AND region = 'ASIA' GROUP BY 1)
         SELECT a.*, round(100.0 * (a.n - b.n) / b.n, 1) AS growth_rate FROM p a LEFT JOIN p b ON b.period = a.period - INTERVAL 1 MONTH""",
-    doubles=("avg_salary", "growth_rate"), places=1,
+    doubles=("avg_salary", "growth_rate"), places=4,
 )
 def a32(spark, sf):
     p = tagged(spark, sf, "posted_date", "region", "industry", "source", "salary_min", "salary_max")
@@ -215,7 +215,7 @@ def a32s(spark, sf):
     f"""WITH {POSTING_SKILLS}, r AS (SELECT skill, count(*) AS postings_count, {SALARY} AS avg_salary, {growth_sql(30)} AS growth_30d, {growth_sql(90)} AS growth_90d,
           row_number() OVER (ORDER BY count(*) DESC, skill) AS rank FROM posting_skills GROUP BY 1)
         SELECT *, round(postings_count * 100.0 / (SELECT count(*) FROM postings), 1) AS postings_pct FROM r WHERE rank > 2 AND rank <= 12""",
-    doubles=("avg_salary", "growth_30d", "growth_90d", "postings_pct"), longs=("rank",), places=1,
+    doubles=("avg_salary", "growth_30d", "growth_90d", "postings_pct"), longs=("rank",), places=4,
 )
 def a33(spark, sf):
     return analytics.skill_ranking(tagged(spark, sf, "posted_date", "salary_min", "salary_max"), AS_OF, 10, 2)
@@ -327,7 +327,7 @@ def a37(spark, sf):
           FROM posting_skills GROUP BY 1, 2, 3, 4)
         SELECT a.*, round(100.0 * (a.n - b.n) / b.n, 1) AS growth_rate FROM c a LEFT JOIN c b
           ON b.region = a.region AND b.skill = a.skill AND b.industry = a.industry AND b.period = a.period - INTERVAL 1 MONTH""",
-    doubles=("avg_salary", "growth_rate"), places=1,
+    doubles=("avg_salary", "growth_rate"), places=8,
 )
 def a38(spark, sf):
     return analytics.demand_cube(tagged(spark, sf, "posted_date", "region", "industry", "salary_min", "salary_max"))

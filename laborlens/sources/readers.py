@@ -69,10 +69,11 @@ def read_jdbc(
 def read_forecast_doc(spark: SparkSession, path: str) -> DataFrame:
     """A trend document as rows (kind, date, count, confidence_lower, confidence_upper)."""
     doc = spark.read.schema(TREND_DOCUMENT).json(path, multiLine=True)
-    points = F.concat(*[
-        F.transform(kind, lambda p, kind=kind: F.struct(F.lit(kind).alias("kind"), p.alias("p")))
-        for kind in ("historical", "predicted")
-    ])
+
+    def tagged(kind: str):
+        return F.transform(kind, lambda p: F.struct(F.lit(kind).alias("kind"), p.alias("p")))
+
+    points = F.concat(tagged("historical"), tagged("predicted"))
     return doc.select(F.explode(points).alias("e")).select(
         "e.kind",
         F.to_date("e.p.date").alias("date"),

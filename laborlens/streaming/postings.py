@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..functions import dates, values
+from ..functions import dates
 from ..schemas import MONEY, POSTING_MESSAGE_FIELDS
 from ..sources.sinks import append_table
 
@@ -36,56 +36,56 @@ def file_ingest(
     return reader.load(path)
 
 
+# Each message is parsed twice: as a struct, where isRemote accepts the JSON value true
+# only and never the text "true", and as a map, which tells a missing key from a null.
+KINDS = {"isRemote": "BOOLEAN", "skills": "ARRAY<STRING>"}
+MESSAGE = ", ".join(f"{name} {KINDS.get(name, 'STRING')}" for name in POSTING_MESSAGE_FIELDS)
+
+
 def parse_postings(messages: DataFrame) -> DataFrame:
     """Typed posting columns next to the message and a ``reject_reason`` (NULL when valid).
 
-    Works on a batch or a stream with a text column ``value``. The message is read
-    once as a map of raw JSON tokens, because the rules depend on the token: a
-    missing currency becomes USD while an explicit null stays NULL, and only the
-    JSON value true makes a posting remote.
+    Works on a batch or a stream with a text column ``value``. A missing currency
+    becomes USD while an explicit null stays NULL; salaries may be numbers or text;
+    the date must be exactly ``yyyy-MM-dd``.
     """
-    # get_json_object keeps the token kind; the map keeps which keys are present
-    field = {
-        name: F.get_json_object("value", f"$.{name}") for name in POSTING_MESSAGE_FIELDS
-    }
-    keys = F.json_object_keys("value")
-    present = F.from_json("value", "map<string,string>")
-    has_currency = F.coalesce(F.map_contains_key(present, F.lit("salaryCurrency")), F.lit(False))
-    # a struct with a BOOLEAN field reads the JSON token true only, never the text "true"
-    typed = F.from_json("value", "isRemote BOOLEAN, skills ARRAY<STRING>")
-    posted = dates.parse_date(field["postedDate"], "iso_date")
-
-    def money(name: str) -> Column:
-        return field[name].try_cast("double").cast(MONEY)
-
-    def broken(name: str, parsed: Column) -> Column:
-        return field[name].isNotNull() & parsed.isNull()
+    both = F.struct(
+        F.from_json("value", MESSAGE).alias("_m"), F.from_json("value", "map<string,string>").alias("_raw")
+    )
+    # as a plain projection the optimizer would parse the message again for every field
+    parsed = messages.select("*", F.inline(F.array(both)))
+    m, raw = F.col("_m"), F.col("_raw")
+    low, high = (m[name].try_cast("double").cast(MONEY) for name in ("salaryMin", "salaryMax"))
+    posted = dates.parse_date(m["postedDate"], "iso_date")
+
+    def broken(name: str, value: Column) -> Column:
+        return F.try_element_at(raw, F.lit(name)).isNotNull() & value.isNull()
 
     reason = (
-        F.when(keys.isNull(), "malformed")
-        .when(broken("salaryMin", field["salaryMin"].try_cast("double")), "salaryMin")
-        .when(broken("salaryMax", field["salaryMax"].try_cast("double")), "salaryMax")
+        F.when(raw.isNull(), "malformed")
+        .when(broken("salaryMin", low), "salaryMin")
+        .when(broken("salaryMax", high), "salaryMax")
         .when(broken("postedDate", posted), "postedDate")
-        .when(broken("skills", typed["skills"]), "skills")
-        .when(field["title"].isNull(), "title")
+        .when(broken("skills", m["skills"]), "skills")
+        .when(m["title"].isNull(), "title")
     )
-    return messages.select(
-        "*",
-        field["jobId"].alias("job_id"),
-        field["title"].alias("title"),
-        field["company"].alias("company"),
-        field["location"].alias("location"),
-        money("salaryMin").alias("salary_min"),
-        money("salaryMax").alias("salary_max"),
-        F.when(has_currency, field["salaryCurrency"]).otherwise("USD").alias("salary_currency"),
-        field["source"].alias("source"),
-        field["sourceId"].alias("source_id"),
+    return parsed.select(
+        *messages.columns,
+        m["jobId"].alias("job_id"),
+        m["title"].alias("title"),
+        m["company"].alias("company"),
+        m["location"].alias("location"),
+        low.alias("salary_min"),
+        high.alias("salary_max"),
+        F.when(F.map_contains_key(raw, F.lit("salaryCurrency")), m["salaryCurrency"]).otherwise("USD").alias("salary_currency"),
+        m["source"].alias("source"),
+        m["sourceId"].alias("source_id"),
         posted.alias("posted_date"),
-        field["jobType"].alias("job_type"),
-        field["experienceLevel"].alias("experience_level"),
-        field["industry"].alias("industry"),
-        F.coalesce(typed["isRemote"], F.lit(False)).alias("is_remote"),
-        F.when(F.size(typed["skills"]) > 0, F.array_join(typed["skills"], ",")).alias("skills"),
+        m["jobType"].alias("job_type"),
+        m["experienceLevel"].alias("experience_level"),
+        m["industry"].alias("industry"),
+        F.coalesce(m["isRemote"], F.lit(False)).alias("is_remote"),
+        F.when(F.size(m["skills"]) > 0, F.array_join(m["skills"], ",")).alias("skills"),
         reason.alias("reject_reason"),
     )
 
