@@ -50,10 +50,8 @@ def top_by_count(df: DataFrame, column: str, n: int = 10) -> DataFrame:
 
 def listing_skill_counts(df: DataFrame, skills: str = "skills") -> DataFrame:
     """Count per token of the comma list; empty tokens are kept as ''."""
-    tokens = df.filter(filters.non_blank(skills, trim=False)).select(
-        F.explode(F.transform(F.split(skills, ","), F.trim)).alias("name")
-    )
-    return tokens.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    tokens = df.filter(filters.non_blank(skills, trim=False)).select(F.explode(F.split(skills, ",")).alias("token"))
+    return tokens.groupBy(F.trim("token").alias("name")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_skills_from_listings(df: DataFrame, n: int = 20, skills: str = "skills") -> DataFrame:

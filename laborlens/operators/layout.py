@@ -1,0 +1,18 @@
+"""Task layout for CPU-bound steps."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Enough tasks for a CPU-bound step when the input arrives in very few splits.
+
+    A file with one huge row group is read by one task. Only when the input has
+    fewer than half as many splits as the cluster has cores are its rows dealt out
+    by key; an input with many splits is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores, *keys)

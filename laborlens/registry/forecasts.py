@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vocab import TOTAL_SERIES
 from ..operators import joins
+from ..operators.layout import spread
 from ..plans import domain, etl, evaluate, forecast, ml
 from ..plans.regression import Series, cross_validate
 from .core import CLOSED, FORECASTS, REGIONAL, VOLUME, query
@@ -250,14 +251,14 @@ def m18(spark, sf):
 
 @query("m19_posting_quality_score")
 def m19(spark, sf):
-    docs, labels = domain.table(spark, sf, "documents"), domain.table(spark, sf, "labels")
+    docs, labels = spread(domain.table(spark, sf, "documents"), "doc_id"), domain.table(spark, sf, "labels")
     labelled = docs.join(labels, "doc_id").withColumn("label", 1 - F.col("quality"))
     return ml.posting_quality_score(docs, ml.fit_quality_model(labelled), ["doc_id"])
 
 
 @query("m20_classify_text")
 def m20(spark, sf):
-    docs = domain.table(spark, sf, "documents")
+    docs = spread(domain.table(spark, sf, "documents"), "doc_id")
     model = ml.fit_text_classifier(docs, "text", "lang", 1 << 12)
     return ml.classify_text(docs, model, ["doc_id"])
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.layout import spread
 from ..plans import domain
 from ..session import scratch_path
 from ..streaming import live, postings as messages
@@ -26,7 +27,9 @@ def message_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as posting messages in JSON, some of them broken on purpose."""
     schema = domain.table(spark, sf, "lineitem").schema
     stream = messages.file_ingest(spark, sf, schema, "parquet", pathGlobFilter="lineitem.parquet")
-    return stream.select(message_json().alias("value"))
+    # the table is one file and hence one task; a topic has as many tasks as partitions
+    dealt = stream.repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
+    return dealt.select(message_json().alias("value"))
 
 
 def message_json():
@@ -100,7 +103,7 @@ def t01(spark, sf):
     doubles=("salary_min",),
 )
 def p14(spark, sf):
-    batch = domain.table(spark, sf, "lineitem").select(message_json().alias("value"))
+    batch = spread(domain.table(spark, sf, "lineitem"), "l_orderkey").select(message_json().alias("value"))
     return _parsed_columns(messages.valid_postings(messages.parse_postings(batch)))
 
 

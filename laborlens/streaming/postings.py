@@ -14,14 +14,23 @@ from ..sources.sinks import append_table
 TOPIC = "job-postings"
 
 
-def read_posting_stream(spark: SparkSession, servers: str, topic: str = TOPIC) -> DataFrame:
-    """The posting topic from its earliest offset as text messages (needs the Kafka connector)."""
-    return (
+def read_posting_stream(
+    spark: SparkSession, servers: str, topic: str = TOPIC, min_partitions: int | None = None
+) -> DataFrame:
+    """The posting topic from its earliest offset as text messages (needs the Kafka connector).
+
+    ``min_partitions`` splits large topic partitions over more tasks.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .load()
+    )
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
+    return (
+        reader.load()
         .select(F.col("value").cast("string").alias("value"), "timestamp")
     )
 
