@@ -29,8 +29,17 @@ def mid_salary(low: str = "salary_min", high: str = "salary_max") -> Column:
     return (F.col(low) + F.col(high)) / 2
 
 
+def mean_salary(low: str = "salary_min", high: str = "salary_max") -> Column:
+    """Aggregate: mean of the range middles.
+
+    The sum is exact (decimal), and halving and dividing happen once per group.
+    """
+    both = F.col(low) + F.col(high)
+    return F.sum(both).cast("double") / 2 / F.count(both)
+
+
 def avg_salary_value() -> Column:
-    return F.coalesce(F.round(F.avg(mid_salary()).cast("double"), 2), F.lit(0.0))
+    return F.coalesce(F.round(mean_salary(), 2), F.lit(0.0))
 
 
 def avg_salary(df: DataFrame) -> DataFrame:

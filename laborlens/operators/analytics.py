@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from ..functions import dates
 from ..functions.values import pct_change
-from .aggregates import mid_salary
+from .aggregates import mean_salary, mid_salary
 from .quantiles import exact_percentiles
 
 
@@ -22,10 +22,6 @@ def _count() -> Column:
     return F.count(F.lit(1))
 
 
-def _avg_salary() -> Column:
-    return F.avg(mid_salary()).cast("double")
-
-
 def _as_of(value) -> Column:
     return F.lit(value).cast("date")
 
@@ -72,7 +68,7 @@ def demand_trends(postings: DataFrame, grain: str = "day", skill: str | None = N
         if value is not None:
             rows = rows.filter(F.col(column) == value)
     per_period = rows.groupBy(dates.period_start("posted_date", grain).alias("period")).agg(
-        _count().alias("n"), _avg_salary().alias("avg_salary"), F.count_distinct("source").alias("source_count")
+        _count().alias("n"), mean_salary().alias("avg_salary"), F.count_distinct("source").alias("source_count")
     )
     # one row per period: the unpartitioned window is bounded by the calendar
     before = _lagged("n", "period", grain).cast("double")
@@ -83,7 +79,7 @@ def trend_summary(postings: DataFrame, as_of) -> DataFrame:
     """Total, mean salary, 90-day growth and its direction, as one row."""
     day = _as_of(as_of)
     return postings.agg(
-        _count().alias("total_postings"), _avg_salary().alias("avg_salary"), growth_value(day, 90).alias("growth_90d")
+        _count().alias("total_postings"), mean_salary().alias("avg_salary"), growth_value(day, 90).alias("growth_90d")
     ).withColumn("trend_direction", direction(F.col("growth_90d")))
 
 
@@ -97,7 +93,7 @@ def skill_ranking(postings: DataFrame, as_of, limit: int = 20, offset: int = 0)
         .groupBy("skill")
         .agg(
             _count().alias("postings_count"),
-            _avg_salary().alias("avg_salary"),
+            mean_salary().alias("avg_salary"),
             growth_value(day, 30).alias("growth_30d"),
             growth_value(day, 90).alias("growth_90d"),
         )
@@ -135,10 +131,10 @@ def skill_breakdown(postings: DataFrame, skill: str, column: str) -> DataFrame:
     The premium is the mean salary of the group over that of the whole skill.
     """
     rows = postings.filter(F.array_contains("skills", skill))
-    whole = rows.agg(F.struct(_count().alias("n"), _avg_salary().alias("salary"))).scalar()
+    whole = rows.agg(F.struct(_count().alias("n"), mean_salary().alias("salary"))).scalar()
     return (
         rows.groupBy(column)
-        .agg(_count().alias("postings"), _avg_salary().alias("avg_salary"))
+        .agg(_count().alias("postings"), mean_salary().alias("avg_salary"))
         .withColumn("postings_pct", F.col("postings") / whole["n"] * 100)
         .withColumn("salary_premium", F.try_divide("avg_salary", whole["salary"]))
     )
@@ -167,7 +163,7 @@ def location_summary(postings: DataFrame, as_of, k: int = 3) -> DataFrame:
     base = postings.groupBy("location").agg(
         F.min("region").alias("region"),
         _count().alias("postings_count"),
-        _avg_salary().alias("avg_salary"),
+        mean_salary().alias("avg_salary"),
         growth_value(day, 90).alias("growth_90d"),
     )
     industries = postings.groupBy("location", "industry").agg(_count().alias("n"))
@@ -199,7 +195,7 @@ def company_profile(postings: DataFrame, company: str, k: int = 10) -> DataFrame
 
     def section(name: str, counted: DataFrame, column: str, limit: int | None) -> DataFrame:
         grouped = counted.groupBy(F.col(column).alias("name")).agg(
-            _count().alias("n"), _avg_salary().alias("avg_salary")
+            _count().alias("n"), mean_salary().alias("avg_salary")
         )
         if limit:
             grouped = grouped.orderBy(F.desc("n"), "name").limit(limit)
@@ -225,7 +221,7 @@ def company_ranking(
     order = [F.desc("postings"), F.asc("company")]
     return (
         rows.groupBy("company")
-        .agg(_count().alias("postings"), _avg_salary().alias("avg_salary"), growth_value(day, days).alias("hiring_growth"))
+        .agg(_count().alias("postings"), mean_salary().alias("avg_salary"), growth_value(day, days).alias("hiring_growth"))
         .orderBy(*order)
         .limit(limit)
         .withColumn("rank", F.row_number().over(W.orderBy(*order)))
@@ -242,7 +238,7 @@ def analytics_summary(postings: DataFrame, as_of, k: int = 5) -> DataFrame:
         _count().cast("double").alias("total_postings"),
         F.count_if(_within(day, 0, 1)).cast("double").alias("new_postings_today"),
         growth_value(day, 30).alias("postings_growth_30d"),
-        _avg_salary().alias("avg_salary"),
+        mean_salary().alias("avg_salary"),
     ).withColumns({"unique_skills": skill_names.cast("double"), "unique_companies": companies.cast("double")})
     headline = totals.unpivot([], names, "name", "value").select(F.lit("totals").alias("section"), "name", "value")
     trending = (
@@ -272,7 +268,7 @@ def demand_cube(postings: DataFrame, grain: str = "month") -> DataFrame:
     cells = (
         exploded(postings, "posted_date", "region", "industry", "salary_min", "salary_max")
         .groupBy(dates.period_start("posted_date", grain).alias("period"), *CUBE_KEYS)
-        .agg(_count().alias("n"), _avg_salary().alias("avg_salary"))
+        .agg(_count().alias("n"), mean_salary().alias("avg_salary"))
     )
     before = _lagged("n", "period", grain, CUBE_KEYS).cast("double")
     return cells.withColumn("growth_rate", pct_change(F.col("n").cast("double"), before))
@@ -303,7 +299,7 @@ def salary_trend(postings: DataFrame, by: str, grain: str = "month") -> DataFram
     return (
         postings.filter(mid_salary().isNotNull())
         .groupBy(dates.period_start("posted_date", grain).alias("period"), by)
-        .agg(_avg_salary().alias("avg_salary"), _count().alias("n"))
+        .agg(mean_salary().alias("avg_salary"), _count().alias("n"))
     )
 
 
@@ -312,7 +308,7 @@ def salary_demand_corr(postings: DataFrame) -> DataFrame:
     monthly = (
         exploded(postings, "posted_date", "salary_min", "salary_max")
         .groupBy("skill", dates.month_start("posted_date").alias("month"))
-        .agg(_count().cast("double").alias("n"), _avg_salary().alias("avg_salary"))
+        .agg(_count().cast("double").alias("n"), mean_salary().alias("avg_salary"))
     )
     return monthly.groupBy("skill").agg(
         F.corr("avg_salary", "n").alias("correlation"), F.count("avg_salary").alias("months")

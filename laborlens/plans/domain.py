@@ -12,6 +12,7 @@ from ..functions import dates
 from ..functions.vocab import TOTAL_SERIES
 from ..operators import aggregates
 from ..schemas import MONEY
+from .tables import materialize
 
 # column -> (table it comes from, expression)
 POSTING_COLUMNS = {
@@ -88,6 +89,11 @@ def closed_skill_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return demand.filter(F.col("period_start") < F.trunc(last.cast("date"), "month"))
 
 
+def demand_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``closed_skill_demand`` as a written table, for plans that read it more than once."""
+    return materialize(closed_skill_demand(spark, sf_dir), "skill-demand")
+
+
 def regional_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly postings per brand and supplier nation; some months of a series are empty."""
     items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate")

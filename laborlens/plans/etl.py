@@ -10,6 +10,7 @@ from ..functions import dates, text
 from ..functions.vocab import DESCRIPTION_SKILLS, POSTING_SKILLS, SPIKE_MONTHS, TOTAL_SERIES
 from ..operators import aggregates, joins, projections, sampling, setops
 from . import forecast
+from .tables import materialize
 
 
 def posting_demand(
@@ -79,7 +80,11 @@ def forecast_table(
     demand: DataFrame, start: str | Column, end: str | Column, spike_months: Sequence[str] = SPIKE_MONTHS,
     region: str = "Global",
 ) -> DataFrame:
-    """The stored forecast table: linear model, capped to five times the historical maximum."""
+    """The stored forecast table: linear model, capped to five times the historical maximum.
+
+    The demand table is written first, as the fit, its time origin and the cap all read it.
+    """
+    demand = materialize(demand, "skill-demand")
     predicted = forecast.linreg_forecast(demand, start, end, spike_months)
     capped = joins.cap_to_history(predicted, demand)
     return capped.withColumn("region", F.lit(region))

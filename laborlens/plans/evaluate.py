@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .forecast import linreg_forecast
 from .regression import Series
+from .tables import materialize
 
 
 def forecast_sanity(df: DataFrame, n: int = 10, key: str = "skill_name") -> DataFrame:
@@ -83,6 +84,7 @@ def region_forecast(
     chosen = df.filter(F.col("skill_name").isin(list(skills))) if skills else df
     if region is not None:
         chosen = chosen.filter(F.col("region") == region)
+    chosen = materialize(chosen, "regional-demand")
     months = -(-horizon_days // 30)
     first = start.cast("date") if isinstance(start, Column) else F.lit(start).cast("date")
     predicted = linreg_forecast(

@@ -17,7 +17,7 @@ from ..functions import dates
 from ..functions.values import clip, safe_ratio
 from ..functions.vocab import FORECAST_END, FORECAST_START, SPIKE_MONTHS
 from ..operators import filters, joins, windows
-from .regression import FEATURES, Series, fitted, ols_solution, ols_statistics, season_features, season_values
+from .regression import FEATURES, Series, fitted, ols_statistics, season_features, season_values, solve_ols
 
 Z95 = 1.96
 HORIZON = 32
@@ -116,11 +116,9 @@ def linreg_fits(
         F.count(F.lit(1)).alias("n_clean"),
         F.avg(F.when(F.col("_recent"), F.col("_y"))).alias("recent_mean"),
         F.collect_list(point).alias("_points"),
-        *[c.alias(n) for n, c in ols_statistics(FEATURES, F.col("_y")).items()],
-    )
-    solved = sums.select(
-        *keys, "n_clean", "recent_mean", "_points", *[c.alias(n) for n, c in ols_solution().items()]
+        *ols_statistics(FEATURES, "_y"),
     )
+    solved = solve_ols(sums)
     estimate = lambda p: fitted([p[f] for f in FEATURES])
     at_recent = _mean(F.transform(F.filter("_points", lambda p: p["_recent"]), estimate))
     residuals = F.transform("_points", lambda p: p["_y"] - estimate(p))
@@ -399,10 +397,9 @@ def seasonal_ar(
     )
     lags = ("l1", "l12", "l13")
     sums = rows.groupBy(*keys).agg(
-        F.collect_list(F.struct("w", *lags)).alias("_rows"),
-        *[c.alias(n) for n, c in ols_statistics(lags, F.col("w")).items()],
+        F.collect_list(F.struct("w", *lags)).alias("_rows"), *ols_statistics(lags, "w")
     )
-    fits = sums.select(*keys, "_rows", *[c.alias(n) for n, c in ols_solution(lags).items()])
+    fits = solve_ols(sums, lags)
     errors = F.transform("_rows", lambda r: r["w"] - fitted([r[c] for c in lags], lags))
     solved = fits.withColumn("sigma", F.sqrt(_mean(F.transform(errors, lambda e: e * e)))).drop("_rows")
 

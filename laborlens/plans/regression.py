@@ -7,6 +7,7 @@ and the 3×3 system is solved by column expressions on one row per series.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -33,66 +34,62 @@ def season_features(df: DataFrame, date_col: str, origin: Column | None = None)
     return df.withColumns(season_values(F.col(date_col), start))
 
 
-def ols_statistics(features: Sequence[str], label: Column, where: Column | None = None) -> dict[str, Column]:
-    """Aggregates that determine a least-squares fit with intercept on three features."""
+def ols_statistics(features: Sequence[str], label: str, where: str | None = None) -> list[Column]:
+    """Aggregates that determine a least-squares fit with intercept on three features.
+
+    ``where`` names a boolean column; rows where it does not hold are left out.
+    """
+
+    def kept(name: str) -> str:
+        value = f"cast({name} as double)"
+        return value if where is None else f"if({where}, {value}, null)"
+
+    xs, y = [kept(f) for f in features], kept(label)
+    stats = [f"avg({x}) as _m{i}" for i, x in enumerate(xs)] + [f"avg({y}) as _my"]
+    stats += [f"covar_pop({x}, {y}) as _b{i}" for i, x in enumerate(xs)]
+    stats += [f"covar_pop({xs[i]}, {xs[j]}) as _a{i}{j}" for i in range(3) for j in range(i, 3)]
+    return [F.expr(s) for s in stats]
 
-    def kept(value: Column) -> Column:
-        return value if where is None else F.when(where, value)
 
-    xs = [kept(F.col(f).cast("double")) for f in features]
-    y = kept(label.cast("double"))
-    stats = {f"_m{i}": F.avg(x) for i, x in enumerate(xs)}
-    stats["_my"] = F.avg(y)
-    for i, x in enumerate(xs):
-        stats[f"_b{i}"] = F.covar_pop(x, y)
-        for j in range(i, len(xs)):
-            stats[f"_a{i}{j}"] = F.covar_pop(x, xs[j])
-    return stats
+def _determinant(m: Sequence[Sequence[str]]) -> str:
+    (a, b, c), (d, e, f), (g, h, i) = m
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
 
 
-def ols_solution(features: Sequence[str] = FEATURES) -> dict[str, Column]:
-    """Intercept and three slopes from ``ols_statistics``; the minimum-norm fit when singular.
+def solve_ols(sums: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """Replace ``ols_statistics`` by intercept and three slopes; the minimum-norm fit when singular.
 
     Full rank: Cramer's rule. With fewer independent directions the pseudo-inverse
     of the symmetric covariance matrix A follows from its characteristic polynomial:
     with trace p and sum of principal 2×2 minors q, rank 2 gives
     ((p² − q)·A·b − p·A²·b) / q², and rank 1 gives A·b / p².
     """
-
-    def a(i: int, j: int) -> Column:
-        return F.col(f"_a{min(i, j)}{max(i, j)}")
-
-    b = [F.col(f"_b{i}") for i in range(3)]
-
-    def minor(i: int, j: int) -> Column:
-        return a(i, i) * a(j, j) - a(i, j) * a(i, j)
-
-    def determinant(m) -> Column:
-        return (
-            m[0][0] * (m[1][1] * m[2][2] - m[1][2] * m[2][1])
-            - m[0][1] * (m[1][0] * m[2][2] - m[1][2] * m[2][0])
-            + m[0][2] * (m[1][0] * m[2][1] - m[1][1] * m[2][0])
-        )
-
-    matrix = [[a(i, j) for j in range(3)] for i in range(3)]
-    det = determinant(matrix)
-    p = a(0, 0) + a(1, 1) + a(2, 2)
-    q = minor(0, 1) + minor(0, 2) + minor(1, 2)
-    ab = [sum((a(i, j) * b[j] for j in range(1, 3)), a(i, 0) * b[0]) for i in range(3)]
-    aab = [sum((a(i, j) * ab[j] for j in range(1, 3)), a(i, 0) * ab[0]) for i in range(3)]
-
-    full = det > SINGULAR * p * q
-    two = q > SINGULAR * p * p
-    slopes = []
-    for k in range(3):
-        replaced = [[b[i] if j == k else matrix[i][j] for j in range(3)] for i in range(3)]
-        slopes.append(
-            F.when(full, F.try_divide(determinant(replaced), det))
-            .when(two, F.try_divide((p * p - q) * ab[k] - p * aab[k], q * q))
-            .otherwise(F.coalesce(F.try_divide(ab[k], p * p), F.lit(0.0)))
-        )
-    intercept = F.col("_my") - sum((slopes[i] * F.col(f"_m{i}") for i in range(1, 3)), slopes[0] * F.col("_m0"))
-    return {"intercept": intercept, **{f"coef_{f}": s for f, s in zip(features, slopes)}}
+    three = range(3)
+    a = [[f"_a{min(i, j)}{max(i, j)}" for j in three] for i in three]
+    swapped = [[[f"_b{i}" if j == k else a[i][j] for j in three] for i in three] for k in three]
+
+    def product(row: Sequence[str], vector: str) -> str:
+        return " + ".join(f"{row[j]} * {vector}{j}" for j in three)
+
+    given = [c for c in sums.columns if not re.fullmatch(r"_(m[012y]|b[012]|a[012]{2})", c)]
+    minors = [f"({a[i][i]} * {a[j][j]} - {a[i][j]} * {a[i][j]})" for i, j in ((0, 1), (0, 2), (1, 2))]
+    first = sums.selectExpr(
+        "*",
+        "_a00 + _a11 + _a22 as _p",
+        f"{' + '.join(minors)} as _q",
+        f"{_determinant(a)} as _det",
+        *[f"{_determinant(swapped[k])} as _det{k}" for k in three],
+        *[f"{product(a[k], '_b')} as _ab{k}" for k in three],
+    )
+    second = first.selectExpr("*", *[f"{product(a[k], '_ab')} as _aab{k}" for k in three])
+    slopes = second.selectExpr("*", *[
+        f"""case when _det > {SINGULAR} * _p * _q then _det{k} / _det
+                 when _q > {SINGULAR} * _p * _p then ((_p * _p - _q) * _ab{k} - _p * _aab{k}) / (_q * _q)
+                 else coalesce(try_divide(_ab{k}, _p * _p), 0D) end as coef_{features[k]}"""
+        for k in three
+    ])
+    intercept = "_my - " + " - ".join(f"coef_{features[k]} * _m{k}" for k in three)
+    return slopes.selectExpr(*given, f"{intercept} as intercept", *[f"coef_{f}" for f in features])
 
 
 def fitted(features: Sequence[Column], names: Sequence[str] = FEATURES) -> Column:
@@ -108,11 +105,8 @@ def grouped_ols(
 ) -> DataFrame:
     """One row of coefficients per key: intercept and a slope for each of three features."""
     keys = [key] if isinstance(key, str) else list(key)
-    sums = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[c.alias(n) for n, c in ols_statistics(features, F.col(label)).items()],
-    )
-    return sums.select(*keys, "n", *[c.alias(n) for n, c in ols_solution(features).items()])
+    sums = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *ols_statistics(features, label))
+    return solve_ols(sums, features)
 
 
 @dataclass(frozen=True)
@@ -133,19 +127,18 @@ def cross_validate(df: DataFrame, series: Series = Series(), k: int = 3, origin:
     """
     featured = season_features(df, series.date, origin)
     folds = time_series_folds(featured, k, series.keys, series.date)
-    train = ~F.col("is_test")
     test_point = F.struct(*FEATURES, F.col(series.value).cast("double").alias("y"))
     fits = (
-        folds.groupBy(*series.keys, "fold")
+        folds.withColumn("_train", ~F.col("is_test"))
+        .groupBy(*series.keys, "fold")
         .agg(
-            F.count_if(train).alias("_train"),
+            F.count_if("_train").alias("_size"),
             F.collect_list(F.when(F.col("is_test"), test_point)).alias("_test"),
-            *[c.alias(n) for n, c in ols_statistics(FEATURES, F.col(series.value), train).items()],
+            *ols_statistics(FEATURES, series.value, "_train"),
         )
-        .filter(F.col("_train") >= 2)
-        .select(*series.keys, "fold", "_test", *[c.alias(n) for n, c in ols_solution().items()])
+        .filter(F.col("_size") >= 2)
     )
-    scored = fits.withColumn(
+    scored = solve_ols(fits).withColumn(
         "_scored",
         F.transform("_test", lambda p: F.struct(p["y"].alias("y"), fitted([p[f] for f in FEATURES]).alias("yhat"))),
     )

@@ -49,7 +49,7 @@ def linreg_sql(source: str, keys: str, spikes: str = SPIKES_SQL, z: str = "1.96"
     doubles=BOUNDS, places=4,
 )
 def m04(spark, sf):
-    return forecast.linreg_forecast(domain.closed_skill_demand(spark, sf), START, END, SPIKES)
+    return forecast.linreg_forecast(domain.demand_table(spark, sf), START, END, SPIKES)
 
 
 @query(
@@ -134,7 +134,7 @@ def m10(spark, sf):
 
 @query("m11_lag_regression")
 def m11(spark, sf):
-    return forecast.lag_regression(domain.closed_skill_demand(spark, sf))
+    return forecast.lag_regression(domain.demand_table(spark, sf))
 
 
 @query("m12_growth_blend")
@@ -246,7 +246,7 @@ def m17(spark, sf):
 
 @query("m18_trend_clusters")
 def m18(spark, sf):
-    return ml.trend_clusters(domain.closed_skill_demand(spark, sf), k=5)
+    return ml.trend_clusters(domain.demand_table(spark, sf), k=5)
 
 
 @query("m19_posting_quality_score")
@@ -268,7 +268,7 @@ BACKTEST = f"""{CLOSED}, past AS (SELECT * FROM closed WHERE period_start < DATE
 
 
 def _backtest(spark, sf):
-    closed = domain.closed_skill_demand(spark, sf)
+    closed = domain.demand_table(spark, sf)
     past = closed.filter(F.col("period_start") < F.lit("2001-01-01").cast("date"))
     return past, closed, forecast.linreg_forecast(past, "2001-01-01", "2001-10-01", SPIKES)
 
@@ -310,7 +310,7 @@ def m22v(spark, sf):
     f"""WITH {BACKTEST}, e AS (SELECT l.skill_name, predicted_demand - demand_count AS r, demand_count BETWEEN confidence_lower AND confidence_upper AS hit
           FROM linreg l JOIN closed c ON l.skill_name = c.skill_name AND l.forecast_date = c.period_start)
         SELECT skill_name, count(*) AS n, sqrt(avg(r * r)) AS rmse, avg(abs(r)) AS mae, avg(r) AS bias, avg(CASE WHEN hit THEN 1.0 ELSE 0 END) AS coverage FROM e GROUP BY 1""",
-    doubles=("rmse", "mae", "bias", "coverage"), places=3,
+    doubles=("rmse", "mae", "bias", "coverage"),
 )
 def m23(spark, sf):
     _, closed, linear = _backtest(spark, sf)

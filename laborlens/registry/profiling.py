@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..operators import aggregates, profile
 from ..plans import domain
+from ..plans.tables import materialize
 from .core import CLOSED, DEMAND, POSTINGS, REGIONAL, VOLUME, query
 from .relational import SPIKES, SPIKES_SQL
 
@@ -23,7 +24,8 @@ numbered AS (
 def sparse_demand(spark, sf):
     """Demand per brand and nation under one key; many months are missing."""
     df = domain.regional_demand(spark, sf)
-    return df.select(F.concat_ws("/", "skill_name", "region").alias("skill_name"), "period_start", "demand_count")
+    keyed = F.concat_ws("/", "skill_name", "region").alias("skill_name")
+    return materialize(df.select(keyed, "period_start", "demand_count"), "sparse-demand")
 
 
 @query(

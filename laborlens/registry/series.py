@@ -260,7 +260,7 @@ M03_FOLDS = FOLDS.format(src="season").replace("demand_count, fold", "demand_cou
     doubles=("rmse", "mae", "r2"),
 )
 def m03(spark, sf):
-    return reg.cross_validate(domain.closed_skill_demand(spark, sf))
+    return reg.cross_validate(domain.demand_table(spark, sf))
 
 
 @query(
