@@ -309,12 +309,13 @@ def holt_winters(
     y = F.col("y")
     first = _mean(F.slice(y, 1, season))
     second = _mean(F.slice(y, season + 1, season))
+    slope = F.when(seasonal, (second - first) / season).otherwise(F.try_element_at(y, F.lit(2)) - F.element_at(y, 1))
+    # the line at month 0: the first season is centred half a season after it
+    line = F.when(seasonal, first - slope * ((season + 1) / 2)).otherwise(F.element_at(y, 1) - slope)
     start = F.struct(
-        F.when(seasonal, first).otherwise(F.element_at(y, 1)).alias("level"),
-        F.when(seasonal, (second - first) / season)
-        .otherwise(F.try_element_at(y, F.lit(2)) - F.element_at(y, 1))
-        .alias("trend"),
-        F.when(seasonal, F.transform(F.slice(y, 1, season), lambda v: v - first))
+        line.alias("level"),
+        slope.alias("trend"),
+        F.when(seasonal, F.transform(F.slice(y, 1, season), lambda v, i: v - (line + slope * (i + 1))))
         .otherwise(F.array_repeat(F.lit(0.0), season))
         .alias("season"),
         F.lit(0.0).alias("sum_r"),

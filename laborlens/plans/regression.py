@@ -83,7 +83,7 @@ def solve_ols(sums: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     )
     second = first.selectExpr("*", *[f"{product(a[k], '_ab')} as _aab{k}" for k in three])
     slopes = second.selectExpr("*", *[
-        f"""case when _det > {SINGULAR} * _p * _q then _det{k} / _det
+        f"""case when _q > {SINGULAR} * _p * _p and _det > {SINGULAR} * _p * _q then _det{k} / _det
                  when _q > {SINGULAR} * _p * _p then ((_p * _p - _q) * _ab{k} - _p * _aab{k}) / (_q * _q)
                  else coalesce(try_divide(_ab{k}, _p * _p), 0D) end as coef_{features[k]}"""
         for k in three
