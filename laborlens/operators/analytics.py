@@ -157,20 +157,34 @@ def top_within(counts: DataFrame, group: str, name: str, k: int, value: str = "n
 
 
 def location_summary(postings: DataFrame, as_of, k: int = 3) -> DataFrame:
-    """Postings, share, mean salary, 90-day growth and top industries and skills per location."""
+    """Postings, share, mean salary, 90-day growth and top industries and skills per location.
+
+    One pass counts (location, industry) cells, from which both the totals and the
+    industry lists follow; a second pass counts the skills.
+    """
     day = _as_of(as_of)
-    total = postings.agg(_count()).scalar()
-    base = postings.groupBy("location").agg(
+    both = F.col("salary_min") + F.col("salary_max")
+    cells = postings.groupBy("location", "industry").agg(
         F.min("region").alias("region"),
-        _count().alias("postings_count"),
-        mean_salary().alias("avg_salary"),
-        growth_value(day, 90).alias("growth_90d"),
+        _count().alias("n"),
+        F.sum(both).alias("salaries"),
+        F.count(both).alias("paid"),
+        F.count_if(_within(day, 0, 90)).alias("recent"),
+        F.count_if(_within(day, 90, 180)).alias("before"),
+    )
+    base = cells.groupBy("location").agg(
+        F.min("region").alias("region"),
+        F.sum("n").alias("postings_count"),
+        F.try_divide(F.sum("salaries").cast("double") / 2, F.sum("paid")).alias("avg_salary"),
+        pct_change(F.sum("recent").cast("double"), F.sum("before").cast("double")).alias("growth_90d"),
     )
-    industries = postings.groupBy("location", "industry").agg(_count().alias("n"))
     skills = exploded(postings, "location").groupBy("location", "skill").agg(_count().alias("n"))
+    # one row per location: the unpartitioned window adds up a small table
+    total = F.sum("postings_count").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    industries = top_within(cells.select("location", "industry", "n"), "location", "industry", k)
     return (
         base.withColumn("postings_pct", F.col("postings_count") / total * 100)
-        .join(top_within(industries, "location", "industry", k).withColumnRenamed("top", "top_industries"), "location", "left")
+        .join(industries.withColumnRenamed("top", "top_industries"), "location", "left")
         .join(top_within(skills, "location", "skill", k).withColumnRenamed("top", "top_skills"), "location", "left")
     )
 

@@ -46,14 +46,14 @@ def p17(spark, sf):
 
 
 SEARCH = """found AS (SELECT * FROM postings WHERE list_has_any(string_split(skills, ','), ['red', 'blue']) AND region IN ('ASIA', 'EUROPE')
-  AND industry IN ('BUILDING', 'MACHINERY') AND salary_min >= 950 AND salary_max <= 80000 AND posted_date > TIMESTAMP '1998-01-01')"""
+  AND industry IN ('BUILDING', 'MACHINERY') AND salary_min >= 905 AND salary_max <= 90000 AND posted_date > TIMESTAMP '1996-01-01')"""
 
 
 def _found(spark, sf):
     p = tagged(spark, sf, "id", "title", "company", "region", "industry", "salary_min", "salary_max", "posted_date")
     return filters.advanced_search(
         p, skills=["red", "blue"], regions=["ASIA", "EUROPE"], industries=["BUILDING", "MACHINERY"],
-        salary_min=950, salary_max=80000, posted_after="1998-01-01",
+        salary_min=905, salary_max=90000, posted_after="1996-01-01",
     )
 
 
@@ -459,25 +459,25 @@ FILL = f"""{REGIONAL}, sparse AS (SELECT skill_name || '/' || region AS skill_na
     "w15_fill_forward",
     f"""WITH {FILL}, f AS (SELECT skill_name, period_start, last_value(y IGNORE NULLS) OVER (PARTITION BY skill_name ORDER BY period_start ROWS UNBOUNDED PRECEDING) AS demand_count,
           y IS NULL AS imputed, avg(CASE WHEN y IS NULL THEN 1.0 ELSE 0 END) OVER (PARTITION BY skill_name) AS m FROM raw)
-        SELECT skill_name, period_start, demand_count, imputed FROM f WHERE m <= 0.3""",
+        SELECT skill_name, period_start, demand_count, imputed FROM f WHERE m <= 0.9""",
 )
 def w15(spark, sf):
     df = domain.regional_demand(spark, sf)
     keyed = df.select(F.concat_ws("/", "skill_name", "region").alias("skill_name"), "period_start", "demand_count")
-    return windows.fill_gaps(keyed, "forward")
+    return windows.fill_gaps(keyed, "forward", max_missing=0.9)
 
 
 @query(
     "w15_fill_mean",
     f"""WITH {FILL}, f AS (SELECT skill_name, period_start, coalesce(y, avg(y) OVER (PARTITION BY skill_name)) AS demand_count,
           y IS NULL AS imputed, avg(CASE WHEN y IS NULL THEN 1.0 ELSE 0 END) OVER (PARTITION BY skill_name) AS m FROM raw)
-        SELECT skill_name, period_start, demand_count, imputed FROM f WHERE m <= 0.3""",
+        SELECT skill_name, period_start, demand_count, imputed FROM f WHERE m <= 0.9""",
     doubles=("demand_count",),
 )
 def w15m(spark, sf):
     df = domain.regional_demand(spark, sf)
     keyed = df.select(F.concat_ws("/", "skill_name", "region").alias("skill_name"), "period_start", "demand_count")
-    return windows.fill_gaps(keyed, "mean")
+    return windows.fill_gaps(keyed, "mean", max_missing=0.9)
 
 
 # ---------------------------------------------------------------------- sources

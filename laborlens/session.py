@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # no recording of the Python line behind every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
