@@ -89,11 +89,6 @@ def _mean(values: Column) -> Column:
     return F.try_divide(total, F.size(values))
 
 
-def _std_pop(values: Column) -> Column:
-    center = _mean(values)
-    return F.sqrt(_mean(F.transform(values, lambda x: (x - center) * (x - center))))
-
-
 # ---------------------------------------------------------------- linear model
 
 
@@ -111,21 +106,23 @@ def linreg_fits(
         "_y": F.col(series.value).cast("double"),
         "_recent": newest <= 3,
     })
-    point = F.struct("_y", "_recent", *FEATURES)
+    # the fit at the recent rows is the fit at their mean features, so no rows are kept
+    recent = {f"_r_{c}": F.avg(F.when(F.col("_recent"), F.col(c))) for c in ("_y", *FEATURES)}
     sums = featured.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_clean"),
-        F.avg(F.when(F.col("_recent"), F.col("_y"))).alias("recent_mean"),
-        F.collect_list(point).alias("_points"),
+        *[mean.alias(name) for name, mean in recent.items()],
         *ols_statistics(FEATURES, "_y"),
     )
-    solved = solve_ols(sums)
-    estimate = lambda p: fitted([p[f] for f in FEATURES])
-    at_recent = _mean(F.transform(F.filter("_points", lambda p: p["_recent"]), estimate))
-    residuals = F.transform("_points", lambda p: p["_y"] - estimate(p))
-    return solved.withColumns({
-        "anchor": F.col("recent_mean") - at_recent,
-        "resid_std": _std_pop(residuals),
-    }).drop("_points")
+    at_recent = fitted([F.col(f"_r_{f}") for f in FEATURES])
+    return solve_ols(sums).select(
+        *keys,
+        "n_clean",
+        F.col("_r__y").alias("recent_mean"),
+        "intercept",
+        *[f"coef_{f}" for f in FEATURES],
+        (F.col("_r__y") - at_recent).alias("anchor"),
+        F.sqrt("resid_var").alias("resid_std"),
+    )
 
 
 def linreg_forecast(
@@ -397,12 +394,8 @@ def seasonal_ar(
         F.when(F.col("seasonal"), change(y, F.greatest(F.col("i") - season - 1, F.lit(season + 2)))).otherwise(0.0).alias("l13"),
     )
     lags = ("l1", "l12", "l13")
-    sums = rows.groupBy(*keys).agg(
-        F.collect_list(F.struct("w", *lags)).alias("_rows"), *ols_statistics(lags, "w")
-    )
-    fits = solve_ols(sums, lags)
-    errors = F.transform("_rows", lambda r: r["w"] - fitted([r[c] for c in lags], lags))
-    solved = fits.withColumn("sigma", F.sqrt(_mean(F.transform(errors, lambda e: e * e)))).drop("_rows")
+    sums = rows.groupBy(*keys).agg(*ols_statistics(lags, "w"))
+    solved = solve_ols(sums, lags).withColumn("sigma", F.sqrt("resid_var")).drop("resid_var")
 
     # roll the recursion forward on the tail of the series
     keep = 2 * season + 3

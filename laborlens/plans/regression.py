@@ -45,7 +45,7 @@ def ols_statistics(features: Sequence[str], label: str, where: str | None = None
         return value if where is None else f"if({where}, {value}, null)"
 
     xs, y = [kept(f) for f in features], kept(label)
-    stats = [f"avg({x}) as _m{i}" for i, x in enumerate(xs)] + [f"avg({y}) as _my"]
+    stats = [f"avg({x}) as _m{i}" for i, x in enumerate(xs)] + [f"avg({y}) as _my", f"var_pop({y}) as _vy"]
     stats += [f"covar_pop({x}, {y}) as _b{i}" for i, x in enumerate(xs)]
     stats += [f"covar_pop({xs[i]}, {xs[j]}) as _a{i}{j}" for i in range(3) for j in range(i, 3)]
     return [F.expr(s) for s in stats]
@@ -57,7 +57,9 @@ def _determinant(m: Sequence[Sequence[str]]) -> str:
 
 
 def solve_ols(sums: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    """Replace ``ols_statistics`` by intercept and three slopes; the minimum-norm fit when singular.
+    """Replace ``ols_statistics`` by intercept, three slopes and the residual variance.
+
+    A singular fit is the one of minimum norm.
 
     Full rank: Cramer's rule. With fewer independent directions the pseudo-inverse
     of the symmetric covariance matrix A follows from its characteristic polynomial:
@@ -71,7 +73,7 @@ def solve_ols(sums: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     def product(row: Sequence[str], vector: str) -> str:
         return " + ".join(f"{row[j]} * {vector}{j}" for j in three)
 
-    given = [c for c in sums.columns if not re.fullmatch(r"_(m[012y]|b[012]|a[012]{2})", c)]
+    given = [c for c in sums.columns if not re.fullmatch(r"_(m[012y]|vy|b[012]|a[012]{2})", c)]
     minors = [f"({a[i][i]} * {a[j][j]} - {a[i][j]} * {a[i][j]})" for i, j in ((0, 1), (0, 2), (1, 2))]
     first = sums.selectExpr(
         "*",
@@ -89,7 +91,12 @@ def solve_ols(sums: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
         for k in three
     ])
     intercept = "_my - " + " - ".join(f"coef_{features[k]} * _m{k}" for k in three)
-    return slopes.selectExpr(*given, f"{intercept} as intercept", *[f"coef_{f}" for f in features])
+    # the explained part of the variance is coef·b, as the fit solves the normal equations
+    explained = " + ".join(f"coef_{features[k]} * _b{k}" for k in three)
+    return slopes.selectExpr(
+        *given, f"{intercept} as intercept", *[f"coef_{f}" for f in features],
+        f"greatest(_vy - ({explained}), 0D) as resid_var",
+    )
 
 
 def fitted(features: Sequence[Column], names: Sequence[str] = FEATURES) -> Column:
@@ -106,7 +113,7 @@ def grouped_ols(
     """One row of coefficients per key: intercept and a slope for each of three features."""
     keys = [key] if isinstance(key, str) else list(key)
     sums = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *ols_statistics(features, label))
-    return solve_ols(sums, features)
+    return solve_ols(sums, features).drop("resid_var")
 
 
 @dataclass(frozen=True)
@@ -138,12 +145,11 @@ def cross_validate(df: DataFrame, series: Series = Series(), k: int = 3, origin:
         )
         .filter(F.col("_size") >= 2)
     )
-    scored = solve_ols(fits).withColumn(
-        "_scored",
-        F.transform("_test", lambda p: F.struct(p["y"].alias("y"), fitted([p[f] for f in FEATURES]).alias("yhat"))),
-    )
-    points = scored.select(*series.keys, "fold", F.explode("_scored").alias("p"))
-    y, error = F.col("p.y"), F.col("p.y") - F.col("p.yhat")
+    # unfolded before predicting, so that the coefficients are computed once per fold
+    tests = solve_ols(fits).withColumn("p", F.explode("_test"))
+    yhat = fitted([F.col(f"p.{f}") for f in FEATURES])
+    points = tests.select(*series.keys, "fold", F.col("p.y").alias("y"), (F.col("p.y") - yhat).alias("error"))
+    y, error = F.col("y"), F.col("error")
     per_fold = points.groupBy(*series.keys, "fold").agg(
         F.sqrt(F.avg(error * error)).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
