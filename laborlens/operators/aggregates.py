@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions import dates, text
 from ..functions.vocab import TOTAL_SERIES
 from . import filters
+from .bounded import first_rows
 
 
 def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
@@ -154,11 +155,10 @@ def forecast_trends(df: DataFrame, n: int = 10) -> DataFrame:
         folded.groupBy("skill_name")
         .agg(F.avg(F.coalesce("predicted_demand", F.lit(0.0))).alias("average_predicted_demand"))
         .orderBy(F.desc("average_predicted_demand"), "skill_name")
-        .limit(n)
     )
     points = F.array_sort(F.collect_list(F.struct(*[c for c in FORECAST_POINT if c in df.columns])))
     return (
-        folded.join(F.broadcast(ranking), "skill_name")
+        folded.join(first_rows(ranking, n), "skill_name")
         .groupBy("skill_name", "average_predicted_demand")
         .agg(points.alias("forecasts"))
         .orderBy(F.desc("average_predicted_demand"), "skill_name")

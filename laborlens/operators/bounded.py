@@ -1,10 +1,22 @@
-"""Small tables as scalar maps, with the size checked when the query runs."""
+"""Small tables inside larger plans, always with a checked size."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+BROADCAST_ROWS = 10_000
+
+
+def first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows for a join, with a broadcast hint while n is small.
+
+    Beyond the limit the choice is left to Spark's own size check.
+    """
+    limited = df.limit(n)
+    return F.broadcast(limited) if n <= BROADCAST_ROWS else limited
+
+
 def bounded_map(df: DataFrame, key: str, value: str, limit: int) -> Column:
     """A key-to-value map for use inside expressions; more than ``limit`` keys is an error.
 

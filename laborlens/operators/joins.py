@@ -13,9 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import dates
-
-TOP_BROADCAST_ROWS = 10_000
-
+from .bounded import first_rows
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Left equi-join to a lookup table."""
@@ -53,9 +51,7 @@ def restrict_to_top(
     df: DataFrame, top: DataFrame, key: str, n: int, ignore_case: bool = False
 ) -> DataFrame:
     """Keep the rows whose key is among the first ``n`` keys of ``top``."""
-    keys = top.select(key).limit(n)
-    if n <= TOP_BROADCAST_ROWS:
-        keys = F.broadcast(keys)
+    keys = first_rows(top.select(key), n)
     if not ignore_case:
         return df.join(keys, key, "left_semi")
     folded = keys.select(F.lower(key).alias("_key"))
@@ -112,6 +108,8 @@ def align_on_dates(
 ) -> DataFrame:
     """Every series on the union of all dates; NULL where the series has no point.
 
+    The input has one row per series and date.
+
     The dates come from a one-value subquery bounded by the calendar, so no
     cross join is formed.
     """

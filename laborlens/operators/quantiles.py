@@ -45,8 +45,9 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], probabilities: Sequ
     near = _long(rows.filter(reduce(lambda x, y: x | y, wanted)), edges)
     # as many rows as percentiles were asked for, twice at most
     small = F.broadcast(df.sparkSession.createDataFrame(targets, TARGET))
-    in_range = near.join(small.select("column_name", "bucket").distinct(), ["column_name", "bucket"], "left_semi")
-    counted = in_range.groupBy("column_name", "bucket", "v").agg(F.count(F.lit(1)).alias("n"))
+    # a row that is near in one column may be far off in another
+    in_range = [(F.col("column_name") == c) & (F.col("bucket") == b) for c, b in sorted(ranges)]
+    counted = near.filter(reduce(lambda x, y: x | y, in_range)).groupBy("column_name", "bucket", "v").agg(F.count(F.lit(1)).alias("n"))
     upto = (
         W.partitionBy("column_name", "bucket").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
     )

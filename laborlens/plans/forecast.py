@@ -269,9 +269,14 @@ def median_blend(
 
 
 def _monthly_arrays(df: DataFrame, series: Series, min_rows: int) -> DataFrame:
-    """One row per series with its gap-free monthly values as an array."""
+    """One row per series with its gap-free monthly values as an array.
+
+    The rows are small but the folds over them are not: a stated number of tasks
+    keeps the adaptive planner from packing all series into a few.
+    """
     keys = list(series.keys)
-    usable = filters.min_series_length(df, min_rows, keys)
+    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+    usable = filters.min_series_length(spread, min_rows, keys)
     dense = joins.densify(usable, keys, series.date, series.value)
     points = F.array_sort(F.collect_list(F.struct(F.col(series.date).alias("d"), F.col(series.value).cast("double").alias("y"))))
     return (
@@ -309,28 +314,24 @@ def holt_winters(
     slope = F.when(seasonal, (second - first) / season).otherwise(F.try_element_at(y, F.lit(2)) - F.element_at(y, 1))
     # the line at month 0: the first season is centred half a season after it
     line = F.when(seasonal, first - slope * ((season + 1) / 2)).otherwise(F.element_at(y, 1) - slope)
+    # the season is kept as plain fields s0 … with s0 due next; arrays would be copied at every step
+    slots = [f"s{i}" for i in range(season)]
+    begin = [
+        F.when(seasonal, F.try_element_at(y, F.lit(i + 1)) - (line + slope * (i + 1))).otherwise(0.0).alias(slots[i])
+        for i in range(season)
+    ]
     start = F.struct(
-        line.alias("level"),
-        slope.alias("trend"),
-        F.when(seasonal, F.transform(F.slice(y, 1, season), lambda v, i: v - (line + slope * (i + 1))))
-        .otherwise(F.array_repeat(F.lit(0.0), season))
-        .alias("season"),
-        F.lit(0.0).alias("sum_r"),
-        F.lit(0.0).alias("sum_rr"),
+        line.alias("level"), slope.alias("trend"), *begin, F.lit(0.0).alias("sum_r"), F.lit(0.0).alias("sum_rr")
     )
 
     def advance(s: Column, value: Column, a: Column, b: Column, g: Column) -> Column:
-        """One observation; the season array is rotated so that its head is due next."""
-        due = F.element_at(s["season"], 1)
-        base = s["level"] + s["trend"]
-        error = value - (base + due)
-        level = a * (value - due) + (1 - a) * base
-        trend = b * (level - s["level"]) + (1 - b) * s["trend"]
-        renewed = g * (value - base) + (1 - g) * due
+        """One observation, in error-correction form; the season moves on by one slot."""
+        error = value - s["level"] - s["trend"] - s["s0"]
         return F.struct(
-            level.alias("level"),
-            trend.alias("trend"),
-            F.concat(F.slice(s["season"], 2, season - 1), F.array(renewed)).alias("season"),
+            (s["level"] + s["trend"] + a * error).alias("level"),
+            (s["trend"] + b * a * error).alias("trend"),
+            *[s[later].alias(slot) for slot, later in zip(slots, slots[1:])],
+            (s["s0"] + g * error).alias(slots[-1]),
             (s["sum_r"] + error).alias("sum_r"),
             (s["sum_rr"] + error * error).alias("sum_rr"),
         )
@@ -339,8 +340,11 @@ def holt_winters(
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(g).alias("g")) for a, b, g in grid
     ])
     tried = arrays.withColumn("_start", start).withColumn("w", F.explode(weights))
-    gamma = F.when(seasonal, F.col("w.g")).otherwise(0.0)
-    state = F.aggregate(y, F.col("_start"), lambda s, v: advance(s, v, F.col("w.a"), F.col("w.b"), gamma))
+    tried = tried.select(
+        *keys, "y", "n", "last_date", "_start", "w", F.col("w.a").alias("a"), F.col("w.b").alias("b"),
+        F.when(seasonal, F.col("w.g")).otherwise(0.0).alias("g"),
+    )
+    state = F.aggregate(y, F.col("_start"), lambda s, v: advance(s, v, F.col("a"), F.col("b"), F.col("g")))
     best = (
         tried.withColumn("state", state)
         .groupBy(*keys)
@@ -353,7 +357,7 @@ def holt_winters(
     resid_std = F.sqrt(F.greatest(F.col("state.sum_rr") / F.col("n") - mean_r * mean_r, F.lit(0.0)))
     horizon = joins.horizon_grid(best, F.add_months("last_date", 1), end)
     h = F.col("step") + 1
-    due = F.element_at(F.col("state.season"), (F.col("step") % season + 1).cast("int"))
+    due = F.element_at(F.array(*[F.col(f"state.{slot}") for slot in slots]), (F.col("step") % season + 1).cast("int"))
     predicted = F.col("state.level") + F.col("state.trend") * h + due
     return _output(horizon, series, predicted, residual_sqrt_step(predicted, resid_std, h), version, 2)
 

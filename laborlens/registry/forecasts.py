@@ -12,7 +12,7 @@ from ..plans.regression import Series, cross_validate
 from .core import CLOSED, FORECASTS, REGIONAL, VOLUME, query
 from .profiling import sparse_demand
 from .relational import SPIKES, SPIKES_SQL
-from .series import SEASON, TRAILING, ols_sql
+from .series import TRAILING, ols_sql
 
 START, END = "2001-11-01", "2004-06-01"  # the 32 months after the last closed month
 BOUNDS = ("predicted_demand", "confidence_lower", "confidence_upper")

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates
-from ..operators import aggregates, profile
+from ..operators import profile
 from ..plans import domain
 from ..plans.tables import materialize
 from .core import CLOSED, DEMAND, POSTINGS, REGIONAL, VOLUME, query
