@@ -31,6 +31,9 @@ WORK_TYPES = {
     "Temporary": "TP",
 }
 
+# Fixed value: the source name stored with listings from the raw postings file.
+LISTING_SOURCE = "kaggle-jobs"
+
 # Fixed value: the series key that stands for all postings together.
 TOTAL_SERIES = "(job_listings_total)"
 

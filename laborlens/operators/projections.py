@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import dates, text, values
-from ..functions.vocab import DESCRIPTION_SKILLS, WORK_TYPES
+from ..functions.vocab import DESCRIPTION_SKILLS, LISTING_SOURCE, WORK_TYPES
 from ..schemas import LISTING_LENGTHS, MONEY
 
 
@@ -41,7 +41,7 @@ def shape_skill_demand(df: DataFrame, region: str, industry: str = "General") ->
 
 
 def shape_job_listings(
-    raw: DataFrame, vocabulary: Sequence[str] = DESCRIPTION_SKILLS, source: str = "kaggle-jobs",
+    raw: DataFrame, vocabulary: Sequence[str] = DESCRIPTION_SKILLS, source: str = LISTING_SOURCE,
 ) -> DataFrame:
     """Raw posting text columns to the 14 listing columns."""
     low, high = values.salary_bounds("Salary Range")

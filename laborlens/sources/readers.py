@@ -11,8 +11,10 @@ from ..functions import dates, text, values
 from ..operators import aggregates, projections
 from ..schemas import JOB_LISTINGS, RAW_POSTING_COLUMNS, TREND_DOCUMENT
 
-# Quoted fields may hold line breaks and doubled quotes.
-QUOTED_CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+# Quoted fields may hold doubled quotes and, with ``multi_line``, line breaks. A file
+# with line breaks inside fields cannot be split, so it is read by one task: deliver
+# such data as many files, or pass ``multi_line=False`` where no field has a break.
+QUOTED_CSV = {"header": "true", "quote": '"', "escape": '"'}
 
 
 def read_seed_tsv(spark: SparkSession, path: str, schema: T.StructType = JOB_LISTINGS) -> DataFrame:
@@ -29,7 +31,8 @@ def read_seed_tsv(spark: SparkSession, path: str, schema: T.StructType = JOB_LIS
 
 
 def read_postings_csv(
-    spark: SparkSession, path: str, header: Sequence[str], columns: Sequence[str] = RAW_POSTING_COLUMNS
+    spark: SparkSession, path: str, header: Sequence[str], columns: Sequence[str] = RAW_POSTING_COLUMNS,
+    multi_line: bool = True,
 ) -> DataFrame:
     """The wanted columns of a postings CSV, everything as text.
 
@@ -37,12 +40,15 @@ def read_postings_csv(
     the data, and only the selected columns are parsed.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return spark.read.options(**QUOTED_CSV).schema(schema).csv(path).select(*[f"`{c}`" for c in columns])
+    reader = spark.read.options(**QUOTED_CSV).schema(schema)
+    return reader.csv(path, multiLine=multi_line).select(*[f"`{c}`" for c in columns])
 
 
-def read_inferred_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_inferred_csv(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = True
+) -> DataFrame:
     """CSV with inferred types, for profiling. ``encoding='ISO-8859-1'`` reads Latin-1 files."""
-    return spark.read.options(**QUOTED_CSV, inferSchema="true", encoding=encoding).csv(path)
+    return spark.read.options(**QUOTED_CSV).csv(path, inferSchema=True, encoding=encoding, multiLine=multi_line)
 
 
 def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -155,7 +161,7 @@ def load_first_valid(
     comes to the driver.
     """
     for path in sorted(paths):
-        raw = spark.read.options(**QUOTED_CSV).csv(path)
+        raw = spark.read.options(**QUOTED_CSV).csv(path, multiLine=True)
         roles = detect_roles(raw.columns)
         if not roles.complete:
             continue
