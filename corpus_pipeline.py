@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from laborlens.llm import decontaminate, langid, packing
+from laborlens.llm import decontaminate, jaccard_join, langid, packing
 from laborlens.llm.common import stored
 from laborlens.llm.queries import table
 
@@ -22,6 +22,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.known_language(docs, trees)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return jaccard_join.first_of_class(docs, width=SHINGLE, percent=SIMILARITY)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten words in a row of a benchmark item."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -36,6 +41,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language id", language),
+    ("n-gram jaccard join", near_duplicates),
     ("benchmark decontamination", decontamination),
     ("packing", sequences),
 ]

@@ -65,6 +65,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of ids (two longs at most) that a task may hold for a join; more are left to a shuffle.
+SMALL_ROWS = 500_000
+
+
+def small(written: DataFrame) -> DataFrame:
+    """A written table of ids, to be broadcast if its counted size allows it."""
+    return F.broadcast(written) if written.count() <= SMALL_ROWS else written
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else; plain ASCII text takes Spark's fast path."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

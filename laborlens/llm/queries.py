@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, packing
+from . import decontaminate, jaccard_join, langid, packing
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -65,6 +65,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query()
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents that share 85 in 100 of their four-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.similar_documents(docs, width=4, percent=85).drop("mark")
+
+
 @query()
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three of four folds."""
