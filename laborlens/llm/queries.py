@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard_join, langid, packing
+from . import chat, decontaminate, jaccard_join, langid, licenses, packing, sharding
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -72,6 +72,66 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(docs, width=4, percent=85).drop("mark")
 
 
+SHARDING_SQL = f"""
+WITH doc AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS hash
+  FROM documents),
+bucket AS (
+  SELECT depth, hash >> (60 - depth) AS prefix, sum(n_bytes) AS bytes
+  FROM doc CROSS JOIN (SELECT unnest(range(0, 40)) AS depth) GROUP BY ALL),
+leaf AS (
+  SELECT doc_id, n_bytes, hash, min(bucket.depth) AS depth
+  FROM doc JOIN bucket ON hash >> (60 - bucket.depth) = prefix WHERE bytes <= {sharding.LIMIT_BYTES} GROUP BY ALL)
+SELECT doc_id, n_bytes, CASE WHEN leaf.depth = 0 THEN '' ELSE lpad(bin(prefix), CAST(leaf.depth AS INTEGER), '0') END AS shard,
+       CAST(leaf.depth AS INTEGER) AS depth, CAST(bytes AS BIGINT) AS shard_bytes
+FROM leaf JOIN bucket ON leaf.depth = bucket.depth AND hash >> (60 - bucket.depth) = prefix"""
+
+
+@query(SHARDING_SQL)
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, 16 MiB of text at most."""
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+CHAT_SQL = """
+WITH RECURSIVE call AS (
+  SELECT conv_id, conv_id || '-' || turn AS call_id, turn AS call_turn, 'reply' AS name, text,
+         CASE WHEN EXISTS (SELECT 1 FROM conversations b WHERE b.conv_id = a.conv_id AND b.turn = a.turn - 2 AND b.role = 'user')
+              THEN conv_id || '-' || (turn - 2) END AS need
+  FROM conversations a WHERE role = 'user'),
+result AS (SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, turn AS result_turn, text AS content FROM conversations WHERE role = 'assistant'),
+level AS (
+  SELECT conv_id, call_id, 0 AS level FROM call WHERE need IS NULL
+  UNION ALL
+  SELECT call.conv_id, call.call_id, level + 1 FROM call JOIN level ON call.conv_id = level.conv_id AND call.need = level.call_id),
+joined AS (SELECT * FROM call FULL JOIN result USING (conv_id, call_id) LEFT JOIN level USING (conv_id, call_id))
+SELECT conv_id, call_id, name, call_turn, result_turn, CAST(level AS INTEGER) AS level,
+       CASE WHEN name IS NULL THEN 'orphan' WHEN content IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+       CASE WHEN name IS NOT NULL AND text IS NULL THEN 'question is no string' ELSE '' END AS violations,
+       '{' || concat_ws(',',
+         CASE WHEN name IS NULL THEN NULL ELSE '"arguments":{' || concat_ws(',', '"after":' || to_json(coalesce(need, '')), '"question":' || to_json(text), '"turn":' || call_turn) || '}' END,
+         '"content":' || to_json(content), '"id":' || to_json(call_id), '"name":' || to_json(name)) || '}' AS json
+FROM joined"""
+
+
+@query(CHAT_SQL)
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user turn as a call that names the call before it, every assistant turn as the result of the turn before."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    asked = turns.filter("role = 'user'")
+    name = F.concat_ws("-", "conv_id", "turn")
+    before = asked.select("conv_id", (F.col("turn") + 2).alias("turn"), name.alias("after"))
+    arguments = F.to_json(F.struct("turn", F.col("text").alias("question"), F.coalesce("after", F.lit("")).alias("after")))
+    calls = asked.join(before, ["conv_id", "turn"], "left").select(
+        "conv_id", name.alias("call_id"), "turn", F.lit("reply").alias("name"), arguments.alias("arguments"))
+    results = turns.filter("role = 'assistant'").select(
+        "conv_id", F.concat_ws("-", "conv_id", F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    properties = spark.sql("SELECT * FROM VALUES ('reply', 'after', 'string', true), ('reply', 'question', 'string', true), "
+                           "('reply', 'turn', 'integer', true) AS t(name, property, kind, required)")
+    return chat.link_calls(calls, results, properties).withColumn("violations", F.concat_ws(",", "violations"))
+
+
 @query()
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three of four folds."""
@@ -82,6 +142,45 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def _licenses_sql() -> str:
+    """The same spans from joins on the words themselves."""
+    quote = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+    rows = ", ".join("(" + ", ".join(map(quote, r)) + ")" for r in licenses.template_rows())
+    return f"""
+WITH template(label, base, size, slack, k, t, t0, t1, t2) AS (VALUES {rows}),
+doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+place AS (SELECT doc_id, w, unnest(range(0, len(w))) AS p FROM doc),
+vote AS (
+  SELECT DISTINCT doc_id, label, base, size, slack, k, t, p, p - t AS diagonal
+  FROM place JOIN template ON w[p + 1] = t0 AND w[p + 2] = t1 AND (t2 IS NULL OR w[p + 3] = t2)),
+opened AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, label ORDER BY diagonal) <= slack THEN 0 ELSE 1 END AS opens FROM vote),
+merged AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, label ORDER BY diagonal) AS span FROM opened),
+covered AS (SELECT *, unnest(range(t, t + k)) AS word FROM merged),
+span AS (
+  SELECT doc_id, label, base, size, span, min(p) AS first, max(p + k - 1) AS last, count(DISTINCT word) AS n
+  FROM covered GROUP BY ALL),
+kept AS (
+  SELECT *, n / size AS share FROM span
+  WHERE CASE WHEN base THEN n = size ELSE n / size >= {licenses.SHARE} AND last - first < 2 * size END),
+found AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM kept GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+       CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0.0) AS score
+FROM doc LEFT JOIN found USING (doc_id)"""
+
+
+@query(_licenses_sql())
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids, packed into sequences of 1024."""
