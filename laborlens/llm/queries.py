@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, jaccard_join, langid, licenses, packing, sharding
+from ..session import scratch_path
+from . import chat, decontaminate, embedding_dedup, jaccard_join, langid, licenses, packing, sharding, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -142,6 +143,30 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query()
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of embeddings with a cosine of 0.9 at least."""
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+WARC_SQL = f"""
+WITH page AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+named AS (SELECT *, CASE WHEN payload_bytes >= {warc.LEAST_REVISIT} THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM page)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM named"""
+
+
+@query(WARC_SQL)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back."""
+    path = scratch_path(spark, "archives")
+    warc.write_archives(warc.plan_records(table(spark, sf_dir, "pages")), path)
+    found = warc.read_archives(spark, path, payloads=False).filter("gap IS NULL")
+    return found.select(F.col("id").try_cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").try_cast("bigint").alias("refers_to"))
+
+
 def _licenses_sql() -> str:
     """The same spans from joins on the words themselves."""
     quote = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
