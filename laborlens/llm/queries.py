@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, embedding_dedup, jaccard_join, langid, licenses, packing, sharding, warc
+from . import chat, decontaminate, embedding_dedup, html_text, jaccard_join, langid, licenses, packing, sharding, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -73,6 +73,13 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(docs, width=4, percent=85).drop("mark")
 
 
+@query()
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.counted(html_text.main_text(pages, html_text.train(spark)))
+
+
 SHARDING_SQL = f"""
 WITH doc AS (
   SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
