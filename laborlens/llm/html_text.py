@@ -14,7 +14,6 @@ import html
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -65,15 +64,19 @@ HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|visibi
 ENDINGS = re.compile(r"[.!?…。！？]")
 
 
-@lru_cache(4096)
-def attribute_groups(attributes: str) -> tuple[tuple[int, ...], bool]:
-    """Which token groups the names in a tag's attributes belong to, and whether it is hidden."""
+def attribute_groups(attributes: str, known: dict = {}) -> tuple[tuple[int, ...], bool]:  # noqa: B006
+    """Which token groups the names in a tag's attributes belong to, and whether it is hidden; remembers some."""
+    if attributes in known:
+        return known[attributes]
+    if len(known) > 4096:
+        known.clear()
     found = set()
     for value in ATTRIBUTE.findall(attributes):
         for token in re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()):
             if token in GROUP:
                 found.add(GROUP[token])
-    return tuple(sorted(found)), bool(HIDDEN.search(attributes))
+    known[attributes] = tuple(sorted(found)), bool(HIDDEN.search(attributes))
+    return known[attributes]
 
 
 class Page:
