@@ -7,18 +7,24 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 DAYS_PER_MONTH = 30.44  # fixed value: mean month length used for the time axis
+# Date forms beyond ISO, tried in this order; of 3/4/2024 the month comes first.
+DATE_FORMS = (
+    "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyy/M/d", "yyyy/M/d H:mm:ss", "M-d-yyyy", "d.M.yyyy", "yyyyMMdd",
+    "d MMM yyyy", "d-MMM-yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "MMM yyyy", "MMMM yyyy", "MMM-yyyy", "M/yyyy",
+)
 EPOCH_MS_FLOOR = 1e12  # fixed value: larger numbers are epoch milliseconds
 
 
 def parse_date(column: Column | str, kind: str = "flexible") -> Column:
     """Text or number to timestamp; what cannot be parsed becomes NULL.
 
-    kinds: ``flexible`` (any ISO form), ``iso_date`` (exactly ``yyyy-MM-dd``),
+    kinds: ``flexible`` (any ISO form, else the first of ``DATE_FORMS`` that fits), ``iso_date`` (exactly ``yyyy-MM-dd``),
     ``epoch_ms``, ``epoch_s``, and ``epoch`` (unit told by magnitude, row by row).
     """
     value = _column(column)
     if kind == "flexible":
-        return F.try_to_timestamp(value.cast("string"))
+        text = F.trim(value.cast("string"))
+        return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(form)) for form in DATE_FORMS])
     if kind == "iso_date":
         exact = F.when(value.rlike(r"^\d{4}-\d{2}-\d{2}$"), value)
         return F.try_to_timestamp(exact, F.lit("yyyy-MM-dd"))

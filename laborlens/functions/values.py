@@ -55,7 +55,7 @@ def salary_bounds(column: Column | str) -> tuple[Column, Column]:
     text = _column(column)
     form = r"^\$(\d+)K-\$(\d+)K"
     low, high = [
-        F.regexp_extract(text, form, group).try_cast("bigint") * 1000 for group in (1, 2)
+        F.try_multiply(F.regexp_extract(text, form, group).try_cast("bigint"), F.lit(1000)) for group in (1, 2)
     ]
     return low, high
 

@@ -43,7 +43,7 @@ def shape_skill_demand(df: DataFrame, region: str, industry: str = "General") ->
 def shape_job_listings(
     raw: DataFrame, vocabulary: Sequence[str] = DESCRIPTION_SKILLS, source: str = LISTING_SOURCE,
 ) -> DataFrame:
-    """Raw posting text columns to the 14 listing columns."""
+    """Raw posting text columns to the 14 listing columns; a salary too large for its column is NULL."""
     low, high = values.salary_bounds("Salary Range")
 
     def text_or_blank(name: str):
@@ -53,8 +53,8 @@ def shape_job_listings(
         text_or_blank("Job Title").alias("title"),
         text_or_blank("Company").alias("company"),
         text_or_blank("location").alias("location"),
-        low.cast(MONEY).alias("salary_min"),
-        high.cast(MONEY).alias("salary_max"),
+        low.try_cast(MONEY).alias("salary_min"),
+        high.try_cast(MONEY).alias("salary_max"),
         F.lit("USD").alias("salary_currency"),
         F.lit(source).alias("source"),
         F.col("Job Id").alias("source_id"),

@@ -22,7 +22,11 @@ from .core import CLOSED, DEMAND, FORECASTS, POSTING_SKILLS, POSTINGS, VOLUME, q
 )
 def p01(spark, sf):
     raw = domain.table(spark, sf, "lineitem").select(
-        F.col("l_shipdate").cast("string").alias("day"),
+        # four forms of the same day
+        F.when(F.col("l_linenumber") % 4 == 0, F.date_format("l_shipdate", "MM/dd/yyyy"))
+        .when(F.col("l_linenumber") % 4 == 1, F.date_format("l_shipdate", "d MMM yyyy"))
+        .when(F.col("l_linenumber") % 4 == 2, F.date_format("l_shipdate", "MMMM d, yyyy"))
+        .otherwise(F.col("l_shipdate").cast("string")).alias("day"),
         F.concat(F.lit(" "), "l_returnflag", "l_linestatus", F.lit(" ")).alias("skill"),
         F.col("l_quantity").cast("string").alias("demand"),
     )
@@ -66,7 +70,7 @@ def _raw_listings(spark, sf):
     f"""WITH {POSTINGS}
     SELECT title, company, location || CASE WHEN is_remote THEN ' (Remote)' ELSE '' END AS location,
            CAST(floor(salary_min / 1000) * 1000 AS DOUBLE) AS salary_min,
-           CAST(floor(salary_max / 1000) * 1000 AS DOUBLE) AS salary_max,
+           CASE WHEN NOT is_remote THEN CAST(floor(salary_max / 1000) * 1000 AS DOUBLE) END AS salary_max,
            'USD' AS salary_currency, 'kaggle-jobs' AS source, id AS source_id, posted_date,
            CASE source WHEN 'O' THEN 'FT' WHEN 'F' THEN 'IN' ELSE '' END AS job_type,
            CASE WHEN CAST(left(experience_level, 1) AS INT) >= 5 THEN 'SE'
@@ -78,7 +82,10 @@ def _raw_listings(spark, sf):
     doubles=("salary_min", "salary_max"),
 )
 def p03(spark, sf):
-    shaped = projections.shape_job_listings(_raw_listings(spark, sf), LISTING_WORDS)
+    raw = _raw_listings(spark, sf)
+    # an upper bound that the money column can't hold
+    large = F.when(F.col("location").endswith("(Remote)"), F.regexp_replace("Salary Range", r"-\$\d+K", r"-\$9999999K")).otherwise(F.col("Salary Range"))
+    shaped = projections.shape_job_listings(raw.withColumn("Salary Range", large), LISTING_WORDS)
     return shaped.withColumn("posted_date", F.col("posted_date").cast("timestamp_ntz"))
 
 
@@ -744,7 +751,8 @@ def c03(spark, sf):
 @query(
     "c04_parse_date",
     """SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS iso_day, CAST(NULL AS DATE) AS not_iso,
-              CAST(o_orderdate AS DATE) + 7305 AS from_ms, CAST(o_orderdate AS DATE) + 7305 AS from_s FROM orders""",
+              CAST(o_orderdate AS DATE) AS any_form, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_form,
+              CAST(NULL AS DATE) AS no_form, CAST(o_orderdate AS DATE) + 7305 AS from_ms, CAST(o_orderdate AS DATE) + 7305 AS from_s FROM orders""",
 )
 def c04(spark, sf):
     orders = domain.table(spark, sf, "orders")
@@ -755,6 +763,12 @@ def c04(spark, sf):
         F.col("o_orderkey").alias("id"),
         F.to_date(dates.parse_date(day, "iso_date")).alias("iso_day"),
         F.to_date(dates.parse_date(F.concat(day, F.lit("T10:00")), "iso_date")).alias("not_iso"),
+        F.to_date(dates.parse_date(
+            F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "MM/dd/yyyy"))
+            .when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", " d MMM yyyy")).otherwise(day)
+        )).alias("any_form"),
+        F.to_date(dates.parse_date(F.date_format("o_orderdate", "MMM yyyy"))).alias("month_form"),
+        F.to_date(dates.parse_date(F.concat(F.lit("on "), day))).alias("no_form"),
         F.to_date(dates.parse_date((seconds * 1000).cast("double"), "epoch")).alias("from_ms"),
         F.to_date(dates.parse_date(seconds.cast("double"), "epoch")).alias("from_s"),
     )

@@ -41,8 +41,9 @@ def message_json():
 
     parts = {
         "jobId": F.col("l_orderkey").cast("string"),
-        "title": F.when(line == 7, F.lit("null")).otherwise(F.concat(F.lit('"Job '), F.col("l_partkey"), F.lit('"'))),
+        "title": F.when(line == 7, F.lit("null")).when((line == 4) & (flag == "A"), F.lit("41")).otherwise(F.concat(F.lit('"Job '), F.col("l_partkey"), F.lit('"'))),
         "salaryMin": F.when(flag == "R", text(F.col("l_quantity").cast("int"))).otherwise(F.col("l_quantity").cast("int").cast("string")),
+        "salaryMax": F.when((line == 4) & (flag == "R"), F.lit("1000000000000")).otherwise(F.lit("99000.5")),
         "postedDate": F.when(line == 6, text(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm"))).otherwise(
             text(F.date_format("l_shipdate", "yyyy-MM-dd"))
         ),
@@ -72,25 +73,25 @@ def stored(stream: DataFrame, spark: SparkSession, purpose: str) -> DataFrame:
 
 MESSAGES = """messages AS (
   SELECT l_orderkey AS job_id, CASE WHEN l_linenumber = 7 THEN NULL ELSE 'Job ' || l_partkey END AS title,
-         CAST(CAST(l_quantity AS INT) AS DOUBLE) AS salary_min,
+         CAST(CAST(l_quantity AS INT) AS DOUBLE) AS salary_min, 99000.5 AS salary_max,
          CASE l_returnflag WHEN 'A' THEN NULL WHEN 'R' THEN 'EUR' ELSE 'USD' END AS salary_currency,
          CAST(l_shipdate AS DATE) AS posted_day, l_returnflag = 'R' AS is_remote,
-         CASE WHEN l_returnflag = 'N' THEN NULL ELSE 'a,' || l_returnflag END AS skills, l_linenumber
+         CASE WHEN l_returnflag = 'N' THEN NULL ELSE 'a,' || l_returnflag END AS skills, l_linenumber, l_returnflag
   FROM lineitem)"""
-VALID = "l_linenumber NOT IN (5, 6, 7)"
+VALID = "l_linenumber NOT IN (5, 6, 7) AND NOT (l_linenumber = 4 AND l_returnflag IN ('A', 'R'))"
 
 
 def _parsed_columns(df: DataFrame) -> DataFrame:
     return df.select(
-        F.col("job_id").cast("bigint").alias("job_id"), "title", "salary_min", "salary_currency",
+        F.col("job_id").cast("bigint").alias("job_id"), "title", "salary_min", "salary_max", "salary_currency",
         F.to_date("posted_date").alias("posted_day"), "is_remote", "skills",
     )
 
 
 @query(
     "t01_parse_postings",
-    f"WITH {MESSAGES} SELECT * EXCLUDE (l_linenumber) FROM messages WHERE {VALID}",
-    doubles=("salary_min",),
+    f"WITH {MESSAGES} SELECT * EXCLUDE (l_linenumber, l_returnflag) FROM messages WHERE {VALID}",
+    doubles=("salary_min", "salary_max"),
 )
 def t01(spark, sf):
     parsed = messages.valid_postings(messages.parse_postings(message_stream(spark, sf)))
@@ -99,8 +100,8 @@ def t01(spark, sf):
 
 @query(
     "p14_posting_from_json",
-    f"WITH {MESSAGES} SELECT * EXCLUDE (l_linenumber) FROM messages WHERE {VALID}",
-    doubles=("salary_min",),
+    f"WITH {MESSAGES} SELECT * EXCLUDE (l_linenumber, l_returnflag) FROM messages WHERE {VALID}",
+    doubles=("salary_min", "salary_max"),
 )
 def p14(spark, sf):
     batch = spread(domain.table(spark, sf, "lineitem"), "l_orderkey").select(message_json().alias("value"))
@@ -115,8 +116,9 @@ def _ingested(spark, sf, purpose):
 
 @query(
     "t02_route_invalid",
-    """SELECT CASE l_linenumber WHEN 5 THEN 'malformed' WHEN 6 THEN 'postedDate' ELSE 'title' END AS reject_reason, count(*) AS n
-       FROM lineitem WHERE l_linenumber IN (5, 6, 7) GROUP BY 1""",
+    """SELECT CASE WHEN l_linenumber = 5 THEN 'malformed' WHEN l_linenumber = 4 AND l_returnflag = 'R' THEN 'salaryMax'
+                   WHEN l_linenumber = 6 THEN 'postedDate' ELSE 'title' END AS reject_reason, count(*) AS n
+       FROM lineitem WHERE l_linenumber IN (5, 6, 7) OR l_linenumber = 4 AND l_returnflag IN ('A', 'R') GROUP BY 1""",
 )
 def t02(spark, sf):
     _, rejects = _ingested(spark, sf, "route-invalid")
@@ -125,8 +127,8 @@ def t02(spark, sf):
 
 @query(
     "t03_sink_postings",
-    f"WITH {MESSAGES} SELECT * EXCLUDE (l_linenumber) FROM messages WHERE {VALID}",
-    doubles=("salary_min",),
+    f"WITH {MESSAGES} SELECT * EXCLUDE (l_linenumber, l_returnflag) FROM messages WHERE {VALID}",
+    doubles=("salary_min", "salary_max"),
 )
 def t03(spark, sf):
     table, _ = _ingested(spark, sf, "sink-postings")

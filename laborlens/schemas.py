@@ -9,6 +9,7 @@ def _struct(*fields: tuple) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
+# The column, file and message names and types below must match the data.
 MONEY = T.DecimalType(10, 2)
 
 JOB_LISTINGS = _struct(

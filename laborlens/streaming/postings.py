@@ -45,10 +45,9 @@ def file_ingest(
     return reader.load(path)
 
 
-# Each message is parsed twice: as a struct, where isRemote accepts the JSON value true
-# only and never the text "true", and as a map, which tells a missing key from a null.
-KINDS = {"isRemote": "BOOLEAN", "skills": "ARRAY<STRING>"}
-MESSAGE = ", ".join(f"{name} {KINDS.get(name, 'STRING')}" for name in POSTING_MESSAGE_FIELDS)
+# Fields that must be JSON text where they are present.
+TEXT_FIELDS = tuple(f for f in POSTING_MESSAGE_FIELDS if f not in ("jobId", "salaryMin", "salaryMax", "postedDate", "isRemote", "skills"))
+NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def parse_postings(messages: DataFrame) -> DataFrame:
@@ -56,45 +55,63 @@ def parse_postings(messages: DataFrame) -> DataFrame:
 
     Works on a batch or a stream with a text column ``value``. A missing currency
     becomes USD while an explicit null stays NULL; salaries may be numbers or text;
-    the date must be exactly ``yyyy-MM-dd``.
+    the date must be exactly ``yyyy-MM-dd``. A salary that is no number or too large
+    for its column, and a field of the wrong JSON type, reject the message and
+    never fail the batch; the reason names the first such field.
     """
-    both = F.struct(
-        F.from_json("value", MESSAGE).alias("_m"), F.from_json("value", "map<string,string>").alias("_raw")
-    )
-    # as a plain projection the optimizer would parse the message again for every field
-    parsed = messages.select("*", F.inline(F.array(both)))
-    m, raw = F.col("_m"), F.col("_raw")
-    low, high = (m[name].try_cast("double").cast(MONEY) for name in ("salaryMin", "salaryMax"))
-    posted = dates.parse_date(m["postedDate"], "iso_date")
+    # inline keeps the optimizer from parsing the message again for every field
+    parsed = messages.select("*", F.inline(F.array(F.struct(F.try_parse_json("value").alias("_v")))))
+    v = F.col("_v")
+
+    def part(name: str) -> Column:
+        return F.try_variant_get(v, f"$.{name}", "variant")
+
+    def given(name: str) -> Column:
+        return part(name).isNotNull() & ~F.is_variant_null(part(name))
+
+    def text(name: str) -> Column:
+        return F.try_variant_get(v, f"$.{name}", "string")
+
+    def kind(name: str) -> Column:
+        return F.schema_of_variant(part(name))
+
+    def money(name: str) -> Column:
+        number = F.when(~kind(name).startswith("BOOLEAN") & text(name).rlike(NUMBER_TEXT), text(name))
+        return number.try_cast("double").try_cast(MONEY)
 
-    def broken(name: str, value: Column) -> Column:
-        return F.try_element_at(raw, F.lit(name)).isNotNull() & value.isNull()
+    low, high = money("salaryMin"), money("salaryMax")
+    posted = dates.parse_date(text("postedDate"), "iso_date")
+    skills = F.try_variant_get(v, "$.skills", "array<string>")
+    listed = kind("skills").isin("ARRAY<STRING>", "ARRAY<VOID>")
+    remote = F.when(kind("isRemote") == "BOOLEAN", F.try_variant_get(v, "$.isRemote", "boolean"))
 
     reason = (
-        F.when(raw.isNull(), "malformed")
-        .when(broken("salaryMin", low), "salaryMin")
-        .when(broken("salaryMax", high), "salaryMax")
-        .when(broken("postedDate", posted), "postedDate")
-        .when(broken("skills", m["skills"]), "skills")
-        .when(m["title"].isNull(), "title")
+        F.when(v.isNull() | ~F.schema_of_variant(v).startswith("OBJECT"), "malformed")
+        .when(given("salaryMin") & low.isNull(), "salaryMin")
+        .when(given("salaryMax") & high.isNull(), "salaryMax")
+        .when(given("postedDate") & posted.isNull(), "postedDate")
+        .when(given("skills") & ~listed, "skills")
     )
+    for name in TEXT_FIELDS:
+        reason = reason.when(given(name) & (kind(name) != "STRING"), name)
+    reason = reason.when(text("title").isNull(), "title")
     return parsed.select(
         *messages.columns,
-        m["jobId"].alias("job_id"),
-        m["title"].alias("title"),
-        m["company"].alias("company"),
-        m["location"].alias("location"),
+        text("jobId").alias("job_id"),
+        text("title").alias("title"),
+        text("company").alias("company"),
+        text("location").alias("location"),
         low.alias("salary_min"),
         high.alias("salary_max"),
-        F.when(F.map_contains_key(raw, F.lit("salaryCurrency")), m["salaryCurrency"]).otherwise("USD").alias("salary_currency"),
-        m["source"].alias("source"),
-        m["sourceId"].alias("source_id"),
+        F.when(part("salaryCurrency").isNotNull(), text("salaryCurrency")).otherwise("USD").alias("salary_currency"),
+        text("source").alias("source"),
+        text("sourceId").alias("source_id"),
         posted.alias("posted_date"),
-        m["jobType"].alias("job_type"),
-        m["experienceLevel"].alias("experience_level"),
-        m["industry"].alias("industry"),
-        F.coalesce(m["isRemote"], F.lit(False)).alias("is_remote"),
-        F.when(F.size(m["skills"]) > 0, F.array_join(m["skills"], ",")).alias("skills"),
+        text("jobType").alias("job_type"),
+        text("experienceLevel").alias("experience_level"),
+        text("industry").alias("industry"),
+        F.coalesce(remote, F.lit(False)).alias("is_remote"),
+        F.when(F.size(skills) > 0, F.array_join(skills, ",")).alias("skills"),
         reason.alias("reject_reason"),
     )
 
