@@ -329,8 +329,8 @@ def salary_demand_corr(postings: DataFrame) -> DataFrame:
     )
 
 
-def facet_counts(rows: DataFrame, facets: Sequence[str], k: int = 20) -> DataFrame:
-    """Top values per facet of a search result as rows (facet, value, n).
+def facet_counts(rows: DataFrame, facets: Sequence[str], k: int | None = None) -> DataFrame:
+    """Values per facet of a search result as rows (facet, value, n); the ``k`` most frequent ones if given.
 
     All facets are counted in one pass: each row yields one (facet, value) pair per
     facet, list columns one per distinct item.
@@ -345,6 +345,8 @@ def facet_counts(rows: DataFrame, facets: Sequence[str], k: int = 20) -> DataFra
 
     pairs = rows.select(F.inline(F.concat(*[F.coalesce(values(f), F.array().cast("array<struct<facet:string,value:string>>")) for f in facets])))
     counted = pairs.filter(F.col("value").isNotNull()).groupBy("facet", "value").agg(_count().alias("n"))
+    if k is None:
+        return counted
     order = W.partitionBy("facet").orderBy(F.desc("n"), F.asc("value"))
     return counted.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= k).drop("_rn")
 

@@ -1,30 +1,10 @@
-"""Small tables inside larger plans, always with a checked size."""
+"""Small tables inside larger plans."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-
-BROADCAST_ROWS = 10_000
+from pyspark.sql import DataFrame
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows for a join, with a broadcast hint while n is small.
-
-    Beyond the limit the choice is left to Spark's own size check.
-    """
-    limited = df.limit(n)
-    return F.broadcast(limited) if n <= BROADCAST_ROWS else limited
-
-
-def bounded_map(df: DataFrame, key: str, value: str, limit: int) -> Column:
-    """A key-to-value map for use inside expressions; more than ``limit`` keys is an error.
-
-    At most ``limit + 1`` rows are ever gathered, so an unexpectedly large table
-    fails cleanly and never fills a task.
-    """
-    entries = F.collect_list(F.struct(key, value))
-    checked = F.when(F.size(entries) <= limit, F.map_from_entries(entries)).otherwise(
-        F.raise_error(F.lit(f"more than {limit} values of {key}"))
-    )
-    return df.select(key, value).limit(limit + 1).agg(checked).scalar()
+    """The first ``n`` rows for a join; whether they are broadcast is left to Spark's size check."""
+    return df.limit(n)

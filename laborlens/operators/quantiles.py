@@ -29,9 +29,10 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], probabilities: Sequ
        the values in those ranges are read again, counted and ranked, each bucket
        in its own task.
     Steps 1 and 2 run at once and bring at most 256 numbers per column to the
-    driver. A column without values gives no row.
+    driver. NaN counts as missing, infinities are values. A column without values gives
+    no row.
     """
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    rows = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(math.nan)).alias(c) for c in columns])
     edges = _edges(rows, columns)
     known = list(edges)
     if not known:
@@ -40,7 +41,7 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], probabilities: Sequ
 
     ranges = {(t[0], t[1]) for t in targets}
     wanted = [
-        (F.col(c) >= edges[c][int(b)]) & (F.col(c) < edges[c][int(b) + 1]) for c, b in sorted(ranges)
+        (F.col(c) >= edges[c][int(b)]) & (F.col(c) <= edges[c][int(b) + 1]) for c, b in sorted(ranges)
     ]
     near = _long(rows.filter(reduce(lambda x, y: x | y, wanted)), edges)
     # as many rows as percentiles were asked for, twice at most
@@ -60,7 +61,8 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], probabilities: Sequ
         .agg(F.min("v").alias("low"), F.max("v").alias("high"))
     )
     weight = F.col("position") - F.floor("position")
-    quantile = F.col("low") + (F.col("high") - F.col("low")) * weight
+    # between equal infinities there is nothing to interpolate
+    quantile = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + (F.col("high") - F.col("low")) * weight)
     in_order = F.array_sort(F.collect_list(F.struct("i", quantile.alias("q"))))
     return found.groupBy("column_name").agg(F.transform(in_order, lambda e: e["q"]).alias("percentiles"))
 
@@ -69,7 +71,8 @@ def _edges(rows: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
     """Bucket edges per column that has values; equal values never straddle an edge."""
     steps = [i / BUCKETS for i in range(1, BUCKETS)]
     sketch = rows.agg(*[F.percentile_approx(c, steps, 10 * BUCKETS).alias(c) for c in columns]).first()
-    return {c: [-math.inf, *sorted(set(sketch[c])), math.inf] for c in columns if sketch[c]}
+    finite = {c: sorted(v for v in set(sketch[c]) if math.isfinite(v)) for c in columns if sketch[c]}
+    return {c: [-math.inf, *inner, math.inf] for c, inner in finite.items()}
 
 
 def _long(rows: DataFrame, edges: dict[str, list[float]]) -> DataFrame:

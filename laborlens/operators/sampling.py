@@ -10,9 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from .bounded import bounded_map
-
-MAX_STRATA = 100_000
 SLICE_BITS = 12
 
 
@@ -22,21 +19,25 @@ def _draw(identity: Sequence[str], seed: int) -> Column:
 
 
 def sample_per_partition(
-    df: DataFrame, n: int, identity: Sequence[str], blocks: int, seed: int = 42
+    df: DataFrame, n: int, identity: Sequence[str], blocks: int, seed: int = 42, salts: int = 64
 ) -> DataFrame:
     """At most ``n`` rows from each of ``blocks`` hash blocks of the input.
 
     Blocks are cut by a hash of the row identity, so they are even by construction.
+    Ranks are cut within salted parts of a block first, so few tasks never rank all rows.
     """
-    order = W.partitionBy("_block").orderBy("_draw", *identity)
+    order = ["_draw", *identity]
     return (
         df.withColumns({
             "_block": F.pmod(F.xxhash64(*identity), F.lit(blocks)),
             "_draw": _draw(identity, seed),
+            "_salt": F.pmod(F.xxhash64(F.lit(seed + 1), *identity), F.lit(salts)),
         })
-        .withColumn("_rn", F.row_number().over(order))
+        .withColumn("_rn", F.row_number().over(W.partitionBy("_block", "_salt").orderBy(*order)))
+        .filter(F.col("_rn") <= n)
+        .withColumn("_rn", F.row_number().over(W.partitionBy("_block").orderBy(*order)))
         .filter(F.col("_rn") <= n)
-        .drop("_block", "_draw", "_rn")
+        .drop("_block", "_draw", "_salt", "_rn")
     )
 
 
@@ -58,8 +59,9 @@ def stratified_sample(
 
     The range of the draw is cut into 4096 slices. Counting rows per (stratum, slice)
     reads the identity columns only and reduces on the map side; it tells after which
-    slice each quota is full. Whole rows beyond that slice are never shuffled. The
-    rest (quota plus one slice) is ranked in salted groups first, so that a stratum
+    slice each quota is full. The cuts, one row a stratum, are joined back; Spark
+    broadcasts them while they are small, so rows beyond their slice aren't shuffled
+    then. The rest (quota plus one slice) is ranked in salted groups first, so that a stratum
     holding a third of all rows is not ranked by one task.
     """
     slice_of = F.shiftrightunsigned("_draw", 63 - SLICE_BITS).cast("int")
@@ -73,10 +75,10 @@ def stratified_sample(
     last_slice = needed.filter(F.col("_before") < F.col("quota")).groupBy(stratum).agg(
         F.struct(F.max("_slice").alias("slice"), F.any_value("quota").alias("quota")).alias("cut")
     )
-    cuts = bounded_map(last_slice, stratum, "cut", MAX_STRATA)
+    cuts = last_slice.select(stratum, F.col("cut").alias("_cut"))
 
     candidates = (
-        sliced.withColumn("_cut", F.try_element_at(cuts, F.col(stratum)))
+        sliced.join(cuts, stratum)
         .filter(F.col("_slice") <= F.col("_cut.slice"))
         .withColumn("_salt", F.pmod(F.xxhash64(*identity), F.lit(salts)))
     )

@@ -271,11 +271,11 @@ def median_blend(
 def _monthly_arrays(df: DataFrame, series: Series, min_rows: int) -> DataFrame:
     """One row per series with its gap-free monthly values as an array.
 
-    The rows are small but the folds over them are not: a stated number of tasks
-    keeps the adaptive planner from packing all series into a few.
+    The rows are small but the folds over them are not: as many tasks as the cluster's
+    shuffles are configured for keep the adaptive planner from packing all series into a few.
     """
     keys = list(series.keys)
-    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+    spread = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     usable = filters.min_series_length(spread, min_rows, keys)
     dense = joins.densify(usable, keys, series.date, series.value)
     points = F.array_sort(F.collect_list(F.struct(F.col(series.date).alias("d"), F.col(series.value).cast("double").alias("y"))))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, text, values
 from ..operators import aggregates, filters, joins, paging, projections, setops, windows
-from ..operators.layout import spread
 from ..plans import domain, etl
 from .core import CLOSED, DEMAND, FORECASTS, POSTING_SKILLS, POSTINGS, VOLUME, query
 
@@ -718,7 +717,7 @@ TOKENS_SQL = "list_distinct(list_filter(string_split_regex(lower(text), '[^\\p{L
     f"SELECT doc_id, array_to_string(list_sort({TOKENS_SQL}), ',') AS skills FROM documents",
 )
 def c01(spark, sf):
-    docs = spread(domain.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    docs = domain.table(spark, sf, "documents").select("doc_id", "text")
     found = text.extract_skills("text", COMMON_WORDS)
     return docs.select("doc_id", text.join_list(F.transform(found, F.lower)).alias("skills"))
 
@@ -729,7 +728,7 @@ def c01(spark, sf):
         SELECT lang, word, count(*) AS n FROM tagged GROUP BY 1, 2""",
 )
 def c01d(spark, sf):
-    docs = spread(domain.table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id")
+    docs = domain.table(spark, sf, "documents").select("doc_id", "lang", "text")
     tagged = docs.select("lang", F.explode(text.extract_skills("text", COMMON_WORDS)).alias("word"))
     return tagged.groupBy("lang", F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
 

@@ -12,7 +12,7 @@ from ..sources import readers, sinks
 from .core import CLOSED, DEMAND, POSTINGS, VOLUME, query
 from .relational import HISTORY_AND_FORECAST, LISTING_WORDS, _history_and_forecast, _raw_listings
 
-LISTING_SQL = f"""WITH {POSTINGS} SELECT title, company, location, CAST(salary_min AS DOUBLE) AS salary_min, CAST(salary_max AS DOUBLE) AS salary_max,
+LISTING_SQL = f"""WITH {POSTINGS} SELECT CASE WHEN is_remote THEN title || chr(10) || '"quoted"' || chr(9) || 'end' ELSE title END AS title, company, location, CAST(salary_min AS DOUBLE) AS salary_min, CAST(salary_max AS DOUBLE) AS salary_max,
   'USD' AS salary_currency, source, id AS source_id, CAST(posted_date AS DATE) AS posted_date, job_type, experience_level, industry, is_remote,
   CASE WHEN is_remote THEN NULL ELSE skills END AS skills FROM postings"""
 
@@ -20,6 +20,8 @@ LISTING_SQL = f"""WITH {POSTINGS} SELECT title, company, location, CAST(salary_m
 def _listings(spark, sf):
     p = domain.postings(spark, sf).withColumns({
         "source_id": F.col("id"),
+        # a line break, quotes and a tab
+        "title": F.when(F.col("is_remote"), F.concat("title", F.lit('\n"quoted"\tend'))).otherwise(F.col("title")),
         "posted_date": F.col("posted_date").cast("timestamp"),
         "skills": F.when(~F.col("is_remote"), F.col("skills")),
     })
@@ -122,6 +124,9 @@ def s10(spark, sf):
     listed = domain.postings(spark, sf, "id", "title", "skills")
     sinks.write_csv(listed.withColumn("skills", F.translate("skills", ",", "|")), path)
     name = "external_" + path.rsplit("-", 1)[1]
+    other = scratch_path(spark, "external-before")
+    sinks.write_csv(listed.limit(1).withColumn("skills", F.lit("old")), other)
+    readers.external_table(spark, name, other, "id STRING, title STRING, skills STRING", ["skills"])
     table = readers.external_table(spark, name, path, "id STRING, title STRING, skills STRING", ["skills"])
     return table.groupBy("title", F.size("skills").alias("skill_count")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -203,13 +208,18 @@ def k06(spark, sf):
 
 @query(
     "k07_write_partitioned",
-    "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1",
+    """SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, CAST(sum(length(props)) AS BIGINT) AS props_length
+       FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1""",
 )
 def k07(spark, sf):
     path = scratch_path(spark, "partitioned")
-    sinks.write_partitioned(domain.table(spark, sf, "events"), path, "ts", files_per_day=2)
+    events = domain.table(spark, sf, "events")
+    odd = F.dayofmonth("ts") % 2 == 1
+    for part in (odd, ~odd, odd):  # a later call keeps the other days and replaces its own
+        sinks.write_partitioned(events.filter(part), path, "ts")
     stored = spark.read.parquet(path).filter((F.col("day") >= 10) & (F.col("day") < 20))
-    return stored.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return stored.groupBy(F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.sum(F.length("props")).alias("props_length"))
 
 
 @query(

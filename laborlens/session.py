@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,12 +33,12 @@ def build_session(app_name: str = "laborlens", master: str | None = None, **conf
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
-    The directory is read from ``spark.checkpoint.dir``. Only a local master may
+    The directory is read from ``spark.checkpoint.dir``. Only a local master (one process) may
     fall back to a temporary folder, because there every task shares the machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="laborlens-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -17,16 +17,19 @@ from ..schemas import JOB_LISTINGS, RAW_POSTING_COLUMNS, TREND_DOCUMENT
 QUOTED_CSV = {"header": "true", "quote": '"', "escape": '"'}
 
 
-def read_seed_tsv(spark: SparkSession, path: str, schema: T.StructType = JOB_LISTINGS) -> DataFrame:
+def read_seed_tsv(
+    spark: SparkSession, path: str, schema: T.StructType = JOB_LISTINGS, multi_line: bool = True
+) -> DataFrame:
     """Tab-separated table with a header; an unquoted empty field is NULL.
 
-    Flags come as t/f or True/False, so they are read as text and converted.
+    Quoted fields may hold tabs, quotes and line breaks; with ``multi_line=False`` line
+    breaks end a row and large files are split over tasks. Flags come as t/f or True/False, so they are read as text and converted.
     """
     flags = {f.name for f in schema.fields if isinstance(f.dataType, T.BooleanType)}
     raw = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name in flags else f.dataType) for f in schema.fields]
     )
-    df = spark.read.schema(raw).csv(path, sep="\t", header=True, escape='"')
+    df = spark.read.schema(raw).csv(path, sep="\t", header=True, escape='"', multiLine=multi_line)
     return df.withColumns({name: values.text_flag(name) for name in flags}) if flags else df
 
 
@@ -93,9 +96,17 @@ def external_table(
     spark: SparkSession, name: str, path: str, schema: str, array_columns: Sequence[str] = (), sep: str = ",",
     array_sep: str = "|",
 ) -> DataFrame:
-    """Register delimited text as an unmanaged table; list columns are split into arrays."""
+    """Register delimited text as an unmanaged table; list columns are split into arrays.
+
+    A table of that name which reads the same text is kept; any other registration is
+    replaced, its files stay. A managed table of that name is an error.
+    """
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType == "MANAGED":
+            raise ValueError(f"{name} is a managed table")
+        spark.sql(f"DROP TABLE {name}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING csv "
+        f"CREATE TABLE {name} ({schema}) USING csv "
         f"OPTIONS (header 'true', sep '{sep}') LOCATION '{path}'"
     )
     df = spark.table(name)
@@ -152,28 +163,27 @@ def detect_join_keys(left: Sequence[str], right: Sequence[str]) -> tuple[str | N
 
 def load_first_valid(
     spark: SparkSession, paths: Sequence[str], fallback: Callable[[], DataFrame], min_rows: int = 6,
-    min_months: int = 12,
+    min_months: int = 12, multi_line: bool = True,
 ) -> tuple[DataFrame, str]:
     """Monthly demand from the first usable file in name order, else the fallback.
 
     Usable: date, skill and demand columns, at least ``min_rows`` dated and complete
-    rows, and a span of ``min_months`` months. One aggregate row per candidate
-    comes to the driver.
+    rows, and a span of ``min_months`` months. Each candidate is scanned once for that,
+    and one aggregate row of it comes to the driver.
     """
     for path in sorted(paths):
-        raw = spark.read.options(**QUOTED_CSV).csv(path, multiLine=True)
+        raw = spark.read.options(**QUOTED_CSV).csv(path, multiLine=multi_line)
         roles = detect_roles(raw.columns)
         if not roles.complete:
             continue
-        dated = raw.withColumn("_day", F.to_date(dates.parse_date(roles.date)))
+        day = F.to_date(dates.parse_date(roles.date))
+        complete = F.trim(F.col(roles.skill).cast("string")).isNotNull() & values.to_number(roles.demand).isNotNull()
         demand = projections.normalize_demand(raw, roles.date, roles.skill, roles.demand)
-        check = dated.agg(
-            F.count("_day").alias("dated"),
-            dates.month_gap(F.max("_day"), F.min("_day")).alias("months"),
+        check = raw.agg(
+            F.count(day).alias("dated"), dates.month_gap(F.max(day), F.min(day)).alias("months"),
+            F.count_if(day.isNotNull() & complete).alias("complete"),
         ).first()
-        if check.dated < min_rows or check.months < min_months:
-            continue
-        if demand.agg(F.count(F.lit(1)).alias("n")).first().n < min_rows:
+        if check.dated < min_rows or check.months < min_months or check.complete < min_rows:
             continue
         monthly = aggregates.monthly_demand(demand)
         return projections.shape_skill_demand(monthly, "Global"), path

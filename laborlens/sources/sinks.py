@@ -84,21 +84,20 @@ def export(df: DataFrame, path: str, fmt: str) -> None:
     df.write.mode("overwrite").format(fmt).options(**EXPORT_FORMATS[fmt]).save(path)
 
 
-def write_partitioned(df: DataFrame, path: str, ts: str, files_per_day: int = 1) -> None:
-    """Parquet under year/month/day folders.
+def write_partitioned(df: DataFrame, path: str, ts: str) -> None:
+    """Parquet under year/month/day folders; days of earlier writes stay, a day written again is replaced.
 
-    Rows are spread by day and a salt, so a busy day is written by several tasks
-    and a quiet one does not become many small files.
+    The rebalance lets Spark give a busy day to several tasks and pack quiet days together.
     """
     dated = df.withColumns({
         "year": F.year(ts),
         "month": F.date_format(ts, "MM"),
         "day": F.date_format(ts, "dd"),
     })
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_day))
     (
-        dated.repartition("year", "month", "day", salt)
+        dated.hint("rebalance", "year", "month", "day")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", "day")
         .parquet(path)
     )

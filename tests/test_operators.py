@@ -10,7 +10,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from laborlens.operators import aggregates, analytics, filters, joins, paging, profile, projections, sampling, setops, windows
-from laborlens.operators.bounded import bounded_map
 from laborlens.operators.quantiles import exact_percentiles
 
 
@@ -191,12 +190,29 @@ def test_repeat_rows(spark):
     assert rows(got.groupBy("k").count()) == [("a", 1), ("b", 2), ("c", 19)]
 
 
-def test_bounded_map_checks_its_size(spark):
-    df = spark.range(10).select("id", (F.col("id") * 2).alias("v"))
-    ok = spark.range(3).select(F.try_element_at(bounded_map(df, "id", "v", 10), F.col("id")).alias("v"))
-    assert sorted(r.v for r in ok.collect()) == [0, 2, 4]
-    with pytest.raises(Exception, match="more than 5"):
-        spark.range(3).select(F.try_element_at(bounded_map(df, "id", "v", 5), F.col("id"))).collect()
+def test_sample_takes_any_number_of_strata(spark):
+    df = spark.range(120_000).select("id", F.concat(F.lit("s"), "id").alias("stratum"))
+    assert sampling.stratified_sample(df, "stratum", 110_002, ["id"]).count() == 110_002
+
+
+def test_block_sample_keeps_every_small_block(spark):
+    df = spark.range(5_000)
+    sizes = df.groupBy(F.pmod(F.xxhash64("id"), F.lit(3)).alias("block")).count().collect()
+    got = sampling.sample_per_partition(df, 2_000, ["id"], 3)
+    kept = {r.block: r["count"] for r in got.groupBy(F.pmod(F.xxhash64("id"), F.lit(3)).alias("block")).count().collect()}
+    assert kept == {r.block: min(2_000, r["count"]) for r in sizes}
+
+
+def test_percentiles_with_nan_and_infinity(spark):
+    rows = [(1.0, float("nan")), (2.0, float("inf")), (float("nan"), 1.0), (None, 2.0), (4.0, 3.0)]
+    got = {r.column_name: r.percentiles for r in exact_percentiles(spark.createDataFrame(rows, "a double, b double"), ["a", "b"], [0.0, 0.5, 1.0]).collect()}
+    assert got == {"a": [1.0, 2.0, 4.0], "b": [1.0, 2.5, float("inf")]}
+
+
+def test_facets_are_complete(spark):
+    df = spark.range(60).select((F.col("id") % 25).cast("string").alias("company"))
+    assert analytics.facet_counts(df, ["company"]).count() == 25
+    assert analytics.facet_counts(df, ["company"], k=3).count() == 3
 
 
 def test_normalize_demand_drops_incomplete_rows(spark):
