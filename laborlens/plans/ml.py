@@ -75,8 +75,14 @@ def posting_quality_score(
     return scored.select(*identity, "spam_probability", (F.col("spam_probability") >= threshold).alias("is_spam"))
 
 
-def fit_text_classifier(labelled: DataFrame, text: str = "text", label: str = "category", features: int = 1 << 14) -> PipelineModel:
-    """TF-IDF over hashed words and a multinomial logistic regression."""
+def fit_text_classifier(
+    labelled: DataFrame, text: str = "text", label: str = "category", features: int = 1 << 14, max_rows: int = 20_000
+) -> PipelineModel:
+    """TF-IDF over hashed words and a multinomial logistic regression.
+
+    Fitted on at most ``max_rows`` labelled rows, the first ones by a hash of the text.
+    """
+    labelled = labelled.dropna(subset=[text, label]).orderBy(F.xxhash64(text)).limit(max_rows)
     return Pipeline(stages=[
         StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc"),
         RegexTokenizer(inputCol=text, outputCol="words", pattern=r"[^\p{L}\p{N}]+"),

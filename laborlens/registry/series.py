@@ -265,10 +265,21 @@ def m03(spark, sf):
 
 @query(
     "l06_sample_per_partition",
+    """SELECT l_orderkey, count(*) AS n, true AS known, true AS blocks_full FROM lineitem GROUP BY 1
+       HAVING count(*) >= 7""",
 )
 def l06(spark, sf):
+    """Per order of at least seven lines: whether the drawn lines are lines of the order, and whether each block is full."""
     p = domain.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return sampling.sample_per_partition(p, 100, p.columns, blocks=8)
+    drawn = sampling.sample_per_partition(p, 2_000, p.columns, blocks=8)
+    block = F.pmod(F.xxhash64(*p.columns), F.lit(8)).alias("block")
+    sizes = p.groupBy(block).agg(F.least(F.count(F.lit(1)), F.lit(2_000)).alias("due"))
+    full = sizes.join(drawn.groupBy(block).agg(F.count(F.lit(1)).alias("got")), "block", "left")
+    full = full.agg(F.bool_and(F.coalesce(F.col("got"), F.lit(0)) == F.col("due"))).scalar()
+    orders = p.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).filter("n >= 7")
+    taken = drawn.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("taken"))
+    return orders.join(taken, "l_orderkey", "left").select(
+        "l_orderkey", "n", (F.coalesce("taken", F.lit(0)) <= F.col("n")).alias("known"), full.alias("blocks_full"))
 
 
 @query(

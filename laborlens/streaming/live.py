@@ -1,7 +1,9 @@
 """Live counts, de-duplication, the demand index and trending alerts.
 
 State is bounded by a watermark: rows later than ``delay`` behind the newest event
-are dropped.
+are dropped, and ``late_rows`` counts them. In update mode a window is delivered as it
+grows, so the open windows at the end are there too; ``upsert`` stores these versions
+and ``current`` serves the newest one.
 """
 
 from __future__ import annotations
@@ -9,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 WATERMARK = "30 seconds"
+# The index holds whole days; rows may come as late as this.
+INDEX_DELAY = "2 days"
 
 
 def live_counts(
@@ -32,7 +36,7 @@ def dedupe_stream(stream: DataFrame, ts: str, keys: Sequence[str], delay: str =
 
 
 def demand_index(
-    stream: DataFrame, ts: str, keys: Sequence[str], value: str, delay: str = WATERMARK
+    stream: DataFrame, ts: str, keys: Sequence[str], value: str, delay: str = INDEX_DELAY
 ) -> DataFrame:
     """Running count and sum of a value per day and key, for the update output mode."""
     return (
@@ -43,13 +47,13 @@ def demand_index(
     )
 
 
-def upsert_demand_index(index: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Keep the index table current.
+def upsert(windows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Keep a table of windows current.
 
-    Each update row carries the whole new state of its (day, key). A batch is stored
-    as its own partition, which a replay overwrites, and ``current_index`` serves
+    Each update row carries the whole new state of its window and key. A batch is
+    stored as its own partition, which a replay overwrites, and ``current`` serves
     the newest state. Nothing is read back and rewritten in place, so losing an
-    executor in the middle of a batch cannot damage earlier days.
+    executor in the middle of a batch cannot damage earlier windows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -62,15 +66,29 @@ def upsert_demand_index(index: DataFrame, path: str, checkpoint: str) -> DataStr
         )
 
     return (
-        index.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+        windows.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     )
 
 
-def current_index(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The newest version of each (day, key)."""
-    measures = [c for c in versions.columns if c not in ("day", "batch_id", *keys)]
+def current(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The newest version of each window and key."""
+    measures = [c for c in versions.columns if c not in ("batch_id", *keys)]
     newest = F.max_by(F.struct(*measures), "batch_id").alias("_state")
-    return versions.groupBy("day", *keys).agg(newest).select("day", *keys, "_state.*")
+    return versions.groupBy(*keys).agg(newest).select(*keys, "_state.*")
+
+
+def compact(versions: DataFrame, keys: Sequence[str], path: str) -> None:
+    """The newest versions of a stopped stream as a table of their own, numbered as the last batch.
+
+    A stream that goes on into ``path`` with its old checkpoint adds later batches there.
+    """
+    last = versions.agg(F.max("batch_id")).scalar()
+    current(versions, keys).withColumn("batch_id", last).write.partitionBy("batch_id").parquet(path)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark, over the progress that the query remembers."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
 
 
 def trending_alerts(
@@ -79,8 +97,8 @@ def trending_alerts(
 ) -> DataFrame:
     """Windows whose count reaches ``threshold`` times the key's usual count per window.
 
-    ``baseline`` is a static table (key, expected). Only closed windows are joined,
-    one row per window and key.
+    ``baseline`` is a static table (key, expected). One row per window and key is joined:
+    in append mode when the window closes, in update mode each time it grows.
     """
     counted = live_counts(stream, ts, [key], width, delay)
     return (

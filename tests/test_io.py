@@ -191,8 +191,8 @@ def test_demand_index_keeps_the_newest_state(spark, tmp_path):
         write_events(source, f"{run}.json", rows)
         stream = postings.file_ingest(spark, str(source), "ts timestamp, k string").withColumn("v", F.lit(2.0))
         index = live.demand_index(stream, "ts", ["k"], "v")
-        drain(live.upsert_demand_index(index, str(tmp_path / "index"), str(tmp_path / "cp")))
-    got = live.current_index(spark.read.parquet(str(tmp_path / "index")), ["k"]).orderBy("k").collect()
+        drain(live.upsert(index, str(tmp_path / "index"), str(tmp_path / "cp")))
+    got = live.current(spark.read.parquet(str(tmp_path / "index")), ["day", "k"]).orderBy("k").collect()
     assert [(r.k, r.n, r.total) for r in got] == [("a", 2, 4.0), ("b", 1, 2.0)]
 
 
