@@ -83,10 +83,16 @@ def trend_summary(postings: DataFrame, as_of) -> DataFrame:
     ).withColumn("trend_direction", direction(F.col("growth_90d")))
 
 
-def skill_ranking(postings: DataFrame, as_of, limit: int = 20, offset: int = 0) -> DataFrame:
-    """Rank, postings, share, mean salary and 30/90-day growth per skill."""
+def skill_ranking(
+    postings: DataFrame, as_of, limit: int = 20, offset: int = 0, region: str | None = None, industry: str | None = None
+) -> DataFrame:
+    """Rank, postings, share, mean salary and 30/90-day growth per skill; ``total`` counts the skills."""
     day = _as_of(as_of)
+    for column, value in (("region", region), ("industry", industry)):
+        if value is not None:
+            postings = postings.filter(F.col(column) == value)
     total = postings.agg(_count()).scalar()
+    skills = exploded(postings).agg(F.count_distinct("skill")).scalar()
     order = [F.desc("postings_count"), F.asc("skill")]
     ranked = (
         exploded(postings, "posted_date", "salary_min", "salary_max")
@@ -102,7 +108,7 @@ def skill_ranking(postings: DataFrame, as_of, limit: int = 20, offset: int = 0)
         .withColumn("rank", F.row_number().over(W.orderBy(*order)))
     )
     share = F.round(F.col("postings_count") / total * 100, 1)
-    return ranked.filter(F.col("rank") > offset).withColumn("postings_pct", share)
+    return ranked.filter(F.col("rank") > offset).withColumn("postings_pct", share).withColumn("total", skills)
 
 
 def skill_overview(postings: DataFrame, skill: str, as_of) -> DataFrame:

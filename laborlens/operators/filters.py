@@ -131,6 +131,12 @@ def advanced_search(
     return df.filter(all_of(predicates))
 
 
+def search_page(matched: DataFrame, order: Sequence[Column | str], limit: int, offset: int = 0) -> DataFrame:
+    """One page of a search with ``total``, the number of all matches, in every row."""
+    total = matched.agg(F.count(F.lit(1))).scalar()
+    return matched.orderBy(*order).offset(offset).limit(limit).withColumn("total", total)
+
+
 def salary_valid(low: str = "salary_min", high: str = "salary_max") -> Column:
     """A present bound is positive and the bounds are in order."""
     lower, upper = F.col(low), F.col(high)
@@ -158,17 +164,13 @@ def drop_spam(df: DataFrame, rules: Sequence[tuple[Column, float]], threshold: f
 
 def search_skills(
     df: DataFrame, query: str, limit: int = 20, category: str | None = None, key: str = "skill_name",
-    demand: str = "demand",
+    demand: str = "demand", offset: int = 0,
 ) -> DataFrame:
-    """Names containing the query with an edit-distance score, most demanded first."""
+    """Names containing the query with an edit-distance score, most demanded first; ``total`` counts all of them."""
     name = F.lower(F.col(key))
     wanted = F.lit(query.lower())
     score = 1 - F.levenshtein(name, wanted) / F.greatest(F.length(name), F.length(wanted))
     matched = df.filter(contains_ci(key, query))
     if category is not None:
         matched = matched.filter(equals_ci("category", category))
-    return (
-        matched.withColumn("match_score", F.round(score, 4))
-        .orderBy(F.desc(demand), key)
-        .limit(limit)
-    )
+    return search_page(matched.withColumn("match_score", F.round(score, 4)), [F.desc(demand), key], limit, offset)

@@ -59,11 +59,11 @@ def _found(spark, sf):
 
 @query(
     "f13_advanced_search",
-    f"WITH {POSTINGS}, {SEARCH} SELECT id, title, company, region, CAST(posted_date AS DATE) AS day FROM found ORDER BY posted_date DESC, id LIMIT 100",
+    f"WITH {POSTINGS}, {SEARCH} SELECT id, title, company, region, CAST(posted_date AS DATE) AS day, (SELECT count(*) FROM found) AS total FROM found ORDER BY posted_date DESC, id LIMIT 100 OFFSET 5",
 )
 def f13(spark, sf):
-    rows = _found(spark, sf).orderBy(F.desc("posted_date"), "id").limit(100)
-    return rows.select("id", "title", "company", "region", F.to_date("posted_date").alias("day"))
+    rows = filters.search_page(_found(spark, sf), [F.desc("posted_date"), "id"], 100, 5)
+    return rows.select("id", "title", "company", "region", F.to_date("posted_date").alias("day"), "total")
 
 
 @query(
@@ -71,7 +71,7 @@ def f13(spark, sf):
     f"""WITH {POSTINGS}, {SEARCH}, pairs AS (
           SELECT 'region' AS facet, region AS value FROM found UNION ALL SELECT 'industry', industry FROM found
           UNION ALL SELECT 'skills', unnest(list_distinct(string_split(skills, ','))) FROM found)
-        SELECT facet, value, count(*) AS n FROM pairs GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY facet ORDER BY count(*) DESC, value) <= 20""",
+        SELECT facet, value, count(*) AS n FROM pairs GROUP BY 1, 2""",
 )
 def f13f(spark, sf):
     return analytics.facet_counts(_found(spark, sf), ["region", "industry", "skills"])
@@ -99,7 +99,7 @@ def f14s(spark, sf):
 @query(
     "f15_search_skills",
     f"""WITH {POSTINGS}, d AS (SELECT title AS skill_name, split_part(title, ' ', 2) AS category, count(*) AS demand FROM postings GROUP BY 1, 2)
-        SELECT skill_name, category, demand, 1 - levenshtein(lower(skill_name), 'red') / CAST(greatest(length(skill_name), 3) AS DOUBLE) AS match_score
+        SELECT skill_name, category, demand, 1 - levenshtein(lower(skill_name), 'red') / CAST(greatest(length(skill_name), 3) AS DOUBLE) AS match_score, count(*) OVER () AS total
         FROM d WHERE contains(lower(skill_name), 'red') ORDER BY demand DESC, skill_name LIMIT 20""",
     doubles=("match_score",), places=4,
 )
@@ -214,7 +214,7 @@ def a32s(spark, sf):
     "a33_skill_ranking",
     f"""WITH {POSTING_SKILLS}, r AS (SELECT skill, count(*) AS postings_count, {SALARY} AS avg_salary, {growth_sql(30)} AS growth_30d, {growth_sql(90)} AS growth_90d,
           row_number() OVER (ORDER BY count(*) DESC, skill) AS rank FROM posting_skills GROUP BY 1)
-        SELECT *, round(postings_count * 100.0 / (SELECT count(*) FROM postings), 1) AS postings_pct FROM r WHERE rank > 2 AND rank <= 12""",
+        SELECT *, round(postings_count * 100.0 / (SELECT count(*) FROM postings), 1) AS postings_pct, (SELECT count(*) FROM r) AS total FROM r WHERE rank > 2 AND rank <= 12""",
     doubles=("avg_salary", "growth_30d", "growth_90d", "postings_pct"), longs=("rank",), places=4,
 )
 def a33(spark, sf):
