@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+from contextlib import contextmanager
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
@@ -57,6 +58,18 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+@contextmanager
+def rows_a_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what is written inside, where rows are wide."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write below the shared checkpoint folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -13,25 +13,29 @@ single pairs, so groups of many copies cost no quadratic output.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import pieces_by_bytes, share, small, stored, utf8
+from .common import pieces_by_bytes, rows_a_batch, share, small, stored, utf8
 from .components import components
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Documents that give the token order; it steers speed only, the result doesn't depend on it.
 ORDER_SAMPLE = 6_000
 ORDER_COUNT = 3
 CELL_BITS = 22
-BANDS, BAND_ROWS = 4, 3
+BANDS, BAND_ROWS = 4, 5
 #: A group holds about so many sets and so many tokens at most.
 GROUP_SETS, GROUP_TOKENS = 256, 1 << 18
 #: Distinct pairs of token and group that a matrix task holds before it compacts them.
-MATRIX_ROWS = 4 << 20
+MATRIX_ROWS = 2 << 20
+#: Rows with whole texts or sets in an Arrow batch, and tokens that a step of the min-hashes looks at.
+WIDE_ROWS, HASH_STEP = 1000, 1 << 15
 COLUMNS = 1 << 14
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -115,8 +119,12 @@ class Signer:
 
     def sign(self, s: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
         node = node_of(s)
-        low = (s[:, None] * self.factors).min(0).reshape(BANDS, BAND_ROWS)
-        band = np.arange(BANDS, dtype=np.uint64)
+        low = (s[:HASH_STEP, None] * self.factors).min(0)
+        for lo in range(HASH_STEP, len(s), HASH_STEP):
+            low = np.minimum(low, (s[lo:lo + HASH_STEP, None] * self.factors).min(0))
+        low = low.reshape(BANDS, BAND_ROWS)
+        # sets of like size only: the size counts as its power of the inverse similarity
+        band = np.arange(BANDS, dtype=np.uint64) + np.uint64(BANDS * int(math.log(len(s)) / -math.log(self.percent / 101)))
         for j in range(BAND_ROWS):
             band = mix(band * ODD + low[:, j])
         n = len(s)
@@ -129,9 +137,10 @@ class Signer:
 
 def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     for batch in batches:
-        texts = [t or b"" for t in utf8(batch.column(column))]
-        for lo, hi in pieces_by_bytes([len(t) for t in texts], CHUNK_BYTES):
-            yield batch.slice(lo, hi - lo), texts[lo:hi]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for lo, hi in pieces_by_bytes(sizes, CHUNK_BYTES):
+            part = batch.slice(lo, hi - lo)
+            yield part, [t or b"" for t in utf8(part.column(column))]
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -295,7 +304,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 def signatures(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
     """A written table of ``id, mark`` (hash of the text)``, n, node, bands, signature`` for every row."""
     texts = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
-    return stored(_signed(texts, width, percent), "signatures")
+    with rows_a_batch(docs.sparkSession, WIDE_ROWS):
+        return stored(_signed(texts, width, percent), "signatures")
 
 
 def classes(docs: DataFrame, signed: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
@@ -316,15 +326,15 @@ def classes(docs: DataFrame, signed: DataFrame, doc_id: str, text: str, width: i
 
     # the matrix, and the pairs of groups that may hold a link
     one_each = sets.select("node", "id", "signature").join(grouped.select("node", "first_id", "group"), "node").filter("id = first_id")
-    matrix = stored(_matrix(one_each.select(F.explode("signature").alias("token"), "group")), "matrix")
     bounds = grouped.groupBy("group").agg(
         F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("sets"), F.min(F.lit(1) + F.expr("n div 48")).alias("need"))
-    a, b = matrix.toDF("token", "g"), matrix.toDF("token", "h")
-    met = a.join(b, "token").filter("g < h").groupBy("g", "h").agg(F.count("*").alias("met"))
-    met = met.join(bounds.toDF("g", "g_lo", "g_hi", "g_sets", "g_need"), "g").join(bounds.toDF("h", "h_lo", "h_hi", "h_sets", "h_need"), "h")
-    met = met.filter((F.col("met") >= F.least("g_need", "h_need")) & (F.col("g_hi") * 100 >= F.col("h_lo") * percent)
-                     & (F.col("h_hi") * 100 >= F.col("g_lo") * percent)).select("g", "h")
-    pairs = stored(met.union(bounds.filter("sets > 1").select("group", "group")), "pairs")
+    matrix = _matrix(one_each.select(F.explode("signature").alias("token"), "group"))
+    matrix = stored(matrix.join(bounds, "group").select("token", "group", "lo", "hi", "need"), "matrix")
+    a, b = matrix.toDF("token", "g", "g_lo", "g_hi", "g_need"), matrix.toDF("token", "h", "h_lo", "h_hi", "h_need")
+    fits = (F.col("g") < F.col("h")) & (F.col("g_hi") * 100 >= F.col("h_lo") * percent) & (F.col("h_hi") * 100 >= F.col("g_lo") * percent)
+    met = a.join(b, (a["token"] == b["token"]) & fits).groupBy("g", "h").agg(
+        F.count("*").alias("met"), F.min(F.least("g_need", "h_need")).alias("need"))
+    pairs = stored(met.filter("met >= need").select("g", "h").union(bounds.filter("sets > 1").select("group", "group")), "pairs")
 
     # the sets of the groups to open, from their texts
     sides = pairs.select(F.xxhash64("g", "h").alias("pair"), F.col("g").alias("group"), F.lit(0).alias("side")).union(
@@ -341,8 +351,9 @@ def classes(docs: DataFrame, signed: DataFrame, doc_id: str, text: str, width: i
                     [pa.array([node_of(s) for s in sets], pa.int64()), _lists([s.view(np.int64) for s in sets])], names=["node", "tokens"])
 
     full = texts.join(small(stored(wanted, "wanted")), "id", "left_semi").select("text").mapInArrow(tokens, "node long, tokens array<long>")
-    opened = stored(_opened(members.select("pair", "side", "node", "copies").join(full, "node").select(
-        "pair", "side", "node", "copies", "tokens"), percent), "opened")
+    with rows_a_batch(docs.sparkSession, WIDE_ROWS):
+        opened = stored(_opened(members.select("pair", "side", "node", "copies").join(full, "node").select(
+            "pair", "side", "node", "copies", "tokens"), percent), "opened")
 
     # components, and everything back to the rows
     linked = components(opened.select("src", "dst"))
