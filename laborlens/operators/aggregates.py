@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T, Window as W
 
 from ..functions import dates, text
 from ..functions.vocab import TOTAL_SERIES
@@ -69,23 +69,38 @@ def top_skills_from_listings(df: DataFrame, n: int = 20, skills: str = "skills")
 
 
 def dashboard_stats(df: DataFrame, top: int = 10, top_skill: int = 20) -> DataFrame:
-    """Totals and three rankings as rows (section, name, value)."""
-    totals = df.agg(
-        F.count(F.lit(1)).cast("double").alias("total_jobs"),
-        avg_salary_value().alias("avg_salary"),
-        F.count_if(filters.is_true("is_remote")).cast("double").alias("remote_jobs"),
-    ).unpivot([], ["total_jobs", "avg_salary", "remote_jobs"], "name", "value")
-
-    def section(name: str, ranking: DataFrame) -> DataFrame:
-        return ranking.select(F.lit(name).alias("section"), "name", F.col("n").cast("double").alias("value"))
-
-    parts = [
-        totals.select(F.lit("totals").alias("section"), "name", "value"),
-        section("industry", top_by_count(df, "industry", top)),
-        section("location", top_by_count(df, "location", top)),
-        section("skill", top_skills_from_listings(df, top_skill)),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Totals and three rankings as rows (section, name, value), counted in one pass.
+
+    Each listing yields one (section, name) pair for the totals, its industry, its
+    location and each of its skills; the pairs are counted on the map side first.
+    """
+    def pair(section: str, name: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), name.cast("string").alias("name"))
+
+    def given(column: str, pairs: Column) -> Column:
+        return F.when(filters.non_blank(column, trim=False), pairs).otherwise(F.array().cast("array<struct<section:string,name:string>>"))
+
+    pairs = F.concat(
+        F.array(pair("totals", F.lit("all"))),
+        *[given(c, F.array(pair(c, F.col(c)))) for c in ("industry", "location")],
+        given("skills", F.transform(F.split("skills", ","), lambda t: pair("skill", F.trim(t)))),
+    )
+    counted = (
+        df.select("salary_min", "salary_max", filters.is_true("is_remote").alias("remote"), F.inline(pairs))
+        .groupBy("section", "name")
+        .agg(F.count(F.lit(1)).alias("n"), avg_salary_value().alias("avg_salary"), F.count_if("remote").alias("remote"))
+    )
+    # without any listing the totals are zeros
+    none = df.sparkSession.range(1).select(F.lit("totals"), F.lit("all"), F.lit(0).cast("bigint"), F.lit(0.0), F.lit(0).cast("bigint"))
+    order = W.partitionBy("section").orderBy(F.desc("n"), "name")
+    most = F.when(F.col("section") == "totals", 1).when(F.col("section") == "skill", top_skill).otherwise(top)
+    ranked = counted.union(none).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+
+    def value(name: Column, number: Column) -> Column:
+        return F.struct(name.alias("name"), number.cast("double").alias("value"))
+
+    totals = F.array(*[value(F.lit(n), F.col(c)) for n, c in (("total_jobs", "n"), ("avg_salary", "avg_salary"), ("remote_jobs", "remote"))])
+    return ranked.select("section", F.inline(F.when(F.col("section") == "totals", totals).otherwise(F.array(value(F.col("name"), F.col("n"))))))
 
 
 def monthly_counts(df: DataFrame, ts: str, name: str = "n") -> DataFrame:

@@ -165,34 +165,45 @@ def top_within(counts: DataFrame, group: str, name: str, k: int, value: str = "n
 def location_summary(postings: DataFrame, as_of, k: int = 3) -> DataFrame:
     """Postings, share, mean salary, 90-day growth and top industries and skills per location.
 
-    One pass counts (location, industry) cells, from which both the totals and the
-    industry lists follow; a second pass counts the skills.
+    One pass counts (location, kind, name) cells, kind being industry or skill; totals
+    follow from the industry cells, of which every posting is in one.
     """
     day = _as_of(as_of)
     both = F.col("salary_min") + F.col("salary_max")
-    cells = postings.groupBy("location", "industry").agg(
-        F.min("region").alias("region"),
-        _count().alias("n"),
-        F.sum(both).alias("salaries"),
-        F.count(both).alias("paid"),
-        F.count_if(_within(day, 0, 90)).alias("recent"),
-        F.count_if(_within(day, 90, 180)).alias("before"),
+
+    def pair(kind: str, name: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+
+    skills = F.coalesce(F.array_distinct("skills"), F.array().cast("array<string>"))
+    pairs = F.concat(F.array(pair("industry", F.col("industry"))), F.transform(skills, lambda s: pair("skill", s)))
+    cells = postings.select(
+        "location", "region", both.alias("both"), _within(day, 0, 90).alias("recent"), _within(day, 90, 180).alias("before"), F.inline(pairs)
+    ).groupBy("location", "kind", "name").agg(
+        F.min("region").alias("region"), _count().alias("n"), F.sum("both").alias("salaries"), F.count("both").alias("paid"),
+        F.count_if("recent").alias("recent"), F.count_if("before").alias("before"),
     )
-    base = cells.groupBy("location").agg(
+    ranked = cells.withColumn("rank", F.row_number().over(W.partitionBy("location", "kind").orderBy(F.desc("n"), F.asc("name"))))
+
+    def total(column: str) -> Column:
+        return F.sum(F.when(F.col("kind") == "industry", F.col(column)))
+
+    def top(kind: str) -> Column:
+        entry = F.struct((-F.col("n")).alias("_o"), "name", "n")
+        listed = F.array_sort(F.collect_list(F.when((F.col("kind") == kind) & (F.col("rank") <= k), entry)))
+        return F.nullif(F.transform(listed, lambda e: F.struct(e["name"].alias("name"), e["n"].alias("n"))), F.array())
+
+    base = ranked.filter((F.col("kind") == "industry") | (F.col("rank") <= k)).groupBy("location").agg(
         F.min("region").alias("region"),
-        F.sum("n").alias("postings_count"),
-        F.try_divide(F.sum("salaries").cast("double") / 2, F.sum("paid")).alias("avg_salary"),
-        pct_change(F.sum("recent").cast("double"), F.sum("before").cast("double")).alias("growth_90d"),
+        total("n").alias("postings_count"),
+        F.try_divide(total("salaries").cast("double") / 2, total("paid")).alias("avg_salary"),
+        pct_change(total("recent").cast("double"), total("before").cast("double")).alias("growth_90d"),
+        top("industry").alias("top_industries"), top("skill").alias("top_skills"),
     )
-    skills = exploded(postings, "location").groupBy("location", "skill").agg(_count().alias("n"))
     # one row per location: the unpartitioned window adds up a small table
-    total = F.sum("postings_count").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    industries = top_within(cells.select("location", "industry", "n"), "location", "industry", k)
-    return (
-        base.withColumn("postings_pct", F.col("postings_count") / total * 100)
-        .join(industries.withColumnRenamed("top", "top_industries"), "location", "left")
-        .join(top_within(skills, "location", "skill", k).withColumnRenamed("top", "top_skills"), "location", "left")
-    )
+    every = F.sum("postings_count").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    lists = ["top_industries", "top_skills"]
+    return base.withColumn("postings_pct", F.col("postings_count") / every * 100).select(
+        *[c for c in base.columns if c not in lists], "postings_pct", *lists)
 
 
 def company_volume(postings: DataFrame, company: str) -> DataFrame:
@@ -213,20 +224,15 @@ def company_profile(postings: DataFrame, company: str, k: int = 10) -> DataFrame
     """Top skills and titles and all locations of a company as rows (section, name, n, avg_salary)."""
     rows = postings.filter(F.col("company") == company)
 
-    def section(name: str, counted: DataFrame, column: str, limit: int | None) -> DataFrame:
-        grouped = counted.groupBy(F.col(column).alias("name")).agg(
-            _count().alias("n"), mean_salary().alias("avg_salary")
-        )
-        if limit:
-            grouped = grouped.orderBy(F.desc("n"), "name").limit(limit)
-        return grouped.select(F.lit(name).alias("section"), "name", "n", "avg_salary")
-
-    parts = [
-        section("skill", exploded(rows, "salary_min", "salary_max"), "skill", k),
-        section("title", rows, "title", k),
-        section("location", rows, "location", None),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    def pair(section: str, name: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), name.alias("name"))
+
+    skills = F.coalesce(F.array_distinct("skills"), F.array().cast("array<string>"))
+    pairs = F.concat(F.array(pair("title", F.col("title")), pair("location", F.col("location"))), F.transform(skills, lambda s: pair("skill", s)))
+    counted = rows.select("salary_min", "salary_max", F.inline(pairs)).groupBy("section", "name").agg(
+        _count().alias("n"), mean_salary().alias("avg_salary"))
+    rank = F.row_number().over(W.partitionBy("section").orderBy(F.desc("n"), F.asc("name")))
+    return counted.withColumn("rank", rank).filter((F.col("section") == "location") | (F.col("rank") <= k)).drop("rank")
 
 
 def company_ranking(

@@ -131,9 +131,10 @@ def stored_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Holds every brand and the total series.
     """
-    closed = closed_skill_demand(spark, sf_dir)
-    total = closed.groupBy("period_start").agg(F.sum("demand_count").alias("demand_count"))
-    rows = closed.unionByName(total.withColumn("skill_name", F.lit(TOTAL_SERIES)))
+    # every month counts for its series and for the total, in one pass
+    both = F.explode(F.array("skill_name", F.lit(TOTAL_SERIES))).alias("skill_name")
+    rows = closed_skill_demand(spark, sf_dir).select(both, "period_start", "demand_count").groupBy("skill_name", "period_start").agg(
+        F.sum("demand_count").alias("demand_count"))
     value = F.col("demand_count").cast("double")
     return rows.select(
         F.concat_ws("@", "skill_name", "period_start").alias("id"),
