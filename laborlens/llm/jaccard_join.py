@@ -25,13 +25,13 @@ from .common import pieces_by_bytes, rows_a_batch, share, small, stored, utf8
 from .components import components
 
 CHUNK_BYTES = 1 << 20
-#: Documents that give the token order; it steers speed only, the result doesn't depend on it.
-ORDER_SAMPLE = 6_000
-ORDER_COUNT = 3
+#: The token order is taken from a sample: this share of all documents and so many at least, and the tokens seen
+#: twice or more, so many at most. It steers speed only; the result doesn't depend on it.
+ORDER_SHARE, ORDER_SAMPLE, ORDER_COUNT, ORDER_TOKENS = 0.04, 10_000, 2, 1 << 17
 CELL_BITS = 22
 BANDS, BAND_ROWS = 4, 5
 #: A group holds about so many sets and so many tokens at most.
-GROUP_SETS, GROUP_TOKENS = 256, 1 << 18
+GROUP_SETS, GROUP_TOKENS = 256, 1 << 17
 #: Distinct pairs of token and group that a matrix task holds before it compacts them.
 MATRIX_ROWS = 2 << 20
 #: Rows with whole texts or sets in an Arrow batch, and tokens that a step of the min-hashes looks at.
@@ -158,11 +158,11 @@ def token_order(texts: DataFrame, width: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], names=["token"])
 
     order = np.zeros(1 << CELL_BITS, np.uint8)
-    share_of = min(1.0, ORDER_SAMPLE / max(1, texts.count()))
+    share_of = min(1.0, max(ORDER_SHARE, ORDER_SAMPLE / max(1, texts.count())))
     found = texts.sample(share_of, seed=7).mapInArrow(tokens, "token long").groupBy("token").count().filter(F.col("count") >= ORDER_COUNT)
-    for token, count in found.collect():
-        cell = (token % (1 << 64)) >> (64 - CELL_BITS)
-        order[cell] = max(order[cell], count.bit_length())
+    found = found.orderBy(F.desc("count"), "token").limit(ORDER_TOKENS).toArrow()
+    cell = found["token"].to_numpy().view(np.uint64) >> np.uint64(64 - CELL_BITS)
+    np.maximum.at(order, cell.astype(np.int64), (1 + np.log2(found["count"].to_numpy())).astype(np.uint8))
     return order
 
 
