@@ -17,11 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import rows_a_batch, stored
 from .components import components
 
-TABLES, PROBES = 10, 4
+TABLES, PROBES = 14, 5
 BLOCK = 1024
+#: Rows with vectors in an Arrow batch.
+WIDE_ROWS = 2000
 SEED = 20_240_601
 
 
@@ -145,33 +147,39 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     nodes = stored(rows.filter("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(
         F.min("id").alias("first_id"), F.count("*").alias("copies"), F.first("x").alias("x")), "nodes")
     sizes = nodes.groupBy(F.size("x").alias("dim")).count().collect()  # one row a vector length
-    hashes = {r.dim: max(1, math.ceil(math.log(max(r["count"], 2)) / math.log(2 * max(r.dim, 2)) - 0.25)) for r in sizes}
+    # so many hashes that vectors that are unlike rarely share a bucket: about a bucket for 1/dim of a vector
+    hashes = {r.dim: max(1, math.ceil(math.log(max(r["count"], 2)) / math.log(2 * max(r.dim, 2)) + 0.75)) for r in sizes}
+    kept = vectors.schema[embedding].dataType.elementType.simpleString()
+    kept = kept if kept == "float" else "double"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("dim", pa.int32()), ("at", pa.int32()), ("code", pa.int64()), ("node", pa.int64()), ("copies", pa.int64()),
-                            ("found", pa.list_(pa.int64())), ("x", pa.list_(pa.float64()))])
+        x_type = pa.list_(pa.float32() if kept == "float" else pa.float64())
+        schema = pa.schema([("dim", pa.int32()), ("node", pa.int64()), ("copies", pa.int64()), ("found", pa.list_(pa.int64())), ("x", x_type)])
         for batch in batches:
-            node, copies, xs = (batch.column(c).to_pylist() for c in ("node", "copies", "x"))
-            for lo in range(0, len(xs), 1024):
-                part = range(lo, min(lo + 1024, len(xs)))
-                for dim in sorted({len(xs[i]) for i in part}):
-                    chosen = [i for i in part if len(xs[i]) == dim]
+            for lo in range(0, batch.num_rows, 1024):
+                node, copies, xs = (batch.slice(lo, 1024).column(c).to_pylist() for c in ("node", "copies", "x"))
+                for dim in sorted(set(map(len, xs))):
+                    chosen = [i for i, x in enumerate(xs) if len(x) == dim]
                     found = buckets(units([xs[i] for i in chosen]), hashes[dim])
-                    out = [(dim, t, code, node[i], copies[i], f.ravel().tolist(), xs[i])
-                           for i, f in zip(chosen, found) for t in range(TABLES) for code in dict.fromkeys(f[t].tolist())]
+                    out = [(dim, node[i], copies[i], f.ravel().tolist(), xs[i]) for i, f in zip(chosen, found)]
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k.type) for c, k in zip(zip(*out), schema)], names=schema.names)
 
     if not sizes:
         opened = nodes.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0).cast("bigint").alias("links"))
     else:
-        placed = stored(nodes.mapInArrow(place, "dim int, at int, code long, node long, copies long, found array<long>, x array<double>"), "buckets")
+        coded = stored(nodes.mapInArrow(place, f"dim int, node long, copies long, found array<long>, x array<{kept}>"), "codes")
         bucket = ["dim", "at", "code"]
-        counts = placed.groupBy(*bucket).agg(F.count("*").alias("rows")).filter("rows > 1")
+        seen = F.transform("found", lambda code, i: F.struct(F.floor(i / PROBES).cast("int").alias("at"), code.alias("code")))
+        placed = coded.select("dim", "node", "found", F.inline(F.array_distinct(seen))).select(
+            *bucket, "node", (F.get("found", F.col("at") * PROBES) == F.col("code")).alias("own"))
+        counts = placed.groupBy(*bucket).agg(F.count("*").alias("rows"), F.bool_or("own").alias("own")).filter("rows > 1 AND own")
         counts = counts.select(*bucket, F.ceil(F.col("rows") / BLOCK).cast("int").alias("parts"))
         block = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
         work = placed.join(counts, bucket).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        work = work.select(*bucket, F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "node", "copies", "found", "x")
-        opened = stored(_opened(work, least), "links")
+        work = work.select(*bucket, F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "node")
+        work = work.join(coded.select("node", "copies", "found", "x"), "node").select(*bucket, "a", "b", "block", "node", "copies", "found", "x")
+        with rows_a_batch(vectors.sparkSession, WIDE_ROWS):
+            opened = stored(_opened(work, least), "links")
 
     linked = components(opened.select("src", "dst")).join(nodes.select("node", "first_id"), "node")
     least_id = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
