@@ -271,7 +271,11 @@ def train(spark: SparkSession, pages: int = TRAINING_PAGES) -> Boosted:
         labels = page.labels()
         rows += [(y, x.tolist()) for y, x in zip(labels, page.features())]
     nodes = spark.createDataFrame(rows, "label double, x array<double>").select("label", array_to_vector("x").alias("features"))
-    return Boosted(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, maxBins=64, seed=7, cacheNodeIds=False).fit(nodes.coalesce(2).persist()))
+    nodes = nodes.coalesce(2).persist()
+    try:
+        return Boosted(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, maxBins=64, seed=7, cacheNodeIds=False).fit(nodes))
+    finally:
+        nodes.unpersist()
 
 
 def main_text(pages: DataFrame, model: Boosted, html_column: str = "html", batch: int = 64) -> DataFrame:
