@@ -9,7 +9,7 @@ from ..operators import joins
 from ..plans import domain, etl, evaluate, forecast, ml
 from ..plans.regression import Series, cross_validate
 from .core import CLOSED, FORECASTS, REGIONAL, VOLUME, query
-from .profiling import sparse_demand
+from .profiling import sparse_rows
 from .relational import SPIKES, SPIKES_SQL
 from .series import TRAILING, ols_sql
 
@@ -89,7 +89,7 @@ SPARSE2 = f"""{REGIONAL}, sparse AS (SELECT * FROM (SELECT skill_name || '/' ||
     doubles=BOUNDS,
 )
 def m06(spark, sf):
-    return forecast.trend_following(sparse_demand(spark, sf), START)
+    return forecast.trend_following(sparse_rows(spark, sf), START)
 
 
 @query(
@@ -104,7 +104,7 @@ def m06(spark, sf):
     doubles=BOUNDS,
 )
 def m07(spark, sf):
-    return forecast.stable_baseline(sparse_demand(spark, sf), START)
+    return forecast.stable_baseline(sparse_rows(spark, sf), START)
 
 
 @query(
@@ -118,7 +118,7 @@ def m07(spark, sf):
     doubles=BOUNDS,
 )
 def m08(spark, sf):
-    return forecast.median_blend(sparse_demand(spark, sf), START)
+    return forecast.median_blend(sparse_rows(spark, sf), START)
 
 
 @query("m09_holt_winters")

@@ -20,11 +20,16 @@ numbered AS (
   SELECT *, row_number() OVER (PARTITION BY skill_name ORDER BY period_start) - 1 AS x FROM filled)"""
 
 
-def sparse_demand(spark, sf):
+def sparse_rows(spark, sf):
     """Demand per brand and nation under one key; many months are missing."""
     df = domain.regional_demand(spark, sf)
     keyed = F.concat_ws("/", "skill_name", "region").alias("skill_name")
-    return materialize(df.select(keyed, "period_start", "demand_count"), "sparse-demand")
+    return df.select(keyed, "period_start", "demand_count")
+
+
+def sparse_demand(spark, sf):
+    """``sparse_rows`` as a written table, for plans that read it more than once."""
+    return materialize(sparse_rows(spark, sf), "sparse-demand")
 
 
 @query(

@@ -9,7 +9,7 @@ from ..operators import joins, sampling, windows
 from ..plans import domain
 from ..plans import regression as reg
 from .core import CLOSED, DEMAND, REGIONAL, VOLUME, query
-from .profiling import sparse_demand
+from .profiling import sparse_demand, sparse_rows
 
 SPARSE = f"""{REGIONAL}, sparse AS (SELECT skill_name || '/' || region AS skill_name, period_start, demand_count FROM regional)"""
 
@@ -53,7 +53,7 @@ def j06d(spark, sf):
     f"WITH {SPARSE} SELECT * FROM sparse QUALIFY row_number() OVER (PARTITION BY skill_name ORDER BY period_start DESC) <= 3",
 )
 def w02(spark, sf):
-    return windows.last_n(sparse_demand(spark, sf), 3)
+    return windows.last_n(sparse_rows(spark, sf), 3)
 
 
 @query(
@@ -61,7 +61,7 @@ def w02(spark, sf):
     f"WITH {SPARSE} SELECT * FROM sparse QUALIFY row_number() OVER (PARTITION BY skill_name ORDER BY period_start) <= 3",
 )
 def w02f(spark, sf):
-    return windows.first_n(sparse_demand(spark, sf), 3)
+    return windows.first_n(sparse_rows(spark, sf), 3)
 
 
 @query(
@@ -83,7 +83,7 @@ def w02p(spark, sf):
     longs=("gap_months",),
 )
 def w03(spark, sf):
-    return windows.gaps(sparse_demand(spark, sf), max_gap=1)
+    return windows.gaps(sparse_rows(spark, sf), max_gap=1)
 
 
 @query(
@@ -104,7 +104,7 @@ TRAILING = """cut AS (SELECT *, max(period_start) OVER (PARTITION BY skill_name)
 
 @query("w05_trailing_window", f"WITH {SPARSE}, {TRAILING.format(src='sparse')} SELECT * FROM recent")
 def w05(spark, sf):
-    return windows.trailing_window(sparse_demand(spark, sf))
+    return windows.trailing_window(sparse_rows(spark, sf))
 
 
 @query(
@@ -162,7 +162,7 @@ def w08g(spark, sf):
                (n * demand_count - t) * (n * demand_count - t) * (n - 1) > 9 * n * (n * q - t * t) AS is_outlier FROM s""",
 )
 def w09(spark, sf):
-    return windows.sigma_flags(sparse_demand(spark, sf))
+    return windows.sigma_flags(sparse_rows(spark, sf))
 
 
 @query(
@@ -181,7 +181,7 @@ def w10(spark, sf):
         SELECT skill_name, demand_count AS threshold FROM n WHERE i = CAST(floor(k * 0.8) AS BIGINT) + 1""",
 )
 def w11(spark, sf):
-    return windows.positional_quantile(sparse_demand(spark, sf))
+    return windows.positional_quantile(sparse_rows(spark, sf))
 
 
 FOLDS = """numbered AS (SELECT *, row_number() OVER (PARTITION BY skill_name ORDER BY period_start) - 1 AS i, count(*) OVER (PARTITION BY skill_name) AS n FROM {src}),
@@ -195,7 +195,7 @@ FOLDS = """numbered AS (SELECT *, row_number() OVER (PARTITION BY skill_name ORD
     longs=("fold",),
 )
 def w12(spark, sf):
-    return windows.time_series_folds(sparse_demand(spark, sf))
+    return windows.time_series_folds(sparse_rows(spark, sf))
 
 
 SEASON = """season AS (SELECT *, date_diff('day', (SELECT min(period_start) FROM {src}), period_start) / 30.44 AS t,
