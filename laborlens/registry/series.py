@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators import joins, sampling, windows
+from ..operators import joins, profile, sampling, windows
 from ..plans import domain
 from ..plans import regression as reg
 from .core import CLOSED, DEMAND, REGIONAL, VOLUME, query
-from .profiling import sparse_demand, sparse_rows
+from .profiling import ZERO_FILLED, sparse_demand, sparse_rows
 
 SPARSE = f"""{REGIONAL}, sparse AS (SELECT skill_name || '/' || region AS skill_name, period_start, demand_count FROM regional)"""
 
@@ -144,6 +144,25 @@ def w08(spark, sf):
     return flagged.select("skill_name", "period_start", "demand_count", "lower_fence", "upper_fence", "is_outlier")
 
 
+def _fenced(k: float) -> str:
+    return f"""WITH {ZERO_FILLED}, q AS ({FENCES.format(keys='skill_name,', src='filled', group='GROUP BY 1')})
+        SELECT f.skill_name, period_start, demand_count, q1 - {k} * (q3 - q1) AS lower_fence, q3 + {k} * (q3 - q1) AS upper_fence,
+               demand_count < q1 - {k} * (q3 - q1) OR demand_count > q3 + {k} * (q3 - q1) AS is_outlier
+        FROM filled f JOIN q ON f.skill_name = q.skill_name"""
+
+
+@query("w08_zero_filled_flags", _fenced(1.5), doubles=("demand_count", "lower_fence", "upper_fence"))
+def w08z(spark, sf):
+    flagged = windows.iqr_flags(profile.zero_filled(sparse_demand(spark, sf)))
+    return flagged.select("skill_name", "period_start", "demand_count", "lower_fence", "upper_fence", "is_outlier")
+
+
+@query("w08_triple_fence", _fenced(3.0), doubles=("demand_count", "lower_fence", "upper_fence"))
+def w08t(spark, sf):
+    flagged = windows.iqr_flags(profile.zero_filled(sparse_demand(spark, sf)), k=3.0)
+    return flagged.select("skill_name", "period_start", "demand_count", "lower_fence", "upper_fence", "is_outlier")
+
+
 @query(
     "w08_global_upper_fence",
     f"""WITH {SPARSE}, q AS ({FENCES.format(keys='', src='sparse', group='')})
