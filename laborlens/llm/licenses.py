@@ -49,6 +49,12 @@ def template_rows() -> list[tuple]:
     return rows
 
 
+def template_values() -> str:
+    """The rows as a SQL VALUES list; words and labels have no quotes."""
+    quoted = [["NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v).lower() for v in r] for r in template_rows()]
+    return ", ".join(f"({', '.join(r)})" for r in quoted)
+
+
 def _grams(second, third):
     """Hashes of the two and three words from a place on; null where the text ends."""
     return (F.when(second.isNotNull(), F.xxhash64(F.lit(PHRASE_GRAM), "w0", second)),
@@ -56,9 +62,8 @@ def _grams(second, third):
 
 
 def _templates(spark: SparkSession) -> DataFrame:
-    schema = "label string, base boolean, size int, slack int, k int, t int, w0 string, w1 string, w2 string"
     two, three = _grams(F.col("w1"), F.col("w2"))
-    rows = spark.createDataFrame(template_rows(), schema)
+    rows = spark.sql(f"SELECT * FROM VALUES {template_values()} AS t(label, base, size, slack, k, t, w0, w1, w2)")
     return rows.withColumn("gram", F.when(F.col("k") == PHRASE_GRAM, two).otherwise(three)).withColumnsRenamed({"w0": "t0", "w1": "t1", "w2": "t2"})
 
 

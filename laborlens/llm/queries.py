@@ -176,10 +176,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _licenses_sql() -> str:
     """The same spans from joins on the words themselves."""
-    quote = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
-    rows = ", ".join("(" + ", ".join(map(quote, r)) + ")" for r in licenses.template_rows())
     return f"""
-WITH template(label, base, size, slack, k, t, t0, t1, t2) AS (VALUES {rows}),
+WITH template(label, base, size, slack, k, t, t0, t1, t2) AS (VALUES {licenses.template_values()}),
 doc AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
