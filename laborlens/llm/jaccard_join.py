@@ -327,7 +327,7 @@ def classes(docs: DataFrame, signed: DataFrame, doc_id: str, text: str, width: i
     # the matrix, and the pairs of groups that may hold a link
     one_each = sets.select("node", "id", "signature").join(grouped.select("node", "first_id", "group"), "node").filter("id = first_id")
     bounds = grouped.groupBy("group").agg(
-        F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("sets"), F.min(F.lit(1) + F.expr("n div 48")).alias("need"))
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("sets"), F.min(F.expr(f"least(1 + n div 48, ({percent} * n + 99) div 100)")).alias("need"))
     matrix = _matrix(one_each.select(F.explode("signature").alias("token"), "group"))
     matrix = stored(matrix.join(bounds, "group").select("token", "group", "lo", "hi", "need"), "matrix")
     a, b = matrix.toDF("token", "g", "g_lo", "g_hi", "g_need"), matrix.toDF("token", "h", "h_lo", "h_hi", "h_need")
