@@ -12,12 +12,19 @@ from laborlens.llm import decontaminate, jaccard_join, langid, packing
 from laborlens.llm.common import stored
 from laborlens.llm.queries import table
 
+#: Whole texts pass through Python in Arrow batches; so many rows bound what a task holds of them.
+BATCH_ROWS = 1000
 #: Near copies: shingles of five words, Jaccard similarity of 0.8 at least.
 SHINGLE, SIMILARITY = 5, 80
 
 
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found; null texts and texts without a letter go."""
+    small_batches(spark)
     trees = langid.learn(docs.filter(langid.fold(F.col("doc_id")) != 2))
     return langid.known_language(docs, trees)
 
@@ -29,6 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten words in a row of a benchmark item."""
+    small_batches(spark)
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -36,6 +44,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, packed."""
     import public_tokenizers
 
+    small_batches(spark)
     return packing.digests(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import pieces_by_bytes, rows_a_batch, share, small, stored, utf8
 from .components import components
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 #: The token order is taken from a sample: this share of all documents and so many at least, and the tokens seen
 #: twice or more, so many at most. It steers speed only; the result doesn't depend on it.
 ORDER_SHARE, ORDER_SAMPLE, ORDER_COUNT, ORDER_TOKENS = 0.04, 10_000, 2, 1 << 17

@@ -21,7 +21,7 @@ from .common import WORD_BYTES, other_columns, pieces_by_bytes, share, utf8, wid
 
 ORDER = 3
 UNDETERMINED = "und"
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 #: ASCII digits are no evidence of a language.
 LETTER_BYTES = bytes(32 if 48 <= b <= 57 else WORD_BYTES[b] for b in range(256))
 

@@ -23,11 +23,11 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from .common import pieces_by_bytes
 
 LENGTH = 1024
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Bytes of one id.
 ID = 4
-#: The ids of so many words are remembered.
-CACHED_WORDS = 1_000_000
+#: The ids of so many words are remembered by a worker, about 60 MB.
+CACHED_WORDS = 300_000
 #: Words that go through the tokenizer as one text.
 JOINED_WORDS = 200
 #: A single space between two characters that aren't white space: words never reach over it to the left.
