@@ -20,7 +20,14 @@ from pyspark.sql import DataFrame, functions as F
 from .common import rows_a_batch, stored
 from .components import components
 
+#: Tables at least; more hashes need more tables.
 TABLES, PROBES = 14, 5
+#: The share of pairs at the least cosine that meet in a bucket, at every size of the table.
+RECALL = 0.995
+#: From so many tables on, buckets of fewer hashes cost less; large ones are cut into blocks.
+MANY_TABLES = 64
+#: Drawn pairs that the tables are counted from.
+TRIAL_PAIRS = 500
 BLOCK = 1024
 #: Rows with vectors in an Arrow batch.
 WIDE_ROWS = 2000
@@ -75,6 +82,46 @@ def buckets(x: np.ndarray, hashes: int, tables: int = TABLES, probes: int = PROB
     return out
 
 
+def pairs_at(cosine: float, dim: int, count: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Random unit vectors and their partners at a cosine; with one dimension each is its own partner."""
+    x, y = np.random.default_rng(seed).normal(size=(2, count, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if dim == 1:
+        return x, x
+    y -= (x * y).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    cosine = min(1.0, max(-1.0, cosine))
+    return x, cosine * x + math.sqrt(1 - cosine * cosine) * y
+
+
+def meetings(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """pairs x tables: whether one row's own bucket is one that the other looks into."""
+    return (own[:, :, :1] == other).any(2) | (other[:, :, :1] == own).any(2)
+
+
+def hashes_for(rows: int, dim: int) -> int:
+    """So many that vectors that are unlike rarely share a bucket: about a bucket for 1/dim of a vector."""
+    return max(1, math.ceil(math.log(max(rows, 2)) / math.log(2 * max(dim, 2)) + 0.75))
+
+
+def scheme(dim: int, hashes: int, least: float) -> tuple[int, int]:
+    """Hashes a bucket and tables, so that pairs at cosine ``least`` meet with a chance of ``RECALL``.
+
+    The chance that a pair meets in a table is counted on drawn pairs, less two standard errors. Where too many
+    tables would be needed a bucket takes fewer hashes; without any, all vectors share one bucket.
+    """
+    x, y = pairs_at(least, dim, TRIAL_PAIRS)
+    for h in range(hashes, 0, -1):
+        met = meetings(buckets(x, h), buckets(y, h))
+        chance = met.mean() - 2 * math.sqrt(met.mean() * (1 - met.mean()) / met.size)
+        if chance >= RECALL:
+            return h, TABLES
+        tables = math.ceil(math.log(1 - RECALL) / math.log1p(-chance)) if chance > 0 else MANY_TABLES + 1
+        if tables <= MANY_TABLES:
+            return h, max(TABLES, tables)
+    return 0, 1
+
+
 def units(rows: list) -> np.ndarray:
     x = np.array(rows, np.float64)
     x /= np.abs(x).max(1, keepdims=True)  # no overflow of the squares
@@ -104,7 +151,8 @@ def block_links(table: int, code: int, blocks: tuple[int, int], block: np.ndarra
     i, j = np.nonzero(np.triu(linked))
     if not len(i):
         return []
-    again = np.concatenate([met_before(found[i[lo:lo + 65536]], found[j[lo:lo + 65536]], table, code) for lo in range(0, len(i), 65536)])
+    step = max(1, (1 << 22) // found[0].size)
+    again = np.concatenate([met_before(found[i[lo:lo + step]], found[j[lo:lo + step]], table, code) for lo in range(0, len(i), step)])
     weight = np.zeros(len(node), np.int64)
     np.add.at(weight, i[~again], copies[j[~again]])
     np.add.at(weight, j[~again], copies[i[~again]])
@@ -147,8 +195,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     nodes = stored(rows.filter("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(
         F.min("id").alias("first_id"), F.count("*").alias("copies"), F.first("x").alias("x")), "nodes")
     sizes = nodes.groupBy(F.size("x").alias("dim")).count().collect()  # one row a vector length
-    # so many hashes that vectors that are unlike rarely share a bucket: about a bucket for 1/dim of a vector
-    hashes = {r.dim: max(1, math.ceil(math.log(max(r["count"], 2)) / math.log(2 * max(r.dim, 2)) + 0.75)) for r in sizes}
+    schemes = {r.dim: scheme(r.dim, hashes_for(r["count"], r.dim), least) for r in sizes}
     kept = vectors.schema[embedding].dataType.elementType.simpleString()
     kept = kept if kept == "float" else "double"
 
@@ -160,7 +207,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
                 node, copies, xs = (batch.slice(lo, 1024).column(c).to_pylist() for c in ("node", "copies", "x"))
                 for dim in sorted(set(map(len, xs))):
                     chosen = [i for i, x in enumerate(xs) if len(x) == dim]
-                    found = buckets(units([xs[i] for i in chosen]), hashes[dim])
+                    found = buckets(units([xs[i] for i in chosen]), *schemes[dim])
                     out = [(dim, node[i], copies[i], f.ravel().tolist(), xs[i]) for i, f in zip(chosen, found)]
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k.type) for c, k in zip(zip(*out), schema)], names=schema.names)
 
@@ -205,14 +252,14 @@ def _opened(work: DataFrame, least: float) -> DataFrame:
                 return []
             block, node, copies, found, x = zip(*held)
             return block_links(at[1], at[2], at[3:], np.array(block), np.array(node), np.array(copies),
-                               np.array(found).reshape(len(held), TABLES, PROBES), units(list(x)), least)
+                               np.array(found).reshape(len(held), -1, PROBES), units(list(x)), least)
 
         for batch in batches:
             out = []
             keys = list(zip(*[batch.column(c).to_pylist() for c in key]))
             rest = [batch.column(c).to_pylist() for c in ("block", "node", "copies")]
-            found = batch.column("found").flatten().to_numpy().reshape(len(keys), -1)
-            x = batch.column("x").to_pylist() if len(set(k[0] for k in keys)) > 1 else batch.column("x").flatten().to_numpy().reshape(len(keys), -1)
+            mixed = len(set(k[0] for k in keys)) > 1
+            found, x = (batch.column(c).to_pylist() if mixed else batch.column(c).flatten().to_numpy().reshape(len(keys), -1) for c in ("found", "x"))
             for i, k in enumerate(keys):
                 if k != at:
                     out += done()

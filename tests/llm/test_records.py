@@ -148,6 +148,30 @@ def test_large_buckets_are_cut_into_blocks(spark, monkeypatch):
     assert {r.n_links for r in got} == {149} and {r.component_id for r in got} == {0}
 
 
+@pytest.mark.parametrize(("dim", "hashes"), [(64, 3), (64, 4), (64, 5), (64, 6), (384, 4)])
+def test_recall_holds_with_more_hashes(dim, hashes):
+    x, y = embedding_dedup.pairs_at(0.9, dim, 1500, seed=7)
+    planned = embedding_dedup.scheme(dim, hashes, 0.9)
+    met = embedding_dedup.meetings(embedding_dedup.buckets(x, *planned), embedding_dedup.buckets(y, *planned)).any(1).mean()
+    print(dim, hashes, planned, met)
+    assert met >= 0.99
+
+
+@pytest.mark.parametrize("hashes", [5, 6])
+def test_links_of_a_large_table_are_found(spark, monkeypatch, hashes):
+    monkeypatch.setattr(embedding_dedup, "hashes_for", lambda rows, dim: hashes if dim == 64 else 1)
+    x, y = embedding_dedup.pairs_at(0.901, 64, 300, seed=8)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))] + [(900 + i, [1.0, i + 1.0]) for i in range(3)]
+    got = {r.vec_id: r for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert sum(got[300 + i].component_id == i for i in range(300)) >= 0.98 * 300 and [got[900 + i].n_links for i in range(3)] == [1, 2, 1]
+
+
+def test_no_cosine_is_too_low(spark):
+    x = np.random.default_rng(9).normal(size=(30, 16))
+    got = embedding_dedup.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), least=-1.0).collect()
+    assert embedding_dedup.scheme(16, 2, -1.0) == (0, 1) and {r.n_links for r in got} == {29}
+
+
 TEXTS = {"en": "the cat and the dog went to the old house by the water where they found some bread", "fr": "le chat et le chien sont allés à la vieille maison près de l'eau où ils ont trouvé du pain",
          "de": "die katze und der hund gingen zu dem alten haus am wasser wo sie etwas brot fanden"}
 
