@@ -9,6 +9,7 @@ whole text are a sum over its bytes, taken from one table.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,14 +142,21 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", docs_per_
     """Trees from a bounded sample of the labelled rows; None without any.
 
     Per language at most ``docs_per_lang`` whole texts of ``bytes_per_lang`` together, in the order of a hash of the
-    text. Rows without label or text are left out; equal texts count once.
+    text; one that doesn't fit into the bytes left is passed over. Rows without label or text are left out; equal
+    texts count once.
     """
     sized = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna().filter("text <> ''").select(
         "lang", "text", F.xxhash64("text").alias("h"), F.octet_length("text").cast("bigint").alias("n"))
-    by_hash = Window.partitionBy("lang").orderBy("h")
-    chosen = sized.filter(F.col("n") <= bytes_per_lang).select("lang", "h", "n").withColumn("r", F.row_number().over(by_hash)).filter(
-        F.col("r") <= docs_per_lang).withColumn("held", F.sum("n").over(by_hash.rowsBetween(Window.unboundedPreceding, 0)))
-    ids = chosen.filter(F.col("held") <= bytes_per_lang).select("lang", "h").distinct().collect()
+    distinct = sized.filter(F.col("n") <= bytes_per_lang).groupBy("lang", "h").agg(F.max("n").alias("n"))
+    # by length class, so that texts that don't fit leave enough shorter ones to choose from
+    by_hash = Window.partitionBy("lang", F.length(F.bin("n"))).orderBy("h")
+    first = distinct.withColumn("r", F.row_number().over(by_hash)).filter(F.col("r") <= docs_per_lang)
+    ids, taken, held = [], Counter(), Counter()
+    for r in sorted(first.select("lang", "h", "n").collect()):
+        if taken[r.lang] < docs_per_lang and held[r.lang] + r.n <= bytes_per_lang:
+            ids.append((r.lang, r.h))
+            taken[r.lang] += 1
+            held[r.lang] += r.n
     if not ids:
         return None
     spark = labelled.sparkSession

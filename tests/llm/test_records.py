@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from laborlens.llm import chat, embedding_dedup, html_text, langid, packing, page_layouts, warc
 
@@ -193,6 +194,20 @@ def test_languages(spark):
     assert nothing is None and {r.lang_pred for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, l string"), nothing).collect()} == {"und"}
 
 
+def test_copies_and_long_texts_leave_room_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(langid, "ContextTrees", lambda texts: {lang: sorted(map(len, ts)) for lang, ts in texts.items()})
+    learn = lambda texts, **bounds: langid.learn(spark.createDataFrame([("en", t) for t in texts], "lang string, text string"), **bounds)
+    texts = [f"{'the cat ' * 5}{i:03d}" for i in range(500)] + [f"{'x' * 900}{i:03d}" for i in range(50)]
+    ordered = [r.text for r in spark.createDataFrame([(t,) for t in texts], "text string").orderBy(F.xxhash64("text")).collect()]
+    shorts = [t for t in ordered if len(t) == 43]
+    assert learn([shorts[0]] * 1000 + shorts) == {"en": [43] * 400}
+    assert learn([shorts[0]] * 1000 + shorts, bytes_per_lang=43 * 100) == {"en": [43] * 100}
+    second = [i for i, t in enumerate(ordered) if len(t) == 903][25]
+    before = [t for t in ordered[:second] if len(t) == 43][:1]
+    after = [t for t in ordered[second:] if len(t) == 43]
+    assert learn([*before, ordered[second], *after], bytes_per_lang=910) == {"en": [43] * 21}
+
+
 def test_code_lengths_are_exact():
     trees = langid.ContextTrees({"a": [b"abracadabra abra"] * 3, "b": [b"banana bandana"] * 3}, min_count=1)
     prob = np.exp2(-trees.cost.astype(float)).reshape(-1, trees.n, 2)
