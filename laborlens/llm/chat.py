@@ -1,7 +1,7 @@
 """Tool calls of chats: linked with their results, ordered, checked and written as canonical JSON.
 
 Calls and results are joined by conversation and identifier. A call whose arguments name another call of its
-conversation waits for that call's result; levels order the calls topologically. Arguments are checked against a
+conversation waits for that call's result; levels order the calls topologically, by pointer doubling. Arguments are checked against a
 table of properties. All of it is Spark SQL: one row a call, so a long conversation is never gathered.
 """
 
@@ -24,25 +24,39 @@ def _kind(value):
                       F.when(name.startswith("DECIMAL"), F.lit("number")))
 
 
-def _levels(calls: DataFrame, needs: DataFrame, rounds: int) -> DataFrame:
-    """conv_id, call_id, level: 0 without needs, else one more than the highest needed; -1 in and behind a cycle."""
-    waiting = stored(needs, "needs")
-    ready = calls.join(waiting, ["conv_id", "call_id"], "left_anti").select("conv_id", "call_id", F.lit(0).alias("level"))
-    levels = stored(ready, "levels")
-    last = levels
-    for level in range(1, rounds + 1):
-        met = last.select("conv_id", F.col("call_id").alias("need"))
-        rest = stored(waiting.join(met, ["conv_id", "need"], "left_anti"), "needs")
-        freed = waiting.select("conv_id", "call_id").distinct().join(rest, ["conv_id", "call_id"], "left_anti")
-        last = stored(freed.withColumn("level", F.lit(level)), "levels")
-        if last.isEmpty():
+def _levels(calls: DataFrame, needs: DataFrame) -> DataFrame:
+    """conv_id, call_id, level: 0 without needs, else one more than the highest needed; -1 in and behind a cycle.
+
+    Each row is a path from a call to one that it hangs on, with its length; a path without end has the call's level.
+    Every round a path to a call with one path is lengthened by that, so a chain of n calls takes about log n rounds.
+    A path longer than there are waiting calls meets one of them twice; what is left when no path grows hangs on a cycle.
+    """
+    key = ["conv_id", "call_id"]
+    waiting = stored(needs.select(*key, "need", F.lit(1).cast("bigint").alias("length")), "needs")
+    longest = waiting.select(*key).distinct().count()
+    # calls without needs are paths' ends
+    ends = waiting.select("conv_id", F.col("call_id").alias("need")).distinct().withColumn("waits", F.lit(True))
+    paths = stored(waiting.join(ends, ["conv_id", "need"], "left").groupBy(
+        *key, F.when(F.col("waits"), F.col("need")).alias("need")).agg(F.max("length").alias("length")), "paths")
+    while True:
+        single = paths.groupBy(*key).agg(F.count("*").alias("n"), F.first("need").alias("next"), F.first("length").alias("more")).filter("n = 1")
+        single = single.select("conv_id", F.col("call_id").alias("need"), "next", "more", F.lit(True).alias("grown"))
+        grown = paths.join(single, ["conv_id", "need"], "left").withColumn("grown", F.coalesce("grown", F.lit(False)))
+        length = F.col("length") + F.coalesce("more", F.lit(0))
+        endless = length > longest
+        grown = grown.select(
+            *key, F.when(~endless, F.when(F.col("grown"), F.col("next")).otherwise(F.col("need"))).alias("need"),
+            F.when(endless, longest + 1).otherwise(length).alias("length"), "grown")
+        paths = stored(grown.groupBy(*key, "need").agg(F.max("length").alias("length"), F.bool_or("grown").alias("grown")), "paths")
+        if paths.filter("grown").isEmpty():
             break
-        levels, waiting = levels.union(last), rest
-    held = waiting.select("conv_id", "call_id").distinct().join(levels, ["conv_id", "call_id"], "left_anti")
-    return levels.union(held.withColumn("level", F.lit(CYCLE)))
+        paths = paths.drop("grown")
+    known = (F.count("need") == 0) & (F.max("length") <= longest)
+    found = paths.groupBy(*key).agg(F.when(known, F.max("length")).otherwise(CYCLE).cast("int").alias("level"))
+    return calls.select(*key).join(found, key, "left").select(*key, F.coalesce("level", F.lit(0)).alias("level"))
 
 
-def link_calls(calls: DataFrame, results: DataFrame, properties: DataFrame, rounds: int = 10_000) -> DataFrame:
+def link_calls(calls: DataFrame, results: DataFrame, properties: DataFrame) -> DataFrame:
     """One row for every call and for every result without a call.
 
     ``calls``: ``conv_id, call_id, turn, name, arguments`` (JSON text); ``results``: ``conv_id, call_id, turn,
@@ -84,7 +98,7 @@ def link_calls(calls: DataFrame, results: DataFrame, properties: DataFrame, roun
     # a string argument that is the identifier of another call of the conversation is a need
     names = call.select("conv_id", F.col("call_id").alias("need"))
     needs = given.filter("got = 'string'").select(*key, F.col("text").alias("need")).filter("need <> call_id").join(names, ["conv_id", "need"]).distinct()
-    levels = _levels(call, needs, rounds)
+    levels = _levels(call, needs)
 
     joined = call.join(result, key, "full").join(levels, key, "left").join(violations, key, "left")
     answered = F.when(F.col("call_turn").isNull() & F.col("name").isNull() & F.col("arguments").isNull(), "orphan").when(

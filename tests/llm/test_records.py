@@ -41,6 +41,39 @@ def test_calls_are_linked_ordered_and_checked(spark):
         assert r.json == json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def test_long_chains_and_cycles_are_ordered(spark, monkeypatch):
+    written = []
+
+    def counted(df, purpose, stored=chat.stored):
+        written.append(purpose)
+        assert len(written) < 30
+        return stored(df, purpose)
+
+    monkeypatch.setattr(chat, "stored", counted)
+    call = lambda conv, i, *needs: (conv, f"c{i}", i, "find", json.dumps({k: f"c{n}" for k, n in zip(("q", "n", "tags"), needs)}))
+    calls = [call(1, i, *[i - 1] * (i > 0)) for i in range(10_050)]
+    calls += [call(2, i, *needs) for i, needs in enumerate([(), (0,), (1, 0), (2, 1), (3, 5), (4, 0), (5,), (1,)])]
+    calls += [call(3, i, (i + 1) % 7) for i in range(7)] + [call(3, 7, 3), call(3, 8, 7, 9), call(3, 9)]
+    got = linked(spark, calls, [])
+    assert all(got[1, f"c{i}"].level == i for i in range(10_050))
+    assert [got[2, f"c{i}"].level for i in range(8)] == [0, 1, 2, 3, -1, -1, -1, 2]
+    assert [got[3, f"c{i}"].level for i in range(10)] == [-1] * 9 + [0]
+
+
+def test_levels_equal_brute_force(spark):
+    rng, needs = random.Random(5), {}
+    for conv in range(40):
+        for i in range(12):  # later calls are named in some conversations, so that cycles arise
+            among = range(12) if conv % 2 else range(i)
+            needs[conv, i] = sorted({rng.choice(among) for _ in range(rng.choice([0, 1, 1, 2, 3]))} - {i}) if among else []
+    level = {k: 0 for k, v in needs.items() if not v}
+    for _ in needs:
+        level |= {(c, i): 1 + max(level[c, n] for n in v) for (c, i), v in needs.items() if v and all((c, n) in level for n in v)}
+    calls = [(c, f"c{i}", i, "find", json.dumps({k: f"c{n}" for k, n in zip(("q", "n", "tags"), v)})) for (c, i), v in needs.items()]
+    got = linked(spark, calls, [])
+    assert {k: got[k[0], f"c{k[1]}"].level for k in needs} == {k: level.get(k, -1) for k in needs}
+
+
 def test_no_calls(spark):
     assert linked(spark, [], []) == {}
 
