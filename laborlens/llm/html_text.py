@@ -34,6 +34,10 @@ PARTING = 2.0
 #: Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe object svg math audio video canvas select head".split())
+#: Of these, what stays unread to the end of the page where no closing tag follows; of others only the tag.
+OPAQUE = frozenset("script style title textarea".split())
+#: What may stand in a head; any other tag ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes script style template head html".split())
 BLOCKS = frozenset("""address article aside blockquote body button center dd details dialog div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hgroup label legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
 #: An element that starts ends an open one of these, up to a container.
@@ -84,7 +88,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.attributes, self.text, self.linked = ["body"], [-1], [""], [""], [0]
-        self._stack, self._run, self._in_link, self._link_chars = [0], [], False, 0
+        self._stack, self._run, self._in_link, self._link_chars, self._unclosed = [0], [], False, 0, set()
         self._read(source)
         self._close_run()
 
@@ -123,12 +127,37 @@ class Page:
                 continue
             attributes = m[3] or m[6] or ""
             if tag in RAW and not attributes.endswith("/"):
-                closing = re.compile(rf"</{tag}\b[^>]*>" + (r"|<body\b" if tag == "head" else ""), re.I).search(source, at)
-                at = end if not closing else closing.start() if closing[0][1] != "/" else closing.end()
+                at = self._after_head(source, at) if tag == "head" else self._after_raw(source, at, tag)
                 self._run.append(" ") if self._run else None
             else:
                 self._start(tag, attributes)
 
+    def _after_raw(self, source: str, at: int, tag: str) -> int:
+        if tag in self._unclosed:
+            return at
+        closing = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
+        if closing:
+            return closing.end()
+        if tag in OPAQUE:
+            return len(source)
+        self._unclosed.add(tag)  # nor does one follow later
+        return at
+
+    def _after_head(self, source: str, at: int) -> int:
+        """The place behind a head, which ends at its closing tag or before the first tag that can't stand in it."""
+        closing = re.compile(r"</head\b[^>]*>|<body\b", re.I).search(source, at)
+        limit = closing.start() if closing else len(source)
+        while at < limit and (m := TOKEN.search(source, at)) and m.start() < limit:
+            if not closing and source[at:m.start()].strip():
+                return at
+            tag, starts = (m[2] or m[5] or "").lower(), not (m[1] or m[4])
+            if tag and starts and tag not in IN_HEAD:
+                return m.start()
+            at = m.end()
+            if starts and tag in RAW and tag != "head" and not (m[3] or m[6] or "").endswith("/"):
+                at = self._after_raw(source, at, tag)
+        return at if not closing else closing.end() if closing[0][1] == "/" else closing.start()
+
     def _start(self, tag: str, attributes: str) -> None:
         if tag in ("br", "hr"):
             self._run.append(" ")

@@ -143,6 +143,15 @@ def test_main_text(spark, trees):
     assert texts[4] == "plain words only, no tags at all." and len(texts[6]) == 500_004
 
 
+@pytest.mark.parametrize("source", [
+    "<head><meta charset=x><title>no</title><script>'<p>no</p>'</script><!-- no --><article><p>aa</p></article>",
+    "<html><head><title>no</title></head><article>aa</article>", "<head><title>no</title>aa", "<head><title>no<body><p>aa", "<head><title>no</head>aa",
+    "<head><noscript><link></noscript><p>aa", "<head><noscript><p>aa", *(f"<{tag} x=1><p>aa" for tag in ("svg", "object", "video", "select", "noscript")),
+    "<svg>no</svg><p>aa", "<svg><svg>" * 1000 + "<p>aa", "<p>aa<script>no<p>no", "<p>aa<textarea>no", "<title>no</title><p>aa<style>no"])
+def test_text_behind_an_open_head_or_raw_element(source):
+    assert [t for t in html_text.Page(source).text if t] == ["aa"]
+
+
 def test_rejected_nodes_keep_nothing_below(trees):
     page = html_text.Page("<div><p>aa</p><p>bb</p></div><section><p>cc</p></section>")
     odds = {"div": -9.0, "section": 9.0}
