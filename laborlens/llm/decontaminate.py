@@ -112,11 +112,13 @@ class WuManber:
 class Windows:
     """All windows of a block of items, ready to be searched for."""
 
-    def __init__(self, items: list[tuple[str, bytes]], width: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], width: int = WINDOW):
         holders: dict[bytes, set[str]] = {}
         for item_id, text in items:
             for pattern in windows(words(text), width):
-                holders.setdefault(pattern, set()).add(item_id)
+                held = holders.setdefault(pattern, set())
+                if item_id is not None:
+                    held.add(item_id)
         classes: dict[int, list[bytes]] = {}
         for pattern in sorted(holders):
             classes.setdefault(sum(len(pattern) >= c for c in LENGTH_CLASSES), []).append(pattern)
@@ -165,12 +167,12 @@ def find_leaks(
     """Every row of ``docs`` with the benchmark windows that occur in it.
 
     Adds ``n_words``, ``n_hit`` (words inside any occurrence), ``spans`` (start and length in words, merged) and
-    ``items`` (ids as strings, sorted as strings). A null or empty text has no words. Items without id or words
-    are left out; ids that occur twice are one item. Repeated rows are kept as they are, and a column of ``docs``
+    ``items`` (ids as strings, sorted as strings). A null or empty text has no words. Items without words
+    are left out; one without id counts for ``n_hit`` and ``spans`` only; ids that occur twice are one item. Repeated rows are kept as they are, and a column of ``docs``
     that is named like a result is replaced by it.
     """
     spark = docs.sparkSession
-    named = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text")).dropna()
+    named = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text")).dropna(subset=["text"])
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     out = docs.select(*other_columns(docs, FOUND.fieldNames()))

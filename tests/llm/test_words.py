@@ -50,6 +50,15 @@ def test_leaks_equal_brute_force(spark, block_bytes):
         assert sum(s.length for s in r.spans) == r.n_hit
 
 
+def test_items_without_id_are_hits_without_name(spark):
+    items = spark.createDataFrame([(None, "b c"), (1, "e"), (2, None), (3, "c"), (None, "x")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "x y x"), (3, "d e"), (4, "y")], "doc_id long, text string")
+    for block_bytes in (1 << 20, 1):
+        got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.find_leaks(docs, items, block_bytes=block_bytes).collect()}
+        assert got == {1: (2, ["3"]), 2: (2, []), 3: (1, ["1"]), 4: (0, [])}
+    assert [r.doc_id for r in decontaminate.clean_documents(docs, items).collect()] == [4]
+
+
 def test_no_items_and_no_documents(spark):
     docs, items = spark.createDataFrame([(1, "a b", "")], DOC), spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_leaks(docs, items).first().n_hit == 0
