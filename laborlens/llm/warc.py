@@ -28,6 +28,8 @@ DATE = "2024-01-01T00:00:00Z"
 VERSION = b"WARC/1.1\r\n"
 MEMBER = b"\x1f\x8b\x08"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Bytes that a damaged member is unpacked by.
+STEP_BYTES = 1 << 16
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 
@@ -110,25 +112,38 @@ def _plain(data: bytes) -> Iterator[Record]:
         yield Record(gap, at - gap, reason=reason)
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int] | str:
-    unpacker = zlib.decompressobj(31)
+def _member(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What a member holds, its length, and why it ends before its end; a failed one gives what came out before."""
+    whole, unpacker, parts = memoryview(data)[at:], zlib.decompressobj(31), []
     try:
-        content = unpacker.decompress(memoryview(data)[at:])
+        return unpacker.decompress(whole), len(whole) - len(unpacker.unused_data), None if unpacker.eof else "member ends early"
     except zlib.error as error:
-        return f"bad member: {error}"
-    if not unpacker.eof:
-        return "member ends early"
-    return content, len(data) - at - len(unpacker.unused_data)
+        reason = f"bad member: {error}"
+    # once more in steps, the last ones of a byte: a call that fails gives nothing of what it unpacked
+    unpacker, place, step = zlib.decompressobj(31), 0, STEP_BYTES
+    while place < len(whole):
+        before = unpacker.copy()
+        try:
+            parts.append(unpacker.decompress(whole[place:place + step]))
+            place += step
+        except zlib.error:
+            if step == 1:
+                break
+            unpacker, step = before, 1
+    return b"".join(parts), place, reason
 
 
 def salvage(data: bytes) -> Iterator[Record]:
     """Every valid record of an archive, and the gaps; zero bytes between members are padding.
 
     Offsets are those in the archive; records of one member share the member's. A member whose records are damaged
-    gives those that are valid, and one gap of the member's own bytes.
+    gives those that are valid, and one gap of the member's own bytes. A member that can't be unpacked to its end gives
+    the records before the error that have a valid block digest and end where the next one starts or nothing follows;
+    the gap is that of its bytes.
     """
     at = gap = 0
     reason = None
+    given: list[tuple] = []  # by the last member that failed; its bytes may show them once more
 
     def closed(to: int) -> Iterator[Record]:
         if gap < to:
@@ -139,10 +154,18 @@ def salvage(data: bytes) -> Iterator[Record]:
             at = gap = at + 1
             continue
         if data.startswith(MEMBER, at):
-            found = _member(data, at)
-            if not isinstance(found, str):
-                content, size = found
-                inner = list(_plain(content))
+            content, size, found = _member(data, at)
+            inner = list(_plain(content))
+            if found:
+                ends = lambda r: r.offset + r.length == len(content) or VERSION_LINE.match(content, r.offset + r.length)
+                whole = [r for r in inner if r.reason is None and r.fields.get("warc-block-digest", "").startswith("sha1:") and ends(r)]
+                if whole:
+                    yield from closed(at)
+                    gap = at
+                    given = [(r.fields, r.block) for r in whole]
+                    for r in whole:
+                        yield Record(at, size, r.fields, r.block)
+            else:
                 yield from closed(at)
                 for r in inner:
                     if r.reason is None:
@@ -153,6 +176,9 @@ def salvage(data: bytes) -> Iterator[Record]:
                 continue
         else:
             found = _parse(data, at)
+            if isinstance(found, Record) and gap < at and (found.fields, found.block) in given:
+                at += found.length
+                continue
             if isinstance(found, Record):
                 yield from closed(at)
                 yield found

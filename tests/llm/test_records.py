@@ -117,6 +117,28 @@ def test_damaged_archives_are_salvaged():
     assert ids(warc.member(cut)) == list("0235") and gaps(b"WARC/1.1\r\n" * 3) == [(0, 30)] and list(warc.salvage(b"")) == []
 
 
+@pytest.mark.parametrize("level", [0, 4])
+def test_records_before_a_damage_are_kept(level):
+    rng = random.Random(3)
+    plain = [warc.record(str(i), "u", rng.randbytes(3000), "", None) for i in range(60)]
+    packer = zlib.compressobj(level, zlib.DEFLATED, 31)
+    one = packer.compress(b"".join(plain)) + packer.flush()
+    after = warc.member(warc.record("next", "u", b"x", "", None))
+    read = lambda data: [(r.fields["warc-record-id"][10:-1] if r.fields else None, r.offset, r.length if r.reason else 0) for r in warc.salvage(data)]
+    whole = [(str(i), 0, 0) for i in range(60)]
+    trailer = one[:-8] + bytes([one[-8] ^ 1]) + one[-7:]
+    assert read(trailer + after) == [*whole, (None, 0, len(one)), ("next", len(one), 0)]
+    assert read(one[:-4]) == [*whole, (None, 0, len(one) - 4)]
+    flipped = bytearray(one)
+    flipped[len(one) // 2] ^= 0xFF
+    got = [r[0] for r in read(bytes(flipped) + after)]
+    assert got[:28] == [str(i) for i in range(28)] and got[-1] == "next" and None in got and len(set(got)) == len(got)
+    bare = [p.replace(b"WARC-Block-Digest", b"X-Block-Digest") for p in plain[:2]]
+    lost = bytearray(warc.member(b"".join(bare)))
+    lost[-8] ^= 1
+    assert read(bytes(lost)) == [(None, 0, len(lost))]
+
+
 @pytest.fixture(scope="module")
 def trees(spark):
     return html_text.train(spark, 250)
