@@ -286,3 +286,16 @@ def test_growth_needs_a_base(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 31),), (dt.date(2024, 1, 1),)], "posted_date date")
     got = df.agg(analytics.growth_value(F.lit("2024-01-31").cast("date"), 10).alias("g")).first()
     assert got.g is None
+
+
+def test_sampled_lines_are_looked_up_in_the_table(spark, monkeypatch):
+    from laborlens.registry import series
+
+    sf = "/root/testdata/sf0.001"
+    assert {r.known for r in series.l06(spark, sf).select("known").collect()} == {True}
+    draw = sampling.sample_per_partition
+    # a supplier that the line doesn't have, in an order of fewer than seven lines
+    small = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_orderkey").count().filter("count < 7").agg(F.min("l_orderkey")).first()[0]
+    wrong = F.when(F.col("l_orderkey") == small, -1).otherwise(F.col("l_suppkey")).cast("bigint").alias("l_suppkey")
+    monkeypatch.setattr(sampling, "sample_per_partition", lambda p, *a, **b: draw(p, *a, **b).select("l_orderkey", "l_linenumber", "l_partkey", wrong))
+    assert {r.known for r in series.l06(spark, sf).select("known").collect()} == {False}
