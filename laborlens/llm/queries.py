@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, embedding_dedup, html_text, jaccard_join, langid, licenses, packing, sharding, warc
+from . import chat, decontaminate, embedding_dedup, html_text, jaccard_join, langid, licenses, packing, quality, sharding, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -218,3 +218,36 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return packing.digests(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def _quality_sql() -> str:
+    failures = " | ".join(f"(CASE WHEN {rule} THEN {1 << i} ELSE 0 END)" for i, rule in enumerate(quality.RULES.values()))
+    last = quality.POLICIES[-1]
+    return f"""
+WITH doc AS (SELECT doc_id, row_number() OVER () AS place, coalesce(text, '') AS t FROM documents),
+split AS (
+  SELECT doc_id, place, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM doc),
+gram AS (
+  SELECT place, i, array_to_string(w[i:i + 2], ' ') AS g
+  FROM (SELECT place, w, unnest(range(1, len(w) - 1)) AS i FROM split WHERE len(w) > 2)),
+again AS (SELECT place, i FROM (SELECT place, i, count(*) OVER (PARTITION BY place, g) AS c FROM gram) WHERE c > 1),
+repeats AS (SELECT place, count(DISTINCT j) AS n FROM (SELECT place, unnest(range(i, i + 3)) AS j FROM again) GROUP BY place),
+measured AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(length(regexp_replace(t, '[^A-Z]', '', 'g')) AS BIGINT) AS n_upper, CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM split LEFT JOIN repeats USING (place)),
+ledger AS (SELECT *, CAST({failures} AS BIGINT) AS failures FROM measured)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT ((failures & {last.hard}) <> 0 OR bit_count(failures & {last.soft}) >= {last.least}) AS kept
+FROM ledger"""
+
+
+@query(_quality_sql())
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule's measurement and failure bit for every document, and the decision of the last policy."""
+    rows = quality.decide(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    base = F.col("failures").bitwiseAND(F.lit(quality.BASE).cast("bigint")) != 0
+    return rows.withColumn("base_failed", base).drop("text")
