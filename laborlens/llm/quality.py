@@ -96,14 +96,14 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     letters = F.translate(whole, SPACE, "")
     kept = other_columns(docs, MEASURES)
     split = docs.select(
-        *kept, F.array_remove(F.split(whole, r"[\x20\x09-\x0D]+"), "").alias("_words"),
+        F.struct(*kept).alias("_row"), F.array_remove(F.split(whole, r"[\x20\x09-\x0D]+"), "").alias("_words"),
         F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"), letters.alias("_letters"))
     without = {name: F.length("_letters") - F.length(F.translate("_letters", gone, "")) for name, gone in (("n_symbols", SYMBOLS), ("n_upper", UPPER))}
     found = {
         "n_words": F.size("_words"), "word_chars": F.length("_letters"), **without, "n_lines": F.size("_lines"),
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")), "n_repeat_words": _once(F.col("_words"), _repeated),
     }
-    return split.select(*kept, *(found[m].cast("bigint").alias(m) for m in MEASURES))
+    return split.select(*(F.col("_row")[c].alias(c) for c in kept), *(found[m].cast("bigint").alias(m) for m in MEASURES))
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
