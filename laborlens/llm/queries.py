@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, embedding_dedup, html_text, jaccard_join, langid, licenses, packing, quality, sharding, warc
+from . import chat, decontaminate, embedding_dedup, html_text, jaccard_join, langid, licenses, negatives, packing, quality, sharding, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -251,3 +251,30 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.decide(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
     base = F.col("failures").bitwiseAND(F.lit(quality.BASE).cast("bigint")) != 0
     return rows.withColumn("base_failed", base).drop("text")
+
+
+NEGATIVES_SQL = """
+WITH vec AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM vec a JOIN vec b ON a.vec_id % 50 = 0),
+positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same AND id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank,
+         id AS negative_id, positive_score, score AS negative_score
+  FROM positive JOIN scored USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3"""
+
+
+@query(NEGATIVES_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three negatives for each of five positives of every fiftieth vector, some labels moved on by one."""
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
