@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, embedding_dedup, html_text, jaccard_join, langid, licenses, negatives, packing, quality, sharding, warc
+from . import alignment, chat, decontaminate, embedding_dedup, html_text, jaccard_join, langid, licenses, negatives, packing, quality, sharding, warc
 
 Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
@@ -278,3 +278,15 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three negatives for each of five positives of every fiftieth vector, some labels moved on by one."""
     rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
     return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies share the bytes of every document."""
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.align(table(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    found = alignment.weigh(aligned.withColumn("groups_sha256", digest).drop("groups"), alignment.vocabulary_size(paths[1]))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
