@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,6 +25,58 @@ def negative_forecasts(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(F.col("predicted_demand") < 0).alias("negatives"), F.count(F.lit(1)).alias("rows"))
 
 
+#: A model as a function of the rows, the first month and the number of months to predict, and the series' columns.
+Model = Callable[[DataFrame, Column, int, Series], DataFrame]
+
+
+def rolling_origins(df: DataFrame, folds: int, horizon: int, series: Series = Series()) -> DataFrame:
+    """Each row once for every fold whose first predicted month lies after it, with that month as ``origin``.
+
+    The folds end at the table's last month and lie one behind the other, ``horizon`` months each. A fold is a series
+    of its own under the series' keys and ``origin``, so a model that takes its series by key sees all folds at once.
+    """
+    last = F.trunc(df.agg(F.max(series.date)).scalar().cast("date"), "month")
+    origins = F.array(*[F.add_months(last, 1 - horizon * (folds - j)) for j in range(folds)])
+    return df.withColumn("origin", F.explode(origins)).filter(F.col(series.date) < F.col("origin"))
+
+
+def backtest(
+    df: DataFrame, models: Mapping[str, Model], folds: int = 3, horizon: int = 3, series: Series = Series(),
+) -> DataFrame:
+    """``model_version, n, rmse, mae, bias`` of every model and series over all predicted months of all folds.
+
+    Every model runs once, over all folds of all series together. Months without an actual value aren't counted, and
+    a series that a model doesn't predict has no row for it.
+    """
+    keyed = Series((*series.keys, "origin"), series.date, series.value)
+    frame = materialize(rolling_origins(df, folds, horizon, series), "folds")
+    parts = [
+        model(frame, F.col("origin"), horizon, keyed).select(*keyed.keys, "forecast_date", "predicted_demand").withColumn("model_version", F.lit(name))
+        for name, model in models.items()
+    ]
+    predicted = parts[0]
+    for part in parts[1:]:
+        predicted = predicted.unionByName(part)
+    actual = df.select(*series.keys, F.col(series.date).alias("forecast_date"), F.col(series.value).cast("double").alias("_actual"))
+    error = F.col("predicted_demand") - F.col("_actual")
+    return predicted.join(actual, [*series.keys, "forecast_date"]).groupBy(*series.keys, "model_version").agg(
+        F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae"), F.avg(error).alias("bias"))
+
+
+def validated_blend(
+    df: DataFrame, models: Mapping[str, Model], start: str | Column, months: int, folds: int = 3, horizon: int = 3,
+    series: Series = Series(), version: str = "Blend",
+) -> DataFrame:
+    """The models' forecasts from ``start``, weighted for each series by their own errors in a backtest on ``df``."""
+    first = start.cast("date") if isinstance(start, Column) else F.lit(start).cast("date")
+    weights = blend_weights(backtest(df, models, folds, horizon, series), series.keys)
+    parts = [model(df, first, months, series).withColumn("model_version", F.lit(name)) for name, model in models.items()]
+    forecasts = parts[0]
+    for part in parts[1:]:
+        forecasts = forecasts.unionByName(part)
+    return blend_models(forecasts, weights, series.keys, version)
+
+
 def blend_weights(errors: DataFrame, keys: Sequence[str] = ("skill_name",), error: str = "rmse") -> DataFrame:
     """Weights from cross-validation errors: the inverse error of each (series, model)."""
     return errors.select(*keys, "model_version", (1 / (F.col(error) + 1e-6)).alias("weight"))

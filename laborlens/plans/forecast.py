@@ -17,7 +17,7 @@ from ..functions import dates
 from ..functions.values import clip, safe_ratio
 from ..functions.vocab import FORECAST_END, FORECAST_START, SPIKE_MONTHS
 from ..operators import filters, joins, windows
-from .regression import FEATURES, Series, fitted, ols_statistics, season_features, season_values, solve_ols
+from .regression import FEATURES, Series, fitted, ols_statistics, pair_statistics, season_features, season_values, solve_ols, solve_pairs
 
 Z95 = 1.96
 HORIZON = 32
@@ -362,77 +362,106 @@ def holt_winters(
     return _output(horizon, series, predicted, residual_sqrt_step(predicted, resid_std, h), version, 2)
 
 
+LONG_LAGS, SEASON_LAGS = (1, 2, 3), (0, 1)  # of the first stage: these, and these after one season
+
+
 def seasonal_ar(
     df: DataFrame, end: str | Column = FORECAST_END, season: int = 12, series: Series = Series(),
-    min_rows: int = 6, z: float = Z95,
+    min_rows: int = 6, z: float = Z95, moving_average: bool = True,
 ) -> DataFrame:
-    """Autoregression on the seasonal and first difference (lags 1, 12, 13).
+    """Autoregression with moving-average terms on the seasonal and first difference.
 
-    Stands in for a seasonal ARIMA model without moving-average terms. Series too
-    short for the seasonal lags use a lag-1 regression on the first difference.
+    Stands in for a seasonal ARIMA (1,1,1)(1,1,1) by two least-squares stages: the residuals of a long autoregression
+    are the shocks, then the series is regressed on its own lags 1, 12 and 13 and on the shocks at the same lags.
+    Future shocks are 0. Series of less than four seasons and a half have no moving-average terms; those too short
+    for seasonal lags use lag 1 of the first difference, with the last shock from ten points on.
     """
     keys = list(series.keys)
     arrays = _monthly_arrays(df, series, min_rows)
-    enough = F.col("n") >= 2 * season + 6
-
-    def change(y: Column, i: Column) -> Column:
-        """The differenced value at 1-based position i."""
-        def at(j: Column) -> Column:
-            return F.try_element_at(y, j.cast("int"))
+    n, y = F.col("n"), F.col("y")
+    seasonal = n >= 2 * season + 6
+    shocks = F.when(seasonal, n >= 4 * season + 6).otherwise(n >= 10) if moving_average else F.lit(False)
 
-        return F.when(
-            F.col("seasonal"), at(i) - at(i - 1) - at(i - season) + at(i - season - 1)
-        ).otherwise(at(i) - at(i - 1))
+    def at(values: Column, i: Column | int) -> Column:
+        return F.try_element_at(values, (F.lit(i) if isinstance(i, int) else i).cast("int"))
 
-    # rows for the fit: one per usable position of the array
-    flagged = arrays.withColumn("seasonal", enough)
-    offset = F.when(F.col("seasonal"), 2 * season + 3).otherwise(3)
-    positions = F.sequence(offset, F.col("n"))
-    y = F.col("y")
-    rows = flagged.select(*keys, "y", "n", "seasonal", F.explode(positions).alias("i")).select(
-        *keys,
-        "seasonal",
-        change(y, F.col("i")).alias("w"),
-        change(y, F.col("i") - 1).alias("l1"),
-        F.when(F.col("seasonal"), change(y, F.greatest(F.col("i") - season, F.lit(season + 2)))).otherwise(0.0).alias("l12"),
-        F.when(F.col("seasonal"), change(y, F.greatest(F.col("i") - season - 1, F.lit(season + 2)))).otherwise(0.0).alias("l13"),
-    )
-    lags = ("l1", "l12", "l13")
-    sums = rows.groupBy(*keys).agg(*ols_statistics(lags, "w"))
-    solved = solve_ols(sums, lags).withColumn("sigma", F.sqrt("resid_var")).drop("resid_var")
-
-    # roll the recursion forward on the tail of the series
-    keep = 2 * season + 3
-    known = flagged.join(solved, keys).withColumn(
-        "tail",
-        F.when(F.col("seasonal"), F.slice("y", -keep, keep)).otherwise(F.slice("y", -3, 3)),
-    )
+    def change(i: Column) -> Column:
+        """The differenced value at 1-based position i."""
+        return F.when(F.col("seasonal"), at(y, i) - at(y, i - 1) - at(y, i - season) + at(y, i - season - 1)).otherwise(at(y, i) - at(y, i - 1))
+
+    def lagged(values: Column, i: Column, lags: Sequence[int]) -> list[Column]:
+        """The values so many places before i; seasonal ones only where the series has a season."""
+        return [at(values, i - lag) if lag < season else F.when(F.col("seasonal"), at(values, F.greatest(i - lag, F.lit(1)))).otherwise(0.0) for lag in lags]
+
+    flagged = arrays.withColumns({"seasonal": seasonal, "shocks": shocks})
+    first = F.when(F.col("seasonal"), season + 2).otherwise(2)
+    changes = flagged.withColumns({
+        "w": F.transform(F.sequence(first, n), change),
+        "deep": F.when(F.col("seasonal"), season + 1).otherwise(F.when(F.col("shocks"), max(LONG_LAGS)).otherwise(1)),
+    }).select(*keys, "y", "last_date", "seasonal", "shocks", "deep", "w", F.size("w").alias("size"))
+    w, size, i = F.col("w"), F.col("size"), F.col("i")
+
+    # first stage: the shocks
+    long = (*LONG_LAGS, *(season + lag for lag in SEASON_LAGS))
+    names = [f"l{lag}" for lag in long]
+    rows = changes.filter("shocks").select(*keys, "seasonal", "w", F.explode(F.sequence(F.col("deep") + 1, size)).alias("i"))
+    rows = rows.select(*keys, at(w, i).alias("now"), *[v.alias(name) for v, name in zip(lagged(w, i, long), names)])
+    stage = solve_pairs(rows.groupBy(*keys).agg(*pair_statistics(names, "now")), names).select(*keys, F.struct("intercept", *[f"coef_{c}" for c in names]).alias("long"))
+
+    def shock(i: Column) -> Column:
+        explained = F.col("long.intercept")
+        for name, value in zip(names, lagged(w, i, long)):
+            explained = explained + F.col(f"long.coef_{name}") * value
+        return F.when(F.col("long").isNull() | (i <= F.col("deep")), 0.0).otherwise(at(w, i) - explained)
+
+    known = changes.join(stage, keys, "left").withColumn("e", F.transform(F.sequence(F.lit(1), size), shock)).drop("long")
+
+    # second stage: own lags and shocks
+    lags = (1, season, season + 1)
+    terms = [*(f"l{lag}" for lag in lags), *(f"e{lag}" for lag in lags)]
+    e = F.col("e")
+
+    def values(i: Column) -> list[Column]:
+        past = [*lagged(w, i, lags), *lagged(e, i, lags)]
+        return [F.coalesce(v, F.lit(0.0)) for v in past]
+
+    start = F.col("deep") * F.when(F.col("shocks"), 2).otherwise(1) + 1
+    positions = F.when(start <= size, F.sequence(F.least(start, size), size)).otherwise(F.array().cast("array<int>"))
+    rows = known.select(*keys, "seasonal", "w", "e", F.explode(positions).alias("i"))
+    rows = rows.select(*keys, at(w, i).alias("now"), *[v.alias(name) for v, name in zip(values(i), terms)])
+    solved = solve_pairs(rows.groupBy(*keys).agg(*pair_statistics(terms, "now")), terms)
+    fit = known.join(solved, keys)
+    residuals = F.transform(positions, lambda i: at(w, i) - fitted(values(i), terms))
+    square = F.aggregate(residuals, F.lit(0.0), lambda total, r: total + r * r)
+    fit = fit.withColumn("sigma", F.sqrt(F.try_divide(square, F.size(positions))))
+
+    # the recursion on the tails: months, changes and shocks
+    keep = season + 1
     ahead = F.greatest(dates.month_gap(_day(end), F.col("last_date")), F.lit(0))
 
-    def extend(buffer: Column, _: Column) -> Column:
-        size = F.size(buffer)
-        w1 = change(buffer, size)
-        w12 = F.when(F.col("seasonal"), change(buffer, size - season + 1)).otherwise(0.0)
-        w13 = F.when(F.col("seasonal"), change(buffer, size - season)).otherwise(0.0)
-        step = fitted([w1, w12, w13], lags)
-        last = F.element_at(buffer, -1)
-        seasonal_part = F.try_element_at(buffer, (size - season + 1).cast("int")) - F.try_element_at(
-            buffer, (size - season).cast("int")
-        )
-        following = last + step + F.when(F.col("seasonal"), seasonal_part).otherwise(0.0)
-        return F.concat(buffer, F.array(following))
+    def extend(s: Column, _: Column) -> Column:
+        after = F.size(s["w"]) + 1
+        past = [*lagged(s["w"], after, lags), *lagged(s["e"], after, lags)]
+        step = fitted([F.coalesce(v, F.lit(0.0)) for v in past], terms)
+        before = F.when(F.col("seasonal"), at(s["y"], -season) - at(s["y"], -season - 1)).otherwise(0.0)
+        return F.struct(
+            F.concat(s["y"], F.array(step + at(s["y"], -1) + before)).alias("y"),
+            F.concat(s["w"], F.array(step)).alias("w"), F.concat(s["e"], F.array(F.lit(0.0))).alias("e"))
 
+    tail = lambda values: F.slice(values, F.greatest(F.size(values) - keep + 1, F.lit(1)), keep)
+    begin = F.struct(tail(y).alias("y"), tail(w).alias("w"), tail(e).alias("e"))
     rolled = (
-        known.filter(ahead > 0)
-        .withColumn("path", F.aggregate(F.sequence(F.lit(1), ahead), F.col("tail"), extend))
-        .withColumn("path", F.slice("path", F.size("tail") + 1, ahead))
-        .select(*keys, "seasonal", "sigma", "last_date", F.posexplode("path").alias("step", "value"))
+        fit.filter(ahead > 0)
+        .withColumn("path", F.aggregate(F.sequence(F.lit(1), ahead), begin, extend)["y"])
+        .withColumn("path", F.slice("path", F.size("path") - ahead + 1, ahead))
+        .select(*keys, "seasonal", "shocks", "sigma", "last_date", F.posexplode("path").alias("step", "value"))
         .withColumn("forecast_date", F.add_months("last_date", F.col("step") + 1))
     )
     half = z * F.col("sigma") * F.sqrt(F.col("step") + 1)
     predicted = F.greatest(F.col("value"), F.lit(0.0))
     band = model_band(predicted, F.col("value") - half, F.col("value") + half)
-    version = F.when(F.col("seasonal"), f"SeasonalAR(1,{season},{season + 1})").otherwise("AR(1)")
+    version = F.when(F.col("seasonal"), F.when(F.col("shocks"), f"SeasonalARMA(1,{season},{season + 1})").otherwise(f"SeasonalAR(1,{season},{season + 1})")).otherwise(
+        F.when(F.col("shocks"), "ARMA(1,1)").otherwise("AR(1)"))
     return _output(rolled, series, predicted, band, version, 2)
 
 

@@ -99,6 +99,41 @@ def solve_ols(sums: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     )
 
 
+def pair_statistics(features: Sequence[str], label: str) -> list[Column]:
+    """Aggregates that determine a least-squares fit with intercept on any number of features."""
+    xs, y = [f"cast({f} as double)" for f in features], f"cast({label} as double)"
+    k = range(len(xs))
+    stats = [f"avg({x}) as _m{i}" for i, x in enumerate(xs)] + [f"avg({y}) as _my"]
+    stats += [f"covar_pop({xs[i]}, {y}) as _b{i}" for i in k]
+    stats += [f"covar_pop({xs[i]}, {xs[j]}) as _a{i}_{j}" for i in k for j in k if i <= j]
+    return [F.expr(s) for s in stats]
+
+
+def solve_pairs(sums: DataFrame, features: Sequence[str], keep: float = 1e-10) -> DataFrame:
+    """Replace ``pair_statistics`` by intercept and slopes.
+
+    The covariance matrix is eliminated feature by feature, one projection each. A feature of which less than
+    ``keep`` of its variance is left by the ones before it gets the slope 0.
+    """
+    k = range(len(features))
+    given = [c for c in sums.columns if not re.fullmatch(r"_(m(\d+|y)|b\d+|a\d+_\d+)", c)]
+    cell = [[f"_a{min(i, j)}_{max(i, j)}" for j in k] for i in k]
+    at = sums.selectExpr(*given, "_my", *[f"_m{i}" for i in k], *[f"{cell[i][i]} as _v{i}" for i in k],
+                         *[f"_b{i} as _y{i}" for i in k], *[f"{cell[i][j]} as _c{i}_{j}" for i in k for j in k])
+    for p in k:
+        used = f"_c{p}_{p} > {keep} * _v{p}"
+        factor = {i: f"if({used}, _c{i}_{p} / _c{p}_{p}, 0D)" for i in k if i != p}
+        at = at.selectExpr(
+            *given, "_my", *[f"_m{i}" for i in k], *[f"_v{i}" for i in k],
+            *[f"_y{i} - {factor[i]} * _y{p} as _y{i}" if i != p else f"if({used}, _y{p}, 0D) as _y{p}" for i in k],
+            *[f"_c{i}_{j} - {factor[i]} * _c{p}_{j} as _c{i}_{j}" if i != p else f"if({used}, _c{p}_{j}, {float(p == j)}D) as _c{p}_{j}"
+              for i in k for j in k])
+    slopes = [f"coalesce(try_divide(_y{i}, _c{i}_{i}), 0D) as coef_{f}" for i, f in enumerate(features)]
+    solved = at.selectExpr(*given, "_my", *[f"_m{i}" for i in k], *slopes)
+    intercept = " - ".join(["_my", *[f"coef_{f} * _m{i}" for i, f in enumerate(features)]])
+    return solved.selectExpr(*given, f"{intercept} as intercept", *[f"coef_{f}" for f in features])
+
+
 def fitted(features: Sequence[Column], names: Sequence[str] = FEATURES) -> Column:
     """Prediction from the solution columns for the given feature values."""
     value = F.col("intercept")

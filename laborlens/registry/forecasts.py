@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from ..functions.vocab import TOTAL_SERIES
 from ..operators import joins
 from ..plans import domain, etl, evaluate, forecast, ml
-from ..plans.regression import Series, cross_validate
 from .core import CLOSED, FORECASTS, REGIONAL, VOLUME, query
 from .profiling import sparse_rows
 from .relational import SPIKES, SPIKES_SQL
-from .series import TRAILING, ols_sql
+from .series import TRAILING, ols_sql, pairs_sql
 
 START, END = "2001-11-01", "2004-06-01"  # the 32 months after the last closed month
 BOUNDS = ("predicted_demand", "confidence_lower", "confidence_upper")
@@ -121,22 +120,119 @@ def m08(spark, sf):
     return forecast.median_blend(sparse_rows(spark, sf), START)
 
 
-@query("m09_holt_winters")
+HOLT = """grid(a, b, g) AS (SELECT a, b, g FROM (SELECT unnest([0.1, 0.3, 0.5, 0.7, 0.9]) AS a), (SELECT unnest([0.01, 0.1, 0.3]) AS b), (SELECT unnest([0.05, 0.2, 0.4]) AS g)),
+  state AS (
+    SELECT skill_name, n, last_date, ys, a, b, CASE WHEN n >= 8 THEN g ELSE 0 END AS g, g AS own_g, 0 AS i,
+           CASE WHEN n >= 8 THEN f - slope * 2.5 ELSE ys[1] - slope END AS level, slope AS trend,
+           CASE WHEN n >= 8 THEN [ys[1] - (f - slope * 2.5 + slope), ys[2] - (f - slope * 2.5 + slope * 2), ys[3] - (f - slope * 2.5 + slope * 3), ys[4] - (f - slope * 2.5 + slope * 4)]
+                ELSE [0.0, 0.0, 0.0, 0.0]::DOUBLE[] END AS due, 0.0::DOUBLE AS sum_r, 0.0::DOUBLE AS sum_rr
+    FROM (SELECT *, CASE WHEN n >= 8 THEN (list_avg(ys[5:8]) - f) / 4 ELSE ys[2] - ys[1] END AS slope FROM (SELECT *, list_avg(ys[1:4]) AS f FROM arrays)) CROSS JOIN grid
+    UNION ALL
+    SELECT skill_name, n, last_date, ys, a, b, g, own_g, i + 1, level + trend + a * r, trend + b * a * r, list_append(due[2:4], due[1] + g * r), sum_r + r, sum_rr + r * r
+    FROM (SELECT *, ys[i + 1] - level - trend - due[1] AS r FROM state WHERE i < n)),
+  best AS (SELECT * FROM state WHERE i = n QUALIFY row_number() OVER (PARTITION BY skill_name ORDER BY sum_rr, a, b, own_g) = 1),
+  ahead AS (SELECT *, level + trend * h + due[(h - 1) % 4 + 1] AS p, 1.96 * sqrt(greatest(sum_rr / n - (sum_r / n) * (sum_r / n), 0)) * sqrt(h) AS half
+            FROM best CROSS JOIN (SELECT unnest(range(1, 33)) AS h))"""
+DENSE = f"""{CLOSED}, span AS (SELECT skill_name, min(period_start) AS f, max(period_start) AS l FROM closed GROUP BY 1 HAVING count(*) >= {{least}}),
+  months AS (SELECT skill_name, CAST(unnest(generate_series(f, l, INTERVAL 1 MONTH)) AS DATE) AS period_start FROM span),
+  dense AS (SELECT m.skill_name, m.period_start, CAST(coalesce(demand_count, 0) AS DOUBLE) AS y FROM months m LEFT JOIN closed c ON m.skill_name = c.skill_name AND m.period_start = c.period_start),
+  arrays AS (SELECT skill_name, list(y ORDER BY period_start) AS ys, count(*) AS n, max(period_start) AS last_date FROM dense GROUP BY 1)"""
+
+
+@query(
+    "m09_holt_winters",
+    f"""WITH RECURSIVE {DENSE.format(least=3)}, {HOLT}
+        SELECT skill_name, CAST(last_date + INTERVAL (h) MONTH AS DATE) AS forecast_date, round(p, 2) AS predicted_demand, round(greatest(p - half, 0), 2) AS confidence_lower,
+               round(p + half, 2) AS confidence_upper, 'Holt-Winters' AS model_version FROM ahead WHERE last_date + INTERVAL (h) MONTH <= DATE '{END}'""",
+    doubles=BOUNDS, places=2,
+)
 def m09(spark, sf):
     return forecast.holt_winters(domain.closed_skill_demand(spark, sf), END)
 
 
-@query("m10_seasonal_ar")
+def _lags(value: str, lags: list[int], prefix: str) -> str:
+    return ", ".join(f"coalesce(CASE WHEN {lag} < 12 OR seasonal THEN lag({value}, {lag}) OVER o END, 0) AS {prefix}{lag}" for lag in lags)
+
+
+LONG, OWN = [1, 2, 3, 12, 13], [1, 12, 13]
+TERMS = [*(f"l{i}" for i in OWN), *(f"e{i}" for i in OWN)]
+ARMA = f"""flagged AS (SELECT *, n >= 30 AS seasonal, CASE WHEN n >= 30 THEN n >= 54 ELSE n >= 10 END AS shocks FROM arrays),
+  place AS (SELECT *, unnest(range(CASE WHEN seasonal THEN 14 ELSE 2 END, n + 1)) AS p FROM flagged),
+  change AS (SELECT skill_name, seasonal, shocks, CASE WHEN seasonal THEN 13 WHEN shocks THEN 3 ELSE 1 END AS deep, row_number() OVER (PARTITION BY skill_name ORDER BY p) AS i,
+                    CASE WHEN seasonal THEN ys[p] - ys[p - 1] - ys[p - 12] + ys[p - 13] ELSE ys[p] - ys[p - 1] END AS now FROM place),
+  long AS (SELECT *, {_lags('now', LONG, 'l')} FROM change WINDOW o AS (PARTITION BY skill_name ORDER BY i)),
+  long_rows AS (SELECT * FROM long WHERE shocks AND i > deep),
+  {pairs_sql('long_rows', 'first_fit', 'skill_name', [f'l{i}' for i in LONG])},
+  shocked AS (SELECT c.skill_name, seasonal, shocks, deep, i, now,
+                     CASE WHEN f.skill_name IS NULL OR i <= deep THEN 0 ELSE now - (f.intercept + {' + '.join(f'coef_l{i} * l{i}' for i in LONG)}) END AS e
+              FROM long c LEFT JOIN first_fit f ON c.skill_name = f.skill_name),
+  own AS (SELECT *, {_lags('now', OWN, 'l')}, {_lags('e', OWN, 'e')} FROM shocked WINDOW o AS (PARTITION BY skill_name ORDER BY i)),
+  own_rows AS (SELECT * FROM own WHERE i > deep * CASE WHEN shocks THEN 2 ELSE 1 END),
+  {pairs_sql('own_rows', 'second_fit', 'skill_name', TERMS)},
+  spread AS (SELECT r.skill_name, sqrt(avg(pow(now - (intercept + {' + '.join(f'coef_{t} * {t}' for t in TERMS)}), 2))) AS sigma
+             FROM own_rows r JOIN second_fit f ON r.skill_name = f.skill_name GROUP BY 1),
+  tails AS (SELECT skill_name, list(now ORDER BY i) AS ws, list(e ORDER BY i) AS es FROM shocked GROUP BY 1),
+  path AS (
+    SELECT f.skill_name, seasonal, shocks, last_date, sigma, 0 AS h, ys, ws, es, intercept, {', '.join(f'coef_{t}' for t in TERMS)}
+    FROM flagged f JOIN second_fit s ON f.skill_name = s.skill_name JOIN spread d ON f.skill_name = d.skill_name JOIN tails t ON f.skill_name = t.skill_name
+    UNION ALL
+    SELECT skill_name, seasonal, shocks, last_date, sigma, h + 1, list_append(ys, step + ys[-1] + CASE WHEN seasonal THEN ys[-12] - ys[-13] ELSE 0 END),
+           list_append(ws, step), list_append(es, CAST(0 AS DOUBLE)), intercept, {', '.join(f'coef_{t}' for t in TERMS)}
+    FROM (SELECT *, intercept + coef_l1 * coalesce(ws[-1], 0) + coef_e1 * coalesce(es[-1], 0)
+                 + CASE WHEN seasonal THEN coef_l12 * ws[-12] + coef_l13 * ws[-13] + coef_e12 * es[-12] + coef_e13 * es[-13] ELSE 0 END AS step FROM path WHERE h < 32))"""
+
+
+@query(
+    "m10_seasonal_ar",
+    f"""WITH RECURSIVE {DENSE.format(least=6)}, {ARMA}
+        SELECT skill_name, CAST(last_date + INTERVAL (h) MONTH AS DATE) AS forecast_date, round(greatest(ys[-1], 0), 2) AS predicted_demand,
+               round(greatest(ys[-1] - 1.96 * sigma * sqrt(h), 0), 2) AS confidence_lower, round(greatest(ys[-1] + 1.96 * sigma * sqrt(h), greatest(ys[-1], 0)), 2) AS confidence_upper,
+               CASE WHEN seasonal AND shocks THEN 'SeasonalARMA(1,12,13)' WHEN seasonal THEN 'SeasonalAR(1,12,13)' WHEN shocks THEN 'ARMA(1,1)' ELSE 'AR(1)' END AS model_version
+        FROM path WHERE h > 0 AND last_date + INTERVAL (h) MONTH <= DATE '{END}'""",
+    doubles=BOUNDS, places=2,
+)
 def m10(spark, sf):
     return forecast.seasonal_ar(domain.closed_skill_demand(spark, sf), END)
 
 
-@query("m11_lag_regression")
+def lag_rollout_sql(source: str, k: int) -> str:
+    """The common regression on k scaled lags and its own continuation, as common table expressions ending in ``rollout``."""
+    lags = [f"l{i}" for i in range(k, 0, -1)]
+    return f"""usable AS (SELECT *, min(demand_count) OVER s AS lo, max(demand_count) OVER s AS hi FROM {source} WINDOW s AS (PARTITION BY skill_name) QUALIFY count(*) OVER s >= {k + 2}),
+  scaled AS (SELECT *, coalesce((demand_count - lo) / nullif(CAST(hi - lo AS DOUBLE), 0), 0) AS now FROM usable),
+  lagged AS (SELECT 1 AS one, now, {', '.join(f'lag(now, {i}) OVER o AS l{i}' for i in range(k, 0, -1))} FROM scaled WINDOW o AS (PARTITION BY skill_name ORDER BY period_start)
+             QUALIFY row_number() OVER o > {k}),
+  {pairs_sql('lagged', 'model', 'one', lags)},
+  rolled AS (
+    SELECT skill_name, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, last_date, hist_mean, volatility, 0 AS step, buffer FROM (
+      SELECT skill_name, min(lo) AS lo, max(hi) AS hi, max(period_start) AS last_date, avg(demand_count) AS hist_mean,
+             stddev_pop(demand_count) / (avg(demand_count) + 1e-6) AS volatility, list(now ORDER BY period_start) AS buffer FROM scaled GROUP BY 1)
+    UNION ALL
+    SELECT skill_name, lo, hi, last_date, hist_mean, volatility, step + 1, list_append(buffer, intercept + {' + '.join(f'coef_l{i} * buffer[-{i}]' for i in range(k, 0, -1))})
+    FROM rolled JOIN model ON one = 1 WHERE step < 32),
+  rollout AS (SELECT skill_name, step - 1 AS step, CAST(last_date + INTERVAL (step) MONTH AS DATE) AS forecast_date, buffer[-1] * (hi - lo) + lo AS base, hist_mean, volatility
+              FROM rolled WHERE step > 0)"""
+
+
+@query(
+    "m11_lag_regression",
+    f"""WITH RECURSIVE {CLOSED}, {lag_rollout_sql('closed', 6)}, p AS (SELECT *, greatest(base, 0) AS p FROM rollout)
+        SELECT skill_name, forecast_date, p AS predicted_demand, greatest(p * (1 - volatility), 0) AS confidence_lower, p * (1 + volatility) AS confidence_upper,
+               'LagRegression' AS model_version FROM p""",
+    doubles=BOUNDS, places=4,
+)
 def m11(spark, sf):
     return forecast.lag_regression(domain.demand_table(spark, sf))
 
 
-@query("m12_growth_blend")
+@query(
+    "m12_growth_blend",
+    f"""WITH RECURSIVE {VOLUME}, source AS (SELECT '{TOTAL_SERIES}' AS skill_name, date AS period_start, count AS demand_count FROM volume), {lag_rollout_sql('source', 3)},
+        p AS (SELECT *, greatest((0.7 * base + 0.3 * hist_mean * pow(1.015, step + 1)) * (1 + 0.15 * sin(2 * pi() * (step % 12) / 12)), 5) AS p FROM rollout)
+        SELECT skill_name, forecast_date, p AS predicted_demand, greatest(p * (1 - volatility), 2) AS confidence_lower, p * (1 + volatility) AS confidence_upper,
+               'GrowthBlend' AS model_version FROM p""",
+    doubles=BOUNDS, places=4,
+)
 def m12(spark, sf):
     volume = domain.order_volume(spark, sf).select(
         F.lit(TOTAL_SERIES).alias("skill_name"), F.col("date").alias("period_start"), F.col("count").alias("demand_count")
@@ -319,15 +415,63 @@ def m22(spark, sf):
     return evaluate.blend_models(linear.unionByName(flat), weights)
 
 
-@query("m22_blend_by_validation_error")
+FOLD_GRID = """grid AS (SELECT CAST(unnest(generate_series(DATE '2000-04-01', DATE '2000-12-01', INTERVAL 1 MONTH)) AS DATE) AS forecast_date)"""
+AHEAD_GRID = """grid AS (SELECT CAST(unnest(generate_series(DATE '2001-01-01', DATE '2001-10-01', INTERVAL 1 MONTH)) AS DATE) AS forecast_date)"""
+
+
+def trend_sql(source: str, base: str, steps: int) -> str:
+    """Trend following as a query; ``base`` is the first month as an expression on the series."""
+    return f"""WITH {TRAILING.format(src=source)}, s AS (SELECT skill_name, {ENDPOINTS}, max(demand_count) AS peak FROM recent GROUP BY 1),
+        steps AS (SELECT unnest(range(0, {steps})) AS step), d AS (SELECT *, CAST({base} + INTERVAL (step) MONTH AS DATE) AS forecast_date FROM s CROSS JOIN steps)
+        SELECT skill_name, forecast_date, least(greatest(0, last_value + slope * date_diff('day', last_date, forecast_date)), peak * 1.2) AS p FROM d"""
+
+
+# a fold is a series of its own, its first predicted month is part of its name
+VALIDATED = f"""{CLOSED}, past AS (SELECT * FROM closed WHERE period_start < DATE '2001-01-01'),
+  origins AS (SELECT CAST(max(period_start) + INTERVAL 1 MONTH - INTERVAL (3 * j) MONTH AS DATE) AS origin FROM past CROSS JOIN (SELECT unnest([1, 2, 3]) AS j) GROUP BY j),
+  folds AS (SELECT skill_name || '@' || origin AS skill_name, period_start, demand_count FROM past JOIN origins ON period_start < origin),
+  fold_linreg AS (WITH {linreg_sql('folds', 'skill_name', grid=FOLD_GRID)} SELECT skill_name, forecast_date, predicted_demand AS p FROM linreg),
+  fold_trend AS ({trend_sql('folds', "CAST(split_part(skill_name, '@', 2) AS DATE)", 3)}),
+  tested AS (
+    SELECT split_part(skill_name, '@', 1) AS skill_name, CAST(split_part(skill_name, '@', 2) AS DATE) AS origin, forecast_date, p, 'LinReg' AS model_version FROM fold_linreg
+    UNION ALL SELECT split_part(skill_name, '@', 1), CAST(split_part(skill_name, '@', 2) AS DATE), forecast_date, p, 'TrendFollowing' FROM fold_trend),
+  errors AS (SELECT t.skill_name, model_version, count(*) AS n, sqrt(avg(pow(p - demand_count, 2))) AS rmse, avg(abs(p - demand_count)) AS mae, avg(p - demand_count) AS bias
+             FROM tested t JOIN past a ON t.skill_name = a.skill_name AND t.forecast_date = a.period_start
+             WHERE t.forecast_date BETWEEN origin AND origin + INTERVAL 2 MONTH GROUP BY 1, 2)"""
+
+
+def _models():
+    def linear(df, start, months, series):
+        return forecast.linreg_forecast(df, start, F.add_months(start, months - 1), SPIKES, series)
+
+    def trend(df, start, months, series):
+        return forecast.trend_following(df, start, months, series=series)
+
+    return {"LinReg": linear, "TrendFollowing": trend}
+
+
+def _past(spark, sf):
+    return domain.demand_table(spark, sf).filter(F.col("period_start") < F.lit("2001-01-01").cast("date"))
+
+
+@query("m22_backtest", f"WITH {VALIDATED} SELECT * FROM errors", doubles=("rmse", "mae", "bias"), places=4)
+def m22b(spark, sf):
+    return evaluate.backtest(_past(spark, sf), _models())
+
+
+@query(
+    "m22_blend_by_validation_error",
+    f"""WITH {VALIDATED}, ahead_linreg AS (WITH {linreg_sql('past', 'skill_name', grid=AHEAD_GRID)} SELECT *, 'LinReg' AS model_version FROM linreg),
+        ahead_trend AS (SELECT skill_name, forecast_date, p AS predicted_demand, p * 0.7 AS confidence_lower, p * 1.3 AS confidence_upper, 'TrendFollowing' AS model_version
+                        FROM ({trend_sql('past', "DATE '2001-01-01'", 10)})),
+        f AS (SELECT * FROM ahead_linreg UNION ALL SELECT * FROM ahead_trend)
+        SELECT f.skill_name, forecast_date, sum(predicted_demand / (rmse + 1e-6)) / sum(1 / (rmse + 1e-6)) AS predicted_demand,
+               sum(confidence_lower / (rmse + 1e-6)) / sum(1 / (rmse + 1e-6)) AS confidence_lower, sum(confidence_upper / (rmse + 1e-6)) / sum(1 / (rmse + 1e-6)) AS confidence_upper,
+               'Blend' AS model_version FROM f JOIN errors e ON f.skill_name = e.skill_name AND f.model_version = e.model_version GROUP BY f.skill_name, forecast_date""",
+    doubles=BOUNDS, places=4,
+)
 def m22v(spark, sf):
-    past, _, linear = _backtest(spark, sf)
-    trend = forecast.trend_following(past, "2001-01-01", 10)
-    errors = cross_validate(past, Series())
-    scored = errors.select("skill_name", F.lit("LinReg_NoSpike_v3").alias("model_version"), "rmse").unionByName(
-        errors.select("skill_name", F.lit("TrendFollowing").alias("model_version"), (F.col("rmse") * 2).alias("rmse"))
-    )
-    return evaluate.blend_models(linear.unionByName(trend), evaluate.blend_weights(scored))
+    return evaluate.validated_blend(_past(spark, sf), _models(), "2001-01-01", 10)
 
 
 @query(

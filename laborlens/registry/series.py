@@ -255,6 +255,27 @@ def ols_sql(source: str, name: str, keys: str, label: str = "demand_count", wher
   {name} AS (SELECT *, my - coef_t * m0 - coef_sin_m * m1 - coef_cos_m * m2 AS intercept FROM {name}_coefs)"""
 
 
+def pairs_sql(source: str, name: str, keys: str, features: list[str], label: str = "now") -> str:
+    """Least squares on any features by elimination, as common table expressions: ``keys, n, intercept, coef_…``."""
+    k = range(len(features))
+    sums = [f"avg({x}) AS m{i}, covar_pop({x}, {label}) AS y{i}, var_pop({x}) AS v{i}" for i, x in enumerate(features)]
+    sums += [f"covar_pop({features[i]}, {features[j]}) AS c{i}_{j}" for i in k for j in k]
+    kept = f"{keys}, n, my, " + ", ".join(f"m{i}, v{i}" for i in k)
+    steps = [f"{name}_0 AS (SELECT {keys}, count(*) AS n, avg({label}) AS my, {', '.join(sums)} FROM {source} GROUP BY {keys})"]
+    for p in k:
+        used = f"c{p}_{p} > 1e-10 * v{p}"
+        cells = []
+        for i in k:
+            by = f"CASE WHEN {used} THEN c{i}_{p} / c{p}_{p} ELSE 0 END"
+            cells.append(f"CASE WHEN {used} THEN y{p} ELSE 0 END AS y{p}" if i == p else f"y{i} - {by} * y{p} AS y{i}")
+            cells += [f"CASE WHEN {used} THEN c{i}_{j} ELSE {int(i == j)} END AS c{i}_{j}" if i == p else f"c{i}_{j} - {by} * c{p}_{j} AS c{i}_{j}" for j in k]
+        steps.append(f"{name}_{p + 1} AS (SELECT {kept}, {', '.join(cells)} FROM {name}_{p})")
+    slopes = ", ".join(f"coalesce(y{i} / nullif(c{i}_{i}, 0), 0) AS coef_{f}" for i, f in enumerate(features))
+    intercept = " - ".join(["my", *[f"coef_{f} * m{i}" for i, f in enumerate(features)]])
+    steps.append(f"{name} AS (SELECT *, {intercept} AS intercept FROM (SELECT {kept}, {slopes} FROM {name}_{len(features)}))")
+    return ",\n  ".join(steps)
+
+
 @query(
     "m02_grouped_ols",
     f"""WITH {CLOSED}, {SEASON.format(src='closed')}, {ols_sql('season', 'fit', 'skill_name')}

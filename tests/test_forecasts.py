@@ -161,7 +161,7 @@ def test_holt_winters_continues_a_line(series):
 def test_seasonal_ar(series):
     rng = np.random.default_rng(4)
     y = np.maximum(20 + 0.3 * np.arange(60) + 5 * np.sin(np.arange(60) * np.pi / 6) + rng.normal(size=60), 0)
-    got = forecast.seasonal_ar(series({"a": list(y)}), "2005-12-01").orderBy("forecast_date").collect()
+    got = forecast.seasonal_ar(series({"a": list(y)}), "2005-12-01", moving_average=False).orderBy("forecast_date").collect()
 
     def w(v, i):
         return v[i] - v[i - 1] - v[i - 12] + v[i - 13]
@@ -255,3 +255,88 @@ def test_blend_weights_prefer_the_better_model(spark):
 def test_forecast_table_is_capped(series):
     got = etl.forecast_table(series({"a": [1, 1, 1, 30, 30, 30]}), "2000-07-01", "2000-09-01", ())
     assert got.filter("predicted_demand > 150").count() == 0 and got.count() == 3
+
+
+def arma_path(y, steps):
+    """Two-stage regression on the seasonal and first difference, and its continuation."""
+    w = [y[i] - y[i - 1] - y[i - 12] + y[i - 13] for i in range(13, len(y))]
+    long = [1, 2, 3, 12, 13]
+    slopes, intercept = least_squares(np.array([[w[i - k] for k in long] for i in range(13, len(w))]), np.array(w[13:]))
+    e = [0.0] * 13 + [w[i] - intercept - slopes @ [w[i - k] for k in long] for i in range(13, len(w))]
+    own = [1, 12, 13]
+    x = np.array([[w[i - k] for k in own] + [e[i - k] for k in own] for i in range(26, len(w))])
+    slopes, intercept = least_squares(x, np.array(w[26:]))
+    sigma = np.sqrt(np.mean((np.array(w[26:]) - intercept - x @ slopes) ** 2))
+    path = list(y)
+    for _ in range(steps):
+        step = intercept + slopes @ ([w[-k] for k in own] + [e[-k] for k in own])
+        path.append(step + path[-1] + path[-12] - path[-13])
+        w.append(step)
+        e.append(0.0)
+    return path[len(y):], sigma
+
+
+def test_moving_average_terms(series):
+    rng = np.random.default_rng(6)
+    shocks = rng.normal(size=90)
+    noise = shocks + 0.6 * np.concatenate([[0], shocks[:-1]])
+    y = np.round(60 + 0.3 * np.arange(90) + 8 * np.sin(np.arange(90) * np.pi / 6) + 3 * noise, 3)
+    data = {"a": list(y), "b": list(y[::-1]), "mid": list(y[:40]), "ten": list(y[:12])}
+    got = forecast.seasonal_ar(series(data), "2008-12-01").orderBy("skill_name", "forecast_date").collect()
+    for name, values in (("a", y), ("b", y[::-1])):
+        rows = [r for r in got if r.skill_name == name]
+        path, sigma = arma_path(list(values), len(rows))
+        assert len(rows) == 18 and {r.model_version for r in rows} == {"SeasonalARMA(1,12,13)"}
+        assert [r.predicted_demand for r in rows] == pytest.approx([max(v, 0) for v in path], abs=0.006)
+        assert [r.confidence_upper for r in rows] == pytest.approx([v + 1.96 * sigma * math.sqrt(i + 1) for i, v in enumerate(path)], abs=0.006)
+    assert {r.model_version for r in got if r.skill_name == "mid"} == {"SeasonalAR(1,12,13)"}
+    assert {r.model_version for r in got if r.skill_name == "ten"} == {"ARMA(1,1)"}
+
+
+def test_elimination_leaves_out_dependent_features(spark):
+    from laborlens.plans.regression import pair_statistics, solve_pairs
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40, 5))
+    x[:, 3] = 2 * x[:, 0] - x[:, 1]  # no direction of its own
+    y = x @ [1.0, -2.0, 0.5, 0.0, 3.0] + 4 + rng.normal(size=40) * 0.1
+    names = ["a", "b", "c", "d", "e"]
+    rows = spark.createDataFrame([(i % 1, *map(float, r), float(v), 7.0) for i, (r, v) in enumerate(zip(x, y))], f"k int, {', '.join(f'{n} double' for n in names)}, y double, same double")
+    got = solve_pairs(rows.groupBy("k").agg(*pair_statistics([*names, "same"], "y")), [*names, "same"]).first()
+    slopes, intercept = least_squares(np.delete(x, 3, 1), y)
+    assert (got.coef_d, got.coef_same) == (0.0, 0.0)
+    assert [got.intercept, got.coef_a, got.coef_b, got.coef_c, got.coef_e] == pytest.approx([intercept, *slopes], abs=1e-9)
+
+
+def test_backtest_runs_each_model_once_over_all_folds(series):
+    calls = []
+
+    def last_value(df, start, months, s):
+        calls.append(s.keys)
+        newest = df.groupBy(*s.keys).agg(F.max_by(F.col(s.value).cast("double"), s.date).alias("predicted_demand"))
+        days = F.explode(F.sequence(start, F.add_months(start, months - 1), F.expr("interval 1 month")))
+        return newest.select(*s.keys, "predicted_demand", days.alias("forecast_date")).withColumns(
+            {c: F.col("predicted_demand") for c in ("confidence_lower", "confidence_upper")})
+
+    def double(df, start, months, s):
+        return last_value(df, start, months, s).withColumn("predicted_demand", F.col("predicted_demand") * 2)
+
+    values = {"a": [5, 7, 6, 9, 8, 10, None, 12], "b": [3, 3, 3, 3, 3, 3, 3, 3], "late": [None] * 7 + [1]}
+    df = series(values)
+    models = {"last": last_value, "double": double}
+    got = {(r.skill_name, r.model_version): r for r in evaluate.backtest(df, models, folds=2, horizon=2).collect()}
+    assert calls == [("skill_name", "origin")] * 2
+    # folds begin with months 4 and 6 (from 0); the last values before them are 9 and 10
+    for name, scale in (("last", 1), ("double", 2)):
+        errors = [9 * scale - 8, 9 * scale - 10, 10 * scale - 12]
+        r = got["a", name]
+        assert (r.n, r.rmse, r.bias) == (3, pytest.approx(math.sqrt(sum(e * e for e in errors) / 3)), pytest.approx(sum(errors) / 3))
+    assert got["b", "last"].rmse == 0 and ("late", "last") not in got
+    blend = evaluate.validated_blend(df, models, "2000-09-01", 2, folds=2, horizon=2).collect()
+    weights = {m: 1 / (got["a", m].rmse + 1e-6) for m in models}
+    for r in blend:
+        if r.skill_name == "a":
+            assert r.predicted_demand == pytest.approx((12 * weights["last"] + 24 * weights["double"]) / sum(weights.values()))
+        else:
+            assert r.skill_name == "b" and r.predicted_demand == pytest.approx(3, abs=1e-4)
+    assert len(blend) == 4
