@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from contextlib import contextmanager
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
@@ -36,6 +38,13 @@ def widened(df: DataFrame, produced: StructType) -> StructType:
     return StructType([StructField(f.name, f.dataType, True) for f in df.schema if f.name in kept] + list(produced))
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with its columns renamed by number, and how to get them back, so that results can have any name."""
+    names = df.columns
+    plain = [f"column {i}" for i in range(len(names))]
+    return df.toDF(*plain), lambda found: found.select(*plain).toDF(*names)
+
+
 def pieces_by_bytes(sizes: Sequence[int], limit: int) -> Iterator[tuple[int, int]]:
     """Cut consecutive rows into ranges of about ``limit`` bytes; every range has a row at least."""
     first, held = 0, 0
@@ -48,6 +57,28 @@ def pieces_by_bytes(sizes: Sequence[int], limit: int) -> Iterator[tuple[int, int
         yield first, len(sizes)
 
 
+def chunks(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of a batch with about ``limit`` bytes in a text column, and their texts in UTF-8; null counts as empty."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    for lo, hi in pieces_by_bytes(sizes, limit):
+        part = batch.slice(lo, hi - lo)
+        yield part, [t or b"" for t in utf8(part.column(column))]
+
+
+def lean(run: Callable) -> Callable:
+    """A task's function that gives its memory back in the end; workers live on and would keep what it took."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """Broadcast a value together with the code of its class; the result gives it back inside tasks."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))

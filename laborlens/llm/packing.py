@@ -8,11 +8,8 @@ a partition is closed up by cutting pieces, and its last window is cut at powers
 
 from __future__ import annotations
 
-import re
-import sys
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,93 +17,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import pieces_by_bytes
+from .common import chunks, lean
+from .tokens import ByteEncoder
 
 LENGTH = 1024
 CHUNK_BYTES = 1 << 20
 #: Bytes of one id.
 ID = 4
-#: The ids of so many words are remembered by a worker, about 60 MB.
-CACHED_WORDS = 300_000
-#: Words that go through the tokenizer as one text.
-JOINED_WORDS = 200
-#: A single space between two characters that aren't white space: words never reach over it to the left.
-BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-
-
-def _simple(word: str) -> bool:
-    """Whether a word is more than white space and has none at its ends, so that cutting around it is sure."""
-    return bool(word) and not (word[0].isspace() or word[-1].isspace())
-
-
-def encoder(path: str, end_id: int | None) -> "Encoder":
-    """The encoder of this worker process, with the words that earlier tasks have met."""
-    kept = vars(sys).setdefault("_packing_encoders", {})
-    if (path, end_id) not in kept:
-        kept[path, end_id] = Encoder(path, end_id)
-    return kept[path, end_id]
-
-
-class Encoder:
-    """Ids of whole texts, as little-endian 32-bit numbers.
-
-    A byte-level vocabulary splits a text into words with at most one leading space before it merges anything, and a
-    line break between two words stands alone. So text is cut before single spaces and line breaks, and each distinct
-    word goes through the tokenizer once, many in one text with line breaks between them. A tokenizer that doesn't
-    treat these so gets whole texts.
-    """
-
-    def __init__(self, path: str, end_id: int | None):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.end = b"" if end_id is None else np.uint32(end_id).tobytes()
-        self.known: dict[str, bytes] = {}
-        a, line, spaced, together = (self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("a", "\n", " b", "a b\na\n b"))
-        self.line = line[0] if len(line) == 1 and together == a + spaced + line + a + line + spaced else None
-
-    def _each(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of words; one that doesn't begin with a line break stands behind a space."""
-        groups = [words[lo:lo + JOINED_WORDS] for lo in range(0, len(words), JOINED_WORDS)]
-        texts = ["\n".join([w[1:] if w[:1] == "\n" else " " + w for w in g]) for g in groups]
-        line = np.uint32(self.line).tobytes()
-        for g, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
-            breaks = np.flatnonzero(ids == self.line).tolist()
-            data, at = ids.tobytes(), 0
-            for w, to in zip(g, [*breaks, len(ids)], strict=True):
-                self.known[w] = (line if w[:1] == "\n" else b"") + data[at * ID:to * ID]
-                at = to + 1
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if self.line is None:
-            yield from (ids + self.end for ids in self._each(texts))
-            return
-        cut = [t.replace("\n", " \n").split(" ") for t in texts]
-        starts = [parts.pop(0) for parts in cut]
-        words = set(chain.from_iterable(cut))
-        odd = {w for w in words.difference(self.known) if not _simple(w[1:] if w[:1] == "\n" else w)}
-        whole = [i for i, parts in enumerate(cut) if starts[i][-1:].isspace() or (odd and not odd.isdisjoint(parts))]
-        rare = dict(zip(whole, self._uneven([texts[i] for i in whole])))
-        new = list(words.difference(self.known, odd))
-        self._learn(new)
-        for i, (start, parts) in enumerate(zip(self._each(starts), cut)):
-            yield (rare[i] if i in rare else start + b"".join(map(self.known.__getitem__, parts))) + self.end
-        if len(self.known) > CACHED_WORDS:  # the words seen first are the frequent ones
-            for w in new:
-                del self.known[w]
-
-    def _uneven(self, texts: list[str]) -> Iterator[bytes]:
-        """Texts with white space in a row or at an end, cut at single spaces between two words only."""
-        cut = [BETWEEN.split(t) for t in texts]
-        pieces = self._each([p if i == 0 else " " + p for parts in cut for i, p in enumerate(parts)])
-        at = 0
-        for parts in cut:
-            yield b"".join(pieces[at:at + len(parts)])
-            at += len(parts)
 
 
 class Packer:
@@ -210,10 +127,8 @@ def pack(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        words, packer, key = encoder(tokenizer_path, end_id), Packer(length), pa.null()
+        encoder, packer, key = None, Packer(length), pa.null()
+        end = b"" if end_id is None else np.uint32(end_id).tobytes()
         base = TaskContext.get().partitionId() << 33
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
@@ -224,17 +139,17 @@ def pack(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str
             return pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            encoder = encoder or ByteEncoder(tokenizer_path)
             key = batch.schema.field(0).type
-            for lo, hi in pieces_by_bytes([len(t or "") for t in texts], CHUNK_BYTES):
-                encoded = words.encode([t or "" for t in texts[lo:hi]])
-                rows = [r for d, e in zip(ids[lo:hi], encoded) for r in packer.add(d, e)]
+            for part, texts in chunks(batch, 1, CHUNK_BYTES):
+                encoded = encoder.encode([t.decode("utf-8", "replace") for t in texts])
+                rows = [r for d, e in zip(part.column(0).to_pylist(), encoded) for r in packer.add(d, e.astype("<u4").tobytes() + end)]
                 if rows:
                     yield out(rows)
         if rows := list(packer.close()):
             yield out(rows)
 
-    return docs.select(doc_id, text).mapInArrow(run, schema)
+    return docs.select(doc_id, text).mapInArrow(lean(run), schema)
 
 
 def digests(pieces: DataFrame) -> DataFrame:
