@@ -2,109 +2,114 @@
 
 The built-in ``percentile`` keeps every distinct value of a group in the memory of
 one task. That is right for a monthly series and wrong for a raw column, so raw
-columns go through ``exact_percentiles``: approximate split points only decide how
-the values are spread over tasks, and the ranks are then counted exactly.
+columns go through ``exact_percentiles``: mergeable sketches of a fixed size narrow
+the place of each wanted rank down, and exact counts beside them prove it.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
-from itertools import pairwise
+from dataclasses import dataclass, replace
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-BUCKETS = 256
-TARGET = "column_name string, bucket double, start bigint, i int, position double, rank bigint"
+#: Items that a sketch keeps for its lowest level; a sketch of so many values or fewer is exact.
+KEPT = 4096
+#: How far from a rank, as a part of all values, its neighbours are looked up; twice the sketch's error at this size.
+MARGIN = 0.0015
+
+
+@dataclass(frozen=True)
+class Search:
+    """What is known about one rank of a column: it lies among ``size`` values, which ``sketch`` summarises, and
+    ``below`` values are smaller than these."""
+
+    column: str
+    rank: int
+    below: int
+    size: int
+    sketch: bytes
+    margin: float = MARGIN
+
+    def ranks(self) -> tuple[float, float, float]:
+        at = (self.rank - self.below + 0.5) / self.size
+        return max(at - self.margin, 0.0), at, min(at + self.margin, 1.0)
 
 
 def exact_percentiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Linearly interpolated percentiles as rows (column_name, percentiles).
 
-    1. approximate split points of all columns, one pass (a fixed-size sketch);
-    2. rows per bucket between split points, one pass, reduced on the map side;
-    3. the running counts name the buckets that hold the wanted ranks, and only
-       the values in those ranges are read again, counted and ranked, each bucket
-       in its own task.
-    Steps 1 and 2 run at once and bring at most 256 numbers per column to the
-    driver. NaN counts as missing, infinities are values. A column without values gives
-    no row.
+    The first pass sketches all columns. Each further pass takes, for every wanted rank, two values that the sketch
+    places a little below and above it, and counts exactly how many values lie before, at and between them, with a
+    new sketch of those between; a rank that falls on one of the two is found, any other goes on among the fewer values
+    between, until a sketch holds all of them. A pass divides the values by some 300, so 10^12 take five. It is one
+    aggregate without a shuffle of rows, and brings a sketch of at most 100 KB for each rank to the driver.
+
+    NaN counts as missing, infinities are values. A column without values gives no row.
     """
+    spark = df.sparkSession
     rows = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(math.nan)).alias(c) for c in columns])
-    edges = _edges(rows, columns)
-    known = list(edges)
-    if not known:
-        return df.sparkSession.createDataFrame([], "column_name string, percentiles array<double>")
-    targets = _targets(_long(rows, edges), known, probabilities)
-
-    ranges = {(t[0], t[1]) for t in targets}
-    wanted = [
-        (F.col(c) >= edges[c][int(b)]) & (F.col(c) <= edges[c][int(b) + 1]) for c, b in sorted(ranges)
-    ]
-    near = _long(rows.filter(reduce(lambda x, y: x | y, wanted)), edges)
-    # as many rows as percentiles were asked for, twice at most
-    small = F.broadcast(df.sparkSession.createDataFrame(targets, TARGET))
-    # a row that is near in one column may be far off in another
-    in_range = [(F.col("column_name") == c) & (F.col("bucket") == b) for c, b in sorted(ranges)]
-    counted = near.filter(reduce(lambda x, y: x | y, in_range)).groupBy("column_name", "bucket", "v").agg(F.count(F.lit(1)).alias("n"))
-    upto = (
-        W.partitionBy("column_name", "bucket").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    ends = counted.withColumn("stop", F.sum("n").over(upto))
-    within = F.col("rank") - F.col("start")
-    found = (
-        ends.join(small, ["column_name", "bucket"])
-        .filter((within < F.col("stop")) & (within >= F.col("stop") - F.col("n")))
-        .groupBy("column_name", "i", "position")
-        .agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    )
-    weight = F.col("position") - F.floor("position")
-    # between equal infinities there is nothing to interpolate
-    quantile = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + (F.col("high") - F.col("low")) * weight)
-    in_order = F.array_sort(F.collect_list(F.struct("i", quantile.alias("q"))))
-    return found.groupBy("column_name").agg(F.transform(in_order, lambda e: e["q"]).alias("percentiles"))
-
-
-def _edges(rows: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
-    """Bucket edges per column that has values; equal values never straddle an edge."""
-    steps = [i / BUCKETS for i in range(1, BUCKETS)]
-    sketch = rows.agg(*[F.percentile_approx(c, steps, 10 * BUCKETS).alias(c) for c in columns]).first()
-    finite = {c: sorted(v for v in set(sketch[c]) if math.isfinite(v)) for c in columns if sketch[c]}
-    return {c: [-math.inf, *inner, math.inf] for c, inner in finite.items()}
-
-
-def _long(rows: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
-    """(column_name, bucket, v) for every value."""
-    names = list(edges)
-    placed = Bucketizer(
-        splitsArray=[edges[c] for c in names], inputCols=names, outputCols=[f"{c}__bucket" for c in names],
-        handleInvalid="keep",
-    ).transform(rows)
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__bucket").alias("bucket"), F.col(c).alias("v"))
-        for c in names
-    ])
-    return placed.select(F.inline(cells)).filter(F.col("v").isNotNull())
-
-
-def _targets(values: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> list[tuple]:
-    """Which ranks are wanted, in which bucket, and how many values lie before that bucket."""
-    sizes: dict[str, dict[float, int]] = {c: {} for c in columns}
-    for row in values.groupBy("column_name", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
-        sizes[row.column_name][row.bucket] = row.n
-    targets = []
-    for column, buckets in sizes.items():
-        order = sorted(buckets)
-        starts = [0]
-        for b in order:
-            starts.append(starts[-1] + buckets[b])
-        for i, p in enumerate(probabilities):
-            position = p * (starts[-1] - 1)
-            for rank in {math.floor(position), math.ceil(position)}:
-                bucket, start = next(
-                    (b, lo) for b, (lo, hi) in zip(order, pairwise(starts)) if lo <= rank < hi
-                )
-                targets.append((column, bucket, start, i, position, rank))
-    return targets
+    sizes = rows.agg(*[part for c in columns for part in (F.count(c).alias(f"n {c}"), _sketch(F.col(c)).alias(c))]).first()
+    wanted, searches = {}, []
+    for c in columns:
+        if n := sizes[f"n {c}"]:
+            wanted[c] = [p * (n - 1) for p in probabilities]
+            ranks = sorted({r for p in wanted[c] for r in (math.floor(p), math.ceil(p))})
+            searches += [Search(c, r, 0, n, bytes(sizes[c])) for r in ranks]
+    found: dict[tuple[str, int], float] = {}
+    while searches:
+        searches = _narrowed(spark, rows, searches, found)
+    out = []
+    for c, positions in wanted.items():
+        ends = [(found[c, math.floor(p)], found[c, math.ceil(p)], p - math.floor(p)) for p in positions]
+        # between equal infinities there is nothing to interpolate
+        out.append((c, [low if low == high else low + (high - low) * weight for low, high, weight in ends]))
+    return spark.createDataFrame(out, "column_name string, percentiles array<double>")
+
+
+def _sketch(value: Column) -> Column:
+    return F.kll_sketch_agg_double(value, F.lit(KEPT))
+
+
+def _looked_up(spark: SparkSession, searches: Sequence[Search]) -> list[tuple[bool, list[float]]]:
+    """For each search whether its sketch holds all values, and the values just below, at and just above its rank."""
+    held = spark.createDataFrame([[s.sketch for s in searches]], ", ".join(f"s{i} binary" for i in range(len(searches))))
+    exact = [F.kll_sketch_to_string_double(f"s{i}").rlike(r"Estimation Mode\s*: false") for i in range(len(searches))]
+    values = [F.kll_sketch_get_quantile_double(f"s{i}", F.array(*map(F.lit, s.ranks()))) for i, s in enumerate(searches)]
+    row = held.select(F.array(*exact).alias("exact"), F.array(*values).alias("values")).first()
+    return list(zip(row["exact"], row["values"]))
+
+
+def _narrowed(spark: SparkSession, rows: DataFrame, searches: Sequence[Search], found: dict[tuple[str, int], float]) -> list[Search]:
+    """One pass over the rows for all searches that their sketches don't answer."""
+    asked: dict[tuple[str, float, float], list[Search]] = {}
+    for search, (exact, (low, value, high)) in zip(searches, _looked_up(spark, searches)):
+        if exact:
+            found[search.column, search.rank] = value
+        else:  # neighbouring ranks mostly share their two values
+            asked.setdefault((search.column, low, high), []).append(search)
+    if not asked:
+        return []
+    counts = []
+    for i, (column, low, high) in enumerate(asked):
+        v, between = F.col(column), (F.col(column) > low) & (F.col(column) < high)
+        counts += [F.count_if(v < low).alias(f"before{i}"), F.count_if(v == low).alias(f"low{i}"), F.count_if(v == high).alias(f"high{i}"),
+                   F.count_if(between).alias(f"between{i}"), _sketch(F.when(between, v)).alias(f"sketch{i}")]
+    seen = rows.agg(*counts).first()
+    left = []
+    for i, ((column, low, high), group) in enumerate(asked.items()):
+        start = seen[f"before{i}"]
+        inside = start + seen[f"low{i}"]
+        end = inside + seen[f"between{i}"]
+        stop = end + seen[f"high{i}"] if high > low else inside
+        for s in group:
+            if start <= s.rank < inside:
+                found[column, s.rank] = low
+            elif inside <= s.rank < end:
+                left.append(Search(column, s.rank, inside, end - inside, bytes(seen[f"sketch{i}"])))
+            elif end <= s.rank < stop:
+                found[column, s.rank] = high
+            else:  # the sketch was further off than it usually is
+                left.append(replace(s, margin=4 * s.margin))
+    return left
