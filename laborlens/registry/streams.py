@@ -169,7 +169,9 @@ def t06(spark, sf):
     table.repartition(4, "user_id").write.parquet(events)
     stream = messages.file_ingest(spark, events, table.schema, "parquet", files_per_trigger=1)
     index = live.demand_index(stream, "ts", ["event_type"], "value", "40 days")
-    return _newest(index, spark, "demand-index", ["day", "event_type"])
+    base = scratch_path(spark, "demand-index")
+    drained(live.upsert_index(index, f"{base}/index", f"{base}/checkpoint", ["event_type"]))
+    return live.read_index(spark, f"{base}/index").select("day", "event_type", "n", "total")
 
 
 @query(

@@ -3,16 +3,18 @@
 State is bounded by a watermark: rows later than ``delay`` behind the newest event
 are dropped, and ``late_rows`` counts them. In update mode a window is delivered as it
 grows, so the open windows at the end are there too; ``upsert`` stores these versions
-and ``current`` serves the newest one.
+and ``current`` serves the newest one, ``upsert_index`` keeps a table of days in place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..sources import files
+
 WATERMARK = "30 seconds"
 # The index holds whole days; rows may come as late as this.
 INDEX_DELAY = "2 days"
@@ -86,6 +88,73 @@ def compact(versions: DataFrame, keys: Sequence[str], path: str) -> None:
     current(versions, keys).withColumn("batch_id", last).write.partitionBy("batch_id").parquet(path)
 
 
+def merge_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], day: str = "day") -> None:
+    """Put the rows of a batch, whole new states of their keys, into the table of ``read_index``.
+
+    Only the days that the batch has are read and written, each as a new version beside the old one. The batch's mark
+    makes all its versions current in one step, then the versions they replace are deleted. A batch that is run again,
+    after its mark or after a loss in the middle, leaves the same table; the number of files follows the number of
+    days and not that of the batches.
+    """
+    spark = batch.sparkSession
+    marked = _mark(spark, path)
+    if marked is not None and batch_id <= marked:
+        return
+    rows = batch.persist()
+    try:
+        days = [r[0] for r in rows.select(day).distinct().collect()]  # those still open under the watermark
+        if days:
+            held = _versions(spark, path, marked, {str(d) for d in days})
+            if held is not None:
+                rows = held.join(batch.select(day, *keys), [day, *keys], "left_anti").select(*batch.columns).unionByName(batch)
+            (
+                rows.withColumn("version", F.lit(batch_id).cast("long")).hint("rebalance", day)
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day, "version").parquet(f"{path}/days")
+            )
+        files.touch(spark, f"{path}/marks/{batch_id}")
+    finally:
+        batch.unpersist()
+    for d in days:
+        folder = f"{path}/days/{day}={d}"
+        for name in files.children(spark, folder):
+            if int(name.partition("=")[2]) < batch_id:
+                files.remove(spark, f"{folder}/{name}")
+    for name in files.children(spark, f"{path}/marks"):
+        if int(name) < batch_id:
+            files.remove(spark, f"{path}/marks/{name}")
+
+
+def _mark(spark: SparkSession, path: str) -> int | None:
+    """The last batch that is whole."""
+    return max(map(int, files.children(spark, f"{path}/marks")), default=None)
+
+
+def _versions(spark: SparkSession, path: str, marked: int | None, only: set[str] | None = None) -> DataFrame | None:
+    """The current version of each day, of the named days only if given."""
+    if marked is None:
+        return None
+    paths = []
+    for folder in files.children(spark, f"{path}/days"):
+        if "=" in folder and (only is None or folder.partition("=")[2] in only):
+            whole = [v for v in (int(n.partition("=")[2]) for n in files.children(spark, f"{path}/days/{folder}")) if v <= marked]
+            if whole:
+                paths.append(f"{path}/days/{folder}/version={max(whole)}")
+    return spark.read.option("basePath", f"{path}/days").parquet(*paths).drop("version") if paths else None
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table as of its last whole batch, one version of every day; None before the first one."""
+    return _versions(spark, path, _mark(spark, path))
+
+
+def upsert_index(windows: DataFrame, path: str, checkpoint: str, keys: Sequence[str], day: str = "day") -> DataStreamWriter:
+    """Keep a table of daily states current in place: ``merge_batch`` for every batch of a stream in update mode."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        merge_batch(batch, batch_id, path, keys, day)
+
+    return windows.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that came behind the watermark, over the progress that the query remembers."""
     return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)

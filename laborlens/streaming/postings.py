@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions import dates
 from ..schemas import MONEY, POSTING_MESSAGE_FIELDS
+from ..sources.files import exists
 from ..sources.sinks import append_table
 
 TOPIC = "job-postings"
@@ -59,59 +60,63 @@ def parse_postings(messages: DataFrame) -> DataFrame:
     for its column, and a field of the wrong JSON type, reject the message and
     never fail the batch; the reason names the first such field.
     """
-    # inline keeps the optimizer from parsing the message again for every field
-    parsed = messages.select("*", F.inline(F.array(F.struct(F.try_parse_json("value").alias("_v")))))
-    v = F.col("_v")
+    def staged(df: DataFrame, kept: Sequence[str], **columns: Column) -> DataFrame:
+        """Columns computed once for each row: inline keeps the optimizer from repeating them where they are used."""
+        return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+    given = messages.columns
+    parsed = staged(messages, given, _v=F.try_parse_json("value"))
+    # each field is taken out of the message once, and its kind and text are read off once
+    whole = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)).alias("_object")
+    parts = parsed.select(*given, whole, F.inline(F.array(F.struct(*[F.try_variant_get("_v", f"$.{f}", "variant").alias(f"_{f}") for f in POSTING_MESSAGE_FIELDS]))))
+    read = {f"{f}_kind": F.schema_of_variant(f"_{f}") for f in POSTING_MESSAGE_FIELDS}
+    read |= {f"{f}_text": F.try_variant_get(f"_{f}", "$", "string") for f in POSTING_MESSAGE_FIELDS if f not in ("isRemote", "skills")}
+    read |= {"_remote": F.try_variant_get("_isRemote", "$", "boolean"), "_listed": F.try_variant_get("_skills", "$", "array<string>")}
+    fields = staged(parts, [*given, "_object"], **read)
 
-    def part(name: str) -> Column:
-        return F.try_variant_get(v, f"$.{name}", "variant")
-
-    def given(name: str) -> Column:
-        return part(name).isNotNull() & ~F.is_variant_null(part(name))
+    def kind(name: str) -> Column:
+        return F.col(f"{name}_kind")
 
     def text(name: str) -> Column:
-        return F.try_variant_get(v, f"$.{name}", "string")
+        return F.col(f"{name}_text")
 
-    def kind(name: str) -> Column:
-        return F.schema_of_variant(part(name))
+    def present(name: str) -> Column:
+        return kind(name) != "VOID"  # and not null, where the message has no such field
 
     def money(name: str) -> Column:
         number = F.when(~kind(name).startswith("BOOLEAN") & text(name).rlike(NUMBER_TEXT), text(name))
         return number.try_cast("double").try_cast(MONEY)
 
-    low, high = money("salaryMin"), money("salaryMax")
-    posted = dates.parse_date(text("postedDate"), "iso_date")
-    skills = F.try_variant_get(v, "$.skills", "array<string>")
+    typed = staged(
+        fields, [*given, "_object", *read], _low=money("salaryMin"), _high=money("salaryMax"), _posted=dates.parse_date(text("postedDate"), "iso_date"))
     listed = kind("skills").isin("ARRAY<STRING>", "ARRAY<VOID>")
-    remote = F.when(kind("isRemote") == "BOOLEAN", F.try_variant_get(v, "$.isRemote", "boolean"))
-
     reason = (
-        F.when(v.isNull() | ~F.schema_of_variant(v).startswith("OBJECT"), "malformed")
-        .when(given("salaryMin") & low.isNull(), "salaryMin")
-        .when(given("salaryMax") & high.isNull(), "salaryMax")
-        .when(given("postedDate") & posted.isNull(), "postedDate")
-        .when(given("skills") & ~listed, "skills")
+        F.when(~F.col("_object"), "malformed")
+        .when(present("salaryMin") & F.col("_low").isNull(), "salaryMin")
+        .when(present("salaryMax") & F.col("_high").isNull(), "salaryMax")
+        .when(present("postedDate") & F.col("_posted").isNull(), "postedDate")
+        .when(present("skills") & ~listed, "skills")
     )
     for name in TEXT_FIELDS:
-        reason = reason.when(given(name) & (kind(name) != "STRING"), name)
+        reason = reason.when(present(name) & (kind(name) != "STRING"), name)
     reason = reason.when(text("title").isNull(), "title")
-    return parsed.select(
-        *messages.columns,
+    return typed.select(
+        *given,
         text("jobId").alias("job_id"),
         text("title").alias("title"),
         text("company").alias("company"),
         text("location").alias("location"),
-        low.alias("salary_min"),
-        high.alias("salary_max"),
-        F.when(part("salaryCurrency").isNotNull(), text("salaryCurrency")).otherwise("USD").alias("salary_currency"),
+        F.col("_low").alias("salary_min"),
+        F.col("_high").alias("salary_max"),
+        F.when(kind("salaryCurrency").isNotNull(), text("salaryCurrency")).otherwise("USD").alias("salary_currency"),
         text("source").alias("source"),
         text("sourceId").alias("source_id"),
-        posted.alias("posted_date"),
+        F.col("_posted").alias("posted_date"),
         text("jobType").alias("job_type"),
         text("experienceLevel").alias("experience_level"),
         text("industry").alias("industry"),
-        F.coalesce(remote, F.lit(False)).alias("is_remote"),
-        F.when(F.size(skills) > 0, F.array_join(skills, ",")).alias("skills"),
+        F.coalesce(F.when(kind("isRemote") == "BOOLEAN", F.col("_remote")), F.lit(False)).alias("is_remote"),
+        F.when(F.size("_listed") > 0, F.array_join("_listed", ",")).alias("skills"),
         reason.alias("reject_reason"),
     )
 
@@ -128,10 +133,15 @@ def route_invalid(table_path: str, rejects_path: str) -> Callable[[DataFrame, in
     """A batch writer: valid rows to the table, the others with their reason to the rejects."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_postings(batch).persist()
+        parsed = parse_postings(batch)
+        # the text is only kept of what is rejected
+        kept = F.when(F.col("reject_reason").isNotNull(), F.col("value")).alias("value")
+        parsed = parsed.select(kept, *[c for c in parsed.columns if c != "value"]).persist()
         try:
             append_table(valid_postings(parsed).drop("value"), table_path, batch_id)
-            append_table(rejected_postings(parsed), rejects_path, batch_id, required=("reject_reason",))
+            rejected = rejected_postings(parsed)
+            if not rejected.isEmpty() or not exists(batch.sparkSession, rejects_path):  # a table without rows can be read too
+                append_table(rejected, rejects_path, batch_id, required=("reject_reason",))
         finally:
             parsed.unpersist()
 

@@ -201,3 +201,52 @@ def test_views(spark):
     for c in ("company", "location", "salary_min", "salary_max", "salary_currency", "source", "posted_date", "job_type", "experience_level", "industry", "is_remote"):
         df = df.withColumn(c, F.lit(None).cast("string"))
     assert projections.listing_view(df).first().skills == ["a", "b"]
+
+
+def test_index_is_kept_in_place_and_survives_replays(spark, tmp_path, monkeypatch):
+    path, wanted = str(tmp_path / "index"), {}
+
+    def batch(number):
+        """Two open days, one key old and one new in each batch."""
+        rows = [(dt.date(2024, 1, 1 + (number // 5) + d), f"k{k}", number * 10 + k) for d in (0, 1) for k in (number % 3, number)]
+        return spark.createDataFrame(list(dict.fromkeys(rows)), "day date, k string, n long")
+
+    def state():
+        return {(r.day, r.k): r.n for r in live.read_index(spark, path).collect()}
+
+    assert live.read_index(spark, path) is None
+    counts = []
+    for number in range(12):
+        df = batch(number)
+        before = dict(wanted)
+        wanted |= {(r.day, r.k): r.n for r in df.collect()}
+        if number == 7:  # lost after the versions were written and before the mark
+            monkeypatch.setattr(live.files, "touch", lambda *a: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                live.merge_batch(df, number, path, ["k"])
+            assert state() == before
+            monkeypatch.undo()
+        if number == 9:  # lost after the mark and before the old versions were deleted
+            monkeypatch.setattr(live.files, "remove", lambda *a: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                live.merge_batch(df, number, path, ["k"])
+            assert state() == wanted
+            monkeypatch.undo()
+        live.merge_batch(df, number, path, ["k"])
+        live.merge_batch(df, number, path, ["k"])  # run again as a whole
+        live.merge_batch(batch(0), 0, path, ["k"])  # and long after
+        assert state() == wanted
+        counts.append(len(list((tmp_path / "index").rglob("part-*.parquet"))))
+    assert counts[-1] <= 2 * len({d for d, _ in wanted}) and len(list((tmp_path / "index" / "marks").glob("[0-9]*"))) == 1
+    live.merge_batch(batch(0).limit(0), 12, path, ["k"])
+    assert state() == wanted
+
+
+def test_index_stream(spark, tmp_path):
+    source = tmp_path / "events"
+    for run, rows in enumerate([[("2024-01-01T00:00:05Z", "a"), ("2024-01-02T00:00:05Z", "a")], [("2024-01-01T00:00:07Z", "a"), ("2024-01-01T00:00:09Z", "b")]]):
+        write_events(source, f"{run}.json", rows)
+        stream = postings.file_ingest(spark, str(source), "ts timestamp, k string").withColumn("v", F.lit(2.0))
+        drain(live.upsert_index(live.demand_index(stream, "ts", ["k"], "v"), str(tmp_path / "index"), str(tmp_path / "cp"), ["k"]))
+    got = live.read_index(spark, str(tmp_path / "index")).orderBy("day", "k").collect()
+    assert [(r.day.day, r.k, r.n, r.total) for r in got] == [(1, "a", 2, 4.0), (1, "b", 1, 2.0), (2, "a", 1, 2.0)]
