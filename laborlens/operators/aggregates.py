@@ -71,30 +71,33 @@ def top_skills_from_listings(df: DataFrame, n: int = 20, skills: str = "skills")
 def dashboard_stats(df: DataFrame, top: int = 10, top_skill: int = 20) -> DataFrame:
     """Totals and three rankings as rows (section, name, value), counted in one pass.
 
-    Each listing yields one (section, name) pair for the totals, its industry, its
-    location and each of its skills; the pairs are counted on the map side first.
+    Each listing yields one cell for the totals, which alone carries the salaries, its industry, its location and its
+    skills as they stand; the skill lists are split after they were counted.
     """
-    def pair(section: str, name: Column) -> Column:
-        return F.struct(F.lit(section).alias("section"), name.cast("string").alias("name"))
+    both, remote = F.col("salary_min") + F.col("salary_max"), filters.is_true("is_remote").cast("int")
 
-    def given(column: str, pairs: Column) -> Column:
-        return F.when(filters.non_blank(column, trim=False), pairs).otherwise(F.array().cast("array<struct<section:string,name:string>>"))
+    def cell(section: str, name: Column, salaries: Column = F.lit(None), far: Column = F.lit(None)) -> Column:
+        kind = df.select(both.alias("b")).schema["b"].dataType
+        return F.struct(F.lit(section).alias("section"), name.cast("string").alias("name"), salaries.cast(kind).alias("both"), far.cast("int").alias("remote"))
 
-    pairs = F.concat(
-        F.array(pair("totals", F.lit("all"))),
-        *[given(c, F.array(pair(c, F.col(c)))) for c in ("industry", "location")],
-        given("skills", F.transform(F.split("skills", ","), lambda t: pair("skill", F.trim(t)))),
-    )
+    cells = [cell("totals", F.lit("all"), both, remote), *[cell(c, F.col(c)) for c in ("industry", "location", "skills")]]
     counted = (
-        df.select("salary_min", "salary_max", filters.is_true("is_remote").alias("remote"), F.inline(pairs))
+        df.select(F.inline(F.array(*cells)))
+        .filter((F.col("section") == "totals") | filters.non_blank("name", trim=False))
         .groupBy("section", "name")
-        .agg(F.count(F.lit(1)).alias("n"), avg_salary_value().alias("avg_salary"), F.count_if("remote").alias("remote"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("both").alias("salaries"), F.count("both").alias("paid"), F.sum("remote").alias("remote"))
     )
+    is_list = F.col("section") == "skills"
+    names = F.when(is_list, F.transform(F.split("name", ","), F.trim)).otherwise(F.array("name"))
+    split = counted.select(F.when(is_list, "skill").otherwise(F.col("section")).alias("section"), F.explode(names).alias("name"), "n", "salaries", "paid", "remote").groupBy(
+        "section", "name").agg(*[F.sum(c).alias(c) for c in ("n", "salaries", "paid", "remote")])
+    average = F.coalesce(F.round(F.col("salaries").cast("double") / 2 / F.nullif("paid", F.lit(0)), 2), F.lit(0.0))
+    known = split.select("section", "name", "n", average.alias("avg_salary"), F.coalesce("remote", F.lit(0)).alias("remote"))
     # without any listing the totals are zeros
     none = df.sparkSession.range(1).select(F.lit("totals"), F.lit("all"), F.lit(0).cast("bigint"), F.lit(0.0), F.lit(0).cast("bigint"))
     order = W.partitionBy("section").orderBy(F.desc("n"), "name")
     most = F.when(F.col("section") == "totals", 1).when(F.col("section") == "skill", top_skill).otherwise(top)
-    ranked = counted.union(none).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+    ranked = known.union(none).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
 
     def value(name: Column, number: Column) -> Column:
         return F.struct(name.alias("name"), number.cast("double").alias("value"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from ..functions import dates
 from ..functions.values import pct_change
+from ..plans.tables import materialize
 from .aggregates import mean_salary, mid_salary
 from .quantiles import exact_percentiles
 
@@ -83,38 +84,58 @@ def trend_summary(postings: DataFrame, as_of) -> DataFrame:
     ).withColumn("trend_direction", direction(F.col("growth_90d")))
 
 
+def _cells(postings: DataFrame, as_of, kinds: Sequence[str]) -> DataFrame:
+    """One row per (kind, name) from one scan, written: every posting counts for ``all``, for each of its skills where
+    ``skill`` is asked for, and for its value of each other kind. The rows are few; what a report needs is taken from
+    them and not from the postings again."""
+    day = _as_of(as_of)
+    both = F.col("salary_min") + F.col("salary_max") if "salary_min" in postings.columns else F.lit(None).cast("decimal(12,2)")
+    flags = {"today": _within(day, 0, 1), "r30": _within(day, 0, 30), "b30": _within(day, 30, 60), "r90": _within(day, 0, 90), "b90": _within(day, 90, 180)}
+
+    def cell(kind: str, name: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), name.cast("string").alias("name"))
+
+    named = F.array(cell("all", F.lit(None)), *[cell(k, F.col(k)) for k in kinds if k != "skill"])
+    if "skill" in kinds:
+        skills = F.coalesce(F.array_distinct("skills"), F.array().cast("array<string>"))
+        named = F.concat(named, F.transform(skills, lambda s: cell("skill", s)))
+    counted = postings.select("posted_date", both.alias("both"), *[c.alias(n) for n, c in flags.items()], F.inline(named)).groupBy("kind", "name").agg(
+        _count().alias("n"), F.sum("both").alias("salaries"), F.count("both").alias("paid"), F.max("posted_date").alias("last"),
+        *[F.count_if(n).alias(n) for n in flags])
+    return materialize(counted, "cells")
+
+
+def _mean() -> Column:
+    return F.try_divide(F.col("salaries").cast("double") / 2, F.col("paid"))
+
+
+def _growth(days: int) -> Column:
+    return pct_change(F.col(f"r{days}").cast("double"), F.col(f"b{days}").cast("double"))
+
+
 def skill_ranking(
     postings: DataFrame, as_of, limit: int = 20, offset: int = 0, region: str | None = None, industry: str | None = None
 ) -> DataFrame:
-    """Rank, postings, share, mean salary and 30/90-day growth per skill; ``total`` counts the skills."""
-    day = _as_of(as_of)
+    """Rank, postings, share, mean salary and 30/90-day growth per skill; ``total`` counts the skills. One scan."""
     for column, value in (("region", region), ("industry", industry)):
         if value is not None:
             postings = postings.filter(F.col(column) == value)
-    total = postings.agg(_count()).scalar()
-    skills = exploded(postings).agg(F.count_distinct("skill")).scalar()
+    cells = _cells(postings, as_of, ["skill"])
+    skills = cells.filter("kind = 'skill'").select(
+        F.col("name").alias("skill"), F.col("n").alias("postings_count"), _mean().alias("avg_salary"), _growth(30).alias("growth_30d"), _growth(90).alias("growth_90d"))
+    total = cells.filter("kind = 'all'").agg(F.sum("n")).scalar()
+    count = skills.agg(F.count("skill")).scalar()
     order = [F.desc("postings_count"), F.asc("skill")]
-    ranked = (
-        exploded(postings, "posted_date", "salary_min", "salary_max")
-        .groupBy("skill")
-        .agg(
-            _count().alias("postings_count"),
-            mean_salary().alias("avg_salary"),
-            growth_value(day, 30).alias("growth_30d"),
-            growth_value(day, 90).alias("growth_90d"),
-        )
-        .orderBy(*order)
-        .limit(offset + limit)
-        .withColumn("rank", F.row_number().over(W.orderBy(*order)))
-    )
+    ranked = skills.orderBy(*order).limit(offset + limit).withColumn("rank", F.row_number().over(W.orderBy(*order)))
     share = F.round(F.col("postings_count") / total * 100, 1)
-    return ranked.filter(F.col("rank") > offset).withColumn("postings_pct", share).withColumn("total", skills)
+    return ranked.filter(F.col("rank") > offset).withColumn("postings_pct", share).withColumn("total", count)
 
 
 def skill_overview(postings: DataFrame, skill: str, as_of) -> DataFrame:
     """Demand now and on average over 30 and 90 days, and the salary spread of one skill."""
     day = _as_of(as_of)
-    rows = postings.filter(F.array_contains("skills", skill)).withColumn("_salary", mid_salary().cast("double"))
+    rows = postings.filter(F.array_contains("skills", skill)).select("posted_date", mid_salary().cast("double").alias("_salary"))
+    rows = materialize(rows, "skill-salaries")  # two columns of one skill, read a few times
     quartiles = exact_percentiles(rows, ["_salary"], [0.25, 0.5, 0.75]).select("percentiles").scalar()
     averages = rows.agg(
         F.count_if(_within(day, 0, 1)).alias("current"),
@@ -137,10 +158,11 @@ def skill_breakdown(postings: DataFrame, skill: str, column: str) -> DataFrame:
     The premium is the mean salary of the group over that of the whole skill.
     """
     rows = postings.filter(F.array_contains("skills", skill))
-    whole = rows.agg(F.struct(_count().alias("n"), mean_salary().alias("salary"))).scalar()
+    both = F.col("salary_min") + F.col("salary_max")
+    cells = materialize(rows.groupBy(column).agg(_count().alias("postings"), F.sum(both).alias("salaries"), F.count(both).alias("paid")), "breakdown")
+    whole = cells.agg(F.struct(F.sum("postings").alias("n"), F.try_divide(F.sum("salaries").cast("double") / 2, F.sum("paid")).alias("salary"))).scalar()
     return (
-        rows.groupBy(column)
-        .agg(_count().alias("postings"), mean_salary().alias("avg_salary"))
+        cells.select(column, "postings", _mean().alias("avg_salary"))
         .withColumn("postings_pct", F.col("postings") / whole["n"] * 100)
         .withColumn("salary_premium", F.try_divide("avg_salary", whole["salary"]))
     )
@@ -171,17 +193,21 @@ def location_summary(postings: DataFrame, as_of, k: int = 3) -> DataFrame:
     day = _as_of(as_of)
     both = F.col("salary_min") + F.col("salary_max")
 
-    def pair(kind: str, name: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+    money = postings.select(both.alias("b")).schema["b"].dataType
 
+    def cell(kind: str, name: Column, salaries: Column, recent: Column, before: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), name.alias("name"), salaries.cast(money).alias("both"), recent.cast("boolean").alias("recent"), before.cast("boolean").alias("before"))
+
+    none = F.lit(None)
     skills = F.coalesce(F.array_distinct("skills"), F.array().cast("array<string>"))
-    pairs = F.concat(F.array(pair("industry", F.col("industry"))), F.transform(skills, lambda s: pair("skill", s)))
-    cells = postings.select(
-        "location", "region", both.alias("both"), _within(day, 0, 90).alias("recent"), _within(day, 90, 180).alias("before"), F.inline(pairs)
-    ).groupBy("location", "kind", "name").agg(
-        F.min("region").alias("region"), _count().alias("n"), F.sum("both").alias("salaries"), F.count("both").alias("paid"),
+    pairs = F.concat(F.array(cell("industry", F.col("industry"), both, _within(day, 0, 90), _within(day, 90, 180))), F.transform(skills, lambda s: cell("skill", s, none, none, none)))
+    # the region is a key here: the smallest text of a group can't be kept by a hash aggregate
+    cells = postings.select("location", "region", F.inline(pairs)).groupBy("location", "region", "kind", "name").agg(
+        _count().alias("n"), F.sum("both").alias("salaries"), F.count("both").alias("paid"),
         F.count_if("recent").alias("recent"), F.count_if("before").alias("before"),
     )
+    sums = ("n", "salaries", "paid", "recent", "before")
+    cells = cells.groupBy("location", "kind", "name").agg(F.min("region").alias("region"), *[F.sum(c).alias(c) for c in sums])
     ranked = cells.withColumn("rank", F.row_number().over(W.partitionBy("location", "kind").orderBy(F.desc("n"), F.asc("name"))))
 
     def total(column: str) -> Column:
@@ -256,32 +282,30 @@ def company_ranking(
 
 def analytics_summary(postings: DataFrame, as_of, k: int = 5) -> DataFrame:
     """Headline numbers, trending skills and active regions as rows (section, name, value)."""
-    day = _as_of(as_of)
-    skill_names = exploded(postings).distinct().agg(_count()).scalar()
-    companies = postings.select("company").filter(F.col("company").isNotNull()).distinct().agg(_count()).scalar()
+    cells = _cells(postings, as_of, ["skill", "company", "region"])
     names = ["total_postings", "new_postings_today", "postings_growth_30d", "unique_skills", "unique_companies", "avg_salary"]
-    totals = postings.agg(
-        _count().cast("double").alias("total_postings"),
-        F.count_if(_within(day, 0, 1)).cast("double").alias("new_postings_today"),
-        growth_value(day, 30).alias("postings_growth_30d"),
-        mean_salary().alias("avg_salary"),
-    ).withColumns({"unique_skills": skill_names.cast("double"), "unique_companies": companies.cast("double")})
-    headline = totals.unpivot([], names, "name", "value").select(F.lit("totals").alias("section"), "name", "value")
+    every = F.col("kind") == "all"
+
+    def total(value: Column) -> Column:
+        return F.max(F.when(every, value.cast("double")))
+
+    def distinct(kind: str) -> Column:
+        return F.count_if((F.col("kind") == kind) & F.col("name").isNotNull()).cast("double")
+
+    values = [F.coalesce(total(F.col("n")), F.lit(0.0)), F.coalesce(total(F.col("today")), F.lit(0.0)), total(_growth(30)), distinct("skill"), distinct("company"), total(_mean())]
+    headline = cells.agg(*[v.alias(n) for v, n in zip(values, names)]).unpivot([], names, "name", "value").select(F.lit("totals").alias("section"), "name", "value")
     trending = (
-        exploded(postings, "posted_date")
-        .groupBy(F.col("skill").alias("name"))
-        .agg(growth_value(day, 30).alias("value"))
+        cells.filter("kind = 'skill'")
+        .select(F.lit("trending_skill").alias("section"), "name", _growth(30).alias("value"))
         .filter(F.col("value").isNotNull())
         .orderBy(F.desc("value"), "name")
         .limit(k)
-        .select(F.lit("trending_skill").alias("section"), "name", "value")
     )
     active = (
-        postings.groupBy(F.col("region").alias("name"))
-        .agg(_count().cast("double").alias("value"))
+        cells.filter("kind = 'region'")
+        .select(F.lit("active_region").alias("section"), "name", F.col("n").cast("double").alias("value"))
         .orderBy(F.desc("value"), "name")
         .limit(k)
-        .select(F.lit("active_region").alias("section"), "name", "value")
     )
     return reduce(DataFrame.unionByName, [headline, trending, active])
 
@@ -301,16 +325,15 @@ def demand_cube(postings: DataFrame, grain: str = "month") -> DataFrame:
 
 
 def freshness(postings: DataFrame) -> DataFrame:
-    """Last update, rows, and distinct regions, skills and companies as one row."""
+    """Last update, rows, and distinct regions, skills and companies as one row, from one scan."""
+    cells = _cells(postings, "1970-01-01", ["region", "skill", "company"])
 
-    def distinct(rows: DataFrame, column: str) -> Column:
-        return rows.select(column).filter(F.col(column).isNotNull()).distinct().agg(_count()).scalar()
+    def distinct(kind: str) -> Column:
+        return F.count_if((F.col("kind") == kind) & F.col("name").isNotNull())
 
-    return postings.agg(F.max("posted_date").alias("last_update"), _count().alias("records_processed")).withColumns({
-        "regions": distinct(postings, "region"),
-        "skills": distinct(exploded(postings), "skill"),
-        "companies": distinct(postings, "company"),
-    })
+    return cells.agg(
+        F.max("last").alias("last_update"), F.coalesce(F.sum(F.when(F.col("kind") == "all", F.col("n"))), F.lit(0)).alias("records_processed"),
+        distinct("region").alias("regions"), distinct("skill").alias("skills"), distinct("company").alias("companies"))
 
 
 def share_over_time(postings: DataFrame, column: str, grain: str = "month") -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import dates
+from ..plans.tables import materialize
 from .bounded import first_rows
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -154,20 +155,20 @@ def related_skills(
 ) -> DataFrame:
     """Co-occurrence rate and phi correlation of every skill with each target skill.
 
-    ``skills`` is an array of distinct names per posting. One pass: each posting is
+    ``skills`` is an array of distinct names per posting. One scan: each posting is
     exploded once and the targets are counted as columns, so no pairs are formed
     and the map side already reduces to one row per skill.
     """
     flags = {f"_t{i}": F.coalesce(F.array_contains(skills, name), F.lit(False)) for i, name in enumerate(targets)}
     flagged = df.select(F.array_distinct(skills).alias("_skills"), *[c.alias(n) for n, c in flags.items()])
-    totals = flagged.agg(
-        F.struct(F.count(F.lit(1)).alias("n"), *[F.count_if(n).alias(n) for n in flags])
-    ).scalar()
-    counted = (
-        flagged.select(F.explode("_skills").alias("skill"), *flags)
-        .groupBy("skill")
-        .agg(F.count(F.lit(1)).alias("skill_count"), *[F.count_if(n).alias(n) for n in flags])
-    )
+    # every posting counts once for no skill in particular; the counts are few and written, as they are read twice
+    kinds = F.concat(F.array(F.struct(F.lit(True).alias("every"), F.lit(None).cast("string").alias("skill"))),
+                     F.transform(F.coalesce("_skills", F.array().cast("array<string>")), lambda s: F.struct(F.lit(False).alias("every"), s.alias("skill"))))
+    cells = materialize(
+        flagged.select(F.inline(kinds), *flags).groupBy("every", "skill")
+        .agg(F.count(F.lit(1)).alias("skill_count"), *[F.count_if(n).alias(n) for n in flags]), "skill-cells")
+    totals = cells.filter("every").agg(F.struct(F.sum("skill_count").alias("n"), *[F.sum(n).alias(n) for n in flags])).scalar()
+    counted = cells.filter("NOT every").drop("every")
     pairs = F.explode(
         F.array(*[
             F.struct(
@@ -189,23 +190,3 @@ def related_skills(
         F.try_divide(both, b).alias("co_occurrence"),
         phi.alias("correlation"),
     )
-
-
-def build_star(
-    postings: DataFrame, dimensions: dict[str, Sequence[str]], measures: Sequence[str]
-) -> dict[str, DataFrame]:
-    """Fact and dimension tables; each dimension key is a hash of its attributes.
-
-    The fact computes the same hash from its own columns, so no join is needed.
-    """
-
-    def key_of(columns: Sequence[str]) -> Column:
-        return F.xxhash64(*columns)
-
-    star = {
-        name: postings.select(key_of(columns).alias(f"{name}_key"), *columns).distinct()
-        for name, columns in dimensions.items()
-    }
-    keys = [key_of(columns).alias(f"{name}_key") for name, columns in dimensions.items()]
-    star["fact"] = postings.select(*keys, *measures)
-    return star

@@ -77,7 +77,7 @@ def _looked_up(spark: SparkSession, searches: Sequence[Search]) -> list[tuple[bo
     held = spark.createDataFrame([[s.sketch for s in searches]], ", ".join(f"s{i} binary" for i in range(len(searches))))
     exact = [F.kll_sketch_to_string_double(f"s{i}").rlike(r"Estimation Mode\s*: false") for i in range(len(searches))]
     values = [F.kll_sketch_get_quantile_double(f"s{i}", F.array(*map(F.lit, s.ranks()))) for i, s in enumerate(searches)]
-    row = held.select(F.array(*exact).alias("exact"), F.array(*values).alias("values")).first()
+    row = held.select(F.array(*exact).alias("exact"), F.array(*values).alias("values")).collect()[0]
     return list(zip(row["exact"], row["values"]))
 
 

@@ -23,21 +23,44 @@ def sample_per_partition(
 ) -> DataFrame:
     """At most ``n`` rows from each of ``blocks`` hash blocks of the input.
 
-    Blocks are cut by a hash of the row identity, so they are even by construction.
-    Ranks are cut within salted parts of a block first, so few tasks never rank all rows.
+    Blocks are cut by a hash of the row identity, so they are even by construction. Rows are counted by block and
+    slice of their draw first; only those up to the slice that fills a block, ``n`` and one slice of a block, are ranked.
     """
-    order = ["_draw", *identity]
+    blocked = df.withColumn("_block", F.pmod(F.xxhash64(*identity), F.lit(blocks)))
+    return _first_draws(blocked, "_block", F.lit(n), identity, seed, salts).drop("_block")
+
+
+def _first_draws(
+    rows: DataFrame, group: str, quota: Column, identity: Sequence[str], seed: int, salts: int, quotas: DataFrame | None = None
+) -> DataFrame:
+    """The rows of each group with the smallest draws, as many as its quota, which may come from ``quotas`` by group.
+
+    The range of the draw is cut into 4096 slices. Counting rows per (group, slice) reads the identity columns only
+    and reduces on the map side; it tells after which slice each quota is full. The cuts, one row a group, are joined
+    back; Spark broadcasts them while they are small, so rows beyond their slice aren't shuffled then. The rest (quota
+    plus one slice) is ranked in salted parts first, so that a group holding a third of all rows is not ranked by one task.
+    """
+    sliced = rows.withColumn("_draw", _draw(identity, seed)).withColumn("_slice", F.shiftrightunsigned("_draw", 63 - SLICE_BITS).cast("int"))
+    counts = sliced.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.join(quotas, group) if quotas is not None else counts
+    upto = W.partitionBy(group).orderBy("_slice").rowsBetween(W.unboundedPreceding, W.currentRow)
+    needed = counts.withColumns({"_before": F.sum("_n").over(upto) - F.col("_n"), "_quota": quota.cast("long")})
+    cuts = needed.filter(F.col("_before") < F.col("_quota")).groupBy(group).agg(
+        F.struct(F.max("_slice").alias("slice"), F.max("_quota").alias("quota")).alias("_cut"))
+    near = (
+        sliced.join(cuts, group)
+        .filter(F.col("_slice") <= F.col("_cut.slice"))
+        .withColumn("_salt", F.pmod(F.xxhash64(F.lit(seed + 1), *identity), F.lit(salts)))
+    )
+    order = [F.col("_draw"), *[F.col(c) for c in identity]]
+    in_salt = F.row_number().over(W.partitionBy(group, "_salt").orderBy(*order))
+    in_group = F.row_number().over(W.partitionBy(group).orderBy(*order))
     return (
-        df.withColumns({
-            "_block": F.pmod(F.xxhash64(*identity), F.lit(blocks)),
-            "_draw": _draw(identity, seed),
-            "_salt": F.pmod(F.xxhash64(F.lit(seed + 1), *identity), F.lit(salts)),
-        })
-        .withColumn("_rn", F.row_number().over(W.partitionBy("_block", "_salt").orderBy(*order)))
-        .filter(F.col("_rn") <= n)
-        .withColumn("_rn", F.row_number().over(W.partitionBy("_block").orderBy(*order)))
-        .filter(F.col("_rn") <= n)
-        .drop("_block", "_draw", "_salt", "_rn")
+        near.withColumn("_rn", in_salt)
+        .filter(F.col("_rn") <= F.col("_cut.quota"))
+        .withColumn("_rn", in_group)
+        .filter(F.col("_rn") <= F.col("_cut.quota"))
+        .drop("_draw", "_slice", "_cut", "_salt", "_rn")
     )
 
 
@@ -55,43 +78,9 @@ def stratum_quotas(df: DataFrame, stratum: str, total: int) -> DataFrame:
 def stratified_sample(
     df: DataFrame, stratum: str, total: int, identity: Sequence[str], seed: int = 42, salts: int = 64
 ) -> DataFrame:
-    """Quota per stratum, everything where a stratum has fewer rows.
-
-    The range of the draw is cut into 4096 slices. Counting rows per (stratum, slice)
-    reads the identity columns only and reduces on the map side; it tells after which
-    slice each quota is full. The cuts, one row a stratum, are joined back; Spark
-    broadcasts them while they are small, so rows beyond their slice aren't shuffled
-    then. The rest (quota plus one slice) is ranked in salted groups first, so that a stratum
-    holding a third of all rows is not ranked by one task.
-    """
-    slice_of = F.shiftrightunsigned("_draw", 63 - SLICE_BITS).cast("int")
-    drawn = df.filter(F.col(stratum).isNotNull()).withColumn("_draw", _draw(identity, seed))
-    sliced = drawn.withColumn("_slice", slice_of)
-
-    counts = sliced.groupBy(stratum, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    quotas = stratum_quotas(df, stratum, total)
-    upto = W.partitionBy(stratum).orderBy("_slice").rowsBetween(W.unboundedPreceding, W.currentRow)
-    needed = counts.withColumn("_before", F.sum("_n").over(upto) - F.col("_n")).join(quotas, stratum)
-    last_slice = needed.filter(F.col("_before") < F.col("quota")).groupBy(stratum).agg(
-        F.struct(F.max("_slice").alias("slice"), F.any_value("quota").alias("quota")).alias("cut")
-    )
-    cuts = last_slice.select(stratum, F.col("cut").alias("_cut"))
-
-    candidates = (
-        sliced.join(cuts, stratum)
-        .filter(F.col("_slice") <= F.col("_cut.slice"))
-        .withColumn("_salt", F.pmod(F.xxhash64(*identity), F.lit(salts)))
-    )
-    order = [F.col("_draw"), *[F.col(c) for c in identity]]
-    in_salt = F.row_number().over(W.partitionBy(stratum, "_salt").orderBy(*order))
-    in_stratum = F.row_number().over(W.partitionBy(stratum).orderBy(*order))
-    return (
-        candidates.withColumn("_rn", in_salt)
-        .filter(F.col("_rn") <= F.col("_cut.quota"))
-        .withColumn("_rn", in_stratum)
-        .filter(F.col("_rn") <= F.col("_cut.quota"))
-        .drop("_draw", "_slice", "_cut", "_salt", "_rn")
-    )
+    """Quota per stratum, everything where a stratum has fewer rows."""
+    drawn = df.filter(F.col(stratum).isNotNull())
+    return _first_draws(drawn, stratum, F.col("quota"), identity, seed, salts, stratum_quotas(df, stratum, total))
 
 
 def repeat_rows(df: DataFrame, copies: Column, index: str = "copy_index") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators import aggregates, analytics, filters, joins, projections, setops, windows
+from ..operators import aggregates, analytics, filters, joins, projections, setops, star, windows
 from ..plans import domain
 from ..sources import readers
 from .core import CLOSED, DEMAND, FORECASTS, POSTING_SKILLS, POSTINGS, REGIONAL, query
@@ -137,38 +137,69 @@ def j10(spark, sf):
     return joins.related_skills(tagged(spark, sf), ["red", "blue"])
 
 
+STAR = {"company": ["company"], "location": ["location", "region"], "industry": ["industry"]}
+
+
+def _star(spark, sf, *measures):
+    """Two loads, cut by the date of posting; the second finds most members there."""
+    p = tagged(spark, sf, "id", "company", "location", "region", "industry", "posted_date", *measures)
+    early = F.col("posted_date") < F.lit("1998-06-01").cast("date")
+    first = star.load_star(p.filter(early), STAR, ["posted_date", *measures], {"skill": "skills"})
+    return first, star.load_star(p.filter(~early), STAR, ["posted_date", *measures], {"skill": "skills"}, held=first)
+
+
 @query(
     "j11_build_star",
-    f"""WITH {POSTINGS} SELECT 'company' AS name, count(*) AS n FROM (SELECT DISTINCT company FROM postings)
-        UNION ALL SELECT 'location', count(*) FROM (SELECT DISTINCT location, region FROM postings)
-        UNION ALL SELECT 'industry', count(*) FROM (SELECT DISTINCT industry FROM postings)
-        UNION ALL SELECT 'skill', count(*) FROM (SELECT DISTINCT skills FROM postings)
-        UNION ALL SELECT 'fact', count(*) FROM postings""",
+    f"""WITH {POSTING_SKILLS} SELECT name, n, n AS last_key, true AS keys_kept FROM (
+          SELECT 'company' AS name, count(*) AS n FROM (SELECT DISTINCT company FROM postings)
+          UNION ALL SELECT 'location', count(*) FROM (SELECT DISTINCT location, region FROM postings)
+          UNION ALL SELECT 'industry', count(*) FROM (SELECT DISTINCT industry FROM postings)
+          UNION ALL SELECT 'skill', count(*) FROM (SELECT DISTINCT skill FROM posting_skills))
+        UNION ALL SELECT 'fact', count(*), NULL, true FROM postings
+        UNION ALL SELECT 'skill bridge', count(*), NULL, true FROM posting_skills""",
 )
 def j11(spark, sf):
-    p = domain.postings(spark, sf, "id", "company", "location", "region", "industry", "skills", "posted_date", "salary_max")
-    star = joins.build_star(
-        p, {"company": ["company"], "location": ["location", "region"], "industry": ["industry"], "skill": ["skills"]},
-        ["id", "posted_date", "salary_max"],
-    )
-    # every fact row must find its dimension row by key
-    fact = star["fact"]
-    for name in ("company", "location", "industry", "skill"):
-        fact = fact.join(star[name].select(f"{name}_key"), f"{name}_key")
-    sizes = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in {**star, "fact": fact}.items()]
-    return setops.union_all(sizes)
+    """Members with their largest key after two loads, and whether the members of the first load have kept theirs."""
+    first, both = _star(spark, sf)
+    parts = []
+    for name, after in both.dimensions.items():
+        key = f"{name}_key"
+        attributes = [c for c in after.columns if c != key]
+        before = first.dimensions[name].withColumnsRenamed({c: f"old_{c}" for c in after.columns})
+        same = F.lit(True)
+        for a in attributes:
+            same = same & F.col(a).eqNullSafe(F.col(f"old_{a}"))
+        kept = F.bool_and(F.col(f"old_{key}").isNull() | (F.col(key) == F.col(f"old_{key}")))
+        parts.append(after.join(before, same, "left").agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.max(key).alias("last_key"), kept.alias("keys_kept")))
+    for name, rows in (("fact", both.fact), ("skill bridge", both.bridges["skill"])):
+        parts.append(rows.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("last_key"), F.lit(True).alias("keys_kept")))
+    return setops.union_all(parts)
 
 
 @query(
     "j11_star_rollup",
-    f"WITH {POSTINGS} SELECT location, industry, count(*) AS n FROM postings GROUP BY 1, 2",
+    f"WITH {POSTINGS} SELECT location, industry, count(*) AS n, sum(salary_max) AS salaries FROM postings GROUP BY 1, 2",
+    doubles=("salaries",), places=2,
 )
 def j11r(spark, sf):
-    p = domain.postings(spark, sf, "id", "location", "region", "industry")
-    star = joins.build_star(p, {"location": ["location", "region"], "industry": ["industry"]}, ["id"])
+    _, both = _star(spark, sf, "salary_max")
     # counted by key first: the dimension names join a table of groups, not of postings
-    counted = star["fact"].groupBy("location_key", "industry_key").agg(F.count(F.lit(1)).alias("n"))
-    return counted.join(star["location"], "location_key").join(star["industry"], "industry_key").select("location", "industry", "n")
+    counted = both.fact.groupBy("location_key", "industry_key").agg(F.count(F.lit(1)).alias("n"), F.sum("salary_max").alias("salaries"))
+    return counted.join(both.dimensions["location"], "location_key").join(both.dimensions["industry"], "industry_key").select("location", "industry", "n", "salaries")
+
+
+@query(
+    "j11_skill_bridge",
+    f"""WITH {POSTING_SKILLS} SELECT skill, location, count(*) AS n, sum(salary_max) AS salaries FROM posting_skills WHERE region = 'ASIA' GROUP BY 1, 2""",
+    doubles=("salaries",), places=2,
+)
+def j11b(spark, sf):
+    """Postings and salaries per skill and location of a region, from keys until the last step."""
+    _, both = _star(spark, sf, "salary_max")
+    asia = both.dimensions["location"].filter(F.col("region") == "ASIA")
+    rows = both.fact.join(asia.select("location_key"), "location_key").select("id", "location_key", "salary_max")
+    counted = rows.join(both.bridges["skill"], "id").groupBy("skill_key", "location_key").agg(F.count(F.lit(1)).alias("n"), F.sum("salary_max").alias("salaries"))
+    return counted.join(both.dimensions["skill"], "skill_key").join(asia, "location_key").select(F.col("name").alias("skill"), "location", "n", "salaries")
 
 
 @query(

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import dates, text, values
 from ..operators import aggregates, filters, joins, paging, projections, setops, windows
 from ..plans import domain, etl
+from ..session import scratch_path
+from ..session import scratch_path
 from .core import CLOSED, DEMAND, FORECASTS, POSTING_SKILLS, POSTINGS, VOLUME, query
 
 # ------------------------------------------------------------------ projections
@@ -608,6 +610,27 @@ def l01(spark, sf):
     return paging.page(domain.postings(spark, sf, "id", "title", "posted_date"), paging.jobs_order(), 2, 20)
 
 
+def _pages(spark, sf):
+    df = domain.postings(spark, sf, "id", "title", "posted_date")
+    return paging.store_pages(df, paging.JOBS_KEYS, scratch_path(spark, "pages"), rows_a_range=2_000)
+
+
+DEEP_PAGE = f"WITH {POSTINGS} SELECT id, title, posted_date FROM postings ORDER BY posted_date DESC NULLS FIRST, id LIMIT 20 OFFSET 4000"
+
+
+@query("l01_deep_page", DEEP_PAGE)
+def l01d(spark, sf):
+    return _pages(spark, sf).page(200, 20)
+
+
+@query("l01_next_page", DEEP_PAGE)
+def l01n(spark, sf):
+    """The page behind the last row of the one before."""
+    pages = _pages(spark, sf)
+    last = pages.page(199, 20).tail(1)[0]
+    return pages.after([last.posted_date, last.id], 20)
+
+
 @query(
     "l01_page_info",
     f"""WITH {POSTINGS} SELECT count(*) AS totalElements, CAST(ceil(count(*) / 20.0) AS BIGINT) AS totalPages, 2 AS number, 20 AS size

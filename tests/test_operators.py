@@ -1,15 +1,16 @@
 """Filters, joins, aggregates, windows, sampling and profiles on small frames."""
 
 import datetime as dt
+import math
 import random
 import statistics
 
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
-from laborlens.operators import aggregates, analytics, filters, joins, paging, profile, projections, sampling, setops, windows
+from laborlens.operators import aggregates, analytics, filters, joins, paging, profile, projections, sampling, setops, star, windows
 from laborlens.operators.quantiles import exact_percentiles
 
 
@@ -298,4 +299,94 @@ def test_sampled_lines_are_looked_up_in_the_table(spark, monkeypatch):
     small = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_orderkey").count().filter("count < 7").agg(F.min("l_orderkey")).first()[0]
     wrong = F.when(F.col("l_orderkey") == small, -1).otherwise(F.col("l_suppkey")).cast("bigint").alias("l_suppkey")
     monkeypatch.setattr(sampling, "sample_per_partition", lambda p, *a, **b: draw(p, *a, **b).select("l_orderkey", "l_linenumber", "l_partkey", wrong))
-    assert {r.known for r in series.l06(spark, sf).select("known").collect()} == {False}
+    got = {r.l_orderkey: r.known for r in series.l06(spark, sf).collect()}
+    assert [k for k, known in got.items() if not known] == [small]
+
+
+@pytest.mark.parametrize("rows_a_range", [7, 1000])
+def test_stored_pages(spark, tmp_path, rows_a_range):
+    rows = [(i, None if i % 9 == 0 else (i * 7) % 5, f"t{i}") for i in range(60)]  # one value for many rows
+    order = [paging.Key("v", descending=True, nulls_first=True), paging.Key("id")]
+    df = spark.createDataFrame(rows, "id int, v int, title string")
+    pages = paging.store_pages(df, order, str(tmp_path / "pages"), rows_a_range)
+    want = sorted(rows, key=lambda r: (r[1] is not None, -(r[1] or 0), r[0]))
+    assert [tuple(r) for n in range(9) for r in pages.page(n, 8).collect()] == want
+    for n in (0, 1, 7, 30, 58, 59):
+        assert [tuple(r) for r in pages.after([want[n][1], want[n][0]], 5).collect()] == want[n + 1:n + 6]
+    assert [tuple(r) for r in pages.after([9, 0], 2).collect()] == [w for w in want if w[1] is not None][:2]  # a key that isn't there
+    assert tuple(pages.info(3, 8).first()) == (60, 8, 3, 8)
+    nulls_last = [paging.Key("v", nulls_first=False), paging.Key("id", descending=True)]
+    pages = paging.store_pages(df, nulls_last, str(tmp_path / "last"), rows_a_range)
+    want = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, -r[0]))
+    assert [tuple(r) for r in pages.page(2, 11).collect()] == want[22:33]
+    assert [tuple(r) for r in pages.after([want[40][1], want[40][0]], 30).collect()] == want[41:]
+    empty = paging.store_pages(df.limit(0), order, str(tmp_path / "empty"))
+    assert empty.page(0).collect() == [] and empty.after([1, 1]).collect() == [] and empty.info().first().totalElements == 0
+
+
+def test_deep_page_reads_its_range_only(spark, tmp_path):
+    df = spark.range(5000).withColumn("v", F.col("id") % 3)
+    pages = paging.store_pages(df, [paging.Key("v"), paging.Key("id")], str(tmp_path / "pages"), 500)
+    found = pages.page(100, 20)
+    assert found.count() == 20
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "_range#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_star_keys_last(spark):
+    schema = "id int, company string, city string, region string, skills array<string>, pay double"
+    one = [(1, "a", "x", "N", ["s", "t", "s"], 1.0), (2, None, "x", "S", None, 2.0), (3, "b", None, None, ["t", None], 3.0)]
+    two = [(4, "c", "x", "N", ["u", "s"], 4.0), (5, None, "y", "N", [], 5.0), (6, "a", None, None, ["t"], 6.0)]
+    dims = {"company": ["company"], "place": ["city", "region"]}
+    first = star.load_star(spark.createDataFrame(one, schema), dims, ["pay"], {"skill": "skills"})
+    again = star.load_star(spark.createDataFrame(one, schema), dims, ["pay"], {"skill": "skills"})
+    both = star.load_star(spark.createDataFrame(two, schema), dims, ["pay"], {"skill": "skills"}, held=first)
+
+    def keys(s, name):
+        return {tuple(r)[1:]: r[0] for r in s.dimensions[name].collect()}
+
+    for name in ("company", "place", "skill"):
+        before, after = keys(first, name), keys(both, name)
+        assert before == keys(again, name)
+        assert before.items() <= after.items() and sorted(after.values()) == list(range(1, len(after) + 1))
+    assert set(keys(both, "company")) == {("a",), ("b",), ("c",), (None,)} and set(keys(both, "skill")) == {("s",), ("t",), ("u",)}
+    company, place, skill = ({v: k for k, v in keys(both, n).items()} for n in ("company", "place", "skill"))
+    got = {r.id: (company[r.company_key][0], *place[r.place_key], r.pay) for r in both.fact.collect()}
+    assert got == {r[0]: (r[1], r[2], r[3], r[5]) for r in one + two}
+    assert sorted((r.id, skill[r.skill_key][0]) for r in both.bridges["skill"].collect()) == [
+        (1, "s"), (1, "t"), (3, "t"), (4, "s"), (4, "u"), (6, "t")]
+
+
+def test_sample_ranks_only_near_draws(spark):
+    df = spark.range(20_000).withColumn("v", F.col("id") * 2)
+    drawn = sampling.sample_per_partition(df, 50, ["id"], blocks=4)
+    block = F.pmod(F.xxhash64("id"), F.lit(4))
+    counts = {r[0]: r[1] for r in drawn.groupBy(block).count().collect()}
+    assert counts == {i: 50 for i in range(4)} and drawn.select("id").distinct().count() == 200
+    assert drawn.join(df, ["id", "v"], "left_anti").count() == 0
+    order = [F.shiftrightunsigned(F.xxhash64(F.lit(42), "id"), 1), F.col("id")]
+    want = df.withColumn("b", block).withColumn("r", F.row_number().over(W.partitionBy("b").orderBy(*order))).filter("r <= 50")
+    assert {r.id for r in drawn.collect()} == {r.id for r in want.collect()}
+    few = sampling.sample_per_partition(df.limit(30), 50, ["id"], blocks=4)
+    assert few.count() == 30 and sampling.sample_per_partition(df.limit(0), 5, ["id"], 2).count() == 0
+
+
+def test_percentiles_narrow_down_exactly(spark, monkeypatch):
+    from laborlens.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "KEPT", 64)  # a small sketch errs more, so that all branches are taken
+    monkeypatch.setattr(quantiles, "MARGIN", 0.01)
+    rng = np.random.default_rng(11)
+    columns = {
+        "plain": rng.normal(size=6000), "heavy": np.where(rng.random(6000) < 0.7, 5.0, rng.integers(0, 40, 6000)),
+        "two": np.where(rng.random(6000) < 0.5, 1.0, 2.0), "same": np.full(6000, 3.0), "far": np.where(rng.random(6000) < 0.3, np.inf, -rng.random(6000)),
+    }
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*columns.values())], ", ".join(f"{c} double" for c in columns)).repartition(5)
+    p = [0.0, 0.01, 0.25, 0.5, 0.685, 0.9, 1.0]
+    got = {r[0]: r[1] for r in quantiles.exact_percentiles(df, list(columns), p).collect()}
+    for name, values in columns.items():
+        s = np.sort(values)
+        for q, v in zip(p, got[name]):
+            at = q * (len(s) - 1)
+            low, high = s[math.floor(at)], s[math.ceil(at)]
+            assert v == (low if low == high else low + (high - low) * (at - math.floor(at))), (name, q)
