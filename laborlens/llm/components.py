@@ -7,16 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 from .common import stored
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links`` (``src``, ``dst``: long); a component is its smallest node.
 
     Alternates large-star and small-star steps: every node hands its larger, then its smaller neighbours to the
-    smallest one it sees, until nothing changes. A step is an aggregate and a join on its result, so a node with
+    smallest one it sees, until a round changes nothing, after about log n of them. A step is an aggregate and a join on its result, so a node with
     very many neighbours is combined map-side and split by the adaptive join; each round is a written table.
     """
     star = links.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).filter("src <> dst").distinct()
     before = None
-    for _ in range(rounds):
+    while True:
         star = stored(star, "links")
         mark = star.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
         if mark == before:
@@ -29,4 +29,3 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("src").agg(F.min("dst").alias("m"))
         small = large.join(least, "src")
         star = small.select("src", F.col("m").alias("dst")).union(small.filter("dst <> m").select("dst", "m")).distinct()
-    raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -18,10 +18,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import pieces_by_bytes, rows_a_batch, share, small, stored, utf8
+from .common import chunks, lean, rows_a_batch, share, small, stored
 from .components import components
 
 CHUNK_BYTES = 1 << 19
@@ -31,9 +30,11 @@ ORDER_SHARE, ORDER_SAMPLE, ORDER_COUNT, ORDER_TOKENS = 0.04, 10_000, 2, 1 << 17
 CELL_BITS = 22
 BANDS, BAND_ROWS = 4, 5
 #: A group holds about so many sets and so many tokens at most.
-GROUP_SETS, GROUP_TOKENS = 256, 1 << 17
+GROUP_SETS, GROUP_TOKENS = 512, 1 << 18
+#: Pairs of groups in an Arrow batch.
+OPENED_PAIRS = 4
 #: Distinct pairs of token and group that a matrix task holds before it compacts them.
-MATRIX_ROWS = 2 << 20
+MATRIX_ROWS = 1 << 20
 #: Rows with whole texts or sets in an Arrow batch, and tokens that a step of the min-hashes looks at.
 WIDE_ROWS, HASH_STEP = 1000, 1 << 15
 COLUMNS = 1 << 14
@@ -135,12 +136,9 @@ class Signer:
         return node, band.view(np.int64), s[:size].view(np.int64)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def _parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
-        for lo, hi in pieces_by_bytes(sizes, CHUNK_BYTES):
-            part = batch.slice(lo, hi - lo)
-            yield part, [t or b"" for t in utf8(part.column(column))]
+        yield from chunks(batch, column, CHUNK_BYTES)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -153,13 +151,13 @@ def token_order(texts: DataFrame, width: int) -> np.ndarray:
     """Rank 0 for rare tokens, more for those that a bounded sample of documents shows often, by cell of the hash."""
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
-        for _, part in _chunks(batches, 0):
+        for _, part in _parts(batches, 0):
             for s in shingler.sets(part):
                 yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], names=["token"])
 
     order = np.zeros(1 << CELL_BITS, np.uint8)
     share_of = min(1.0, max(ORDER_SHARE, ORDER_SAMPLE / max(1, texts.count())))
-    found = texts.sample(share_of, seed=7).mapInArrow(tokens, "token long").groupBy("token").count().filter(F.col("count") >= ORDER_COUNT)
+    found = texts.sample(share_of, seed=7).mapInArrow(lean(tokens), "token long").groupBy("token").count().filter(F.col("count") >= ORDER_COUNT)
     found = found.orderBy(F.desc("count"), "token").limit(ORDER_TOKENS).toArrow()
     cell = found["token"].to_numpy().view(np.uint64) >> np.uint64(64 - CELL_BITS)
     np.maximum.at(order, cell.astype(np.int64), (1 + np.log2(found["count"].to_numpy())).astype(np.uint8))
@@ -171,7 +169,7 @@ def _signed(texts: DataFrame, width: int, percent: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, shingler = signer(), Shingler(width)
-        for rows, part in _chunks(batches, 2):
+        for rows, part in _parts(batches, 2):
             sets = list(shingler.sets(part))
             full = [own.sign(s) if len(s) else (None, np.zeros(0, np.int64), np.zeros(0, np.int64)) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -180,7 +178,7 @@ def _signed(texts: DataFrame, width: int, percent: int) -> DataFrame:
                 names=["id", "mark", "n", "node", "bands", "signature"])
 
     schema = f"id {texts.schema['id'].dataType.simpleString()}, mark long, n long, node long, bands array<long>, signature array<long>"
-    return texts.mapInArrow(sign, schema)
+    return texts.mapInArrow(lean(sign), schema)
 
 
 def _matrix(postings: DataFrame) -> DataFrame:
@@ -208,7 +206,7 @@ def _matrix(postings: DataFrame) -> DataFrame:
             for lo in range(0, len(token), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(token[lo:lo + (1 << 16)]), pa.array(group[lo:lo + (1 << 16)])], names=["token", "group"])
 
-    return postings.repartition("token").mapInArrow(run, "token long, group long")
+    return postings.repartition("token").mapInArrow(lean(run), "token long, group long")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -252,40 +250,27 @@ def open_pair(sides: list[int], nodes: list[int], copies: list[int], sets: list[
         left &= ~member
 
 
-def _opened(rows: DataFrame, percent: int) -> DataFrame:
-    """``rows`` of one pair come one after another: pair, side, node, copies, tokens."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        seen: set[tuple] = set()
-
-        def out(found: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*found)], names=["src", "dst", "links"])
+def _tile(column: pa.ListArray, row: int) -> tuple[list[int], list[int], list[np.ndarray]]:
+    """Nodes, copies and sets of one group."""
+    lo, hi = column.offsets[row].as_py(), column.offsets[row + 1].as_py()
+    held = column.values
+    node, copies, tokens = (held.field(i) for i in range(3))
+    offsets, values = tokens.offsets.to_numpy(), tokens.values.to_numpy().view(np.uint64)
+    return node.to_numpy()[lo:hi].tolist(), copies.to_numpy()[lo:hi].tolist(), [values[offsets[i]:offsets[i + 1]] for i in range(lo, hi)]
 
-        def done() -> list[tuple]:
-            if len(held) < 2:
-                return []
-            _, sides, nodes, copies, sets = zip(*held)
-            return list(open_pair(list(sides), list(nodes), list(copies), list(sets), percent))
 
+def _opened(pairs: DataFrame, percent: int) -> DataFrame:
+    """The links of pairs of groups: ``a, b``, each an array of node, copies and tokens; without ``b`` those inside ``a``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            plain = [batch.column(i).to_pylist() for i in range(4)]
-            tokens = batch.column(4)
-            offsets, values = tokens.offsets.to_numpy(), tokens.values.to_numpy()
-            for i, row in enumerate(zip(*plain)):
-                if held and held[0][0] != row[0]:
-                    found += done()
-                    held, seen = [], set()
-                if row[1:3] in seen:  # an id of several rows brings a set more than once
-                    continue
-                seen.add(row[1:3])
-                held.append((*row, values[offsets[i]:offsets[i + 1]].view(np.uint64).copy()))
-            if found:
-                yield out(found)
-        if found := done():
-            yield out(found)
-
-    return rows.repartition("pair").sortWithinPartitions("pair", "side").mapInArrow(run, "src long, dst long, links long")
+            for row in range(batch.num_rows):
+                sides = [_tile(batch.column(i), row) for i in range(2) if batch.column(i)[row].is_valid]
+                nodes, copies, sets = ([x for side in sides for x in side[i]] for i in range(3))
+                found = list(open_pair([k for k, side in enumerate(sides) for _ in side[0]], nodes, copies, sets, percent))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*found)], names=["src", "dst", "links"])
+
+    return pairs.select("a", "b").mapInArrow(lean(run), "src long, dst long, links long")
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -298,7 +283,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     others. Further columns are left out.
     """
     signed = signatures(docs, doc_id, text, width, percent)
-    return classes(docs, signed, doc_id, text, width, percent)
+    return classes(docs, signed, doc_id, text, width, percent).drop("class")
 
 
 def signatures(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
@@ -309,7 +294,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str, width: int, percent: int
 
 
 def classes(docs: DataFrame, signed: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
-    """``doc_id, mark, n_shingles, component_id, n_links`` for every signed row."""
+    """``doc_id, mark, n_shingles, component_id, n_links`` and the class's number for every signed row."""
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     sets = signed.filter("node IS NOT NULL AND id IS NOT NULL")
     nodes = stored(sets.groupBy("node").agg(
@@ -336,52 +321,67 @@ def classes(docs: DataFrame, signed: DataFrame, doc_id: str, text: str, width: i
         F.count("*").alias("met"), F.min(F.least("g_need", "h_need")).alias("need"))
     pairs = stored(met.filter("met >= need").select("g", "h").union(bounds.filter("sets > 1").select("group", "group")), "pairs")
 
-    # the sets of the groups to open, from their texts
-    sides = pairs.select(F.xxhash64("g", "h").alias("pair"), F.col("g").alias("group"), F.lit(0).alias("side")).union(
-        pairs.filter("g <> h").select(F.xxhash64("g", "h"), "h", F.lit(1)))
-    members = stored(sides.join(grouped, "group").select("pair", "side", "node", "copies", "first_id"), "members")
+    # the sets of the groups to open, from their texts; a group travels as one row
+    opened_groups = pairs.select(F.explode(F.array("g", "h")).alias("group")).distinct()
+    members = stored(grouped.join(opened_groups, "group", "left_semi").select("group", "node", "copies", "first_id"), "members")
     wanted = members.select(F.col("first_id").alias("id")).distinct()
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
-        for _, part in _chunks(batches, 0):
+        for _, part in _parts(batches, 0):
             sets = [s for s in shingler.sets(part) if len(s)]
             if sets:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([node_of(s) for s in sets], pa.int64()), _lists([s.view(np.int64) for s in sets])], names=["node", "tokens"])
 
-    full = texts.join(small(stored(wanted, "wanted")), "id", "left_semi").select("text").mapInArrow(tokens, "node long, tokens array<long>")
+    full = texts.join(small(stored(wanted, "wanted")), "id", "left_semi").select("text").mapInArrow(lean(tokens), "node long, tokens array<long>")
+    # an id of several rows may bring a set more than once
+    one_set = full.groupBy("node").agg(F.first("tokens").alias("tokens"))
+    tiles = members.join(one_set, "node").groupBy("group").agg(F.collect_list(F.struct("node", "copies", "tokens")).alias("sets"))
     with rows_a_batch(docs.sparkSession, WIDE_ROWS):
-        opened = stored(_opened(members.select("pair", "side", "node", "copies").join(full, "node").select(
-            "pair", "side", "node", "copies", "tokens"), percent), "opened")
+        tiles = stored(tiles, "tiles")
+    with rows_a_batch(docs.sparkSession, OPENED_PAIRS):
+        a, b = tiles.select(F.col("group").alias("g"), F.col("sets").alias("a")), tiles.select(F.col("group").alias("h"), F.col("sets").alias("b"))
+        within = a.filter(F.size("a") > 1).select("a", F.lit(None).cast(b.schema["b"].dataType).alias("b"))
+        between = pairs.filter("g <> h").join(a, "g").join(b, "h").select("a", "b")
+        opened = stored(_opened(within.union(between), percent), "opened")
 
     # components, and everything back to the rows
     linked = components(opened.select("src", "dst"))
     linked = linked.join(grouped.select("node", "first_id"), "node")
     least = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    linked = linked.join(least, "component").select("node", "component_id")
+    linked = linked.join(least, "component").select("node", "component_id", "component")
     counts = opened.groupBy(F.col("src").alias("node")).agg(F.sum("links").alias("links"))
     result = grouped.select("node", "first_id", "copies").join(linked, "node", "left").join(counts, "node", "left").select(
-        "node", F.coalesce("component_id", "first_id").alias("component_id"),
+        "node", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("component", "node").alias("class"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     return signed.select("id", "mark", "n", "node").join(result, "node", "left").select(
         F.col("id").alias(doc_id), "mark", F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
-        F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("bigint").alias("n_links"))
+        F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("bigint").alias("n_links"), "class")
 
 
 def first_of_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each class of similar documents, the one with the smallest id, with all its columns.
 
-    Rows without id and rows without words stay. Of rows with equal id and text one stays, any of them.
+    Of a class's rows with equal smallest ids and different texts one stays, and of rows with equal id and text one,
+    any of them. Rows without id and rows without words stay. Columns of ``docs`` may have any names.
     """
     signed = signatures(docs, doc_id, text, width, percent)
-    found = classes(docs, signed, doc_id, text, width, percent).filter(F.col("component_id") != F.col(doc_id))
-    gone = small(stored(found.select(F.col(doc_id).alias("gone"), F.col("mark").alias("gone_mark")).distinct(), "gone"))
+    found = stored(classes(docs, signed, doc_id, text, width, percent).filter("class IS NOT NULL AND component_id IS NOT NULL").select(
+        F.col(doc_id).alias("gone"), F.col("mark").alias("gone_mark"), "class", (F.col(doc_id) == F.col("component_id")).alias("first")), "found")
+    # a class has one row with its smallest id, or a few
+    heads = found.filter("first").groupBy("class").agg(F.min("gone_mark").alias("head"), F.max("gone_mark").alias("last")).filter("head <> last")
+    others = found.filter("first").join(heads, "class").filter("gone_mark <> head")
+    gone = found.filter("NOT first").select("gone", "gone_mark").union(others.select("gone", "gone_mark"))
+    gone = small(stored(gone.distinct(), "gone"))
     again = signed.filter("id IS NOT NULL AND n > 0").groupBy("id", "mark").count().filter("count > 1")
-    kept = docs.join(gone, (F.col(doc_id) == F.col("gone")) & (F.xxhash64(text) == F.col("gone_mark")), "left_anti")
+    rows = docs.select(F.struct("*").alias("row"))
+    own, mark = F.col("row")[doc_id], F.xxhash64(F.col("row")[text])
+    kept = rows.join(gone, (own == F.col("gone")) & (mark == F.col("gone_mark")), "left_anti")
     if again.isEmpty():
-        return kept
-    match = (F.col(doc_id) == F.col("again")) & (F.xxhash64(text) == F.col("again_mark"))
+        return kept.select("row.*")
+    match = (own == F.col("again")) & (mark == F.col("again_mark"))
     again = stored(again.select(F.col("id").alias("again"), F.col("mark").alias("again_mark")), "again")
-    return kept.join(again, match, "left_anti").union(kept.join(again, match, "left_semi").dropDuplicates([doc_id, text]))
+    twice = kept.join(again, match, "left_semi").withColumns({"own": own, "mark": mark}).dropDuplicates(["own", "mark"]).select("row")
+    return kept.join(again, match, "left_anti").union(twice).select("row.*")
