@@ -82,7 +82,14 @@ def lean(run: Callable) -> Callable:
 def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """Broadcast a value together with the code of its class; the result gives it back inside tasks."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
-    return lambda: pickle.loads(sent.value)
+
+    def load() -> Any:
+        found = pickle.loads(sent.value)
+        if getattr(sent, "_path", None):  # a worker would keep the bytes as long as it lives; it can read them again
+            vars(sent).pop("_value", None)
+        return found
+
+    return load
 
 
 def utf8(column: pa.Array) -> list[bytes | None]:

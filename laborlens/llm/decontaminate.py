@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import WORD_BYTES, other_columns, pieces_by_bytes, share, utf8, widened
+from .common import WORD_BYTES, lean, numbered, other_columns, pieces_by_bytes, share, utf8, widened
 
 WINDOW = 10
 CHUNK_BYTES = 2 << 20
@@ -198,13 +198,11 @@ def find_leaks(
                     columns = [pa.array(list(c), f.type) for c, f in zip(found, arrow_found)]
                     yield pa.RecordBatch.from_arrays([*rows.columns, *columns], names=[*kept, *arrow_found.names])
 
-        out = out.mapInArrow(scan, schema)
+        out = out.mapInArrow(lean(scan), schema)
     return out
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows without any benchmark window, with their own columns only."""
-    kept = other_columns(docs, FOUND.fieldNames())
-    if len(kept) < len(docs.columns):
-        raise ValueError(f"columns {FOUND.fieldNames()} are needed for results")
-    return find_leaks(docs, items, **options).filter("n_hit = 0").select(*kept)
+def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The rows without any benchmark window, with their own columns, whatever these are called."""
+    plain, back = numbered(docs)
+    return back(find_leaks(plain, items, text=plain.columns[docs.columns.index(text)], **options).filter("n_hit = 0"))

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import WORD_BYTES, other_columns, pieces_by_bytes, share, utf8, widened
+from .common import WORD_BYTES, lean, numbered, other_columns, pieces_by_bytes, share, utf8, widened
 
 ORDER = 3
 UNDETERMINED = "und"
@@ -199,7 +199,7 @@ def identify(docs: DataFrame, trees: ContextTrees | None, text: str = "text") ->
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*kept, *PREDICTED.fieldNames()])
 
-    return out.mapInArrow(run, schema)
+    return out.mapInArrow(lean(run), schema)
 
 
 def fold(doc_id: Column) -> Column:
@@ -207,9 +207,8 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))
 
 
-def known_language(docs: DataFrame, trees: ContextTrees | None, min_score: float = 0.0) -> DataFrame:
-    """The rows whose language is found, with their own columns only."""
-    kept = other_columns(docs, PREDICTED.fieldNames())
-    if len(kept) < len(docs.columns):
-        raise ValueError(f"columns {PREDICTED.fieldNames()} are needed for results")
-    return identify(docs, trees).filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select(*kept)
+def known_language(docs: DataFrame, trees: ContextTrees | None, min_score: float = 0.0, text: str = "text") -> DataFrame:
+    """The rows whose language is found, with their own columns, whatever these are called."""
+    plain, back = numbered(docs)
+    found = identify(plain, trees, text=plain.columns[docs.columns.index(text)])
+    return back(found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)))
