@@ -111,6 +111,19 @@ def link_calls(calls: DataFrame, results: DataFrame, properties: DataFrame) -> D
         F.concat(F.lit("{"), F.concat_ws(",", *part), F.lit("}")).alias("json"))
 
 
+def messages(turns: DataFrame) -> DataFrame:
+    """Turns that are neither calls nor results, in the columns of ``link_calls`` with status ``message``.
+
+    ``turns``: ``conv_id, call_id, turn, role, content``; every row is kept, nulls are left out of its JSON.
+    """
+    parts = F.concat_ws(",", _field("content"), _field("id", "call_id"), _field("role"))
+    none = F.lit(None)
+    return turns.select(
+        "conv_id", "call_id", none.cast("string").alias("name"), F.col("turn").alias("call_turn"), none.cast("bigint").alias("result_turn"),
+        F.lit(0).alias("level"), F.lit("message").alias("status"), F.array().cast("array<string>").alias("violations"),
+        F.concat(F.lit("{"), parts, F.lit("}")).alias("json"))
+
+
 def _field(name: str, column: str | None = None):
     """``"name":text``, or null without a value."""
     value = F.to_json(F.struct(F.col(column or name).cast("string").alias(name)))

@@ -33,7 +33,7 @@ PARTING = 2.0
 
 #: Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe object svg math audio video canvas select head".split())
+RAW = frozenset("script style textarea title noscript template iframe object svg audio video canvas select head".split())
 #: Of these, what stays unread to the end of the page where no closing tag follows; of others only the tag.
 OPAQUE = frozenset("script style title textarea".split())
 #: What may stand in a head; any other tag ends it.

@@ -32,7 +32,7 @@ DECONTAMINATION_SQL = r"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS id,
          regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+  FROM benchmark WHERE text IS NOT NULL),
 pattern AS (
   SELECT DISTINCT id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS p
   FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
@@ -113,19 +113,25 @@ level AS (
   SELECT conv_id, call_id, 0 AS level FROM call WHERE need IS NULL
   UNION ALL
   SELECT call.conv_id, call.call_id, level + 1 FROM call JOIN level ON call.conv_id = level.conv_id AND call.need = level.call_id),
-joined AS (SELECT * FROM call FULL JOIN result USING (conv_id, call_id) LEFT JOIN level USING (conv_id, call_id))
+joined AS (SELECT * FROM call FULL JOIN result USING (conv_id, call_id) LEFT JOIN level USING (conv_id, call_id)),
+message AS (SELECT * FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant'))
 SELECT conv_id, call_id, name, call_turn, result_turn, CAST(level AS INTEGER) AS level,
        CASE WHEN name IS NULL THEN 'orphan' WHEN content IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
        CASE WHEN name IS NOT NULL AND text IS NULL THEN 'question is no string' ELSE '' END AS violations,
        '{' || concat_ws(',',
          CASE WHEN name IS NULL THEN NULL ELSE '"arguments":{' || concat_ws(',', '"after":' || to_json(coalesce(need, '')), '"question":' || to_json(text), '"turn":' || call_turn) || '}' END,
          '"content":' || to_json(content), '"id":' || to_json(call_id), '"name":' || to_json(name)) || '}' AS json
-FROM joined"""
+FROM joined
+UNION ALL
+SELECT conv_id, conv_id || '-' || turn, NULL, turn, NULL, 0, 'message', '',
+       '{' || concat_ws(',', '"content":' || to_json(text), '"id":' || to_json(conv_id || '-' || turn), '"role":' || to_json(role)) || '}'
+FROM message"""
 
 
 @query(CHAT_SQL)
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every user turn as a call that names the call before it, every assistant turn as the result of the turn before."""
+    """Every user turn as a call that names the call before it, every assistant turn as the result of the turn before,
+    and the turns of other roles as messages."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     asked = turns.filter("role = 'user'")
     name = F.concat_ws("-", "conv_id", "turn")
@@ -137,7 +143,9 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.concat_ws("-", "conv_id", F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
     properties = spark.sql("SELECT * FROM VALUES ('reply', 'after', 'string', true), ('reply', 'question', 'string', true), "
                            "('reply', 'turn', 'integer', true) AS t(name, property, kind, required)")
-    return chat.link_calls(calls, results, properties).withColumn("violations", F.concat_ws(",", "violations"))
+    others = turns.filter("role IS NULL OR role NOT IN ('user', 'assistant')").select("conv_id", name.alias("call_id"), "turn", "role", F.col("text").alias("content"))
+    linked = chat.link_calls(calls, results, properties).unionByName(chat.messages(others))
+    return linked.withColumn("violations", F.concat_ws(",", "violations"))
 
 
 @query()

@@ -1,5 +1,6 @@
 """Groups, links and counts of two tokenizations against plain Python, and the encoders against their libraries."""
 
+import bisect
 import functools
 import hashlib
 import random
@@ -51,7 +52,7 @@ def groups(text):
     x, y, xb, yb = found
     ends = [set(np.cumsum([len(p) for p in side]).tolist()) for side in (xb, yb)]
     cuts = sorted(ends[0] & ends[1])
-    of = [[next(i for i, c in enumerate(cuts) if e <= c) for e in np.cumsum([len(p) for p in side])] for side in (xb, yb)]
+    of = [[bisect.bisect_left(cuts, e) for e in np.cumsum([len(p) for p in side])] for side in (xb, yb)]
     return [([t for t, g in zip(x, of[0]) if g == i], [t for t, g in zip(y, of[1]) if g == i]) for i in range(len(cuts))]
 
 
