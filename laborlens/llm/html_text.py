@@ -63,6 +63,7 @@ UNDER = ["nav", "header", "footer", "aside", "form", "article", "main"]
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>", re.S)
+OPEN_COMMENT = re.compile(r"<!--.*\Z", re.S)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 ENDINGS = re.compile(r"[.!?…。！？]")
@@ -79,8 +80,10 @@ def attribute_groups(attributes: str, known: dict = {}) -> tuple[tuple[int, ...]
         for token in re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()):
             if token in GROUP:
                 found.add(GROUP[token])
-    known[attributes] = tuple(sorted(found)), bool(HIDDEN.search(attributes))
-    return known[attributes]
+    described = tuple(sorted(found)), bool(HIDDEN.search(attributes))
+    if len(attributes) <= 1000:
+        known[attributes] = described
+    return described
 
 
 class Page:
@@ -89,6 +92,7 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.attributes, self.text, self.linked = ["body"], [-1], [""], [""], [0]
         self._stack, self._run, self._in_link, self._link_chars, self._unclosed = [0], [], False, 0, set()
+        self._open: dict[str, list[int]] = {}  # depths at which a tag is open, the deepest last
         self._read(source)
         self._close_run()
 
@@ -112,14 +116,15 @@ class Page:
 
     def _read(self, source: str) -> None:
         at, end = 0, len(source)
+        self._last = source.rfind(">")  # no tag ends behind it
         while at < end:
-            m = TOKEN.search(source, at)
+            m = TOKEN.search(source, at) if at <= self._last else OPEN_COMMENT.search(source, at)
             if not m:
                 self._add(source[at:])
                 return
             self._add(source[at:m.start()])
             at = m.end()
-            tag = (m[2] or m[5] or "").lower()
+            tag = (m[2] or m[5] or "").lower() if m.re is TOKEN else ""
             if not tag:
                 continue
             if m[1] or m[4]:
@@ -135,7 +140,7 @@ class Page:
     def _after_raw(self, source: str, at: int, tag: str) -> int:
         if tag in self._unclosed:
             return at
-        closing = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
+        closing = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at, self._last + 1)
         if closing:
             return closing.end()
         if tag in OPAQUE:
@@ -145,8 +150,8 @@ class Page:
 
     def _after_head(self, source: str, at: int) -> int:
         """The place behind a head, which ends at its closing tag or before the first tag that can't stand in it."""
-        closing = re.compile(r"</head\b[^>]*>|<body\b", re.I).search(source, at)
-        limit = closing.start() if closing else len(source)
+        closing = re.compile(r"</head\b[^>]*>|<body\b", re.I).search(source, at, self._last + 1)
+        limit = closing.start() if closing else self._last + 1
         while at < limit and (m := TOKEN.search(source, at)) and m.start() < limit:
             if not closing and source[at:m.start()].strip():
                 return at
@@ -158,6 +163,16 @@ class Page:
                 at = self._after_raw(source, at, tag)
         return at if not closing else closing.end() if closing[0][1] == "/" else closing.start()
 
+    def _deepest(self, tags) -> int:
+        """The depth of the innermost open element with one of these tags; 0 without one."""
+        return max((self._open[t][-1] for t in tags if self._open.get(t)), default=0)
+
+    def _cut(self, depth: int) -> None:
+        """Close what is open from a depth on."""
+        for node in reversed(self._stack[depth:]):
+            self._open[self.tag[node]].pop()
+        del self._stack[depth:]
+
     def _start(self, tag: str, attributes: str) -> None:
         if tag in ("br", "hr"):
             self._run.append(" ")
@@ -166,19 +181,16 @@ class Page:
         elif tag in BLOCKS:
             self._close_run()
             if self.tag[self._stack[-1]] == "p" and tag not in ("button", "label"):
-                self._stack.pop()
+                self._cut(len(self._stack) - 1)
             if tag in ENDS:
                 ended, container = ENDS[tag]
-                for depth in range(len(self._stack) - 1, 0, -1):
-                    open_tag = self.tag[self._stack[depth]]
-                    if open_tag in container:
-                        break
-                    if open_tag in ended:
-                        del self._stack[depth:]
-                        break
+                depth = self._deepest(ended)
+                if depth > self._deepest(container):
+                    self._cut(depth)
             if tag == "body":
                 self.attributes[0] = attributes
             else:
+                self._open.setdefault(tag, []).append(len(self._stack))
                 self._stack.append(self._node(tag, attributes))
 
     def _end(self, tag: str) -> None:
@@ -186,10 +198,8 @@ class Page:
             self._in_link = False
         elif tag in BLOCKS and tag != "body":
             self._close_run()
-            for depth in range(len(self._stack) - 1, 0, -1):
-                if self.tag[self._stack[depth]] == tag:
-                    del self._stack[depth:]
-                    break
+            if depth := self._deepest([tag]):
+                self._cut(depth)
 
     def features(self) -> np.ndarray:
         """One row a node."""

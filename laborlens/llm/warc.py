@@ -18,7 +18,7 @@ from urllib.parse import quote, unquote
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import small, stored
+from .common import lean, small, stored
 
 LEAST_REVISIT = 1000
 ARCHIVE_BYTES = 4 << 20
@@ -28,8 +28,10 @@ DATE = "2024-01-01T00:00:00Z"
 VERSION = b"WARC/1.1\r\n"
 MEMBER = b"\x1f\x8b\x08"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Bytes that a damaged member is unpacked by.
-STEP_BYTES = 1 << 16
+#: Bytes that a member is unpacked by, at first and at most; a header has so many bytes at most.
+FIRST_STEP, STEP_BYTES, HEADER_BYTES = 1 << 11, 1 << 20, 1 << 16
+#: Bytes that a reader holds before it passes rows on, and bytes that a row counts for besides its block.
+PASSED_BYTES, ROW_BYTES = 8 << 20, 200
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 
@@ -70,7 +72,7 @@ def _parse(data: bytes, at: int) -> Record | str:
     line = VERSION_LINE.match(data, at)
     if not line:
         return "no version line"
-    end = data.find(b"\r\n\r\n", at)
+    end = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
     if end < 0:
         return "no end of header"
     fields = {}
@@ -113,24 +115,27 @@ def _plain(data: bytes) -> Iterator[Record]:
 
 
 def _member(data: bytes, at: int) -> tuple[bytes, int, str | None]:
-    """What a member holds, its length, and why it ends before its end; a failed one gives what came out before."""
-    whole, unpacker, parts = memoryview(data)[at:], zlib.decompressobj(31), []
-    try:
-        return unpacker.decompress(whole), len(whole) - len(unpacker.unused_data), None if unpacker.eof else "member ends early"
-    except zlib.error as error:
-        reason = f"bad member: {error}"
-    # once more in steps, the last ones of a byte: a call that fails gives nothing of what it unpacked
-    unpacker, place, step = zlib.decompressobj(31), 0, STEP_BYTES
-    while place < len(whole):
+    """What a member holds, its length, and why it ends before its end; a failed one gives what came out before.
+
+    It is unpacked in steps that grow with it, so the bytes behind it are never copied as a whole. A step that fails
+    gives nothing of what it unpacked and is taken once more in halves, down to the byte that fails.
+    """
+    view, unpacker, parts = memoryview(data), zlib.decompressobj(31), []
+    place, step, failed = at, FIRST_STEP, None
+    while place < len(data) and not unpacker.eof:
         before = unpacker.copy()
         try:
-            parts.append(unpacker.decompress(whole[place:place + step]))
-            place += step
-        except zlib.error:
+            parts.append(unpacker.decompress(view[place:place + step]))
+            place = min(place + step, len(data))
+            step = step if failed else min(2 * step, STEP_BYTES)
+        except zlib.error as error:
+            failed = failed or f"bad member: {error}"
             if step == 1:
                 break
-            unpacker, step = before, 1
-    return b"".join(parts), place, reason
+            unpacker, step = before, step // 2
+    if failed is None and not unpacker.eof:
+        failed = "member ends early"
+    return b"".join(parts), place - at - len(unpacker.unused_data), failed
 
 
 def salvage(data: bytes) -> Iterator[Record]:
@@ -258,13 +263,22 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
             digest = found
         return *place, kind, name, fields.get("warc-target-uri"), target, size, digest, payload if payloads and kind != "revisit" else None, None
 
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], names=names)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows = [row(file, r) for r in salvage(content.as_py())]
+                rows, size = [], 0
+                for r in salvage(content.as_py()):  # passed on as they come
+                    rows.append(row(file, r))
+                    size += len(r.block) + ROW_BYTES
+                    if size > PASSED_BYTES:
+                        yield out(rows)
+                        rows, size = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], names=names)
+                    yield out(rows)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(read, "path string, offset long, length long, record_type string, id string, url string, refers_to string, "
+    return files.mapInArrow(lean(read), "path string, offset long, length long, record_type string, id string, url string, refers_to string, "
                                   "payload_bytes long, payload_digest string, payload binary, gap string")
