@@ -137,9 +137,13 @@ def unpivot_bounds(df: DataFrame, key: str = "skill_name", date_col: str = "fore
 
 
 def standardize_text(df: DataFrame, columns: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
-    """Lower-case and trim the columns, drop incomplete rows and exact duplicates."""
-    cleaned = df.withColumns({name: text.clean_text(name) for name in columns})
-    return cleaned.dropna(subset=list(required or columns)).dropDuplicates()
+    """Lower-case and trim the columns, drop incomplete rows and exact duplicates.
+
+    Duplicates are found by a digest of the whole row, so long texts are no shuffle or sort keys.
+    """
+    cleaned = df.withColumns({name: text.clean_text(name) for name in columns}).dropna(subset=list(required or columns))
+    digest = F.sha2(F.to_json(F.struct("*")), 256)
+    return cleaned.withColumn("_digest", digest).dropDuplicates(["_digest"]).drop("_digest")
 
 
 def mask_columns(df: DataFrame, columns: Sequence[str], salt: str) -> DataFrame:

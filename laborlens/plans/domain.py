@@ -90,8 +90,12 @@ def closed_skill_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demand_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``closed_skill_demand`` as a written table, for plans that read it more than once."""
-    return materialize(closed_skill_demand(spark, sf_dir), "skill-demand")
+    """``closed_skill_demand`` as a written table, for plans that read it more than once.
+
+    The last month is taken from the table, not from the facts again.
+    """
+    demand = materialize(skill_demand(spark, sf_dir), "skill-demand")
+    return demand.filter(F.col("period_start") < demand.agg(F.max("period_start")).scalar())
 
 
 def regional_demand(spark: SparkSession, sf_dir: str) -> DataFrame:

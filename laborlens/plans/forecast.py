@@ -89,6 +89,12 @@ def _mean(values: Column) -> Column:
     return F.try_divide(total, F.size(values))
 
 
+def _deviation(values: Column) -> Column:
+    """Population standard deviation of an array, from the distances to its mean."""
+    mean = _mean(values)
+    return F.sqrt(_mean(F.transform(values, lambda x: (x - mean) * (x - mean))))
+
+
 # ---------------------------------------------------------------- linear model
 
 
@@ -111,8 +117,11 @@ def linreg_fits(
     sums = featured.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_clean"),
         *[mean.alias(name) for name, mean in recent.items()],
+        # the points of a series, one a month, ride along for its residuals
+        F.collect_list(F.struct(*FEATURES, "_y")).alias("_points"),
         *ols_statistics(FEATURES, "_y"),
     )
+    residuals = F.transform("_points", lambda p: p["_y"] - fitted([p[f] for f in FEATURES]))
     at_recent = fitted([F.col(f"_r_{f}") for f in FEATURES])
     return solve_ols(sums).select(
         *keys,
@@ -121,7 +130,7 @@ def linreg_fits(
         "intercept",
         *[f"coef_{f}" for f in FEATURES],
         (F.col("_r__y") - at_recent).alias("anchor"),
-        F.sqrt("resid_var").alias("resid_std"),
+        _deviation(residuals).alias("resid_std"),
     )
 
 
