@@ -54,10 +54,14 @@ def text_features(text: str) -> dict[str, Column]:
     }
 
 
-def fit_quality_model(labelled: DataFrame, text: str = "text", label: str = "label") -> PipelineModel:
-    """Logistic regression on the shape features; ``label`` is 1 for junk."""
+def fit_quality_model(labelled: DataFrame, text: str = "text", label: str = "label", max_rows: int = 200_000) -> PipelineModel:
+    """Logistic regression on the shape features; ``label`` is 1 for junk.
+
+    Fitted on at most ``max_rows`` labelled rows, the first ones by a hash of the text.
+    """
     features = text_features(text)
-    rows = labelled.select(F.col(label).cast("double").alias("label"), *[c.alias(n) for n, c in features.items()])
+    first = labelled.dropna(subset=[text, label]).orderBy(F.xxhash64(text)).limit(max_rows)
+    rows = first.select(F.col(label).cast("double").alias("label"), *[c.alias(n) for n, c in features.items()])
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="raw"),
         StandardScaler(inputCol="raw", outputCol="features", withMean=True),

@@ -350,6 +350,23 @@ def m18(spark, sf):
     return found.select("skill_name", F.col("cluster").between(0, 4).alias("in_range"), clusters.alias("clusters"))
 
 
+SHAPE = "coalesce(len(regexp_extract_all(text, '{}')) / nullif(CAST(length(text) AS DOUBLE), 0), 0) AS {}"
+
+
+@query(
+    "m19_text_features",
+    f"""SELECT doc_id, ln(1 + length(text)) AS f_log_length,
+               coalesce(length(text) / nullif(CAST(len(regexp_split_to_array(trim(text), '[ \t\n\v\f\r]+')) AS DOUBLE), 0), 0) AS f_word_length,
+               {SHAPE.format('[0-9]', 'f_digits')}, {SHAPE.format('\p{Lu}', 'f_upper')}, {SHAPE.format('[^\p{L}\p{N} \t\n\v\f\r]', 'f_symbols')},
+               {SHAPE.format('\n', 'f_lines')}, {SHAPE.format('https?://', 'f_links')}
+        FROM documents""",
+    doubles=("f_log_length", "f_word_length", "f_digits", "f_upper", "f_symbols", "f_lines", "f_links"),
+)
+def m19f(spark, sf):
+    """What the quality model looks at."""
+    return domain.table(spark, sf, "documents").select("doc_id", *[c.alias(n) for n, c in ml.text_features("text").items()])
+
+
 @query("m19_posting_quality_score", "SELECT doc_id, true AS in_range, true AS flag_fits, true AS separates FROM documents")
 def m19(spark, sf):
     docs, labels = domain.table(spark, sf, "documents"), domain.table(spark, sf, "labels")

@@ -11,31 +11,43 @@ from ..functions import dates, text, values
 from ..operators import aggregates, projections
 from ..schemas import JOB_LISTINGS, RAW_POSTING_COLUMNS, TREND_DOCUMENT
 
-# Quoted fields may hold doubled quotes and, with ``multi_line``, line breaks. A file
-# with line breaks inside fields cannot be split, so it is read by one task: deliver
-# such data as many files, or pass ``multi_line=False`` where no field has a break.
+# Quoted fields may hold doubled quotes and line breaks. A file with line breaks inside
+# fields cannot be split, so it is read by one task. ``multi_line=None`` looks for such
+# breaks first, in one scan that is split, and reads files without any by many tasks;
+# True or False saves the scan where it is known.
 QUOTED_CSV = {"header": "true", "quote": '"', "escape": '"'}
 
 
+def has_breaks_in_fields(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field may reach over the end of a line: a line with an odd number of quotes opens one."""
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not lines.filter(quotes % 2 == 1).isEmpty()
+
+
+def _multi_line(spark: SparkSession, path: str, asked: bool | None) -> bool:
+    return has_breaks_in_fields(spark, path) if asked is None else asked
+
+
 def read_seed_tsv(
-    spark: SparkSession, path: str, schema: T.StructType = JOB_LISTINGS, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType = JOB_LISTINGS, multi_line: bool | None = None
 ) -> DataFrame:
     """Tab-separated table with a header; an unquoted empty field is NULL.
 
-    Quoted fields may hold tabs, quotes and line breaks; with ``multi_line=False`` line
-    breaks end a row and large files are split over tasks. Flags come as t/f or True/False, so they are read as text and converted.
+    Quoted fields may hold tabs, quotes and line breaks. Flags come as t/f or True/False,
+    so they are read as text and converted.
     """
     flags = {f.name for f in schema.fields if isinstance(f.dataType, T.BooleanType)}
     raw = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name in flags else f.dataType) for f in schema.fields]
     )
-    df = spark.read.schema(raw).csv(path, sep="\t", header=True, escape='"', multiLine=multi_line)
+    df = spark.read.schema(raw).csv(path, sep="\t", header=True, escape='"', multiLine=_multi_line(spark, path, multi_line))
     return df.withColumns({name: values.text_flag(name) for name in flags}) if flags else df
 
 
 def read_postings_csv(
     spark: SparkSession, path: str, header: Sequence[str], columns: Sequence[str] = RAW_POSTING_COLUMNS,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """The wanted columns of a postings CSV, everything as text.
 
@@ -44,14 +56,14 @@ def read_postings_csv(
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     reader = spark.read.options(**QUOTED_CSV).schema(schema)
-    return reader.csv(path, multiLine=multi_line).select(*[f"`{c}`" for c in columns])
+    return reader.csv(path, multiLine=_multi_line(spark, path, multi_line)).select(*[f"`{c}`" for c in columns])
 
 
 def read_inferred_csv(
-    spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = True
+    spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool | None = None
 ) -> DataFrame:
     """CSV with inferred types, for profiling. ``encoding='ISO-8859-1'`` reads Latin-1 files."""
-    return spark.read.options(**QUOTED_CSV).csv(path, inferSchema=True, encoding=encoding, multiLine=multi_line)
+    return spark.read.options(**QUOTED_CSV).csv(path, inferSchema=True, encoding=encoding, multiLine=_multi_line(spark, path, multi_line))
 
 
 def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -163,7 +175,7 @@ def detect_join_keys(left: Sequence[str], right: Sequence[str]) -> tuple[str | N
 
 def load_first_valid(
     spark: SparkSession, paths: Sequence[str], fallback: Callable[[], DataFrame], min_rows: int = 6,
-    min_months: int = 12, multi_line: bool = True,
+    min_months: int = 12, multi_line: bool | None = None,
 ) -> tuple[DataFrame, str]:
     """Monthly demand from the first usable file in name order, else the fallback.
 
@@ -172,7 +184,7 @@ def load_first_valid(
     and one aggregate row of it comes to the driver.
     """
     for path in sorted(paths):
-        raw = spark.read.options(**QUOTED_CSV).csv(path, multiLine=multi_line)
+        raw = spark.read.options(**QUOTED_CSV).csv(path, multiLine=_multi_line(spark, path, multi_line))
         roles = detect_roles(raw.columns)
         if not roles.complete:
             continue
