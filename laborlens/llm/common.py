@@ -82,10 +82,12 @@ def lean(run: Callable) -> Callable:
 def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """Broadcast a value together with the code of its class; the result gives it back inside tasks."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    if getattr(sent, "_path", None):  # the bytes are in a file; neither the driver nor a worker needs them again at hand
+        vars(sent).pop("_value", None)
 
     def load() -> Any:
         found = pickle.loads(sent.value)
-        if getattr(sent, "_path", None):  # a worker would keep the bytes as long as it lives; it can read them again
+        if getattr(sent, "_path", None):
             vars(sent).pop("_value", None)
         return found
 

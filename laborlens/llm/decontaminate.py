@@ -5,8 +5,8 @@ either side. A shift table, indexed by a hash of the last block of bytes below t
 the window may move without missing a pattern; where it may not move, the bucket of that suffix hash names the
 patterns to compare directly. Thousands of places of the joined texts are advanced together with numpy.
 
-Rows are never shuffled: the pattern tables are broadcast, in blocks of at most ``block_bytes`` of item text, and
-every block is one more pass over the rows of a task, so a large benchmark costs passes and not memory.
+Rows are never shuffled: the pattern tables are broadcast, in blocks of at most ``block_words`` words of items. A task
+with several blocks gathers some rows and searches them block by block, with one block in memory at a time.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from .common import WORD_BYTES, lean, numbered, other_columns, pieces_by_bytes,
 
 WINDOW = 10
 CHUNK_BYTES = 2 << 20
+#: Words of items whose windows are searched for together, and bytes of text that are searched block by block.
+BLOCK_WORDS, GATHERED_BYTES = 100_000, 32 << 20
 LANE_BYTES = 2048
 #: Patterns are searched by length class, so that short ones don't shorten the shifts of long ones.
 LENGTH_CLASSES = (8, 16, 32)
@@ -162,44 +164,74 @@ class Windows:
 
 def find_leaks(
     docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    window: int = WINDOW, block_bytes: int = 16 << 20,
+    window: int = WINDOW, block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """Every row of ``docs`` with the benchmark windows that occur in it.
 
     Adds ``n_words``, ``n_hit`` (words inside any occurrence), ``spans`` (start and length in words, merged) and
     ``items`` (ids as strings, sorted as strings). A null or empty text has no words. Items without words
-    are left out; one without id counts for ``n_hit`` and ``spans`` only; ids that occur twice are one item. Repeated rows are kept as they are, and a column of ``docs``
-    that is named like a result is replaced by it.
+    are left out; one without id counts for ``n_hit`` and ``spans`` only; ids that occur twice are one item. Repeated
+    rows are kept as they are, and a column of ``docs`` that is named like a result is replaced by it.
+
+    A block of items has ``block_words`` words, or is one longer item.
     """
     spark = docs.sparkSession
     named = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text")).dropna(subset=["text"])
-    total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
+    total = named.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0  # about the words
+    blocks = max(1, -(-total // block_words))
     out = docs.select(*other_columns(docs, FOUND.fieldNames()))
     kept, schema = out.columns, widened(out, FOUND)
     arrow_found = pa.schema([
         ("n_words", pa.int64()), ("n_hit", pa.int64()),
         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))), ("items", pa.list_(pa.string())),
     ])
+    tables = []
     for b in range(blocks):
         block = named if blocks == 1 else named.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b)
-        tables = share(spark, Windows([(r.id, r.text.encode()) for r in block.collect()], window))
+        tables.append(share(spark, Windows([(r.id, r.text.encode()) for r in block.collect()], window)))
+
+    def searched(found_by: Windows, texts: list, known: list | None) -> list[tuple]:
+        found = []
+        for lo, hi in pieces_by_bytes([len(t or b"") for t in texts], CHUNK_BYTES):
+            found += found_by.scan(texts[lo:hi], known[lo:hi] if known else [([], [])] * (hi - lo))
+        return found
+
+    def rows_of(rows: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(list(c), f.type) for c, f in zip(zip(*found), arrow_found)]
+        return pa.RecordBatch.from_arrays([*rows.columns, *columns], names=[*kept, *arrow_found.names])
 
-        def scan(batches: Iterator[pa.RecordBatch], tables=tables) -> Iterator[pa.RecordBatch]:
-            found_by = tables()
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if len(tables) == 1:
+            found_by = tables[0]()
             for batch in batches:
                 texts = utf8(batch.column(text))
-                known = [([], [])] * len(texts)
-                if "spans" in batch.schema.names:
-                    known = list(zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist()))
                 for lo, hi in pieces_by_bytes([len(t or b"") for t in texts], CHUNK_BYTES):
-                    found = list(zip(*found_by.scan(texts[lo:hi], known[lo:hi])))
-                    rows = batch.select(kept).slice(lo, hi - lo)
-                    columns = [pa.array(list(c), f.type) for c, f in zip(found, arrow_found)]
-                    yield pa.RecordBatch.from_arrays([*rows.columns, *columns], names=[*kept, *arrow_found.names])
-
-        out = out.mapInArrow(lean(scan), schema)
-    return out
+                    yield rows_of(batch.slice(lo, hi - lo), searched(found_by, texts[lo:hi], None))
+            return
+        held, size = [], 0
+
+        def gathered() -> Iterator[pa.RecordBatch]:
+            texts = [utf8(rows.column(text)) for rows in held]
+            known: list[list | None] = [None] * len(held)
+            for table in tables:
+                found_by = table()
+                known_now = [searched(found_by, t, k and [(f[2], f[3]) for f in k]) for t, k in zip(texts, known)]
+                known, found_by = known_now, None
+            for rows, found in zip(held, known):
+                yield rows_of(rows, found)
+
+        for batch in batches:
+            sizes = [len(t or b"") for t in utf8(batch.column(text))]
+            for lo, hi in pieces_by_bytes(sizes, CHUNK_BYTES):
+                held.append(batch.slice(lo, hi - lo))
+                size += sum(sizes[lo:hi])
+                if size > GATHERED_BYTES:
+                    yield from gathered()
+                    held, size = [], 0
+        if held:
+            yield from gathered()
+
+    return out.mapInArrow(lean(scan), schema)
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:

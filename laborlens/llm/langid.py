@@ -18,10 +18,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import WORD_BYTES, lean, numbered, other_columns, pieces_by_bytes, share, utf8, widened
+from .common import WORD_BYTES, lean, numbered, other_columns, pieces_by_bytes, share, stored, utf8, widened
 
 ORDER = 3
 UNDETERMINED = "und"
+#: Bits of a text's hash by which labelled texts are counted before they are ranked.
+SLICE_BITS = 12
 CHUNK_BYTES = 1 << 19
 #: ASCII digits are no evidence of a language.
 LETTER_BYTES = bytes(32 if 48 <= b <= 57 else WORD_BYTES[b] for b in range(256))
@@ -149,8 +151,14 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", docs_per_
         "lang", "text", F.xxhash64("text").alias("h"), F.octet_length("text").cast("bigint").alias("n"))
     distinct = sized.filter(F.col("n") <= bytes_per_lang).groupBy("lang", "h").agg(F.max("n").alias("n"))
     # by length class, so that texts that don't fit leave enough shorter ones to choose from
-    by_hash = Window.partitionBy("lang", F.length(F.bin("n"))).orderBy("h")
-    first = distinct.withColumn("r", F.row_number().over(by_hash)).filter(F.col("r") <= docs_per_lang)
+    key = ["lang", "class"]
+    distinct = stored(distinct.select("lang", F.length(F.bin("n")).alias("class"), "h", "n", F.shiftright("h", 64 - SLICE_BITS).alias("slice")), "labelled")
+    # counted by slice of the hash first, so that only what can be drawn meets in one task
+    upto = Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slices = distinct.groupBy(*key, "slice").agg(F.count("*").alias("rows")).withColumn("before", F.sum("rows").over(upto) - F.col("rows"))
+    cuts = slices.filter(F.col("before") < docs_per_lang).groupBy(*key).agg(F.max("slice").alias("cut"))
+    near = distinct.join(cuts, key).filter(F.col("slice") <= F.col("cut"))
+    first = near.withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy("h"))).filter(F.col("r") <= docs_per_lang)
     ids, taken, held = [], Counter(), Counter()
     for r in sorted(first.select("lang", "h", "n").collect()):
         if taken[r.lang] < docs_per_lang and held[r.lang] + r.n <= bytes_per_lang:

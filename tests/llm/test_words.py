@@ -33,15 +33,16 @@ def leaks(text, items, width=10):
     return len(w), len(hit), sorted(found)
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 200])
-def test_leaks_equal_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("block_words", [1 << 20, 40])
+def test_leaks_equal_brute_force(spark, block_words, monkeypatch):
+    monkeypatch.setattr(decontaminate, "GATHERED_BYTES", 3000)
     rng = random.Random(3)
     items = [(i, prose(rng, rng.choice([1, 2, 9, 10, 11, 40]), 60)) for i in range(12)] + [(90, None), (91, "... !"), (None, "lonely"), (3, "w1 w2"), (92, "ÀB é")]
     texts = [prose(rng, rng.choice([1, 5, 60, 300]), 60) for _ in range(40)]
     texts += [t.upper().replace(" ", "\n--") for t in texts[:5]] + [items[4][1], f"x {items[5][1]}, y {items[5][1]}!", None, "", "  ", "àb É Àb é", "a" * 200_000]
     docs = [(i, t, "own") for i, t in enumerate(texts)] + [(0, texts[0], "again"), (None, texts[1], None)]
     known = [(n, t) for n, t in items if n is not None and t is not None]
-    got = decontaminate.find_leaks(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes)
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, "item_id long, text string"), block_words=block_words)
     assert got.columns == ["doc_id", "text", "n_words", "n_hit", "spans", "items"]
     rows = got.collect()
     assert len(rows) == len(docs)
@@ -53,8 +54,8 @@ def test_leaks_equal_brute_force(spark, block_bytes):
 def test_items_without_id_are_hits_without_name(spark):
     items = spark.createDataFrame([(None, "b c"), (1, "e"), (2, None), (3, "c"), (None, "x")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "a b c d"), (2, "x y x"), (3, "d e"), (4, "y")], "doc_id long, text string")
-    for block_bytes in (1 << 20, 1):
-        got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.find_leaks(docs, items, block_bytes=block_bytes).collect()}
+    for block_words in (1 << 20, 1):
+        got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.find_leaks(docs, items, block_words=block_words).collect()}
         assert got == {1: (2, ["3"]), 2: (2, []), 3: (1, ["1"]), 4: (0, [])}
     assert [r.doc_id for r in decontaminate.clean_documents(docs, items).collect()] == [4]
 
