@@ -41,4 +41,19 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
         if not re.fullmatch(r"local(\[[^]]*])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="laborlens-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+_scratch: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this program has written, once no result of it is read any more; their number."""
+    from .sources.files import remove
+
+    paths, _scratch[:] = _scratch[:], []
+    for path in paths:
+        remove(spark, path)
+    return len(paths)
