@@ -74,6 +74,59 @@ def test_levels_equal_brute_force(spark):
     assert {k: got[k[0], f"c{k[1]}"].level for k in needs} == {k: level.get(k, -1) for k in needs}
 
 
+def test_ladders_are_ordered_in_few_steps(spark, monkeypatch):
+    written = []
+
+    def counted(df, purpose, stored=chat.stored):
+        written.append(purpose)
+        assert len(written) < 20
+        return stored(df, purpose)
+
+    monkeypatch.setattr(chat, "stored", counted)
+    calls = [(1, f"c{i}", i, "find", json.dumps({"q": f"c{i - 1}", "tags": [f"c{i - 2}"]} if i > 1 else {"q": "x"})) for i in range(1000)]
+    got = linked(spark, calls, [])
+    assert [got[1, f"c{i}"].level for i in range(1000)] == [0, 0, *range(1, 999)]
+
+
+def test_needs_at_any_depth_and_of_any_tool(spark):
+    calls = [(1, "a", 0, "find", '{"q":"x"}'), (1, 'b"é', 1, "seek", '{"deep":{"list":[1,["a"]]},"a":1}'),
+             (1, "c", 2, "find", '{"tags":["b\\"\\u00e9"],"q":"none"}'),
+             (1, "d", 3, "find", '{"c":"x"}'), (1, "e", 4, "find", "not c"), (1, "f", 5, "find", '["c"]'), (2, "g", 0, "find", '{"q":"c"}')]
+    got = linked(spark, calls, [])
+    assert {k[1]: r.level for k, r in got.items()} == {"a": 0, 'b"é': 1, "c": 2, "d": 0, "e": 0, "f": 3, "g": 0}
+
+
+def test_nested_schemas_and_numbers(spark):
+    schema = "name string, property string, kind string, required boolean, allowed array<string>, low double, high double"
+    rules = [("book", "place", "object", True, None, None, None), ("book", "place.city", "string", True, ['"x"', '"y"'], None, None), ("book", "place.at", "array", False, None, None, None),
+             ("book", "place.at[]", "number", False, None, 0.0, 9.5), ("book", "rows", "array", False, None, None, None), ("book", "rows[]", "object", False, None, None, None),
+             ("book", "rows[].id", "integer", True, None, None, None), ("book", "size", "number", False, ["1", "2.5"], None, None), ("book", "free", "object", False, None, None, None)]
+    arguments = {
+        "good": '{"place":{"city":"x","at":[1,9.5,0]},"rows":[{"id":1},{"id":2}],"size":1.0,"free":{"any":[1]}}', "city": '{"place":{"city":"z"}}',
+        "deep": '{"place":{"city":"y","at":[10,"a",-0.5],"more":1},"rows":[{},{"id":1.5},3],"size":25e-1}', "none": "{}", "text": '{"place":"x","size":3}', "twice": '{"place":{"city":"x","city":"y"}}',
+        "numbers": '{"place":{"city":"x","at":[1e0, 1.50, 100e-2, -0, 0.10]}}', "broken": "{"}
+    calls = spark.createDataFrame([(1, k, i, "book", v, 0) for i, (k, v) in enumerate(arguments.items())], CALL)
+    found = chat.link_calls(calls, spark.createDataFrame([], RESULT), spark.createDataFrame(rules, schema))
+    got = {r.call_id: r for r in found.collect()}
+    assert {k: r.violations for k, r in got.items()} == {
+        "good": [], "city": ["place.city is none of its values"], "none": ["missing place"], "text": ["place is no object", "size is none of its values"], "twice": ["repeated key"],
+        "deep": ["missing rows[].id", "place.at[] is no number", "place.at[] is out of range", "rows[] is no object", "rows[].id is no integer", "unknown place.more"],
+        "numbers": [], "broken": ["not an object"]}
+    assert json.loads(got["numbers"].json)["arguments"]["place"]["at"] == [1, 1.5, 1, 0, 0.1]
+    assert '"at":[1,1.5,1,0,0.1]' in got["numbers"].json and '"size":2.5' in got["deep"].json and '"size":1}' in got["good"].json
+    assert json.loads(got["twice"].json)["arguments"] == {"text": arguments["twice"]}
+
+
+def test_every_turn_is_in_the_output(spark):
+    from laborlens.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    turns = {(r.conv_id, r.turn) for r in queries.table(spark, sf, "conversations").select("conv_id", "turn").collect()}
+    rows = queries.QUERIES["op5_chat_formatting"](spark, sf).collect()
+    assert {(r.conv_id, t) for r in rows for t in (r.call_turn, r.result_turn) if t is not None} == turns
+    assert {r.status for r in rows} >= {"linked", "message"}
+
+
 def test_no_calls(spark):
     assert linked(spark, [], []) == {}
 
