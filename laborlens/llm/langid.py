@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import WORD_BYTES, lean, numbered, other_columns, pieces_by_bytes, share, stored, utf8, widened
+from .common import WORD_BYTES, lean, numbered, other_columns, pieces_by_bytes, share, small, stored, utf8, widened
 
 ORDER = 3
 UNDETERMINED = "und"
@@ -157,7 +157,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", docs_per_
     upto = Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     slices = distinct.groupBy(*key, "slice").agg(F.count("*").alias("rows")).withColumn("before", F.sum("rows").over(upto) - F.col("rows"))
     cuts = slices.filter(F.col("before") < docs_per_lang).groupBy(*key).agg(F.max("slice").alias("cut"))
-    near = distinct.join(cuts, key).filter(F.col("slice") <= F.col("cut"))
+    near = distinct.join(small(stored(cuts, "cuts")), key).filter(F.col("slice") <= F.col("cut"))
     first = near.withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy("h"))).filter(F.col("r") <= docs_per_lang)
     ids, taken, held = [], Counter(), Counter()
     for r in sorted(first.select("lang", "h", "n").collect()):

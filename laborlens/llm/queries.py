@@ -80,6 +80,9 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.counted(html_text.main_text(pages, html_text.train(spark)))
 
 
+#: Bytes of a shard in the query; small enough to split the smallest given table.
+SHARD_BYTES = 1 << 18
+
 SHARDING_SQL = f"""
 WITH doc AS (
   SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
@@ -90,7 +93,7 @@ bucket AS (
   FROM doc CROSS JOIN (SELECT unnest(range(0, 40)) AS depth) GROUP BY ALL),
 leaf AS (
   SELECT doc_id, n_bytes, hash, min(bucket.depth) AS depth
-  FROM doc JOIN bucket ON hash >> (60 - bucket.depth) = prefix WHERE bytes <= {sharding.LIMIT_BYTES} GROUP BY ALL)
+  FROM doc JOIN bucket ON hash >> (60 - bucket.depth) = prefix WHERE bytes <= {SHARD_BYTES} GROUP BY ALL)
 SELECT doc_id, n_bytes, CASE WHEN leaf.depth = 0 THEN '' ELSE lpad(bin(prefix), CAST(leaf.depth AS INTEGER), '0') END AS shard,
        CAST(leaf.depth AS INTEGER) AS depth, CAST(bytes AS BIGINT) AS shard_bytes
 FROM leaf JOIN bucket ON leaf.depth = bucket.depth AND hash >> (60 - bucket.depth) = prefix"""
@@ -98,8 +101,8 @@ FROM leaf JOIN bucket ON leaf.depth = bucket.depth AND hash >> (60 - bucket.dept
 
 @query(SHARDING_SQL)
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shard of every document, 16 MiB of text at most."""
-    return sharding.assign(table(spark, sf_dir, "documents"))
+    """The shard of every document, a quarter of a MiB of text at most."""
+    return sharding.assign(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
 CHAT_SQL = """

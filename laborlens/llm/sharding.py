@@ -46,20 +46,21 @@ def _split(rows: DataFrame, above: int, depth: int, limit: int) -> DataFrame:
     return top.union(below)
 
 
-def assign(docs: DataFrame, limit_bytes: int = LIMIT_BYTES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def assign(docs: DataFrame, limit_bytes: int = LIMIT_BYTES, doc_id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """A row for every row of ``docs``: ``doc_id, n_bytes, shard, depth, shard_bytes``.
 
     ``shard`` is the bucket's hash prefix as text of ``depth`` bits (empty: all rows), for pages of equal rows
     followed by ``#`` and the page. No shard is larger than ``limit_bytes`` unless it is a single row that is. Null
-    ids and texts count as empty; further columns are left out.
+    ids and texts count as empty; further columns are left out, or with ``whole`` carried along as a struct ``row``.
     """
+    kept = [doc_id, "n_bytes", *["row"] * whole]
     sized = docs.select(
-        F.col(doc_id), key_hash(F.col(doc_id), F.col(text)).alias("hash"),
+        *[F.struct("*").alias("row")] * whole, F.col(doc_id), key_hash(F.col(doc_id), F.col(text)).alias("hash"),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("n_bytes"))
     rows = left = stored(sized, "sized")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     if total <= limit_bytes:
-        return rows.select(doc_id, "n_bytes", F.lit("").alias("shard"), F.lit(0).alias("depth"), F.lit(total).cast("bigint").alias("shard_bytes"))
+        return rows.select(*kept, F.lit("").alias("shard"), F.lit(0).alias("depth"), F.lit(total).cast("bigint").alias("shard_bytes"))
     done, above = None, 0
     depth = min(MOST_CELL_BITS, math.ceil(math.log2(total / limit_bytes)) + SPARE_BITS)
     while above < HASH_BITS:
@@ -71,7 +72,7 @@ def assign(docs: DataFrame, limit_bytes: int = LIMIT_BYTES, doc_id: str = "doc_i
         if choices is not None:
             spread = left.withColumn("at", F.explode(choices)).select("*", "at.depth", "at.prefix").drop("at")
             found = spread.join(cells, ["depth", "prefix"]).select(
-                doc_id, "n_bytes", F.lpad(F.bin("prefix"), F.col("depth"), F.lit("0")).alias("shard"), "depth", F.col("bytes").alias("shard_bytes"))
+                *kept, F.lpad(F.bin("prefix"), F.col("depth"), F.lit("0")).alias("shard"), "depth", F.col("bytes").alias("shard_bytes"))
             done = found if done is None else done.union(found)
         over = left.groupBy(cell.alias("cell")).agg(F.sum("n_bytes").alias("n")).filter(F.col("n") > limit_bytes).select("cell")
         over = stored(over, "over")
@@ -79,11 +80,11 @@ def assign(docs: DataFrame, limit_bytes: int = LIMIT_BYTES, doc_id: str = "doc_i
             return done
         left = stored(left.join(over, cell == F.col("cell"), "left_semi"), "left")
         above, depth = depth, min(HASH_BITS, depth + MORE_BITS)
-    pages = _pages(left, limit_bytes, doc_id)
+    pages = _pages(left, limit_bytes, kept)
     return pages if done is None else done.union(pages)
 
 
-def _pages(rows: DataFrame, limit: int, doc_id: str) -> DataFrame:
+def _pages(rows: DataFrame, limit: int, kept: list[str]) -> DataFrame:
     """Rows that share their whole hash, in pages of half the limit by running sums; a larger row has a page of its own.
 
     The sums run within each written part, on top of the sums of the parts before, so no task holds a whole hash.
@@ -97,13 +98,19 @@ def _pages(rows: DataFrame, limit: int, doc_id: str) -> DataFrame:
     start = F.col("before") + F.sum("n_bytes").over(Window.partitionBy("hash", "part").orderBy("place")) - F.col("n_bytes")
     paged = small.withColumn("page", F.concat(F.lit("#"), F.floor(start / half).cast("string")))
     large = rows.filter(F.col("n_bytes") > half).withColumn("page", F.concat(F.lit("#+"), F.col("place").cast("string")))
-    every = paged.select(doc_id, "n_bytes", "hash", "page").union(large.select(doc_id, "n_bytes", "hash", "page"))
+    every = paged.select(*kept, "hash", "page").union(large.select(*kept, "hash", "page"))
     sums = every.groupBy("hash", "page").agg(F.sum("n_bytes").alias("shard_bytes"))
     return every.join(sums, ["hash", "page"]).select(
-        doc_id, "n_bytes", F.concat(F.lpad(F.bin("hash"), HASH_BITS, "0"), F.col("page")).alias("shard"),
+        *kept, F.concat(F.lpad(F.bin("hash"), HASH_BITS, "0"), F.col("page")).alias("shard"),
         F.lit(HASH_BITS).alias("depth"), "shard_bytes")
 
 
-def write(docs: DataFrame, assigned: DataFrame, path: str, doc_id: str = "doc_id") -> None:
-    """The documents as Parquet, one folder a shard; ids must be unique."""
-    docs.join(assigned.select(doc_id, "shard"), doc_id).repartition("shard").write.partitionBy("shard").parquet(path)
+def write(docs: DataFrame, path: str, limit_bytes: int = LIMIT_BYTES, doc_id: str = "doc_id", text: str = "text") -> None:
+    """The documents as Parquet, one folder a shard.
+
+    Rows take their shard along, so those without id and repeated ones are written each once; a column ``shard`` of
+    the documents gives way to the shard.
+    """
+    rows = assign(docs, limit_bytes, doc_id, text, whole=True)
+    columns = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() != "shard"]
+    rows.select(*columns, "shard").repartition("shard").write.partitionBy("shard").parquet(path)

@@ -169,8 +169,16 @@ def test_no_rows_to_shard(spark):
 
 
 def test_shards_are_written(spark, tmp_path):
-    docs = spark.createDataFrame([(i, "t" * i) for i in range(50)], "doc_id long, text string")
-    shards = sharding.assign(docs, 200)
-    sharding.write(docs, shards, str(tmp_path / "out"))
-    back = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "out"))
-    assert back.agg(F.sum(F.length("text"))).first()[0] == sum(range(50))
+    rows = [(i, "t" * i, "own") for i in range(50)] + [(None, "no id", "x"), (None, "no id", "x"), (3, "ttt", "own"), (4, None, None)] + [(9, "same " * 8, "copy")] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string")
+    sharding.write(docs, str(tmp_path / "out"), 200)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((str(r.doc_id), str(r.text)) for r in back.collect()) == sorted((str(i), str(t)) for i, t, _ in rows)
+    assert back.groupBy("shard").agg(F.sum(F.length("text")).alias("n")).filter("n > 200").count() == 0
+    assert back.select("shard").distinct().count() > 5
+
+
+def test_query_splits_the_smallest_table(spark):
+    from laborlens.llm import queries
+
+    assert queries.QUERIES["op3_sharding"](spark, "/root/testdata/sf0.001").select("shard").distinct().count() > 1
