@@ -357,7 +357,7 @@ SHAPE = "coalesce(len(regexp_extract_all(text, '{}')) / nullif(CAST(length(text)
     "m19_text_features",
     f"""SELECT doc_id, ln(1 + length(text)) AS f_log_length,
                coalesce(length(text) / nullif(CAST(len(regexp_split_to_array(trim(text), '[ \t\n\v\f\r]+')) AS DOUBLE), 0), 0) AS f_word_length,
-               {SHAPE.format('[0-9]', 'f_digits')}, {SHAPE.format('\p{Lu}', 'f_upper')}, {SHAPE.format('[^\p{L}\p{N} \t\n\v\f\r]', 'f_symbols')},
+               {SHAPE.format('[0-9]', 'f_digits')}, {SHAPE.format('\\p{Lu}', 'f_upper')}, {SHAPE.format('[^\\p{L}\\p{N} \t\n\v\f\r]', 'f_symbols')},
                {SHAPE.format('\n', 'f_lines')}, {SHAPE.format('https?://', 'f_links')}
         FROM documents""",
     doubles=("f_log_length", "f_word_length", "f_digits", "f_upper", "f_symbols", "f_lines", "f_links"),
