@@ -59,7 +59,7 @@ class WuManber:
         last = self.reach - self.block
         blocks = [self._load(heads, j) for j in range(last + 1)]
         distinct = len(np.unique(np.concatenate(blocks)))
-        self.bits = min(24, max(12, int(distinct * 16).bit_length()))
+        self.bits = min(21, max(12, int(distinct * 2).bit_length()))
         self.shift = np.full(1 << self.bits, min(last + 1, 65535), np.uint16)
         for j, values in enumerate(blocks):
             np.minimum.at(self.shift, self._slot(values), min(last - j, 65535))
