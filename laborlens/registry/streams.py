@@ -72,7 +72,7 @@ def _newest(windows: DataFrame, spark: SparkSession, purpose: str, keys: list[st
     """All windows of a stream, open ones too, in their newest version."""
     base = scratch_path(spark, purpose)
     drained(live.upsert(windows, f"{base}/versions", f"{base}/checkpoint"))
-    return live.current(spark.read.parquet(f"{base}/versions"), keys)
+    return live.current(live.stored_versions(spark, f"{base}/versions", windows), keys)
 
 
 MESSAGES = """messages AS (

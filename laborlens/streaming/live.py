@@ -79,6 +79,11 @@ def current(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
     return versions.groupBy(*keys).agg(newest).select(*keys, "_state.*")
 
 
+def stored_versions(spark: SparkSession, path: str, windows: DataFrame) -> DataFrame:
+    """All versions that ``upsert`` has stored of these windows; a table without any can be read too."""
+    return spark.read.schema(windows.withColumn("batch_id", F.lit(0).cast("long")).schema).parquet(path)
+
+
 def compact(versions: DataFrame, keys: Sequence[str], path: str) -> None:
     """The newest versions of a stopped stream as a table of their own, numbered as the last batch.
 

@@ -3,11 +3,14 @@
 import datetime as dt
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from laborlens.operators import projections
 from laborlens.plans import etl
+from laborlens.registry import QUERIES
 from laborlens.schemas import JOB_LISTINGS
 from laborlens.session import scratch_path
 from laborlens.sources import readers, sinks
@@ -213,6 +216,15 @@ def test_index_is_kept_in_place_and_survives_replays(spark, tmp_path, monkeypatc
 
     def state():
         return {(r.day, r.k): r.n for r in live.read_index(spark, path).collect()}
+def test_no_window_trends(spark, tmp_path):
+    """One event an hour: no window reaches twice the usual count, and nothing is stored."""
+    first = dt.datetime(2024, 1, 1)
+    rows = pa.table({"event_id": range(744), "ts": [first + dt.timedelta(hours=i) for i in range(744)], "user_id": range(744),
+                     "event_type": ["a"] * 744, "value": [1.0] * 744})
+    pq.write_table(rows, tmp_path / "events.parquet")
+    assert QUERIES["t07_trending_alerts"].run(spark, str(tmp_path)).collect() == []
+
+
 
     assert live.read_index(spark, path) is None
     counts = []
