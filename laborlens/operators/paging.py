@@ -8,6 +8,11 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+#: Ranges of a stored table. Each is a task, a file, a sample of 300 rows for the bounds and a row of the directory,
+#: so larger tables get larger ranges and not more of them; within its range a page is found by the places stored there.
+MAX_RANGES = 1_000
+
+
 # Newest or largest first with missing values leading, as the served tables sort.
 def jobs_order(tie_break: str = "id") -> list[Column]:
     return [F.desc_nulls_first("posted_date"), F.asc(tie_break)]
@@ -100,10 +105,10 @@ def store_pages(df: DataFrame, order: Sequence[Key], path: str, rows_a_range: in
     """Store a table in the ranges of an order that ends in a unique column.
 
     One shuffle by range; each range is sorted in its own task, and a value that many rows share is divided by the
-    columns behind it.
+    columns behind it. Ranges have ``rows_a_range`` rows, or more where there would be over ``MAX_RANGES`` of them.
     """
     spark = df.sparkSession
-    ranges = max(1, -(-df.count() // rows_a_range))
+    ranges = min(max(1, -(-df.count() // rows_a_range)), MAX_RANGES)
     columns = [k.sort() for k in order]
     placed = df.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns)
     # numbered in sorted order; the upper bits are the partition

@@ -333,6 +333,42 @@ def test_deep_page_reads_its_range_only(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "_range#" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_ranges_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(paging, "MAX_RANGES", 5, raising=False)
+    df = spark.range(600).withColumn("v", F.col("id") % 3)
+    pages = paging.store_pages(df, [paging.Key("v"), paging.Key("id")], str(tmp_path / "pages"), 10)
+    want = sorted((i % 3, i) for i in range(600))
+    assert pages.directory.count() <= 5 and pages.directory.agg(F.sum("_rows")).first()[0] == 600
+    assert [(r.v, r.id) for n in (0, 11, 29) for r in pages.page(n, 20).collect()] == want[:20] + want[220:240] + want[580:]
+    assert [(r.v, r.id) for r in pages.after(list(want[333]), 20).collect()] == want[334:354]
+
+
+def test_postings_cross_one_shuffle_for_orders_and_customers(spark):
+    """The customer comes with the order, and part texts are added after that join."""
+    from laborlens.plans import domain
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = domain.postings(spark, "/root/testdata/sf0.001", "id", "title", "industry")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    on = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert ["l_partkey" in on[0], "l_orderkey" in on[1], "o_custkey" in on[2]] == [True] * 3
+
+
+def test_lines_are_not_grouped_as_a_whole(spark):
+    from laborlens.registry import series
+
+    plan = series.l06(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join FullOuter" not in plan and "LeftSemi" in plan
+
+
+def test_normalized_dates_are_parsed_once(spark):
+    df = spark.createDataFrame([("2024-02-10", "Go", "3")], "day string, tool string, total string")
+    plan = projections.normalize_demand(df, "day", "tool", "total")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("M/d/yyyy H:mm:ss") == 1
+
+
 def test_star_keys_last(spark):
     schema = "id int, company string, city string, region string, skills array<string>, pay double"
     one = [(1, "a", "x", "N", ["s", "t", "s"], 1.0), (2, None, "x", "S", None, 2.0), (3, "b", None, None, ["t", None], 3.0)]
