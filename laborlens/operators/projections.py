@@ -16,12 +16,14 @@ def normalize_demand(
     region: str = "Global", industry: str = "General",
 ) -> DataFrame:
     """Three role columns to the demand layout; rows with any part missing are dropped."""
+    parts = F.struct(
+        F.to_date(dates.parse_date(date_col)).alias("period_start"),
+        F.trim(F.col(skill_col).cast("string")).alias("skill_name"),
+        values.to_number(demand_col).alias("demand_count"),
+    )
     return (
-        df.select(
-            F.to_date(dates.parse_date(date_col)).alias("period_start"),
-            F.trim(F.col(skill_col).cast("string")).alias("skill_name"),
-            values.to_number(demand_col).alias("demand_count"),
-        )
+        # inline keeps the optimizer from parsing a date once more in the filter
+        df.select(F.inline(F.array(parts)))
         .dropna()
         .withColumn("period_end", dates.month_end("period_start"))
         .withColumn("region", F.lit(region))

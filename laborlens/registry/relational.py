@@ -22,7 +22,8 @@ from .core import CLOSED, DEMAND, FORECASTS, POSTING_SKILLS, POSTINGS, VOLUME, q
        FROM (SELECT *, ' ' || l_returnflag || l_linestatus || ' ' AS l_shipmode_text FROM lineitem)""",
 )
 def p01(spark, sf):
-    raw = domain.table(spark, sf, "lineitem").select(
+    # spread over all cores: texts take long to parse, and a file has few splits
+    raw = domain.table(spark, sf, "lineitem").repartition("l_orderkey", "l_linenumber").select(
         # four forms of the same day
         F.when(F.col("l_linenumber") % 4 == 0, F.date_format("l_shipdate", "MM/dd/yyyy"))
         .when(F.col("l_linenumber") % 4 == 1, F.date_format("l_shipdate", "d MMM yyyy"))

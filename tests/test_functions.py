@@ -79,6 +79,21 @@ def test_dates(spark):
     assert column(spark, ["2024-01-31"], dates.month_label(F.to_date("x"))) == ["Jan 2024"]
 
 
+def test_date_forms_are_tried_on_texts_of_their_shape(spark):
+    texts = ["3/4/2024", "003/04/2024 5:06", "3/4/2024 23:06:07", "2024/3/4", "2024/3/4 1:02:03", "3-4-2024", "4.3.2024", "20240304", "4 Mar 2024",
+             "4-mar-2024", "4 March 2024", "Mar 4, 2024", "MARCH 4, 2024", "Mar 2024", "March 2024", "May 2024", "May-2024", "3/2024", "3/4/+12024", "3/4/-0024",
+             "13/4/2024", "3/4/24", "4 Foo 2024", "Foo 4, 2024", "3/4/2024 5:6", "", "x", "2024", "-3/4/2024", "Marchy 2024", "10000304"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    plain = F.coalesce(F.try_to_timestamp("x"), *[F.try_to_timestamp("x", F.lit(form)) for form in dates.DATE_FORMS])
+    pairs = df.select(dates.parse_date("x").cast("string"), plain.cast("string")).collect()
+    assert [p[0] for p in pairs] == [p[1] for p in pairs] and sum(p[0] is not None for p in pairs) >= 19
+    days = spark.range(366).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
+    for form in dates.DATE_FORMS:  # every text of a form has its shape, and fails no other form before
+        assert days.filter(~F.date_format("day", form).rlike(dates.form_shape(form))).count() == 0
+    plan = df.select(dates.parse_date("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == len(dates.DATE_FORMS)
+
+
 def test_salary(spark):
     low, high = values.salary_bounds("x")
     rows = ["$59K-$99K", "$59K", "59K-99K", None, "$1K-$2K plus"]
