@@ -316,11 +316,13 @@ def l06(spark, sf):
     sizes = p.groupBy(block).agg(F.least(F.count(F.lit(1)), F.lit(2_000)).alias("due"))
     full = sizes.join(drawn.groupBy(block).agg(F.count(F.lit(1)).alias("got")), "block", "left")
     full = full.agg(F.bool_and(F.coalesce(F.col("got"), F.lit(0)) == F.col("due"))).scalar()
-    lines = p.groupBy(*p.columns).agg(F.count(F.lit(1)).alias("held"))
+    # only the drawn lines are looked up: no table of all lines is grouped
     taken = drawn.groupBy(*p.columns).agg(F.count(F.lit(1)).alias("got"))
-    both = lines.join(taken, p.columns, "full")
-    return both.groupBy("l_orderkey").agg(
-        F.coalesce(F.sum("held"), F.lit(0)).alias("n"), F.bool_and(F.coalesce("got", F.lit(0)) <= F.coalesce("held", F.lit(0))).alias("known"),
+    held = p.join(taken.select(*p.columns), p.columns, "left_semi").groupBy(*p.columns).agg(F.count(F.lit(1)).alias("held"))
+    looked = taken.join(held, p.columns, "left").select("l_orderkey", F.lit(0).alias("n"), (F.col("got") <= F.coalesce("held", F.lit(0))).alias("known"))
+    counted = p.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).withColumn("known", F.lit(True))
+    return counted.unionByName(looked).groupBy("l_orderkey").agg(
+        F.sum("n").alias("n"), F.bool_and("known").alias("known"),
     ).withColumn("blocks_full", full)
 
 
