@@ -12,6 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.profile import zero_filled
+from .tables import materialize
 
 SPAM_THRESHOLD = 0.85  # fixed value: the score from which a posting counts as junk
 
@@ -60,8 +61,10 @@ def fit_quality_model(labelled: DataFrame, text: str = "text", label: str = "lab
     Fitted on at most ``max_rows`` labelled rows, the first ones by a hash of the text.
     """
     features = text_features(text)
-    first = labelled.dropna(subset=[text, label]).orderBy(F.xxhash64(text)).limit(max_rows)
-    rows = first.select(F.col(label).cast("double").alias("label"), *[c.alias(n) for n, c in features.items()])
+    # each text is measured once, where it is read; the ordering moves its hash and numbers only
+    measured = labelled.dropna(subset=[text, label]).select(
+        F.col(label).cast("double").alias("label"), *[c.alias(n) for n, c in features.items()], F.xxhash64(text).alias("_hash"))
+    rows = materialize(measured.orderBy("_hash").limit(max_rows).drop("_hash"), "quality-rows")
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="raw"),
         StandardScaler(inputCol="raw", outputCol="features", withMean=True),

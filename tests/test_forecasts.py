@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from laborlens.operators import profile
-from laborlens.plans import etl, evaluate, forecast
+from laborlens.plans import etl, evaluate, forecast, ml
 from laborlens.plans import regression as reg
 from laborlens.sources import sinks
 
@@ -340,3 +340,14 @@ def test_backtest_runs_each_model_once_over_all_folds(series):
         else:
             assert r.skill_name == "b" and r.predicted_demand == pytest.approx(3, abs=1e-4)
     assert len(blend) == 4
+
+
+def test_quality_fit_orders_no_texts(spark, monkeypatch):
+    """Texts are measured where they are read; hashes and numbers are ordered."""
+    rows = [(f"word {'x' * (i % 7)} {i}", i % 2) for i in range(40)]
+    kept = []
+    monkeypatch.setattr(ml, "materialize", lambda df, purpose: kept.append(df) or df)
+    model = ml.fit_quality_model(spark.createDataFrame(rows, "text string, label int"), max_rows=10)
+    plan = kept[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [_hash#" in plan and "Sort [xxhash64(text" not in plan
+    assert kept[0].count() == 10 and "text" not in kept[0].columns and model.stages[-1].numFeatures == 7
