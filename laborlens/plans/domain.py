@@ -35,15 +35,18 @@ POSTING_COLUMNS = {
     "industry": ("customer", "c_mktsegment"),
 }
 
-# table -> (tables it needs first, join key on the posting side, join key on the table)
+# table -> (tables it needs first, join key on the posting side, join key on the table); joined in this order, so that a
+# posting crosses the large shuffles while it is narrow and gets its longer texts last
 JOINS = {
+    "orders": ((), "l_orderkey", "o_orderkey"),
+    "customer": (("orders",), "o_custkey", "c_custkey"),
     "part": ((), "l_partkey", "p_partkey"),
     "supplier": ((), "l_suppkey", "s_suppkey"),
     "nation": (("supplier",), "s_nationkey", "n_nationkey"),
     "region": (("supplier", "nation"), "n_regionkey", "r_regionkey"),
-    "orders": ((), "l_orderkey", "o_orderkey"),
-    "customer": (("orders",), "o_custkey", "c_custkey"),
 }
+# table -> the table that takes it along, so that postings are not shuffled for it
+BRANCHES = {"customer": "orders", "nation": "supplier", "region": "supplier"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,15 +56,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def postings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Job postings: one row per line item. Without columns, all of them."""
     columns = columns or tuple(POSTING_COLUMNS)
-    needed: list[str] = []
-    for name in columns:
-        home = POSTING_COLUMNS[name][0]
-        if home != "lineitem":
-            needed += [t for t in (*JOINS[home][0], home) if t not in needed]
+    needed = {t for name in columns for home in [POSTING_COLUMNS[name][0]] if home != "lineitem" for t in (*JOINS[home][0], home)}
     df = table(spark, sf_dir, "lineitem")
-    for name in needed:
+    for name in (t for t in JOINS if t in needed and t not in BRANCHES):
         _, left, right = JOINS[name]
         other = table(spark, sf_dir, name)
+        for branch in (t for t, root in BRANCHES.items() if root == name and t in needed):
+            other = other.join(table(spark, sf_dir, branch), F.col(JOINS[branch][1]) == F.col(JOINS[branch][2]), "left")
         df = df.join(other, F.col(left) == F.col(right), "left")
     return df.select(*[F.expr(POSTING_COLUMNS[name][1]).alias(name) for name in columns])
 
