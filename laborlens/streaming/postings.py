@@ -66,13 +66,17 @@ def parse_postings(messages: DataFrame) -> DataFrame:
 
     given = messages.columns
     parsed = staged(messages, given, _v=F.try_parse_json("value"))
-    # each field is taken out of the message once, and its kind and text are read off once
-    whole = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)).alias("_object")
-    parts = parsed.select(*given, whole, F.inline(F.array(F.struct(*[F.try_variant_get("_v", f"$.{f}", "variant").alias(f"_{f}") for f in POSTING_MESSAGE_FIELDS]))))
-    read = {f"{f}_kind": F.schema_of_variant(f"_{f}") for f in POSTING_MESSAGE_FIELDS}
-    read |= {f"{f}_text": F.try_variant_get(f"_{f}", "$", "string") for f in POSTING_MESSAGE_FIELDS if f not in ("isRemote", "skills")}
-    read |= {"_remote": F.try_variant_get("_isRemote", "$", "boolean"), "_listed": F.try_variant_get("_skills", "$", "array<string>")}
-    fields = staged(parts, [*given, "_object"], **read)
+    # two passes over the object take the fields out: as the type that their column wants, and as they are where the kind counts
+    wanted = {"isRemote": "boolean", "skills": "array<string>"}
+    told = (*TEXT_FIELDS, *wanted)
+    kinds = ", ".join(f"{f}: variant" for f in told)
+    types = ", ".join(f"{f}: {wanted.get(f, 'string')}" for f in POSTING_MESSAGE_FIELDS)
+    parts = staged(
+        parsed, given, _raw=F.try_variant_get("_v", "$", f"struct<{kinds}>"), _read=F.try_variant_get("_v", "$", f"struct<{types}>"))
+    read = {f"{f}_kind": F.schema_of_variant(f"_raw.{f}") for f in told}
+    read |= {f"{f}_text": F.col(f"_read.{f}") for f in POSTING_MESSAGE_FIELDS if f not in wanted}
+    read |= {"_object": F.col("_raw").isNotNull(), "_remote": F.col("_read.isRemote"), "_listed": F.col("_read.skills")}
+    fields = staged(parts, given, **read)
 
     def kind(name: str) -> Column:
         return F.col(f"{name}_kind")
@@ -81,14 +85,16 @@ def parse_postings(messages: DataFrame) -> DataFrame:
         return F.col(f"{name}_text")
 
     def present(name: str) -> Column:
+        if name not in told:
+            return text(name).isNotNull()  # any value but null has a text
         return kind(name) != "VOID"  # and not null, where the message has no such field
 
     def money(name: str) -> Column:
-        number = F.when(~kind(name).startswith("BOOLEAN") & text(name).rlike(NUMBER_TEXT), text(name))
+        number = F.when(text(name).rlike(NUMBER_TEXT), text(name))
         return number.try_cast("double").try_cast(MONEY)
 
     typed = staged(
-        fields, [*given, "_object", *read], _low=money("salaryMin"), _high=money("salaryMax"), _posted=dates.parse_date(text("postedDate"), "iso_date"))
+        fields, [*given, *read], _low=money("salaryMin"), _high=money("salaryMax"), _posted=dates.parse_date(text("postedDate"), "iso_date"))
     listed = kind("skills").isin("ARRAY<STRING>", "ARRAY<VOID>")
     reason = (
         F.when(~F.col("_object"), "malformed")

@@ -146,6 +146,23 @@ def test_message_rules(spark):
     assert c.salary_currency == "EUR"
 
 
+def test_fields_are_taken_out_in_two_passes(spark):
+    df = spark.createDataFrame([(m,) for m in MESSAGES], "value string")
+    plan = postings.parse_postings(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get(") == 2
+    odd = ['{"title":"t","salaryMin":true}', '{"title":"t","salaryMin":{"a":1}}', '{"title":"t","postedDate":20240101}',
+           '{"title":"t","salaryMax":null,"jobId":1.50}', '{"title":"t","postedDate":"2024-02-30"}', '[{"title":"t"}]']
+    got = {r.value: r for r in postings.parse_postings(spark.createDataFrame([(m,) for m in odd], "value string")).collect()}
+    assert [got[m].reject_reason for m in odd] == ["salaryMin", "salaryMin", "postedDate", None, "postedDate", "malformed"]
+    assert got[odd[3]].job_id == "1.5"
+
+
+def test_messages_are_spread_before_they_are_parsed(spark):
+    """The given tables are one split here, or a few at any size."""
+    plan = QUERIES["p14_posting_from_json"].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("parseJson") < plan.index("RepartitionByExpression [l_orderkey")
+
+
 def drain(writer):
     writer.trigger(availableNow=True).start().awaitTermination()
 
@@ -199,6 +216,15 @@ def test_demand_index_keeps_the_newest_state(spark, tmp_path):
     assert [(r.k, r.n, r.total) for r in got] == [("a", 2, 4.0), ("b", 1, 2.0)]
 
 
+def test_no_window_trends(spark, tmp_path):
+    """One event an hour: no window reaches twice the usual count, and nothing is stored."""
+    first = dt.datetime(2024, 1, 1)
+    rows = pa.table({"event_id": range(744), "ts": [first + dt.timedelta(hours=i) for i in range(744)], "user_id": range(744),
+                     "event_type": ["a"] * 744, "value": [1.0] * 744})
+    pq.write_table(rows, tmp_path / "events.parquet")
+    assert QUERIES["t07_trending_alerts"].run(spark, str(tmp_path)).collect() == []
+
+
 def test_views(spark):
     df = spark.createDataFrame([(1, "t", "a, b,,")], "id int, title string, skills string")
     for c in ("company", "location", "salary_min", "salary_max", "salary_currency", "source", "posted_date", "job_type", "experience_level", "industry", "is_remote"):
@@ -216,15 +242,6 @@ def test_index_is_kept_in_place_and_survives_replays(spark, tmp_path, monkeypatc
 
     def state():
         return {(r.day, r.k): r.n for r in live.read_index(spark, path).collect()}
-def test_no_window_trends(spark, tmp_path):
-    """One event an hour: no window reaches twice the usual count, and nothing is stored."""
-    first = dt.datetime(2024, 1, 1)
-    rows = pa.table({"event_id": range(744), "ts": [first + dt.timedelta(hours=i) for i in range(744)], "user_id": range(744),
-                     "event_type": ["a"] * 744, "value": [1.0] * 744})
-    pq.write_table(rows, tmp_path / "events.parquet")
-    assert QUERIES["t07_trending_alerts"].run(spark, str(tmp_path)).collect() == []
-
-
 
     assert live.read_index(spark, path) is None
     counts = []
