@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..operators import aggregates, analytics, filters, joins, projections, setops, star, windows
 from ..plans import domain
+from ..plans.tables import materialize
 from ..sources import readers
 from .core import CLOSED, DEMAND, FORECASTS, POSTING_SKILLS, POSTINGS, REGIONAL, query
 
@@ -141,8 +142,12 @@ STAR = {"company": ["company"], "location": ["location", "region"], "industry":
 
 
 def _star(spark, sf, *measures):
-    """Two loads, cut by the date of posting; the second finds most members there."""
+    """Two loads, cut by the date of posting; the second finds most members there.
+
+    The postings are written once: every dimension, fact and bridge of both loads reads them, not the joins behind them.
+    """
     p = tagged(spark, sf, "id", "company", "location", "region", "industry", "posted_date", *measures)
+    p = materialize(p, "star-postings", compression="zstd")
     early = F.col("posted_date") < F.lit("1998-06-01").cast("date")
     first = star.load_star(p.filter(early), STAR, ["posted_date", *measures], {"skill": "skills"})
     return first, star.load_star(p.filter(~early), STAR, ["posted_date", *measures], {"skill": "skills"}, held=first)

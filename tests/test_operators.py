@@ -393,6 +393,36 @@ def test_star_keys_last(spark):
         (1, "s"), (1, "t"), (3, "t"), (4, "s"), (4, "u"), (6, "t")]
 
 
+def test_star_loads_read_postings_written_once(spark, tmp_path, monkeypatch):
+    from laborlens.registry import documented
+
+    def day(year):
+        return dt.datetime(year, 3, 1)
+
+    given = {
+        "region": ("r_regionkey int, r_name string", [(0, "ASIA"), (1, "EUROPE")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "INDIA", 0), (1, "JAPAN", 0), (2, "FRANCE", 1)]),
+        "supplier": ("s_suppkey bigint, s_name string, s_nationkey int", [(1, "a", 0), (2, "b", 1), (3, "c", 2), (4, None, 0)]),
+        "part": ("p_partkey bigint, p_name string", [(1, "red ring"), (2, "blue ring"), (3, "red red"), (4, None)]),
+        "customer": ("c_custkey bigint, c_mktsegment string", [(1, "x"), (2, None)]),
+        "orders": ("o_orderkey bigint, o_custkey bigint", [(1, 1), (2, 2), (3, None)]),
+        "lineitem": (
+            "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, l_shipdate timestamp",
+            [(1, 1, 1, 1, 10.0, day(1995)), (1, 2, 3, 2, 20.0, day(1996)), (2, 1, 1, 1, 30.0, day(2000)), (2, 2, 2, 2, 40.0, day(2001)),
+             (3, 3, 4, 1, 50.0, day(1997)), (3, 4, 1, 2, 60.0, day(2001)), (9, 9, 2, 1, 70.0, day(1996)), (4, 2, 4, 1, None, day(2001))],
+        ),
+    }
+    for name, (schema, table) in given.items():
+        spark.createDataFrame(table, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    read, grown = [], star.grown
+    monkeypatch.setattr(star, "grown", lambda members, *rest: (read.extend(members.inputFiles()), grown(members, *rest))[1])
+    found = documented.j11b(spark, str(tmp_path))
+    read += found.inputFiles()
+    assert read and not [f for f in read if str(tmp_path / "lineitem.parquet") in f]  # no dimension, fact or bridge runs the joins again
+    got = {(r.skill, r.location): (r.n, r.salaries and float(r.salaries)) for r in found.collect()}
+    assert got == {("red", "INDIA"): (3, 90.0), ("ring", "INDIA"): (3, 40.0), ("blue", "INDIA"): (1, None), ("blue", "JAPAN"): (1, 40.0), ("ring", "JAPAN"): (1, 40.0)}
+
+
 def test_sample_ranks_only_near_draws(spark):
     df = spark.range(20_000).withColumn("v", F.col("id") * 2)
     drawn = sampling.sample_per_partition(df, 50, ["id"], blocks=4)
