@@ -55,16 +55,34 @@ def text_features(text: str) -> dict[str, Column]:
     }
 
 
-def fit_quality_model(labelled: DataFrame, text: str = "text", label: str = "label", max_rows: int = 200_000) -> PipelineModel:
+def _features(text: str | None) -> dict[str, Column]:
+    return text_features(text) if text else {n: F.col(n) for n in text_features("text")}
+
+
+def measure_texts(df: DataFrame, columns: Sequence[str], text: str = "text") -> DataFrame:
+    """The ``columns`` named and the shape features in place of the text.
+
+    For texts that are both fitted and scored: they are read once, and joins move numbers.
+    """
+    return df.select(*columns, *[c.alias(n) for n, c in text_features(text).items()])
+
+
+def fit_quality_model(
+    labelled: DataFrame, text: str | None = "text", label: str = "label", max_rows: int | None = None
+) -> PipelineModel:
     """Logistic regression on the shape features; ``label`` is 1 for junk.
 
-    Fitted on at most ``max_rows`` labelled rows, the first ones by a hash of the text.
+    Fitted on every labelled row unless ``max_rows`` asks for that many, the first ones by a hash of the text.
+    Without ``text`` the rows come from ``measure_texts``.
     """
-    features = text_features(text)
-    # each text is measured once, where it is read; the ordering moves its hash and numbers only
-    measured = labelled.dropna(subset=[text, label]).select(
-        F.col(label).cast("double").alias("label"), *[c.alias(n) for n, c in features.items()], F.xxhash64(text).alias("_hash"))
-    rows = materialize(measured.orderBy("_hash").limit(max_rows).drop("_hash"), "quality-rows")
+    features = _features(text)
+    # each text is measured once, where it is read; an ordering moves its hash and numbers only
+    measured = labelled.dropna(subset=[*([text] if text else features), label]).select(
+        F.col(label).cast("double").alias("label"), *[c.alias(n) for n, c in features.items()],
+        F.xxhash64(*([text] if text else features)).alias("_hash"))
+    if max_rows is not None:
+        measured = measured.orderBy("_hash").limit(max_rows)
+    rows = materialize(measured.drop("_hash"), "quality-rows")
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="raw"),
         StandardScaler(inputCol="raw", outputCol="features", withMean=True),
@@ -73,11 +91,10 @@ def fit_quality_model(labelled: DataFrame, text: str = "text", label: str = "lab
 
 
 def posting_quality_score(
-    df: DataFrame, model: PipelineModel, identity: Sequence[str], text: str = "text", threshold: float = SPAM_THRESHOLD
+    df: DataFrame, model: PipelineModel, identity: Sequence[str], text: str | None = "text", threshold: float = SPAM_THRESHOLD
 ) -> DataFrame:
-    """Junk probability per posting and whether it reaches the threshold."""
-    features = text_features(text)
-    rows = df.select(*identity, *[c.alias(n) for n, c in features.items()])
+    """Junk probability per posting and whether it reaches the threshold. Without ``text`` the rows come from ``measure_texts``."""
+    rows = df.select(*identity, *[c.alias(n) for n, c in _features(text).items()])
     scored = model.transform(rows).withColumn("spam_probability", vector_to_array("probability")[1])
     return scored.select(*identity, "spam_probability", (F.col("spam_probability") >= threshold).alias("is_spam"))
 

@@ -351,3 +351,20 @@ def test_quality_fit_orders_no_texts(spark, monkeypatch):
     plan = kept[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "Sort [_hash#" in plan and "Sort [xxhash64(text" not in plan
     assert kept[0].count() == 10 and "text" not in kept[0].columns and model.stages[-1].numFeatures == 7
+
+
+def test_quality_fit_takes_every_labelled_row(spark):
+    """No row is cut from the fit, and rows measured before give the same model."""
+    n = 200_400
+    text = F.concat(F.lit("word "), F.repeat(F.lit("x1 "), F.expr("cast(id % 9 as int)")), F.col("id").cast("string"))
+    rows = spark.range(n + 2).select(
+        F.when(F.col("id") != n, text).alias("text"), F.when(F.col("id") != n + 1, (F.col("id") % 9 > 4).cast("int")).alias("label"))
+    model = ml.fit_quality_model(rows)
+    whole = [F.avg(c).alias(name) for name, c in ml.text_features("text").items()]
+    assert list(model.stages[1].mean) == pytest.approx(list(rows.dropna().agg(*whole).first()), rel=1e-12)
+    assert model.stages[-1].summary.predictions.count() == n
+    again = ml.fit_quality_model(ml.measure_texts(rows, ["label"]), text=None)
+    assert list(again.stages[-1].coefficients) == pytest.approx(list(model.stages[-1].coefficients), rel=1e-6, abs=1e-9)
+    few = rows.limit(50)
+    scores = [ml.posting_quality_score(few, model, ["text"]), ml.posting_quality_score(ml.measure_texts(few, ["text"]), model, ["text"], text=None)]
+    assert sorted(scores[0].collect()) == sorted(scores[1].collect())
